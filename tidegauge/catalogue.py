@@ -396,9 +396,9 @@ s AS (SELECT id, n, total, x, CAST(NULL AS BIGINT) AS due, CAST(NULL AS BIGINT)
    WHEN s.due > o.t THEN s.due ELSE o.t + {HOLD} END,
   CASE WHEN s.due <= o.t THEN s.due END
  FROM s JOIN o ON o.id = s.id AND o.n = s.n + 1),
-f AS (SELECT id, fired AS at FROM s WHERE fired IS NOT NULL
+f AS (SELECT id, fired AS due FROM s WHERE fired IS NOT NULL
  UNION ALL SELECT id, due FROM s WHERE n = total AND due IS NOT NULL)
-SELECT id, at AS "timestamp",
+SELECT id, due AS "timestamp",
 'Temperature of sensor ''' || id || ''' monotonically increased for 1 second.' AS message
 FROM f""")
 

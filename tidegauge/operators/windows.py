@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tidegauge.functions import celsius, end_iso, end_ms, floor_to
 
 
-def _aggregate(readings: DataFrame, size: str, keys: tuple[str, ...], **aggregates) -> DataFrame:
-    grouped = readings.groupBy(*keys, F.window("ts", size))
+def _aggregate(rows: DataFrame, size: str, keys: tuple[str, ...], **aggregates) -> DataFrame:
+    grouped = rows.groupBy(*keys, F.window("ts", size))
     return grouped.agg(*[c.alias(n) for n, c in aggregates.items()]).select(
         *keys, end_ms().alias("end_ts"), *aggregates)
 
