@@ -31,6 +31,7 @@ class KeyedTable:
                  order: Sequence[str] = ("timestamp", "seq"), compact_every: int = 20):
         self.spark, self.path, self.key = spark, path.rstrip("/"), key
         self.values, self.order = list(values), list(order)
+        self.columns = list(dict.fromkeys([*values, *order]))
         self.compact_every = compact_every
         self.folder = Folder(spark, path)
 
@@ -39,7 +40,7 @@ class KeyedTable:
         folded = self.folder.numbered(FOLDED)
         if folded and batch_id <= folded[-1]:
             return
-        last = latest_per_key(rows, self.key, [*self.values, *self.order], self.order)
+        last = latest_per_key(rows, self.key, self.columns, self.order)
         publish(last.withColumn(BATCH, F.lit(batch_id).cast("long")), self.folder,
                 f"{ADDED}{batch_id}")
         if len(self._pending()) >= self.compact_every:
@@ -55,8 +56,7 @@ class KeyedTable:
         return self.spark.read.parquet(*parts) if parts else None
 
     def _latest(self, rows: DataFrame) -> DataFrame:
-        return latest_per_key(rows, self.key, [*self.values, *self.order, BATCH],
-                              [BATCH, *self.order])
+        return latest_per_key(rows, self.key, [*self.columns, BATCH], [BATCH, *self.order])
 
     def compact(self) -> None:
         """Fold all additions into one file set, then drop what it replaces.
