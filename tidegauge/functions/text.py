@@ -1,32 +1,31 @@
-"""Text splitting and the line format of a reading."""
+"""Text splitting and the line format of a reading.
+
+Splitting follows the JVM default: empty parts at the end are dropped, others are
+kept, and an empty text is one empty part.
+"""
 
 from pyspark.sql import Column, functions as F
 
 
-def _without_trailing_empties(parts: Column) -> Column:
-    """Drop empty strings at the end only, as splitting on the JVM does by default.
+def without_trailing_empty(parts: Column) -> Column:
+    """Words of a text split at runs of separators.
 
-    ``array_position`` on the reversed flags finds the last part with content.
+    Such a split has at most one empty part at each end; a text of separators only
+    has just these two and no word. A single part is an empty text or a word.
     """
-    has_content = F.reverse(F.transform(parts, lambda p: p != ""))
-    found = F.array_position(has_content, True)
-    kept = F.when(found == 0, F.lit(0)).otherwise(F.size(parts) - found + 1)
-    return F.slice(parts, F.lit(1), kept.cast("int"))
-
-
-def tokens(line: Column | str, pattern: str = r"\W+") -> Column:
-    """Words of a line as an array; an empty line is one empty word."""
-    column = F.col(line) if isinstance(line, str) else line
-    words = _without_trailing_empties(F.split(column, pattern))
-    return F.when(column == "", F.array(F.lit(""))).otherwise(words)
+    size = F.size(parts)
+    words = F.when((size == 2) & (F.element_at(parts, 1) == ""), F.slice(parts, 1, 0)).otherwise(
+        F.slice(parts, F.lit(1), size - 1))
+    return F.when((size > 1) & (F.element_at(parts, -1) == ""), words).otherwise(parts)
 
 
 def id_parts(sensor: Column | str, separator: str = "_") -> Column:
     """Parts of a sensor id around a literal separator."""
     column = F.col(sensor) if isinstance(sensor, str) else sensor
     quoted = "\\Q" + separator + "\\E"
-    parts = _without_trailing_empties(F.split(column, quoted))
-    return F.when(column == "", F.array(F.lit(""))).otherwise(parts)
+    stripped = F.regexp_replace(column, f"(?:{quoted})+\\z", "")
+    return F.when((stripped == "") & (column != ""), F.array().cast("array<string>")).otherwise(
+        F.split(stripped, quoted))
 
 
 def reading_line() -> Column:

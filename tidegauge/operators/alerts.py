@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidegauge.model import EVENT_ORDER
-from tidegauge.plans import running, segments
+from tidegauge.plans import running, segments, spread
 from tidegauge.plans.segments import SEGMENT, SEGMENT_ROWS, UNCUT
 from tidegauge.session import written
 
@@ -157,8 +159,10 @@ def rising_alerts(readings: DataFrame, hold_ms: int = 1_000, *,
     none. Each task handles the changes of one segment; for cut sensors the timer
     pending at each cut comes from a small table with one row per segment.
     """
-    cut = segments.by_key(readings.select("id", "timestamp", "seq", "temperature"),
-                          ["id"], EVENT_ORDER, segment_rows)
+    columns = readings.select("id", "timestamp", "seq", "temperature")
+    cut = segments.by_key(columns, ["id"], EVENT_ORDER, segment_rows)
+    if cut.cut is None:
+        cut = replace(cut, rows=spread.by_key(columns, "id"))
     known = running.scan(cut, keep_segment=True, _prev=running.previous(F.col("temperature")))
     changes = known.filter(
         (F.col("_prev") != 0.0) & (F.col("temperature") != F.col("_prev"))).select(

@@ -10,7 +10,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidegauge.functions import tokens
 from tidegauge.model import EVENT_ORDER
 from tidegauge.operators.transforms import filter_above, tokenize
 from tidegauge.plans import running, segments
@@ -58,8 +57,7 @@ def rolling_concat(rows: DataFrame, key: str, items: str, *, order: Sequence[str
 
 def word_count(texts: DataFrame, column: str = "text") -> DataFrame:
     """Occurrences of each word; a stream emits updated counts."""
-    words = texts.select(F.explode(tokens(column)).alias("word"))
-    return words.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+    return tokenize(texts, column).groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 
 
 def rolling_word_count(texts: DataFrame, order: str, column: str = "text", *,

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidegauge.functions import celsius, id_parts, reading_line, tokens
+from tidegauge.functions import celsius, id_parts, reading_line, without_trailing_empty
 from tidegauge.model import with_event_time
+from tidegauge.plans.spread import spread
 
 
 def to_celsius(readings: DataFrame) -> DataFrame:
@@ -33,9 +34,17 @@ def filter_above(rows: DataFrame, column: str, bound: float) -> DataFrame:
     return rows.filter(F.col(column) > bound)
 
 
-def tokenize(texts: DataFrame, column: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per word, with the word's position in its line."""
-    return texts.select(*keep, F.posexplode(tokens(column)).alias("position", "word"))
+def tokenize(texts: DataFrame, column: str = "text", keep: tuple[str, ...] = (), *,
+             separators: str = r"\W+") -> DataFrame:
+    """One row per word of the whole text, with the word's position.
+
+    ``separators`` matches a run of separators. The text is split once, in a step
+    of its own, since the expression behind it looks at the parts several times.
+    """
+    parts = spread(texts.select(*keep, column)).select(
+        *keep, F.split(column, separators).alias("_parts"))
+    return parts.select(
+        *keep, F.posexplode(without_trailing_empty(F.col("_parts"))).alias("position", "word"))
 
 
 def split_id(readings: DataFrame) -> DataFrame:

@@ -34,7 +34,7 @@ def every(writer: DataStreamWriter, interval: str = "30 seconds") -> DataStreamW
 
 
 def table_stream(spark: SparkSession, path: str, schema: StructType | str, *,
-                 files_per_batch: int = 1_000) -> DataFrame:
-    """A growing folder of Parquet files as a stream."""
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path)
+                 files_per_batch: int = 1_000, pattern: str = "*") -> DataFrame:
+    """A growing folder of Parquet files, or those whose name fits, as a stream."""
+    return spark.readStream.schema(schema).option(
+        "maxFilesPerTrigger", files_per_batch).option("pathGlobFilter", pattern).parquet(path)

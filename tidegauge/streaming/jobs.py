@@ -82,7 +82,7 @@ def late_updates(readings: DataFrame, size_ms: int = 10_000, delay_ms: int = 5_0
                  lateness_ms: int = 5_000) -> DataFrame:
     timed = watermark(readings, _delay(delay_ms + lateness_ms)).withColumn(
         "end_ts", floor_to("timestamp", size_ms) + size_ms)
-    return _stateful(timed, ("id", "end_ts"), p.LateUpdates(lateness_ms), timers=True)
+    return _stateful(timed, ("id",), p.LateUpdates(lateness_ms), timers=True)
 
 
 def early_counts(readings: DataFrame, size_ms: int = 30_000, every_ms: int = 1_000,

@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import (BooleanType, DataType, DoubleType, LongType, StructField,
+from pyspark.sql.types import (ArrayType, BooleanType, DataType, DoubleType, LongType, StructField,
                                StructType)
 
 ORDER = ["timestamp", "seq"]
@@ -241,52 +241,78 @@ class ThresholdAlert(_ValueProcessor):
 class LateUpdates(_ValueProcessor):
     """Window counts with updates for late rows within the allowed lateness.
 
-    Keyed by (id, end_ts). The stream's watermark must trail by delay plus lateness,
-    since Spark drops what is older than it; the window fires ``lateness_ms`` earlier
-    on that clock. Its state ends when the watermark reaches the window's end.
+    Keyed by sensor, with its open windows in one state value: few at a time, as a
+    window leaves when the watermark reaches its end. The stream's watermark must
+    trail by delay plus lateness, since Spark drops what is older than it; a window
+    fires ``lateness_ms`` earlier on that clock. One timer per sensor waits for the
+    next window to fire or leave.
     """
 
-    state_schema = _schema(n=LongType, fired=BooleanType)
+    state_schema = StructType([
+        StructField("ends", ArrayType(LongType())), StructField("counts", ArrayType(LongType())),
+        StructField("fired", ArrayType(BooleanType())), StructField("timer", LongType())])
     output_schema = "id string, end_ts long, readings long, result string"
 
     def __init__(self, lateness_ms: int = 5_000):
         self.lateness_ms = lateness_ms
 
+    def _open(self) -> tuple[dict[int, list], int | None]:
+        ends, counts, fired, timer = self.load(([], [], [], None))
+        return {e: [c, f] for e, c, f in zip(ends, counts, fired)}, timer
+
+    def _keep(self, windows: dict[int, list], timer: int | None, now: int) -> None:
+        due = [end - 1 - (0 if fired else self.lateness_ms)
+               for end, (_, fired) in windows.items()]
+        following = min((max(d, now + 1) for d in due), default=None)
+        self.move_timer(timer, following)
+        if windows:
+            self.state.update((list(windows), [c for c, _ in windows.values()],
+                               [f for _, f in windows.values()], following))
+        else:
+            self.state.clear()
+
+    def _settle(self, windows: dict[int, list], now: int) -> list[tuple]:
+        """Fire and remove the windows whose time has come."""
+        out = []
+        for end in sorted(windows):
+            count, fired = windows[end]
+            if not fired and now + self.lateness_ms >= end - 1:
+                windows[end][1] = True
+                out.append((end, count, "first"))
+            if now >= end - 1:
+                del windows[end]
+        return out
+
+    def _rows(self, key, out: list[tuple]) -> Iterator[pd.DataFrame]:
+        if out:
+            table = pd.DataFrame(out, columns=["end_ts", "readings", "result"])
+            table.insert(0, "id", key[0])
+            yield table
+
     def handleInputRows(self, key, rows, timerValues):
-        added = sum(len(pdf) for pdf in rows)
-        sensor, end = key
-        count, fired = self.load((0, False))
-        now = timerValues.getCurrentWatermarkInMs() + self.lateness_ms
-        if now < end - 1:
-            if count == 0:
-                self.handle.registerTimer(end - 1 - self.lateness_ms)
-                self.handle.registerTimer(end - 1)
-            self.state.update((count + added, False))
-            return
-        if count == 0:
-            self.handle.registerTimer(end - 1)
-        counts = count + 1 + np.arange(added)
-        self.state.update((count + added, True))
-        # Waiting for its first timer, the window still reports its first result first.
-        labels = np.where((counts == 1) & (not fired), "first", "update")
-        early = [] if fired or count == 0 else [(count, "first")]
-        yield pd.DataFrame(
-            [(sensor, end, c, r) for c, r in early]
-            + [(sensor, end, int(c), str(r)) for c, r in zip(counts, labels)],
-            columns=["id", "end_ts", "readings", "result"])
+        ends, added = np.unique(np.concatenate([pdf["end_ts"].to_numpy() for pdf in rows]),
+                                return_counts=True)
+        now = timerValues.getCurrentWatermarkInMs()
+        windows, timer = self._open()
+        out = self._settle(windows, now)
+        for end, n in zip(ends.tolist(), added.tolist()):
+            count, fired = windows.get(end, (0, False))
+            if now + self.lateness_ms < end - 1:
+                windows[end] = [count + n, False]
+            elif now < end - 1:
+                labels = ["update" if fired or i else "first" for i in range(n)]
+                out += [(end, count + 1 + i, label) for i, label in enumerate(labels)]
+                windows[end] = [count + n, True]
+        self._keep(windows, timer, now)
+        yield from self._rows(key, out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        sensor, end = key
-        at = expiredTimerInfo.getExpiryTimeInMs()
-        if not self.state.exists():
-            return
-        count, fired = self.state.get()
-        if not fired:
-            self.state.update((count, True))
-            yield pd.DataFrame([(sensor, end, count, "first")],
-                               columns=["id", "end_ts", "readings", "result"])
-        if at >= end - 1:
-            self.state.clear()
+        now = timerValues.getCurrentWatermarkInMs()
+        windows, _ = self._open()
+        out = self._settle(windows, now)
+        # The expired timer is gone already.
+        self._keep(windows, None, now)
+        yield from self._rows(key, out)
 
 
 class EarlyCounts(StatefulProcessor):
