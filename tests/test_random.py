@@ -63,7 +63,7 @@ def random_readings(rng, sensors, count, span, levels):
 
 
 @pytest.mark.parametrize("seed", range(4))
-@pytest.mark.parametrize("size", [25, 100_000])
+@pytest.mark.parametrize("size", [150, 100_000])
 def test_rising(spark, seed, size):
     rng = random.Random(seed)
     data = random_readings(rng, 60, 3_000, 4_000, rng.choice([3, 40]))
@@ -73,7 +73,7 @@ def test_rising(spark, seed, size):
     assert rows(out, "id", "timestamp") == simulate_rising(data, hold)
 
 
-@pytest.mark.parametrize("size", [40, 100_000])
+@pytest.mark.parametrize("size", [100, 100_000])
 def test_long_rises_across_cuts(spark, size):
     rng = random.Random(11)
     data, value = [], {}

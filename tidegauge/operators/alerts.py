@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
+from dataclasses import dataclass, replace
+from math import ceil
 
 import numpy as np
 import pandas as pd
@@ -49,66 +50,88 @@ def self_cleaning_changes(readings: DataFrame, threshold: float = 1.5,
 
 # Rising alert. A first strict increase arms a timer, a strict decrease disarms it,
 # and the next increase after it fired arms it again. Only increases and decreases
-# matter, and what happens after a decrease does not depend on what was before.
-
-def _fired(rises: np.ndarray, drops: np.ndarray, hold: int,
-           pending: float) -> tuple[list[int], float]:
-    """Due times that fire in one segment, and the timer left pending (NaN if none).
-
-    ``rises`` and ``drops`` are (time, position) sorted by position; ``pending`` is
-    the due time carried in. All runs between drops advance together, one timer of
-    each per step.
-    """
-    starts = np.concatenate(([-1], drops["pos"]))
-    ends = np.concatenate((drops["pos"], [np.iinfo(np.int64).max]))
-    cutoff = np.concatenate((drops["ts"].astype(float), [np.inf]))
-    low = np.searchsorted(rises["pos"], starts)
-    high = np.searchsorted(rises["pos"], ends)
-    due = np.full(len(starts), np.nan)
-    armed = low < high
-    due[armed] = rises["ts"][low[armed]] + hold
-    if not np.isnan(pending):
-        due[0] = pending
-    out: list[int] = []
-    left = np.nan
-    live = np.flatnonzero(~np.isnan(due))
-    while len(live):
-        # A timer survives its run if it is due no later than the drop that ends it.
-        live = live[due[live] <= cutoff[live]]
-        following = np.searchsorted(rises["ts"], due[live])
-        again = following < high[live]
-        last = live == len(starts) - 1
-        for value in due[live[last & ~again]]:
-            left = value
-        out.extend(due[live[again | ~last]].astype(np.int64).tolist())
-        live, following = live[again], following[again]
-        due[live] = rises["ts"][following] + hold
-    return out, left
-
-
-def _events(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    pdf = pdf.sort_values(["timestamp", "seq"], kind="stable")
-    table = np.empty(len(pdf), dtype=[("ts", np.int64), ("pos", np.int64)])
-    table["ts"] = pdf["timestamp"].to_numpy()
-    table["pos"] = np.arange(len(pdf))
-    rising = pdf["_rise"].to_numpy(dtype=bool)
-    return table[rising], table[~rising]
+# matter, and what happens after a decrease does not depend on what was before: a
+# sensor's changes fall into runs, each ended by a decrease or by the end of input.
+
+NEVER = np.iinfo(np.int64).max
+
+
+@dataclass(frozen=True)
+class _Changes:
+    """Changes of some sensors, sorted by sensor and event order."""
+
+    names: np.ndarray
+    sensor: np.ndarray
+    time: np.ndarray
+    rise: np.ndarray
+
+    @classmethod
+    def of(cls, pdf: pd.DataFrame) -> _Changes:
+        codes, names = pd.factorize(pdf["id"])
+        order = np.lexsort((pdf["seq"].to_numpy(), pdf["timestamp"].to_numpy(), codes))
+        return cls(np.asarray(names), codes[order].astype(np.int64),
+                   pdf["timestamp"].to_numpy(dtype=np.int64)[order],
+                   pdf["_rise"].to_numpy(dtype=bool)[order])
+
+    def follow(self, hold: int, pending: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Follow the timers; ``pending`` is the due time each sensor starts with or NaN.
+
+        Returns sensor and due time of each timer that fires, and the due time each
+        sensor is left with. All runs advance together, one timer of each per round.
+        """
+        heads = np.diff(self.sensor, prepend=-1) > 0
+        first = np.flatnonzero(heads | np.concatenate(([False], ~self.rise[:-1])))
+        end = np.append(first[1:], len(self.time))
+        owner = self.sensor[first]
+        cutoff = np.where(self.rise[end - 1], NEVER, self.time[end - 1])
+
+        # Times of different sensors are moved apart so that one search serves all.
+        origin = int(self.time.min())
+        stride = int(self.time.max()) - origin + hold + 1
+        rises = np.flatnonzero(self.rise)
+        clock = self.sensor[rises] * stride + (self.time[rises] - origin)
+        low, high = np.searchsorted(rises, first), np.searchsorted(rises, end)
+
+        due = np.full(len(first), NEVER)
+        armed = low < high
+        due[armed] = self.time[rises[low[armed]]] + hold
+        carried = heads[first] & ~np.isnan(pending[owner])
+        due[carried] = pending[owner[carried]].astype(np.int64)
+
+        left = np.full(len(self.names), np.nan)
+        who, when = [], []
+        live = np.flatnonzero(due != NEVER)
+        while len(live):
+            # A timer outlives its run unless a decrease comes before it is due.
+            live = live[due[live] <= cutoff[live]]
+            offset = np.clip(due[live] - origin, 0, stride - 1)
+            at = np.searchsorted(clock, owner[live] * stride + offset)
+            again = at < high[live]
+            waits = ~again & (cutoff[live] == NEVER)
+            left[owner[live[waits]]] = due[live[waits]]
+            who.append(owner[live[~waits]])
+            when.append(due[live[~waits]])
+            live, at = live[again], at[again]
+            due[live] = self.time[rises[at]] + hold
+        none = np.array([], dtype=np.int64)
+        return np.concatenate(who or [none]), np.concatenate(when or [none]), left
 
 
 def _timer_effect(pdf: pd.DataFrame, hold: int) -> pd.DataFrame:
-    """How a segment maps the timer pending at its start to the one pending at its end.
+    """How a segment of one sensor maps the timer pending at its start to that at its end.
 
     With a decrease inside, the end does not depend on the start. Without one, a
     timer carried in picks the first increase from its due time on: ``entry`` lists
     the increases that one can pick and ``leaving`` the timer each leads to. A timer
     is due at most ``hold`` after the segment starts, which bounds the list.
     """
-    rises, drops = _events(pdf)
+    changes = _Changes.of(pdf)
     entry, leaving, fixed = [], [], np.nan
-    if len(drops):
-        fixed = _fired(rises, drops, hold, np.nan)[1]
+    resets = not changes.rise.all()
+    if resets:
+        fixed = changes.follow(hold, np.array([np.nan]))[2][0]
     else:
-        times = rises["ts"]
+        times = changes.time
         follow = np.searchsorted(times, times + hold)
         jump = np.where(follow < len(times), follow, np.arange(len(times)))
         while not np.array_equal(jump[jump], jump):
@@ -116,7 +139,7 @@ def _timer_effect(pdf: pd.DataFrame, hold: int) -> pd.DataFrame:
         reach = np.searchsorted(times, times[0] + hold, side="right") + 1
         entry, leaving = times[:reach].tolist(), (times[jump] + hold)[:reach].tolist()
     return pd.DataFrame({"id": [pdf["id"].iloc[0]], SEGMENT: [pdf[SEGMENT].iloc[0]],
-                         "resets": [bool(len(drops))], "fixed": [fixed],
+                         "resets": [resets], "fixed": [fixed],
                          "entry": [entry], "leaving": [leaving]})
 
 
@@ -142,12 +165,15 @@ def _pending_timers(effects: pd.DataFrame) -> pd.DataFrame:
 
 
 def _warnings(pdf: pd.DataFrame, hold: int) -> pd.DataFrame:
-    """Warnings of one segment; the only segment of a sensor also ends its input."""
-    rises, drops = _events(pdf)
-    fired, left = _fired(rises, drops, hold, float(pdf["pending"].iloc[0]))
-    if pdf[SEGMENT].iloc[0] == UNCUT and not np.isnan(left):
-        fired.append(int(left))
-    return pd.DataFrame({"id": pdf["id"].iloc[0], "due": np.array(fired, dtype=np.int64)})
+    """Warnings of the sensors in one segment; uncut sensors also end their input here."""
+    changes = _Changes.of(pdf)
+    pending = pdf.groupby("id", sort=False)["pending"].first().to_numpy(dtype=float)
+    who, when, left = changes.follow(hold, pending)
+    if pdf[SEGMENT].iloc[0] == UNCUT:
+        waiting = np.flatnonzero(~np.isnan(left))
+        who = np.concatenate((who, waiting))
+        when = np.concatenate((when, left[waiting].astype(np.int64)))
+    return pd.DataFrame({"id": changes.names[who], "due": when})
 
 
 def rising_alerts(readings: DataFrame, hold_ms: int = 1_000, *,
@@ -156,22 +182,31 @@ def rising_alerts(readings: DataFrame, hold_ms: int = 1_000, *,
 
     A timer fires before a reading at or after its due time; one still pending at
     the end of the input fires too. A previous temperature of exactly 0.0 counts as
-    none. Each task handles the changes of one segment; for cut sensors the timer
-    pending at each cut comes from a small table with one row per segment.
+    none. Sensors are handled many at a time, in buckets of about one segment; for
+    cut sensors the timer pending at each cut comes from a small table with one row
+    per segment.
     """
-    columns = readings.select("id", "timestamp", "seq", "temperature")
-    cut = segments.by_key(columns, ["id"], EVENT_ORDER, segment_rows)
+    total = readings.count()
+    buckets = max(4 * readings.sparkSession.sparkContext.defaultParallelism,
+                  ceil(4 * total / segment_rows))
+    columns = readings.select("id", "timestamp", "seq", "temperature",
+                              F.pmod(F.xxhash64("id"), F.lit(buckets)).alias("_bucket"))
+    cut = segments.by_key(columns, ["_bucket", "id"], EVENT_ORDER, segment_rows)
     if cut.cut is None:
-        cut = replace(cut, rows=spread.by_key(columns, "id"))
+        # One exchange serves the window per sensor and the grouping per bucket.
+        cut = replace(cut, rows=spread.by_key(columns, "_bucket"))
     known = running.scan(cut, keep_segment=True, _prev=running.previous(F.col("temperature")))
     changes = known.filter(
         (F.col("_prev") != 0.0) & (F.col("temperature") != F.col("_prev"))).select(
-        "id", SEGMENT, "timestamp", "seq", (F.col("temperature") > F.col("_prev")).alias("_rise"))
+        "_bucket", "id", SEGMENT, "timestamp", "seq",
+        (F.col("temperature") > F.col("_prev")).alias("_rise"))
 
-    no_timer = F.lit(None).cast("double")
-    if cut.cut is None:
-        fired = changes.withColumn("pending", no_timer).groupBy("id").applyInPandas(
+    def warnings(started: DataFrame) -> DataFrame:
+        return started.groupBy("_bucket", SEGMENT).applyInPandas(
             lambda pdf: _warnings(pdf, hold_ms), "id string, due long")
+
+    if cut.cut is None:
+        fired = warnings(changes.withColumn("pending", F.lit(None).cast("double")))
     else:
         effects = changes.filter(F.col(SEGMENT) != UNCUT).groupBy("id", SEGMENT).applyInPandas(
             lambda pdf: _timer_effect(pdf, hold_ms),
@@ -182,8 +217,7 @@ def rising_alerts(readings: DataFrame, hold_ms: int = 1_000, *,
         started = changes.join(
             timers, (F.col("id") == F.col("_id")) & (F.col(SEGMENT) == F.col("_at")), "left")
         at_end = timers.filter((F.col("_at") == AT_END) & F.col("pending").isNotNull())
-        fired = started.groupBy("id", SEGMENT).applyInPandas(
-            lambda pdf: _warnings(pdf, hold_ms), "id string, due long").unionByName(
+        fired = warnings(started).unionByName(
             at_end.select(F.col("_id").alias("id"), F.col("pending").cast("long").alias("due")))
     message = F.concat(F.lit("Temperature of sensor '"), F.col("id"),
                        F.lit("' monotonically increased for 1 second."))
