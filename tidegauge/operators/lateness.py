@@ -15,6 +15,7 @@ from tidegauge.functions import floor_to
 from tidegauge.operators.transforms import late_message
 from tidegauge.plans import running, segments
 from tidegauge.plans.segments import SEGMENT_ROWS
+from tidegauge.session import written
 
 
 def watermark(readings: DataFrame, delay: str = "5 seconds") -> DataFrame:
@@ -84,12 +85,15 @@ def late_updates(readings: DataFrame, size_ms: int = 10_000, delay_ms: int = 5_0
 
     ``first`` is the count when the window fires; each accepted late row adds an
     ``update``. A window with late rows only starts with its first late row. The
-    rows in time are counted map-side; only accepted late rows are put in order.
+    rows in time are counted map-side; only accepted late rows are put in order. The
+    placed rows are written once, as both steps start from them.
     """
-    placed = _against_window(readings, size_ms, delay_ms, lateness_ms, segment_rows)
+    placed = written(
+        _against_window(readings, size_ms, delay_ms, lateness_ms, segment_rows)
+        .filter(~F.col("gone")).select("id", "end_ts", "seq", "fired"), "placed")
     in_time = placed.filter(~F.col("fired")).groupBy("id", "end_ts").agg(
         F.count(F.lit(1)).alias("readings"))
-    accepted = placed.filter(F.col("fired") & ~F.col("gone")).select("id", "end_ts", "seq")
+    accepted = placed.filter("fired").select("id", "end_ts", "seq")
     cut = segments.by_key(accepted, ["id", "end_ts"], ["seq"], segment_rows)
     numbered = running.scan(cut, _nth=running.running_count())
     updates = numbered.join(in_time, ["id", "end_ts"], "left").select(

@@ -14,6 +14,7 @@ from tidegauge.model import EVENT_ORDER
 from tidegauge.operators.transforms import filter_above, tokenize
 from tidegauge.plans import running, segments
 from tidegauge.plans.segments import SEGMENT_ROWS
+from tidegauge.session import written
 
 
 def counter(rows: DataFrame, seq: str = "seq", name: str = "n", *,
@@ -88,17 +89,28 @@ def high_temperature_bucket_count(readings: DataFrame, bucket: Column, above: fl
 
     There are few buckets, so at scale every one is cut into segments.
     """
-    high = filter_above(readings, "temperature", above).select(
+    return _per_bucket(_bucketed(readings, bucket, above), segment_rows)[0]
+
+
+def _bucketed(readings: DataFrame, bucket: Column, above: float) -> DataFrame:
+    return filter_above(readings, "temperature", above).select(
         "id", "timestamp", "seq", bucket.alias("bucket"))
+
+
+def _per_bucket(high: DataFrame, segment_rows: int) -> tuple[DataFrame, bool]:
+    """Counts per bucket, and whether buckets had to be cut."""
     cut = segments.by_key(high, ["bucket"], EVENT_ORDER, segment_rows)
-    return running.scan(cut, bucket_count=running.running_count())
+    return running.scan(cut, bucket_count=running.running_count()), cut.cut is not None
 
 
 def high_temperature_both_counts(readings: DataFrame, bucket: Column, above: float = 10.0, *,
                                  segment_rows: int = SEGMENT_ROWS) -> DataFrame:
     """Count before this reading per sensor, beside the count so far per bucket."""
-    per_bucket = high_temperature_bucket_count(readings, bucket, above,
-                                               segment_rows=segment_rows)
-    cut = segments.by_key(per_bucket, ["id"], EVENT_ORDER, segment_rows)
+    high = _bucketed(readings, bucket, above)
+    per_bucket, was_cut = _per_bucket(high, segment_rows)
+    if was_cut:
+        # The second pass may read its input several times.
+        per_bucket = written(per_bucket, "bucket-counts")
+    cut = segments.by_key(per_bucket, ["id"], EVENT_ORDER, segment_rows, like=high)
     return running.scan(cut, _n=running.running_count()).select(
         "id", "timestamp", "seq", (F.col("_n") - 1).alias("key_count"), "bucket_count")

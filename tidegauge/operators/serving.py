@@ -8,12 +8,16 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidegauge.functions import celsius
 from tidegauge.operators.windows import max_temperature
+from tidegauge.plans.rank import rank
 
 
 def latest_per_key(rows: DataFrame, key: str, values: Sequence[str],
                    order: Sequence[str] = ("timestamp", "seq")) -> DataFrame:
     """Last row per key. The aggregate keeps one row per key and task before the shuffle."""
-    last = F.max_by(F.struct(*values), F.struct(*order))
+    by = rank(rows, order)
+    if len(values) == 1:
+        return rows.groupBy(key).agg(F.max_by(values[0], by).alias(values[0]))
+    last = F.max_by(F.struct(*values), by)
     return rows.groupBy(key).agg(last.alias("_last")).select(key, "_last.*")
 
 

@@ -31,8 +31,8 @@ class TimeBuckets:
         self.width = max(1, -(-(high - low + 1) // self.count))
 
     def of(self, instant: str):
-        index = F.floor((F.col(instant) - self.low) / self.width).cast("long")
-        return F.least(index, F.lit(self.count))
+        index = F.call_function("div", F.col(instant) - self.low, F.lit(self.width))
+        return F.least(index.cast("long"), F.lit(self.count).cast("long"))
 
     def spread(self, intervals: DataFrame) -> DataFrame:
         """One row per interval and bucket it touches."""

@@ -16,6 +16,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
+from tidegauge.plans.rank import rank
 from tidegauge.plans.segments import SEGMENT, UNCUT, Segments
 
 
@@ -126,7 +127,7 @@ def scan(segments: Segments, *, keep_segment: bool = False, **values: Running) -
         return done.withColumn(SEGMENT, F.lit(UNCUT).cast("long")) if keep_segment else done
 
     # One row per segment of a cut group: a small table, ordered within its key.
-    order = F.struct(*segments.order)
+    order = rank(segments.cut, segments.order)
     totals = segments.cut.groupBy(*segments.group).agg(
         *[v.total(order).alias(f"_total_{n}") for n, v in values.items()])
     before = _before(Window.partitionBy(*segments.key).orderBy(SEGMENT))

@@ -56,16 +56,16 @@ def _cut_by_range(df: DataFrame, key: Sequence[str], order: Sequence[str],
 
 
 def by_key(df: DataFrame, key: Sequence[str], order: Sequence[str],
-           segment_rows: int = SEGMENT_ROWS) -> Segments:
+           segment_rows: int = SEGMENT_ROWS, *, like: DataFrame | None = None) -> Segments:
     """Segments of each key's rows in ``order``.
 
     One aggregate over the key columns finds the groups above ``segment_rows``.
     Usually there are none and the window runs as it is. Otherwise only the hot
     groups go through the range cut; all others stay one segment each. A null
-    key is never cut.
+    key is never cut. ``like`` is a cheaper frame with the same keys to count.
     """
     key, order = tuple(key), tuple(order)
-    sizes = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_rows"))
+    sizes = (df if like is None else like).groupBy(*key).agg(F.count(F.lit(1)).alias("_rows"))
     is_hot = F.col("_rows") > segment_rows
     found = sizes.agg(F.count_if(is_hot).alias("keys"),
                       F.sum(F.when(is_hot, F.col("_rows"))).alias("rows")).first()
@@ -97,7 +97,8 @@ def by_sequence(df: DataFrame, seq: str = "seq", segment_rows: int = SEGMENT_ROW
     parts = max(df.sparkSession.sparkContext.defaultParallelism,
                 ceil(seen["rows"] / segment_rows))
     width = ceil(span / parts)
-    stretch = F.floor((F.col(seq) - F.lit(low)) / F.lit(width)).cast("long")
+    # Integer division: a double would misplace ids above 2**53.
+    stretch = F.call_function("div", F.col(seq) - F.lit(low), F.lit(width)).cast("long")
     if width > segment_rows:
         largest = df.groupBy(stretch.alias("_s")).count().agg(F.max("count")).first()[0]
         if largest > segment_rows:
