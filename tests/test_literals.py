@@ -111,6 +111,25 @@ def test_locations(spark, make):
             (0, "UNKNOWN ROOM"), (1, "room_1"), (79, "room_9"), (80, "UNKNOWN ROOM")]
 
 
+def test_service_lookup(make):
+    def connect():
+        known = {"a": "room_1"}
+        return lambda sensor: known.get(sensor)
+
+    readings = make([("a", 0, 1), ("b", 1, 1), ("a", 2, 1)])
+    out = lookup.from_service(readings, connect, capacity=2)
+    assert [r.room for r in out.collect()] == ["room_1", "UNKNOWN ROOM", "room_1"]
+
+
+def test_assigned_windows(make):
+    readings = make([(-1, 1), (0, 1), (29_999, 1), (30_000, 1)])
+    out = windows.assign(readings, 30_000)
+    assert rows(out, "timestamp", "start_ts", "end_ts") == [
+        (-1, -30_000, 0), (0, 0, 30_000), (29_999, 0, 30_000), (30_000, 30_000, 60_000)]
+    assert rows(windows.assign(readings, 30_000, 10_000), "start_ts") == [
+        (-20_000,), (-20_000,), (10_000,), (10_000,)]
+
+
 def test_temperature_changes(make):
     out = alerts.temperature_changes(make([(0, 1.0), (1, 2.0), (2, 4.0), (3, 2.4)]))
     assert rows(out, "temperature", "diff") == [(4.0, 2.0)]

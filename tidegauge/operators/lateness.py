@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidegauge.functions import floor_to
+from tidegauge.operators import windows
 from tidegauge.operators.transforms import late_message
 from tidegauge.plans import running, segments
 from tidegauge.plans.segments import SEGMENT_ROWS
@@ -61,7 +61,7 @@ def _against_window(readings: DataFrame, size_ms: int, delay_ms: int, lateness_m
     A window fires when the watermark reaches its last millisecond.
     """
     marked = with_watermark_ms(readings, delay_ms, segment_rows=segment_rows)
-    placed = marked.withColumn("end_ts", floor_to("timestamp", size_ms) + size_ms)
+    placed = windows.assign(marked, size_ms)
     fired = F.col("watermark") >= F.col("end_ts") - 1
     gone = F.col("watermark") >= F.col("end_ts") - 1 + lateness_ms
     return placed.withColumns({"fired": F.coalesce(fired, F.lit(False)),

@@ -18,6 +18,16 @@ def _aggregate(rows: DataFrame, size: str, keys: tuple[str, ...], **aggregates)
         *keys, end_ms().alias("end_ts"), *aggregates)
 
 
+def assign(readings: DataFrame, size_ms: int, offset_ms: int = 0) -> DataFrame:
+    """Add ``start_ts`` and ``end_ts`` of the tumbling window of each reading.
+
+    Plain arithmetic, for windows that ``F.window`` does not offer; group by the two
+    columns like by any other.
+    """
+    start = floor_to(F.col("timestamp") - offset_ms, size_ms) + offset_ms
+    return readings.withColumns({"start_ts": start, "end_ts": start + size_ms})
+
+
 def avg_temperature(readings: DataFrame, size: str = "5 seconds", *,
                     in_celsius: bool = True, digits: int | None = None) -> DataFrame:
     """Average per sensor and window, in Celsius unless told otherwise."""
@@ -64,9 +74,8 @@ def early_counts(readings: DataFrame, size_ms: int = 30_000,
     before it. Readings are first counted per tick interval, so the ordered step
     sees at most ``size_ms / every_ms`` rows of any window.
     """
-    start = floor_to("timestamp", size_ms)
-    slots = readings.groupBy(
-        "id", (start + size_ms).alias("end_ts"),
+    slots = assign(readings, size_ms).groupBy(
+        "id", "end_ts",
         (floor_to("timestamp", every_ms) + every_ms).alias("_tick"),
     ).agg(F.count(F.lit(1)).alias("_n"))
     per_window = Window.partitionBy("id", "end_ts").orderBy("_tick")

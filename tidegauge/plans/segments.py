@@ -17,8 +17,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidegauge.session import written
 
-# Rows of one ordered group that one task may sort.
-SEGMENT_ROWS = 1_000_000
+# Rows of one ordered group that one task should sort.
+SEGMENT_ROWS = 4_000_000
+# Partitions of a range cut; beyond this the segments grow and their sorts spill.
+MOST_SEGMENTS = 20_000
 # Hot keys are broadcast up to this many; there are at most total / SEGMENT_ROWS.
 BROADCAST_KEYS = 100_000
 
@@ -50,7 +52,7 @@ def _cut_by_range(df: DataFrame, key: Sequence[str], order: Sequence[str],
     because another run of the sampling could draw other bounds.
     """
     parts = max(df.sparkSession.sparkContext.defaultParallelism,
-                ceil(2 * total / segment_rows))
+                min(MOST_SEGMENTS, ceil(2 * total / segment_rows)))
     ranged = df.repartitionByRange(parts, *[F.col(c) for c in (*key, *order)])
     return written(ranged.withColumn(SEGMENT, F.spark_partition_id().cast("long")), "segments")
 

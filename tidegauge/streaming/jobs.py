@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
-from tidegauge.functions import floor_to
 from tidegauge.operators.lateness import watermark
+from tidegauge.operators.windows import assign
 from tidegauge.streaming import processors as p
 
 
@@ -80,13 +80,11 @@ def threshold_alerts(readings: DataFrame, thresholds: DataFrame,
 
 def late_updates(readings: DataFrame, size_ms: int = 10_000, delay_ms: int = 5_000,
                  lateness_ms: int = 5_000) -> DataFrame:
-    timed = watermark(readings, _delay(delay_ms + lateness_ms)).withColumn(
-        "end_ts", floor_to("timestamp", size_ms) + size_ms)
+    timed = assign(watermark(readings, _delay(delay_ms + lateness_ms)), size_ms)
     return _stateful(timed, ("id",), p.LateUpdates(lateness_ms), timers=True)
 
 
 def early_counts(readings: DataFrame, size_ms: int = 30_000, every_ms: int = 1_000,
                  delay_ms: int = 5_000) -> DataFrame:
-    timed = watermark(readings, _delay(delay_ms)).withColumn(
-        "end_ts", floor_to("timestamp", size_ms) + size_ms)
+    timed = assign(watermark(readings, _delay(delay_ms)), size_ms)
     return _stateful(timed, ("id", "end_ts"), p.EarlyCounts(every_ms), timers=True)
