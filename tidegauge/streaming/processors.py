@@ -45,7 +45,8 @@ class _ValueProcessor(StatefulProcessor):
         self.state = handle.getValueState("state", self.state_schema)
 
     def load(self, default: tuple) -> tuple:
-        return self.state.get() if self.state.exists() else default
+        known = self.state.get()
+        return default if known is None else known
 
     def move_timer(self, old: int | None, new: int | None) -> None:
         if old == new:
