@@ -37,6 +37,9 @@ def streams(tables: Tables):
 
     return {
         "stream_avg_temp_window": average,
+        "stream_fire_alerts": lambda: jobs.fire_alerts(
+            live(), lambda: tables.smoke,
+            lambda found, _: found.write.format("noop").mode("overwrite").save()),
         "stream_temp_change_alerts": lambda: jobs.temperature_changes(live()),
         "stream_rising_alerts": lambda: jobs.rising_alerts(live(), catalogue.HOLD, 5 * SECOND),
         "stream_late_update_counts": lambda: jobs.late_updates(
@@ -45,7 +48,8 @@ def streams(tables: Tables):
 
 
 def drain(stream) -> None:
-    query = (stream.writeStream.format("noop").outputMode("append")
+    writer = stream if hasattr(stream, "start") else stream.writeStream.format("noop")
+    query = (writer.outputMode("append")
              .option("checkpointLocation", tempfile.mkdtemp(prefix="run-"))
              .trigger(availableNow=True).start())
     query.awaitTermination()

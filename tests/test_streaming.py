@@ -177,9 +177,9 @@ def test_lookup_in_a_changing_table(spark, stream, tmp_path):
 def test_fire_alerts_per_batch(events, stream, batch, tmp_path):
     """The control table is read as it is when the micro-batch runs."""
     levels, found = smoke_control(events), []
-    query = (stream.writeStream.foreachBatch(
-        lambda part, _: found.extend(control.fire_alerts(part, levels).collect()))
-        .option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start())
+    query = (jobs.fire_alerts(stream, lambda: levels,
+                              lambda alerts, _: found.extend(alerts.collect()))
+             .option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start())
     assert query.awaitTermination(120)
     assert sorted(tuple(r) for r in found) == rows(control.fire_alerts(batch, levels))
 

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidegauge import model
 from tidegauge.operators import (alerts, control, lateness, lookup, partitioning, rolling,
                                  serving, transforms, windows)
-from tidegauge.session import ship_package
 
 # Milliseconds and interval text of one stretched second.
 SCALE = 14_400
@@ -47,7 +46,6 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         if spark.conf.get("spark.sql.session.timeZone") != "UTC":
             spark.conf.set("spark.sql.session.timeZone", "UTC")
-        ship_package(spark)
         self.spark, self.folder = spark, folder
 
     def table(self, name: str) -> DataFrame:

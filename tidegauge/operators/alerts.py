@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import sys
 from dataclasses import dataclass, replace
 from math import ceil
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidegauge import texts
 from tidegauge.model import EVENT_ORDER
 from tidegauge.plans import running, segments, spread
 from tidegauge.plans.segments import SEGMENT, SEGMENT_ROWS, UNCUT
@@ -48,6 +51,9 @@ def self_cleaning_changes(readings: DataFrame, threshold: float = 1.5,
     return _changes(readings, last, threshold, segment_rows)
 
 
+# The functions below run in Python workers, which need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Rising alert. A first strict increase arms a timer, a strict decrease disarms it,
 # and the next increase after it fired arms it again. Only increases and decreases
 # matter, and what happens after a decrease does not depend on what was before: a
@@ -219,6 +225,6 @@ def rising_alerts(readings: DataFrame, hold_ms: int = 1_000, *,
         at_end = timers.filter((F.col("_at") == AT_END) & F.col("pending").isNotNull())
         fired = warnings(started).unionByName(
             at_end.select(F.col("_id").alias("id"), F.col("pending").cast("long").alias("due")))
-    message = F.concat(F.lit("Temperature of sensor '"), F.col("id"),
-                       F.lit("' monotonically increased for 1 second."))
+    message = F.concat(F.lit(texts.RISING_BEFORE_ID), F.col("id"),
+                       F.lit(texts.RISING_AFTER_ID))
     return fired.select("id", F.col("due").alias("timestamp"), message.alias("message"))

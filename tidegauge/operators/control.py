@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidegauge import texts
 from tidegauge.functions import reading_line
 from tidegauge.operators.transforms import alert
 from tidegauge.plans import running, segments
@@ -59,7 +60,7 @@ def fire_alerts(readings: DataFrame, control: DataFrame, above: float = 100.0, *
     """An alert for each reading above the bound while the smoke level is HIGH."""
     risky = readings_at_level(readings.filter(F.col("temperature") > above), control, "HIGH",
                               broadcast_rows=broadcast_rows, segment_rows=segment_rows)
-    return risky.select(*alert(F.concat(F.lit("Risk of fire! "), reading_line())))
+    return risky.select(*alert(F.concat(F.lit(texts.FIRE), reading_line())))
 
 
 def switch_filter(readings: DataFrame, switches: DataFrame, *,

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidegauge import texts
 from tidegauge.operators import windows
 from tidegauge.operators.transforms import late_message
 from tidegauge.plans import running, segments
@@ -98,13 +99,13 @@ def late_updates(readings: DataFrame, size_ms: int = 10_000, delay_ms: int = 5_0
     numbered = running.scan(cut, _nth=running.running_count())
     updates = numbered.join(in_time, ["id", "end_ts"], "left").select(
         "id", "end_ts", (F.coalesce("readings", F.lit(0)) + F.col("_nth")).alias("readings"),
-        F.when(F.col("readings").isNull() & (F.col("_nth") == 1), "first")
-        .otherwise("update").alias("result"))
-    first = in_time.select("id", "end_ts", "readings", F.lit("first").alias("result"))
+        F.when(F.col("readings").isNull() & (F.col("_nth") == 1), texts.FIRST_RESULT)
+        .otherwise(texts.UPDATED_RESULT).alias("result"))
+    first = in_time.select("id", "end_ts", "readings", F.lit(texts.FIRST_RESULT).alias("result"))
     return first.unionByName(updates)
 
 
 def freezing_alarms(readings: DataFrame, below: float = 32.0) -> DataFrame:
     """Side output: one alarm per freezing reading. The main output is the input."""
     return readings.filter(F.col("temperature") < below).select(
-        "id", "timestamp", F.concat(F.lit("Freezing Alarm for"), F.col("id")).alias("message"))
+        "id", "timestamp", F.concat(F.lit(texts.FREEZING), F.col("id")).alias("message"))

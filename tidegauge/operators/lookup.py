@@ -9,10 +9,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidegauge.plans.sizes import BROADCAST_ROWS, broadcast_if_small
+from tidegauge.texts import UNKNOWN_ROOM
 
 
 def with_location(readings: DataFrame, locations: DataFrame, *,
-                  unknown: str = "UNKNOWN ROOM",
+                  unknown: str = UNKNOWN_ROOM,
                   broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Add the room of each sensor. Works with a stream on the left as well.
 
@@ -25,7 +26,7 @@ def with_location(readings: DataFrame, locations: DataFrame, *,
 
 
 def from_service(readings: DataFrame, connect: Callable[[], Callable[[str], str | None]], *,
-                 unknown: str = "UNKNOWN ROOM", capacity: int = 100,
+                 unknown: str = UNKNOWN_ROOM, capacity: int = 100,
                  timeout_s: float = 5.0) -> DataFrame:
     """Add the room of each sensor from a service that answers one sensor at a time.
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidegauge import texts
 from tidegauge.functions import celsius, id_parts, reading_line, without_trailing_empty
 from tidegauge.model import with_event_time
 from tidegauge.plans.spread import spread
@@ -25,23 +26,23 @@ def filter_temperature(readings: DataFrame, at_least: float = 25.0) -> DataFrame
     return readings.filter(F.col("temperature") >= at_least)
 
 
-def filter_contains(texts: DataFrame, needle: str, column: str = "text") -> DataFrame:
+def filter_contains(lines: DataFrame, needle: str, column: str = "text") -> DataFrame:
     """Rows whose text contains the needle, case-sensitive."""
-    return texts.filter(F.col(column).contains(needle))
+    return lines.filter(F.col(column).contains(needle))
 
 
 def filter_above(rows: DataFrame, column: str, bound: float) -> DataFrame:
     return rows.filter(F.col(column) > bound)
 
 
-def tokenize(texts: DataFrame, column: str = "text", keep: tuple[str, ...] = (), *,
+def tokenize(lines: DataFrame, column: str = "text", keep: tuple[str, ...] = (), *,
              separators: str = r"\W+") -> DataFrame:
     """One row per word of the whole text, with the word's position.
 
     ``separators`` matches a run of separators. The text is split once, in a step
     of its own, since the expression behind it looks at the parts several times.
     """
-    parts = spread(texts.select(*keep, column)).select(
+    parts = spread(lines.select(*keep, column)).select(
         *keep, F.split(column, separators).alias("_parts"))
     return parts.select(
         *keep, F.posexplode(without_trailing_empty(F.col("_parts"))).alias("position", "word"))
@@ -73,7 +74,7 @@ def shuffle_timestamps(readings: DataFrame, max_offset_ms: int = 7000,
 
 
 def late_message(readings: DataFrame) -> DataFrame:
-    return readings.withColumn("message", F.concat(F.lit("*** late reading ***"), F.col("id")))
+    return readings.withColumn("message", F.concat(F.lit(texts.LATE), F.col("id")))
 
 
 def reading_lines(readings: DataFrame) -> DataFrame:

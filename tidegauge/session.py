@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import shutil
 import tempfile
 import uuid
 
@@ -39,7 +37,7 @@ def shared_folder(spark: SparkSession) -> str:
     the setting is usually missing, gets a temporary folder of its own.
     """
     context = spark.sparkContext
-    folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
     if not context.master.startswith("local"):
@@ -63,22 +61,3 @@ def written(df: DataFrame, label: str) -> DataFrame:
 def has_at_most(df: DataFrame, rows: int) -> bool:
     """Whether ``df`` has at most ``rows`` rows; reads no more than it must."""
     return df.limit(rows + 1).count() <= rows
-
-
-_shipped: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once per application.
-
-    Needed where it is on the driver's path only, not installed on the executors.
-    """
-    context = spark.sparkContext
-    if context.applicationId in _shipped:
-        return
-    package = os.path.dirname(os.path.abspath(__file__))
-    archive = shutil.make_archive(
-        os.path.join(tempfile.mkdtemp(prefix="tidegauge-ship-"), "tidegauge-lib"), "zip",
-        root_dir=os.path.dirname(package), base_dir=os.path.basename(package))
-    context.addPyFile(archive)
-    _shipped.add(context.applicationId)

@@ -8,15 +8,20 @@ row groups whose statistics overlap its part, batch by batch.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import pyarrow.dataset as ds
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 from pyspark.sql.pandas.types import from_arrow_schema
 from pyspark.sql.types import StructType
 
+# The classes below run in Python workers, which need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 FORMAT = "id_sequence"
 # Ids per task; wider when a micro-batch would otherwise have too many tasks.
 IDS_PER_TASK = 1_000_000

@@ -1,4 +1,4 @@
-"""Streaming DataFrames built from streams of readings. None starts a query.
+"""Streaming forms built from streams of readings. None starts a query.
 
 Stateless operators and windows need no form of their own: call them on the stream,
 after ``lateness.watermark`` where they aggregate. The session must use the RocksDB
@@ -7,9 +7,12 @@ state store for the jobs below.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming import StatefulProcessor
+from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor
 
+from tidegauge.operators import control
 from tidegauge.operators.lateness import watermark
 from tidegauge.operators.windows import assign
 from tidegauge.streaming import processors as p
@@ -57,25 +60,34 @@ def rising_alerts(readings: DataFrame, hold_ms: int = 1_000, delay_ms: int = 5_0
     return _stateful(timed, ("id",), p.RisingAlert(hold_ms), timers=True)
 
 
-def _merged(readings: DataFrame, control: DataFrame, delay_ms: int) -> DataFrame:
+def _merged(readings: DataFrame, controls: DataFrame, delay_ms: int) -> DataFrame:
     """One stream of control rows and readings; the watermark is the slower one's."""
     timed = watermark(readings, _delay(delay_ms)).withColumn("kind", F.lit(p.READING))
-    marked = watermark(control.withColumn("ts", F.timestamp_millis("timestamp")),
+    marked = watermark(controls.withColumn("ts", F.timestamp_millis("timestamp")),
                        _delay(delay_ms)).withColumn("kind", F.lit(p.CONTROL))
     return marked.unionByName(timed, allowMissingColumns=True)
 
 
 def switch_filter(readings: DataFrame, switches: DataFrame, delay_ms: int = 5_000) -> DataFrame:
-    control = switches.select("id", "timestamp", "seq",
-                              (F.col("timestamp") + F.col("duration_ms")).alias("until"))
-    return _stateful(_merged(readings, control, delay_ms), ("id",), p.SwitchFilter(),
+    on = switches.select("id", "timestamp", "seq",
+                         (F.col("timestamp") + F.col("duration_ms")).alias("until"))
+    return _stateful(_merged(readings, on, delay_ms), ("id",), p.SwitchFilter(),
                      timers=True)
 
 
 def threshold_alerts(readings: DataFrame, thresholds: DataFrame,
                      delay_ms: int = 5_000) -> DataFrame:
-    control = thresholds.select("id", "timestamp", "seq", "threshold")
-    return _stateful(_merged(readings, control, delay_ms), ("id",), p.ThresholdAlert())
+    limits = thresholds.select("id", "timestamp", "seq", "threshold")
+    return _stateful(_merged(readings, limits, delay_ms), ("id",), p.ThresholdAlert())
+
+
+def fire_alerts(readings: DataFrame, control_table: Callable[[], DataFrame],
+                emit: Callable[[DataFrame, int], None], above: float = 100.0) -> DataStreamWriter:
+    """Alerts of each micro-batch against the control table as it is at that moment."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        emit(control.fire_alerts(batch, control_table(), above), batch_id)
+
+    return readings.writeStream.foreachBatch(write)
 
 
 def late_updates(readings: DataFrame, size_ms: int = 10_000, delay_ms: int = 5_000,

@@ -12,14 +12,22 @@ applied to the reading's own time, and the timer only settles keys that fell sil
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import (ArrayType, BooleanType, DataType, DoubleType, LongType, StructField,
                                StructType)
 
+from tidegauge import texts
+
+# These classes run in Python workers, which need not have this package.
+for module in (sys.modules[__name__], texts):
+    cloudpickle.register_pickle_by_value(module)
+
 ORDER = ["timestamp", "seq"]
 MERGED_ORDER = ["timestamp", "kind", "seq"]
 CONTROL, READING = 0, 1
@@ -160,7 +168,7 @@ class RisingAlert(_ValueProcessor):
         self.hold_ms = hold_ms
 
     def _warn(self, key, times: list[int]) -> pd.DataFrame:
-        text = f"Temperature of sensor '{key[0]}' monotonically increased for 1 second."
+        text = f"{texts.RISING_BEFORE_ID}{key[0]}{texts.RISING_AFTER_ID}"
         return pd.DataFrame({"id": key[0], "timestamp": np.array(times, dtype=np.int64),
                              "message": text})
 
@@ -279,7 +287,7 @@ class LateUpdates(_ValueProcessor):
             count, fired = windows[end]
             if not fired and now + self.lateness_ms >= end - 1:
                 windows[end][1] = True
-                out.append((end, count, "first"))
+                out.append((end, count, texts.FIRST_RESULT))
             if now >= end - 1:
                 del windows[end]
         return out
@@ -301,7 +309,8 @@ class LateUpdates(_ValueProcessor):
             if now + self.lateness_ms < end - 1:
                 windows[end] = [count + n, False]
             elif now < end - 1:
-                labels = ["update" if fired or i else "first" for i in range(n)]
+                labels = [texts.UPDATED_RESULT if fired or i else texts.FIRST_RESULT
+                          for i in range(n)]
                 out += [(end, count + 1 + i, label) for i, label in enumerate(labels)]
                 windows[end] = [count + n, True]
         self._keep(windows, timer, now)
