@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from tidegauge.llm import chat_format, exact_dedup, line_dedup
+from tidegauge.llm import (byte_bpe, chat_format, exact_dedup, line_dedup, packing,
+                           token_counts)
 
 QUERIES = {
+    "op4_token_counts": token_counts.op4,
+    "op5_packing": packing.op5,
     "op6_chat_format": chat_format.op6,
+    "op7_byte_bpe": byte_bpe.op7,
     "op8_line_dedup": line_dedup.op8,
     "op10_exact_dedup": exact_dedup.op10,
 }
