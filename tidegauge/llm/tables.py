@@ -7,7 +7,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidegauge.session import shared_folder
 
@@ -52,3 +52,13 @@ def ship(spark: SparkSession) -> None:
             archive.write(file, file.relative_to(root.parent))
     context.addPyFile(str(target))
     _shipped.add(context.applicationId)
+
+
+# Rows of a few numbers each that may be sent to every executor.
+SMALL_ROWS = 500_000
+
+
+def if_small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """A broadcast hint when ``df``, narrow rows of numbers, has at most that many; else a
+    shuffled join, whose skew adaptive execution splits."""
+    return F.broadcast(df) if df.count() <= rows else df.hint("merge")
