@@ -25,6 +25,8 @@ from tidegauge.llm.encoding import Encoder
 from tidegauge.llm.tables import public_vocabulary, ship, table
 from tidegauge.llm.token_counts import byte_characters
 
+# Pieces the library is given at once; it keeps about a kilobyte of each meanwhile.
+AT_ONCE = 4096
 _CODECS: dict[str, Codec] = {}
 
 
@@ -81,7 +83,9 @@ class Codec:
         spelled = self.characters[ragged.gathered(data, starts, lengths)]
         whole, ends = spelled.tobytes().decode("utf-32-le"), np.cumsum(lengths).tolist()
         texts = [whole[a:b] for a, b in zip([0, *ends], ends)]
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        found = [e.ids for first in range(0, len(texts), AT_ONCE) for e in
+                 self.tokenizer.encode_batch_fast(texts[first:first + AT_ONCE],
+                                                  add_special_tokens=False)]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         return np.fromiter((i for ids in found for i in ids), np.int32, int(sizes.sum())), sizes
 
@@ -164,10 +168,34 @@ def decode(encoded: DataFrame, ranks: str) -> DataFrame:
         run, "doc_id long, n_tokens long, ids_sha256 string, decoded binary")
 
 
-def op7(spark: SparkSession, folder: str) -> DataFrame:
-    from pyspark.sql import functions as F
+def round_trip(docs: DataFrame, ranks: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256: each text encoded, its ids decoded.
+
+    As ``encode`` and ``decode`` do, in one pass that keeps ids in the worker.
+    """
+    ship(docs.sparkSession)
+    tokens = read_ranks(ranks)
+    shared = docs.sparkSession.sparkContext.broadcast((library_model(tokens), tokens))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = _codec(ranks, shared)
+        for batch in batches:
+            for first, ids, sizes, _ in codec.encode(batch.column("text")):
+                own, decoded, at = [], [], 0
+                for size in sizes.tolist():
+                    part = ids[at:at + size]
+                    own.append(hashlib.sha256(part.astype("<u4").tobytes()).hexdigest())
+                    decoded.append(hashlib.sha256(codec.decode(part)).hexdigest())
+                    at += size
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(first, len(sizes)), pa.array(sizes),
+                     pa.array(own), pa.array(decoded)],
+                    ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    ranks = public_vocabulary("byte_bpe_multi_50k.tiktoken")
-    encoded = encode(table(spark, folder, "documents"), ranks)
-    return decode(encoded, ranks).select(
-        "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    return docs.select(docs["doc_id"], docs["text"]).mapInArrow(
+        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return round_trip(table(spark, folder, "documents"),
+                      public_vocabulary("byte_bpe_multi_50k.tiktoken"))
