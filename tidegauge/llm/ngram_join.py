@@ -38,7 +38,7 @@ PERCENT = 75
 FREQUENT = 128
 MOST_FREQUENT = 100_000
 # Classes of frequent tokens; pairs are formed within one.
-CLASSES = 16
+CLASSES = 32
 CELL_DOCS = 4096
 # Tokens whose counts are combined before the shuffle.
 BLOCK = 1 << 21
@@ -274,7 +274,9 @@ def signed(tokens: np.ndarray, sizes: np.ndarray, frequent: np.ndarray, cells: i
            percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Signature, set number and room of the extended prefixes of flat sets.
 
-    Room bounds the overlap of two sets at the first signature they share.
+    Room bounds the overlap of two sets at the first signature they share. Before the first
+    shared pair of frequent tokens, each earlier class has one common token at most, and
+    between the two there is none.
     """
     # Where the classes of frequent tokens cannot cost too much of a small set, single
     # tokens serve all; sets of the size between are indexed both ways.
@@ -309,7 +311,7 @@ def signed(tokens: np.ndarray, sizes: np.ndarray, frequent: np.ndarray, cells: i
             break
         a, b = a[same], b[same]
         found.append((ragged.mixed(tokens[a] * U64(3) + ragged.mixed(tokens[b])), owner[a],
-                      room[a] + CLASSES))
+                      room[b] + 1 + group[a]))
     signature, owner, room = (np.concatenate(x) for x in zip(*found))
     return signature.view(np.int64), owner, room
 
