@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tidegauge.llm import (byte_bpe, chat_format, exact_dedup, language_id,
-                           line_dedup, ngram_join, packing, token_counts)
+                           line_dedup, nearest, ngram_join, packing, token_counts)
 
 QUERIES = {
     "op1_ngram_join": ngram_join.op1,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_chat_format": chat_format.op6,
     "op7_byte_bpe": byte_bpe.op7,
     "op8_line_dedup": line_dedup.op8,
+    "op9_nearest": nearest.op9,
     "op10_exact_dedup": exact_dedup.op10,
 }
 
