@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from tidegauge.llm import (byte_bpe, chat_format, exact_dedup, language_id,
-                           line_dedup, nearest, ngram_join, packing, token_counts)
+                           line_dedup, nearest, ngram_join, packing, suffix_tree,
+                           token_counts)
 
 QUERIES = {
     "op1_ngram_join": ngram_join.op1,
     "op2_language_id": language_id.op2,
+    "op3_suffix_tree": suffix_tree.op3,
     "op4_token_counts": token_counts.op4,
     "op5_packing": packing.op5,
     "op6_chat_format": chat_format.op6,
