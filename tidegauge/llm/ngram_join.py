@@ -425,6 +425,20 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         common * 100 >= (F.col("total") - common) * percent).select("a", "b")
 
 
+def joined_components(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Components once more links are known. The links of two components count once, so many
+    between large ones cost no rounds."""
+    def lifted(links: DataFrame, end: str) -> DataFrame:
+        return links.join(if_small(labels), links[end] == labels["node"], "left").withColumn(
+            end, F.coalesce("component", end)).select("a", "b")
+
+    above = components(lifted(lifted(links, "a"), "b").distinct())
+    upper = above.select(F.col("node").alias("of"), F.col("component").alias("to"))
+    every = labels.union(above.select("node", F.col("node").alias("component"))).distinct()
+    return every.join(upper, every["component"] == upper["of"], "left").select(
+        "node", F.coalesce("to", "component").alias("component"))
+
+
 def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id, the smallest doc_id reachable by links.
 
@@ -456,7 +470,7 @@ def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     labels = components(links)
     more = kept(verified(kept(cross_pairs(entries, labels, percent), "pairs"), sets, percent),
                 "near")
-    labels = components(links.union(more))
+    labels = joined_components(labels, more)
     named = classes.join(labels, classes["set_id"] == labels["node"], "left").select(
         "set_id", "doc_id", "component")
     least_id = named.filter("component is not null").groupBy("component").agg(

@@ -4,8 +4,9 @@ A document's cost is linear in its tokens plus quadratic, for attention within i
 Whole stretches of the sequence length become sequences of their own. The rest of each
 document is dealt to groups by hash; a group opens just as many sequences as its tokens
 need and gives its documents, longest first, to the sequence of least cost that has room
-for them. A document that fits nowhere is cut at the room that is left. So a group pads
-one sequence at most, whatever the lengths are, and groups keep their size at any scale.
+for them. A document that fits nowhere is cut at the room that is left. So a group's
+padding is less than one sequence in all, whatever the lengths are, and groups keep their
+size at any scale.
 """
 
 from __future__ import annotations
@@ -42,7 +43,7 @@ def balanced(lengths: np.ndarray, capacity: int, linear: float = LINEAR,
     """(item, start in it, length, sequence, offset) of each piece.
 
     Longest item first, each to the sequence of least cost with room for all of it, or
-    cut at the most room there is. All sequences but the last filled end up full.
+    cut at the most room there is. All room but that of less than one sequence is filled.
     """
     bins = -(-int(lengths.sum()) // capacity)
     used, cost = np.zeros(bins, np.int64), np.zeros(bins)
