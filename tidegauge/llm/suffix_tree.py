@@ -38,7 +38,7 @@ REPEATS = 3
 LEAST = 8
 LEANING = 2.0
 DIVERGENCE = 3.0
-BLOCK = 1 << 21
+BLOCK = 1 << 19
 
 U64 = np.uint64
 END = U64(0x7A5C3D1E9B8F6042)
