@@ -116,7 +116,7 @@ def test_switches(spark, stream, batch, drain, tmp_path):
                                 ("sensor_7", 60 * SECOND, 1_704_067_200_000, 1),
                                 ("sensor_7", 20 * SECOND, 1_704_067_300_000, 2)], CONTROL_SWITCH)
     path = in_parts(on, str(tmp_path / "on"), [0, 9])
-    live = drain(jobs.switch_filter(stream, table_stream(spark, path, on.schema), 0))
+    live = drain(jobs.switch_filter(stream, table_stream(spark, path, on.schema)))
     assert sorted(live) == rows(control.switch_filter(batch, on))
 
 
@@ -144,6 +144,101 @@ def test_late_updates_one_arrival_at_a_time(spark, drain, tmp_path):
         ("s1", 20_000, 1, "first"), ("s1", 30_000, 1, "first")]
 
 
+def arriving(spark, tmp_path, rows_, per_batch=1):
+    """A stream that takes ``rows_`` (id, time, temperature) in that order."""
+    full = spark.createDataFrame([(s, at, float(t), i) for i, (s, at, t) in enumerate(rows_)],
+                                 READING)
+    path = in_parts(full, str(tmp_path / "arriving"),
+                    [*range(0, len(rows_), per_batch), len(rows_)])
+    return full, with_event_time(table_stream(spark, path, READING, files_per_batch=1))
+
+
+def shuffled(seed, count=40, spread=9_000):
+    import random
+
+    rng = random.Random(seed)
+    return [(f"s{rng.randrange(2)}", 100_000 + max(0, i * 1_500 - rng.randrange(spread)),
+             rng.randrange(1, 9)) for i in range(count)]
+
+
+def watermarks(rows_, delay, per_batch):
+    """The watermark each micro-batch meets, -1 while there is none."""
+    now, high, out = -1, None, []
+    for first in range(0, len(rows_), per_batch):
+        out.append(now)
+        times = [at for _, at, _ in rows_[first:first + per_batch]]
+        high = max([*times, *([high] if high is not None else [])])
+        now = max(now, high - delay)
+    return out
+
+
+def test_late_updates_accept_all_rows_of_open_windows(spark, drain, tmp_path):
+    """A simulation by micro-batches; five and more of them, in random disorder."""
+    rows_, size, delay, late, per = shuffled(2, spread=25_000), 10_000, 2_000, 3_000, 4
+    rows_.append(("s9", 10 ** 6, 1))
+    rows_ += [("s9", 2 * 10 ** 6, 1)] * 3
+    _, source = arriving(spark, tmp_path, rows_, per)
+    live = drain(jobs.late_updates(source, size, delay, late))
+    counts, final = {}, {}
+    for now, first in zip(watermarks(rows_, delay, per), range(0, len(rows_), per)):
+        for s, at, _ in rows_[first:first + per]:
+            end = at - at % size + size
+            if now < end - 1 + late:
+                counts[s, end] = counts.get((s, end), 0) + 1
+    for s, end, n, _ in live:
+        final[s, end] = max(n, final.get((s, end), 0))
+    assert final == {k: n for k, n in counts.items() if k[1] < 1_500_000}
+
+
+def test_early_counts_accept_all_rows_of_open_windows(spark, drain, tmp_path):
+    rows_, size, delay, per = shuffled(3, spread=25_000), 30_000, 1_000, 4
+    rows_ += [("s9", 10 ** 6, 1)] * 4
+    _, source = arriving(spark, tmp_path, rows_, per)
+    live = drain(jobs.early_counts(source, size, 10_000, delay))
+    counts = {}
+    for now, first in zip(watermarks(rows_, delay, per), range(0, len(rows_), per)):
+        for s, at, _ in rows_[first:first + per]:
+            end = at - at % size + size
+            if end > now:
+                counts[s, end] = counts.get((s, end), 0) + 1
+    assert {(s, end): n for s, end, at, n in live if at == end} == {
+        k: n for k, n in counts.items() if k[1] < 500_000}
+
+
+def test_changes_and_switches_take_late_rows(spark, drain, tmp_path):
+    rows_ = [("s1", 1_000, 1), ("s2", 90_000, 1), ("s1", 10_500, 9), ("s2", 99_000, 1),
+             ("s1", 35_500, 9)]
+    full, source = arriving(spark, tmp_path, rows_)
+    live = drain(jobs.self_cleaning_changes(source, 1.5, 3_600_000, 0))
+    assert [r[1] for r in live] == [10_500]
+    on = spark.createDataFrame([("s1", 0, 0, 60_000), ("s2", 0, 1, 60_000)],
+                               "id string, timestamp long, seq long, duration_ms long")
+    switches = table_stream(spark, in_parts(on, str(tmp_path / "on"), [0, 9]), on.schema)
+    passed = drain(jobs.switch_filter(source, switches))
+    assert sorted(r[1] for r in passed) == [1_000, 10_500, 35_500]
+
+
+def test_rising_waits_for_accepted_rows(spark, drain, tmp_path):
+    rows_ = [("s1", 10_000, 1), ("s2", 60_000, 1), ("s1", 20_000, 2), ("s2", 70_000, 1),
+             ("s2", 200_000, 1), ("s2", 300_000, 1)]
+    full, source = arriving(spark, tmp_path, rows_)
+    assert [(r[0], r[1]) for r in drain(jobs.rising_alerts(source, 1_000, 0, 100_000))] == [
+        ("s1", 21_000)]
+
+
+@pytest.mark.parametrize("size", [None, 10_000])
+def test_late_side_loses_no_row(spark, drain, tmp_path, size):
+    rows_ = shuffled(5)
+    _, source = arriving(spark, tmp_path, rows_, 4)
+    live = drain(jobs.late_side(source, 2_000, size))
+    assert sorted(r[3] for r in live) == list(range(len(rows_)))
+    want = {}
+    for now, first in zip(watermarks(rows_, 2_000, 4), range(0, len(rows_), 4)):
+        for i, (_, at, _) in enumerate(rows_[first:first + 4], first):
+            want[i] = at < now if size is None else now >= at - at % size + size - 1
+    assert {r[3]: r[4] for r in live} == want
+
+
 def test_word_count_in_update_mode(spark, drain, tmp_path):
     lines = spark.createDataFrame([(0, "a b a"), (1, "b c")], "seq long, text string")
     path = in_parts(lines, str(tmp_path / "lines"), [0, 1, 2])

@@ -22,6 +22,22 @@ def _delay(ms: int) -> str:
     return f"{ms} milliseconds"
 
 
+# Far beyond any disorder.
+EVER_MS = 3_650 * 24 * 3_600_000
+
+
+def accepting(readings: DataFrame, delay_ms: int, accepted_ms: int) -> DataFrame:
+    """Event time such that rows up to ``accepted_ms`` behind the watermark are kept.
+
+    Spark drops a row whose event time is behind the watermark before a processor sees it.
+    The event time is moved ahead by ``accepted_ms`` and the delay is lengthened by as
+    much: the watermark stays the greatest time less ``delay_ms``, and a row is dropped
+    only if it is more than ``accepted_ms`` behind that.
+    """
+    moved = readings.withColumn("ts", F.timestamp_millis(F.col("timestamp") + accepted_ms))
+    return watermark(moved, _delay(delay_ms + accepted_ms))
+
+
 def _stateful(rows: DataFrame, keys: tuple[str, ...], processor: StatefulProcessor,
               timers: bool = False) -> DataFrame:
     return rows.groupBy(*keys).transformWithStateInPandas(
@@ -51,15 +67,31 @@ def temperature_changes(readings: DataFrame, threshold: float = 1.7) -> DataFram
 
 def self_cleaning_changes(readings: DataFrame, threshold: float = 1.5,
                           ttl_ms: int = 3_600_000, delay_ms: int = 5_000) -> DataFrame:
-    timed = watermark(readings, _delay(delay_ms))
-    return _stateful(timed, ("id",), p.ChangeAlert(threshold, ttl_ms, delay_ms), timers=True)
+    """No reading is too late: what is forgotten follows from the readings' own times, and one
+    small value per sensor stays."""
+    return _stateful(_narrow(readings), ("id",), p.ChangeAlert(threshold, ttl_ms, delay_ms))
 
 
-def rising_alerts(readings: DataFrame, hold_ms: int = 1_000, delay_ms: int = 5_000) -> DataFrame:
-    timed = watermark(readings, _delay(delay_ms))
+def rising_alerts(readings: DataFrame, hold_ms: int = 1_000, delay_ms: int = 5_000,
+                  accepted_ms: int = 0) -> DataFrame:
+    """Warnings wait for readings up to ``delay_ms + accepted_ms`` behind the latest; what
+    comes later still is the late side of ``late_side`` with that delay."""
+    timed = watermark(readings, _delay(delay_ms + accepted_ms))
     return _stateful(timed, ("id",), p.RisingAlert(hold_ms), timers=True)
 
 
+def late_side(readings: DataFrame, delay_ms: int = 5_000,
+              size_ms: int | None = None) -> DataFrame:
+    """Every reading with a column ``late``: behind the watermark its micro-batch met, or with
+    ``size_ms``, in a window that this watermark had closed. Filter it into both sides."""
+    deadline = F.col("timestamp")
+    if size_ms is not None:
+        # Spark's watermark is past a window's last millisecond when the next one begins.
+        deadline = deadline - deadline % size_ms + size_ms - 2
+    rows = accepting(readings, delay_ms, EVER_MS).withColumn("deadline", deadline)
+    return _stateful(rows, ("id",), p.LateMarker(), timers=True)
+
+
 def _merged(readings: DataFrame, controls: DataFrame, delay_ms: int) -> DataFrame:
     """One stream of control rows and readings; the watermark is the slower one's."""
     timed = watermark(readings, _delay(delay_ms)).withColumn("kind", F.lit(p.READING))
@@ -68,11 +100,13 @@ def _merged(readings: DataFrame, controls: DataFrame, delay_ms: int) -> DataFram
     return marked.unionByName(timed, allowMissingColumns=True)
 
 
-def switch_filter(readings: DataFrame, switches: DataFrame, delay_ms: int = 5_000) -> DataFrame:
+def switch_filter(readings: DataFrame, switches: DataFrame) -> DataFrame:
+    """A switch takes effect when it arrives; no reading is too late for it."""
     on = switches.select("id", "timestamp", "seq",
                          (F.col("timestamp") + F.col("duration_ms")).alias("until"))
-    return _stateful(_merged(readings, on, delay_ms), ("id",), p.SwitchFilter(),
-                     timers=True)
+    merged = on.withColumn("kind", F.lit(p.CONTROL)).unionByName(
+        _narrow(readings).withColumn("kind", F.lit(p.READING)), allowMissingColumns=True)
+    return _stateful(merged, ("id",), p.SwitchFilter())
 
 
 def threshold_alerts(readings: DataFrame, thresholds: DataFrame,
@@ -92,11 +126,11 @@ def fire_alerts(readings: DataFrame, control_table: Callable[[], DataFrame],
 
 def late_updates(readings: DataFrame, size_ms: int = 10_000, delay_ms: int = 5_000,
                  lateness_ms: int = 5_000) -> DataFrame:
-    timed = assign(watermark(readings, _delay(delay_ms + lateness_ms)), size_ms)
+    timed = assign(accepting(readings, delay_ms, size_ms + lateness_ms), size_ms)
     return _stateful(timed, ("id",), p.LateUpdates(lateness_ms), timers=True)
 
 
 def early_counts(readings: DataFrame, size_ms: int = 30_000, every_ms: int = 1_000,
                  delay_ms: int = 5_000) -> DataFrame:
-    timed = assign(watermark(readings, _delay(delay_ms)), size_ms)
+    timed = assign(accepting(readings, delay_ms, size_ms), size_ms)
     return _stateful(timed, ("id", "end_ts"), p.EarlyCounts(every_ms), timers=True)

@@ -128,7 +128,7 @@ class ChangeAlert(_ValueProcessor):
     """Readings that differ from the previous one by more than the threshold.
 
     With ``ttl_ms`` the previous reading is forgotten ``ttl_ms + delay_ms`` after its
-    time; a timer then frees the state.
+    time. That is a matter of the readings' own times, so no row can be too late for it.
     """
 
     state_schema = _schema(temperature=DoubleType, timestamp=LongType)
@@ -146,17 +146,11 @@ class ChangeAlert(_ValueProcessor):
         if self.kept_ms is not None:
             gaps = np.diff(times, prepend=times[0] if at is None else at)
             before = np.where(gaps > self.kept_ms, 0.0, before)
-            self.move_timer(None if at is None else at + self.kept_ms,
-                            int(times[-1]) + self.kept_ms)
         self.state.update((float(values[-1]), int(times[-1])))
         diff = np.abs(values - before)
         yield pd.DataFrame({"id": key[0], "timestamp": times, "temperature": values,
                             "diff": diff})[diff > self.threshold]
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        self.state.clear()
-        return iter(())
-
 
 class RisingAlert(_ValueProcessor):
     """Warns when a sensor keeps rising for ``hold_ms``."""
@@ -216,16 +210,11 @@ class SwitchFilter(_ValueProcessor):
             ([floor if until is None else until], ends)))[1:]
         latest = int(open_until[-1])
         if latest > floor:
-            self.move_timer(until, latest)
             self.state.update((latest,))
         passes = (pdf["kind"] == READING) & (pdf["timestamp"] < open_until)
         yield pdf.loc[passes, ["timestamp", "temperature", "seq"]].assign(id=key[0])[
             ["id", "timestamp", "temperature", "seq"]]
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        self.state.clear()
-        return iter(())
-
 
 class ThresholdAlert(_ValueProcessor):
     """Alerts against the sensor's current threshold; 0.0 removes it. Input: merged rows."""
@@ -251,10 +240,9 @@ class LateUpdates(_ValueProcessor):
     """Window counts with updates for late rows within the allowed lateness.
 
     Keyed by sensor, with its open windows in one state value: few at a time, as a
-    window leaves when the watermark reaches its end. The stream's watermark must
-    trail by delay plus lateness, since Spark drops what is older than it; a window
-    fires ``lateness_ms`` earlier on that clock. One timer per sensor waits for the
-    next window to fire or leave.
+    window leaves when the watermark has passed its end by the lateness. The stream must
+    accept rows of all windows that have not left (``jobs.accepting``). One timer per
+    sensor waits for the next window to fire or leave.
     """
 
     state_schema = StructType([
@@ -270,7 +258,7 @@ class LateUpdates(_ValueProcessor):
         return {e: [c, f] for e, c, f in zip(ends, counts, fired)}, timer
 
     def _keep(self, windows: dict[int, list], timer: int | None, now: int) -> None:
-        due = [end - 1 - (0 if fired else self.lateness_ms)
+        due = [end - 1 + (self.lateness_ms if fired else 0)
                for end, (_, fired) in windows.items()]
         following = min((max(d, now + 1) for d in due), default=None)
         self.move_timer(timer, following)
@@ -285,10 +273,10 @@ class LateUpdates(_ValueProcessor):
         out = []
         for end in sorted(windows):
             count, fired = windows[end]
-            if not fired and now + self.lateness_ms >= end - 1:
+            if not fired and now >= end - 1:
                 windows[end][1] = True
                 out.append((end, count, texts.FIRST_RESULT))
-            if now >= end - 1:
+            if now >= end - 1 + self.lateness_ms:
                 del windows[end]
         return out
 
@@ -306,9 +294,9 @@ class LateUpdates(_ValueProcessor):
         out = self._settle(windows, now)
         for end, n in zip(ends.tolist(), added.tolist()):
             count, fired = windows.get(end, (0, False))
-            if now + self.lateness_ms < end - 1:
+            if now < end - 1:
                 windows[end] = [count + n, False]
-            elif now < end - 1:
+            elif now < end - 1 + self.lateness_ms:
                 labels = [texts.UPDATED_RESULT if fired or i else texts.FIRST_RESULT
                           for i in range(n)]
                 out += [(end, count + 1 + i, label) for i, label in enumerate(labels)]
@@ -343,6 +331,8 @@ class EarlyCounts(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues):
         end = key[1]
+        if end <= timerValues.getCurrentWatermarkInMs():
+            return iter(())  # the window has given its last count
         ticks = np.concatenate([pdf["timestamp"].to_numpy() for pdf in rows])
         ticks = ticks - ticks % self.every_ms + self.every_ms
         known = [k[0] for k, _ in self.counts.iterator()]
@@ -369,3 +359,23 @@ class EarlyCounts(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class LateMarker(StatefulProcessor):
+    """Each row with a mark whether the watermark had passed its deadline when it came."""
+
+    output_schema = "id string, timestamp long, temperature double, seq long, late boolean"
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+
+    def handleInputRows(self, key, rows, timerValues):
+        now = timerValues.getCurrentWatermarkInMs()
+        for pdf in rows:
+            # A watermark of 0 stands for none yet.
+            late = (pdf["deadline"] < now) & (now > 0)
+            yield pdf[["timestamp", "temperature", "seq"]].assign(id=key[0], late=late)[
+                ["id", "timestamp", "temperature", "seq", "late"]]
+
+    def close(self) -> None:
+        pass
