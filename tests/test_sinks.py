@@ -9,7 +9,7 @@ from tidegauge.model import readings
 from tidegauge.operators import lateness, serving, transforms, windows
 from tidegauge.sinks import writers
 from tidegauge.sinks.exactly_once import TransactionalFiles, WriteAhead
-from tidegauge.sinks.folders import Folder, publish
+from tidegauge.sinks.folders import Folder, publish, run_name
 from tidegauge.sinks.upsert import KeyedTable, insert_columns
 from tidegauge.sources.basic import table_stream
 from test_streaming import folder, stream, batch  # noqa: F401
@@ -120,13 +120,13 @@ def test_transactional_files_survive_failures(spark, stream, batch, tmp_path):
             part = part.withColumn("temperature", F.when(
                 F.col("seq") % 16 == 15, F.raise_error(F.lit("broken"))).otherwise(
                 F.col("temperature")))
-        sink.write(part, batch_id)
+        sink.write(part, batch_id, run_name(state))
 
     fails(narrow.writeStream.foreachBatch(flaky).option("checkpointLocation", state), "broken")
-    assert sink.folder.names() == ["batch=0"]
+    assert sink.folder.names() == [f"batch={run_name(state)}-0"]
 
     def late_failure(part, batch_id):
-        sink.write(part, batch_id)
+        sink.write(part, batch_id, run_name(state))
         if batch_id == 1:
             raise RuntimeError("after commit")
 
@@ -166,7 +166,7 @@ def test_write_ahead_survives_failures(spark, stream, batch, tmp_path):  # noqa:
     fails(sink.writer(narrow, state), "target down")
 
     def after(part, batch_id):
-        sink.write(part, batch_id)
+        sink.write(part, batch_id, run_name(state))
         if batch_id == 1 and failures["after"]:
             failures["after"] -= 1
             raise RuntimeError("after commit")
@@ -178,4 +178,69 @@ def test_write_ahead_survives_failures(spark, stream, batch, tmp_path):  # noqa:
     assert emitted_before == {k: taken[k] for k in emitted_before}
     assert sorted(s for part in taken.values() for s in part) == [
         r[0] for r in rows(batch, "seq")]
-    assert sink.last_committed() == 2
+    assert sink.last_committed(run_name(state)) == 2
+
+
+def test_a_refused_rename_is_an_error(spark, tmp_path, monkeypatch):
+    frame = spark.createDataFrame([("a", 1.0, 5, 0)], UPSERTED)
+    monkeypatch.setattr(Folder, "_rename", lambda *_: False)
+    with pytest.raises(OSError, match="could not be renamed"):
+        TransactionalFiles(spark, str(tmp_path / "f")).write(frame, 0)
+    table = KeyedTable(spark, str(tmp_path / "t"), "sensor", ["temp"])
+    with pytest.raises(OSError):
+        table.upsert(frame, 0)
+    monkeypatch.undo()
+    table.upsert(frame, 0)
+    monkeypatch.setattr(Folder, "_rename", lambda *_: False)
+    with pytest.raises(OSError):
+        table.compact()
+    monkeypatch.undo()
+    assert rows(table.read()) == [("a", 1.0)]
+
+
+UPSERTED = "sensor string, temp double, timestamp long, seq long"
+
+
+def test_a_new_checkpoint_is_a_new_run(spark, tmp_path):
+    old, new = (spark.createDataFrame([("a", t, 5, 0)], UPSERTED) for t in (1.0, 2.0))
+    files = TransactionalFiles(spark, str(tmp_path / "f"))
+    for run, frame in (("r1", old), ("r1", old), ("r2", new)):
+        files.write(frame, 0, run)
+    assert spark.read.parquet(str(tmp_path / "f")).count() == 2
+    seen = []
+    ahead = WriteAhead(spark, str(tmp_path), "sink", lambda df, n: seen.append(n))
+    for run, number in (("r1", 0), ("r1", 1), ("r1", 1), ("r2", 0), ("r2", 0)):
+        ahead.write(old, number, run)
+    assert seen == [0, 1, 0] and ahead.last_committed("r1") == 1
+    table = KeyedTable(spark, str(tmp_path / "t"), "sensor", ["temp"])
+    for number in range(3):
+        table.upsert(old, number, "r1")
+    table.compact()
+    table.upsert(new, 0, "r2")
+    table.upsert(old, 2, "r1")
+    assert rows(table.read()) == [("a", 2.0)]
+
+
+@pytest.mark.parametrize("step", ["mark", "remove"])
+def test_a_crash_while_compacting_loses_nothing(spark, tmp_path, monkeypatch, step):
+    table = KeyedTable(spark, str(tmp_path / "t"), "sensor", ["temp"])
+    frames = [spark.createDataFrame([("a", float(i), 5, 0), (f"b{i}", 1.0, 5, 1)], UPSERTED)
+              for i in range(3)]
+    for number, frame in enumerate(frames[:2]):
+        table.upsert(frame, number, "r")
+    real = getattr(Folder, step)
+
+    def crash(folder, name):
+        if not name.startswith(".staged"):
+            raise RuntimeError("crash")
+        real(folder, name)
+
+    monkeypatch.setattr(Folder, step, crash)
+    with pytest.raises(RuntimeError):
+        table.compact()
+    monkeypatch.undo()
+    table.upsert(frames[1], 1, "r")
+    table.upsert(frames[2], 2, "r")
+    table.compact()
+    table.upsert(frames[0], 0, "r")
+    assert rows(table.read()) == [("a", 2.0), ("b0", 1.0), ("b1", 1.0), ("b2", 1.0)]

@@ -1,17 +1,19 @@
 """Output that survives failures: transactional files and a write-ahead log.
 
 Spark replays a failed micro-batch under the same batch id and with the same input,
-so it is enough that a batch id takes effect once.
+so it is enough that a batch id takes effect once in each run. A run is a query with its
+checkpoint; a new checkpoint starts at batch 0 again and must not be taken for a replay.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 
-from tidegauge.sinks.folders import Folder, publish
+from tidegauge.sinks.folders import Folder, publish, run_name
 
 BATCH = "batch="
 
@@ -27,11 +29,13 @@ class TransactionalFiles:
     def __init__(self, spark: SparkSession, path: str, file_format: str = "parquet"):
         self.folder, self.format = Folder(spark, path), file_format
 
-    def write(self, batch: DataFrame, batch_id: int) -> None:
-        publish(batch, self.folder, f"{BATCH}{batch_id}", self.format)
+    def write(self, batch: DataFrame, batch_id: int, run: str = "") -> None:
+        """``run`` names the query's run, see ``run_name``."""
+        publish(batch, self.folder, f"{BATCH}{run and run + '-'}{batch_id}", self.format)
 
     def writer(self, stream: DataFrame, checkpoint: str) -> DataStreamWriter:
-        return stream.writeStream.foreachBatch(self.write).option(
+        return stream.writeStream.foreachBatch(
+            partial(self.write, run=run_name(checkpoint))).option(
             "checkpointLocation", checkpoint)
 
 
@@ -49,28 +53,33 @@ class WriteAhead:
         self.log = Folder(spark, f"{path}/{sink_id}/log")
         self.ledger = Folder(spark, f"{path}/{sink_id}/committed")
 
-    def last_committed(self) -> int:
-        """Greatest committed batch id, -1 if there is none. Ids are kept in hex."""
-        return max((int(name, 16) for name in self.ledger.names()), default=-1)
+    def _records(self, run: str) -> list[str]:
+        return [name for name in self.ledger.names() if name.rpartition("-")[0] == run]
 
-    def is_committed(self, batch_id: int) -> bool:
-        return batch_id <= self.last_committed()
+    def last_committed(self, run: str = "") -> int:
+        """Greatest committed batch id of a run, -1 if there is none. Ids are kept in hex."""
+        return max((int(name.rpartition("-")[2], 16) for name in self._records(run)), default=-1)
 
-    def write(self, batch: DataFrame, batch_id: int) -> None:
-        if self.is_committed(batch_id):
+    def is_committed(self, batch_id: int, run: str = "") -> bool:
+        return batch_id <= self.last_committed(run)
+
+    def write(self, batch: DataFrame, batch_id: int, run: str = "") -> None:
+        if self.is_committed(batch_id, run):
             return
-        entry = f"{BATCH}{batch_id}"
-        publish(batch, self.log, entry)
-        self.emit(self.spark.read.schema(batch.schema).parquet(f"{self.log.path}/{entry}"),
-                  batch_id)
-        self.ledger.mark(f"{batch_id:016x}")
-        # Only the latest record counts; older ones and their log entries may go.
-        for name in self.ledger.names()[:-1]:
+        prefix = f"{BATCH}{run and run + '-'}"
+        publish(batch, self.log, f"{prefix}{batch_id}")
+        self.emit(self.spark.read.schema(batch.schema).parquet(
+            f"{self.log.path}/{prefix}{batch_id}"), batch_id)
+        self.ledger.mark(f"{run and run + '-'}{batch_id:016x}")
+        # Only a run's latest record counts; older ones and their log entries may go.
+        for name in self._records(run)[:-1]:
             self.ledger.remove(name)
-        for number in self.log.numbered(BATCH):
-            if number < batch_id:
-                self.log.remove(f"{BATCH}{number}")
+        for name in self.log.names():
+            number = name.removeprefix(prefix)
+            if name.startswith(prefix) and number.isdigit() and int(number) < batch_id:
+                self.log.remove(name)
 
     def writer(self, stream: DataFrame, checkpoint: str) -> DataStreamWriter:
-        return stream.writeStream.foreachBatch(self.write).option(
+        return stream.writeStream.foreachBatch(
+            partial(self.write, run=run_name(checkpoint))).option(
             "checkpointLocation", checkpoint)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,10 +32,19 @@ class Folder:
         return sorted(int(n.removeprefix(prefix)) for n in self.names() if n.startswith(prefix))
 
     def move_in(self, source: str, name: str) -> bool:
-        """Rename a finished folder to its final name unless that is taken already."""
+        """Rename a finished folder to its final name unless that is taken already.
+
+        A rename that the file system refuses is an error: the caller must not go on as
+        if the folder were in place.
+        """
         if self.exists(name):
             return False
         self._fs.mkdirs(self._at())
+        if not self._rename(source, name) and not self.exists(name):
+            raise OSError(f"{source} could not be renamed to {self.path}/{name}")
+        return True
+
+    def _rename(self, source: str, name: str) -> bool:
         return self._fs.rename(self._hadoop.Path(source), self._at(name))
 
     def mark(self, name: str) -> None:
@@ -46,6 +56,12 @@ class Folder:
         self._fs.delete(self._at(name), True)
 
 
+def run_name(checkpoint: str) -> str:
+    """Name of a query's run: the same after a restart, another with a new checkpoint, where
+    batch ids begin anew."""
+    return hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+
+
 def publish(df: DataFrame, folder: Folder, name: str, file_format: str = "parquet") -> bool:
     """Write ``df`` beside the folder's entries, then make it visible in one rename.
 
