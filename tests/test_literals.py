@@ -72,12 +72,11 @@ def test_small_transforms(spark, make):
 
 def test_partitioner(spark):
     data = spark.createDataFrame([(n,) for n in (-1, 2, 3, -4, -6, 5)], "n long")
-    placed = partitioning.partition_custom(data, "n", 4).withColumn(
-        "p", F.spark_partition_id()).collect()
-    assert {r.p for r in placed if r.n < 0} == {0}
-    assert all(0 <= r.p < 4 for r in placed) and len(placed) == 6
+    placed = partitioning.partition_custom(data, "n", 4).collect()
+    assert {r.partition for r in placed if r.n < 0} == {0}
+    assert all(0 <= r.partition < 4 for r in placed) and len(placed) == 6
     assert partitioning.by_key(data, "n", partitions=3).rdd.getNumPartitions() == 3
-    assert partitioning.in_order(data, "n").rdd.getNumPartitions() == 1
+    assert [r.n for r in partitioning.in_order(data, "n").collect()] == [-6, -4, -1, 2, 3, 5]
 
 
 def test_switches(spark, make):
@@ -237,6 +236,7 @@ def test_level_without_end_and_repeated_levels(spark, make):
     readings = make([(t, 101.0) for t in (0, 15, 20, 39, 40, 49, 50, 5_000)])
     for bound in (100, 0):
         out = control.readings_at_level(readings, levels, broadcast_rows=bound)
+        assert out.columns == ["id", "timestamp", "temperature", "seq"]
         assert rows(out, "timestamp") == [(20,), (39,), (50,), (5_000,)]
 
 

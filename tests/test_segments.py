@@ -96,6 +96,20 @@ def test_nulls_and_missing_values(spark):
     assert rows(cut, *whole.columns) == rows(whole)
 
 
+def test_rows_without_a_key_are_cut(spark):
+    data = [(None if i % 4 else "a", i, i % 7) for i in range(1_000)]
+    df = spark.createDataFrame(data, "id string, seq long, v long")
+    cut = segments.by_key(df, ["id"], ["seq"], 100)
+    assert cut.rows.groupBy(*cut.group).count().agg(F.max("count")).first()[0] <= 250
+    total = {}
+    want = []
+    for key, i, v in data:
+        total[key] = total.get(key, 0) + v
+        want.append((i, total[key]))
+    got = running.scan(cut, s=running.running_sum(F.col("v")))
+    assert rows(got, "seq", "s") == want
+
+
 def test_empty_input(spark, skewed):
     nothing = skewed.filter("seq < 0")
     for name, operator in OPERATORS.items():

@@ -37,7 +37,8 @@ def readings_at_level(readings: DataFrame, control: DataFrame, level: str = "HIG
 
     ``control`` has timestamp, seq and level. No level is set before its first row.
     """
-    seen = control.limit(broadcast_rows + 1).agg(
+    readings = readings.select("id", "timestamp", "temperature", "seq")
+    seen = control.agg(
         F.count(F.lit(1)).alias("rows"), F.min("timestamp").alias("low"),
         F.max("timestamp").alias("high")).first()
     if not seen["rows"]:
@@ -74,7 +75,7 @@ def switch_filter(readings: DataFrame, switches: DataFrame, *,
     """
     columns = ["id", "timestamp", "temperature", "seq"]
     deadline = F.col("timestamp") + F.col("duration_ms")
-    seen = switches.limit(broadcast_rows + 1).groupBy("id").count().agg(
+    seen = switches.groupBy("id").count().agg(
         F.sum("count").alias("rows"), F.max("count").alias("most")).first()
     if (seen["rows"] or 0) <= broadcast_rows and (seen["most"] or 0) <= PER_BUCKET:
         on = switches.select(F.col("id"), F.col("timestamp").alias("start"),

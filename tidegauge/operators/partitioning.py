@@ -18,9 +18,12 @@ def partition_for(number: Column, partitions: int, spread_by: Column | None = No
 
 def partition_custom(rows: DataFrame, number: str, partitions: int,
                      spread_by: Column | None = None) -> DataFrame:
-    """Move each row to the partition ``partition_for`` names."""
-    return rows.repartitionById(partitions,
-                                partition_for(F.col(number), partitions, spread_by))
+    """Add ``partition``, the number that ``partition_for`` names.
+
+    No row is moved: with all negatives in one partition, moving them would put any share
+    of the rows into one task. A writer can use the column for its layout.
+    """
+    return rows.withColumn("partition", partition_for(F.col(number), partitions, spread_by))
 
 
 def by_key(rows: DataFrame, *keys: str, partitions: int | None = None) -> DataFrame:
@@ -29,5 +32,5 @@ def by_key(rows: DataFrame, *keys: str, partitions: int | None = None) -> DataFr
 
 
 def in_order(rows: DataFrame, *columns: str) -> DataFrame:
-    """A single ordered partition, for results that are already small."""
-    return rows.coalesce(1).sortWithinPartitions(*columns)
+    """One order over all rows; ranges of it are sorted side by side."""
+    return rows.orderBy(*columns)

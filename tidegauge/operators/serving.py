@@ -13,12 +13,12 @@ from tidegauge.plans.rank import rank
 
 def latest_per_key(rows: DataFrame, key: str, values: Sequence[str],
                    order: Sequence[str] = ("timestamp", "seq")) -> DataFrame:
-    """Last row per key. The aggregate keeps one row per key and task before the shuffle."""
+    """Last row per key. The aggregate keeps one row per key and task before the shuffle.
+
+    ``order`` is unique within a key, so all values come from the same row.
+    """
     by = rank(rows, order)
-    if len(values) == 1:
-        return rows.groupBy(key).agg(F.max_by(values[0], by).alias(values[0]))
-    last = F.max_by(F.struct(*values), by)
-    return rows.groupBy(key).agg(last.alias("_last")).select(key, "_last.*")
+    return rows.groupBy(key).agg(*[F.max_by(v, by).alias(v) for v in values])
 
 
 def upsert_latest(readings: DataFrame) -> DataFrame:

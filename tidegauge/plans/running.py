@@ -137,7 +137,7 @@ def scan(segments: Segments, *, keep_segment: bool = False, **values: Running) -
           for n, v in values.items()])
     # No hint: adaptive execution broadcasts it if its measured size allows, and
     # the rows are already partitioned by the join columns if not.
-    matches = reduce(and_, [F.col(g) == F.col(f"_of_{g}") for g in segments.group])
+    matches = reduce(and_, [F.col(g).eqNullSafe(F.col(f"_of_{g}")) for g in segments.group])
     joined = inner.join(carried, matches, "left")
     return joined.withColumns({
         n: v.finish(v.combine(F.col(n), F.col(f"_carried_{n}"))) for n, v in values.items()

@@ -11,7 +11,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 from math import ceil
+from operator import and_
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -19,8 +21,6 @@ from tidegauge.session import written
 
 # Rows of one ordered group that one task should sort.
 SEGMENT_ROWS = 4_000_000
-# Partitions of a range cut; beyond this the segments grow and their sorts spill.
-MOST_SEGMENTS = 20_000
 # Hot keys are broadcast up to this many; there are at most total / SEGMENT_ROWS.
 BROADCAST_KEYS = 100_000
 
@@ -52,7 +52,7 @@ def _cut_by_range(df: DataFrame, key: Sequence[str], order: Sequence[str],
     because another run of the sampling could draw other bounds.
     """
     parts = max(df.sparkSession.sparkContext.defaultParallelism,
-                min(MOST_SEGMENTS, ceil(2 * total / segment_rows)))
+                ceil(2 * total / segment_rows))
     ranged = df.repartitionByRange(parts, *[F.col(c) for c in (*key, *order)])
     return written(ranged.withColumn(SEGMENT, F.spark_partition_id().cast("long")), "segments")
 
@@ -63,8 +63,9 @@ def by_key(df: DataFrame, key: Sequence[str], order: Sequence[str],
 
     One aggregate over the key columns finds the groups above ``segment_rows``.
     Usually there are none and the window runs as it is. Otherwise only the hot
-    groups go through the range cut; all others stay one segment each. A null
-    key is never cut. ``like`` is a cheaper frame with the same keys to count.
+    groups go through the range cut; all others stay one segment each. Rows without a
+    key are a group like any other. ``like`` is a cheaper frame with the same keys to
+    count.
     """
     key, order = tuple(key), tuple(order)
     sizes = (df if like is None else like).groupBy(*key).agg(F.count(F.lit(1)).alias("_rows"))
@@ -76,12 +77,14 @@ def by_key(df: DataFrame, key: Sequence[str], order: Sequence[str],
     if not key:
         cut = _cut_by_range(df, key, order, found["rows"], segment_rows)
         return Segments(cut, order, key, cut)
-    hot = written(sizes.filter(is_hot).select(*key), "hot-keys")
+    hot = written(sizes.filter(is_hot).select(*[F.col(k).alias(f"_hot_{k}") for k in key]),
+                  "hot-keys")
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in key])
     if found["keys"] <= BROADCAST_KEYS:
         hot = F.broadcast(hot)
-    cut = _cut_by_range(df.join(hot, list(key), "left_semi"), key, order,
+    cut = _cut_by_range(df.join(hot, same, "left_semi"), key, order,
                         found["rows"], segment_rows)
-    rest = df.join(hot, list(key), "left_anti").withColumn(SEGMENT, F.lit(UNCUT).cast("long"))
+    rest = df.join(hot, same, "left_anti").withColumn(SEGMENT, F.lit(UNCUT).cast("long"))
     return Segments(rest.unionByName(cut), order, key, cut)
 
 
