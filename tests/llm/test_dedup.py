@@ -121,7 +121,6 @@ def test_jaccard_near_copies(documents, monkeypatch, frequent):
     rows = near_copies(60) + [(100 + i, t) for i, t in near_copies(30, 20, 2, 7)]
     shared = " ".join(f"p{i}" for i in range(16))
     rows += [(200 + i, f"{shared} q{i} r{i} s{i} t{i}") for i in range(40)] + [(300, shared)]
-    # Blocks see a token three times before it can count as frequent.
     monkeypatch.setattr(ngram_join, "FREQUENT", frequent)
     assert groups_of(ngram_join.jaccard_groups(documents(rows))) == plain.jaccard_groups(rows)
 
@@ -142,10 +141,8 @@ def test_signed_pairs_share_a_signature():
             continue
         every = np.unique(np.concatenate([x, y]))
         often = rng.permutation(every)[:int(rng.integers(0, len(every) + 1))]
-        keys = np.sort((ngram_join.cell_numbers(often, 64) << 32)
-                       | (often & np.uint64(0xFFFFFFFF)).astype(np.int64))
         found = [dict(zip(s.tolist(), room.tolist())) for s, _, room in (
-            ngram_join.signed(t, np.array([len(t)]), keys, 64, 75) for t in (x, y))]
+            ngram_join.signed(t, np.array([len(t)]), np.sort(often), 75) for t in (x, y))]
         needed = -(-(len(x) + len(y)) * 75 // 175)
         assert any(min(found[0][s], found[1][s]) >= needed for s in found[0].keys() & found[1])
 

@@ -7,7 +7,7 @@ Tokens are 64-bit hashes of shingles. The join runs in steps that each touch les
    set it links to; counting shared tokens leaves the few classes that can link at all.
    Counts are combined per block before the shuffle, so a token of very many documents
    sends one row per block.
-2. Tokens that many documents hold are frequent, at most ``MOST_FREQUENT`` of them. A
+2. Tokens that many candidates hold are frequent, at most ``MOST_FREQUENT`` of them. A
    candidate's tokens are ordered rare ones first. Its prefix is indexed by single rare
    tokens and, for frequent tokens, by pairs within small classes of them; the prefix is
    extended by a token per class, so that two linked sets share a signature still.
@@ -34,11 +34,11 @@ from tidegauge.llm.tables import if_small, kept, ship, table
 
 WORDS = 5
 PERCENT = 75
-# Least number of documents that makes a token frequent, and most tokens that are.
+# Least number of candidates that makes a token frequent, and most tokens that are.
 FREQUENT = 128
 MOST_FREQUENT = 100_000
 # Classes of frequent tokens; pairs are formed within one.
-CLASSES = 32
+CLASSES = 24
 CELL_DOCS = 4096
 # Tokens whose counts are combined before the shuffle.
 BLOCK = 1 << 21
@@ -110,33 +110,27 @@ def documents_of(docs: DataFrame, words: int) -> DataFrame:
 
 # Step 1: which classes share enough tokens to link at all.
 
-_PARTS = [("low", "<u4"), ("owner", "<u8"), ("many", "<u4"), ("many_early", "<u4"),
-          ("many_all", "<u4"), ("own", "<u8"), ("own_shared", "<u4")]
+_PARTS = [("low", "<u4"), ("owner", "<u8"), ("many", "<u4"), ("own", "<u8"),
+          ("own_shared", "<u4")]
 
 
-def _combined(tokens: np.ndarray, early: np.ndarray, owners: np.ndarray, cells: int
-              ) -> Iterator[list]:
-    """Rows (cell, parts) of one block: tokens of one owner as they are, others as counts.
+def _combined(tokens: np.ndarray, owners: np.ndarray, cells: int) -> Iterator[list]:
+    """Rows (cell, parts) of one block: tokens of one owner with it, others once without.
 
     What several owners of the block share is credited to them here.
     """
     order = np.argsort(tokens, kind="stable")
-    tokens, early, owners = tokens[order], early[order], owners[order]
+    tokens, owners = tokens[order], owners[order]
     firsts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
     lengths = np.diff(np.append(firsts, len(tokens)))
-    in_early = np.add.reduceat(early.astype(np.int64), firsts)
-    alone = early & np.repeat(in_early == 1, lengths)
-    shared = early & np.repeat(in_early > 1, lengths)
-    many = (in_early > 1) | (lengths > 2)
-    own, counts = np.unique(owners[shared], return_counts=True)
-    head = tokens[firsts][many]
-    arrays = {"low": tokens[alone], "owner": owners[alone], "many": head,
-              "many_early": np.where(in_early > 1, in_early, 0)[many],
-              "many_all": lengths[many], "own": own, "own_shared": counts}
+    alone = np.repeat(lengths == 1, lengths)
+    own, counts = np.unique(owners[~alone], return_counts=True)
+    head = tokens[firsts][lengths > 1]
+    arrays = {"low": tokens[alone], "owner": owners[alone], "many": head, "own": own,
+              "own_shared": counts}
     keys = {"low": tokens[alone], "many": head, "own": own}
     cell_of = {name: cell_numbers(values, cells) for name, values in keys.items()}
-    leader = {"low": "low", "owner": "low", "many": "many", "many_early": "many",
-              "many_all": "many", "own": "own", "own_shared": "own"}
+    leader = {"low": "low", "owner": "low", "many": "many", "own": "own", "own_shared": "own"}
     cut = {}
     for name, cell in cell_of.items():
         by = np.argsort(cell, kind="stable")
@@ -156,11 +150,9 @@ def cell_numbers(tokens: np.ndarray, cells: int) -> np.ndarray:
 
 
 def _counted(rows: pa.Table) -> pa.Table:
-    """(kind, key, n) of one cell: kind 0, shared tokens of a set; kind 1, documents of a
-    token, as far as blocks saw it repeat."""
+    """(set_id, n) of one cell: the tokens in it that a set shares with another."""
     parts = {name: np.frombuffer(b"".join(rows.column(name).to_pylist()), kind)
              for name, kind in _PARTS}
-    cell = rows.column("cell")[0].as_py()
     order = np.lexsort((parts["owner"], parts["low"]))
     low, owner = parts["low"][order], parts["owner"][order]
     new = np.ones(len(low), bool)
@@ -169,18 +161,11 @@ def _counted(rows: pa.Table) -> pa.Table:
     names, which = np.unique(np.concatenate([low, parts["many"]]), return_inverse=True)
     alone, many = which[:len(low)], which[len(low):]
     singles = np.bincount(alone, minlength=len(names))
-    early = singles + np.bincount(many, parts["many_early"], len(names)).astype(np.int64)
-    total = singles + np.bincount(many, parts["many_all"], len(names)).astype(np.int64)
-    sets, at = np.unique(np.concatenate([owner[early[alone] > 1], parts["own"]]),
-                         return_inverse=True)
-    weights = np.concatenate([np.ones((early[alone] > 1).sum()), parts["own_shared"]])
+    both = (singles + 2 * np.bincount(many, minlength=len(names)))[alone] > 1
+    sets, at = np.unique(np.concatenate([owner[both], parts["own"]]), return_inverse=True)
+    weights = np.concatenate([np.ones(both.sum()), parts["own_shared"]])
     shared = np.bincount(at, weights, len(sets)).astype(np.int64)
-    frequent = np.flatnonzero(total >= FREQUENT)
-    keys = (np.int64(cell) << 32) | names[frequent].astype(np.int64)
-    return pa.table(
-        [pa.array(np.repeat([0, 1], [len(sets), len(frequent)]).astype(np.int32)),
-         pa.array(np.concatenate([sets.view(np.int64), keys])),
-         pa.array(np.concatenate([shared, total[frequent]]))], ["kind", "key", "n"])
+    return pa.table([pa.array(sets.view(np.int64)), pa.array(shared)], ["set_id", "n"])
 
 
 def shared_counts(docs: DataFrame, words: int, percent: int, cells: int) -> DataFrame:
@@ -206,13 +191,11 @@ def shared_counts(docs: DataFrame, words: int, percent: int, cells: int) -> Data
                     if sizes[i] and number not in seen:
                         seen.add(number)
                         fresh[i] = True
-                keep = np.repeat(fresh, sizes)
                 starts = np.cumsum(sizes) - sizes
                 rank = np.arange(len(tokens)) - np.repeat(starts, sizes)
                 limit = errors(sizes, percent) + np.maximum(1, sizes * (100 - percent) // 100)
-                early = rank < np.repeat(limit, sizes)
-                held.append((tokens[keep], early[keep],
-                             np.repeat(ids.view(U64), sizes)[keep]))
+                keep = np.repeat(fresh, sizes) & (rank < np.repeat(limit, sizes))
+                held.append((tokens[keep], np.repeat(ids.view(U64), sizes)[keep]))
                 size += int(keep.sum())
                 if size >= BLOCK:
                     yield flush()
@@ -223,13 +206,15 @@ def shared_counts(docs: DataFrame, words: int, percent: int, cells: int) -> Data
 
     schema = "cell long, " + ", ".join(f"{name} binary" for name, _ in _PARTS)
     blocks = docs.select(docs["text"]).mapInArrow(run, schema)
-    return blocks.groupBy("cell").applyInArrow(_counted, "kind int, key long, n long")
+    return blocks.groupBy("cell").applyInArrow(_counted, "set_id long, n long")
 
 
-def frequent_tokens(counts: DataFrame, most: int) -> np.ndarray:
-    """Cell keys of the frequent tokens, ascending. The bar doubles until they are few enough,
+def frequent_tokens(sets: DataFrame, least: int, most: int) -> np.ndarray:
+    """Tokens of at least ``least`` sets, ascending. The bar doubles until they are few enough,
     so what goes to the workers is bounded whatever the input."""
-    steps = (counts.filter("kind = 1").groupBy(F.floor(F.log2("n")).alias("power")).count()
+    counts = kept(sets.select(F.explode("tokens").alias("token")).groupBy("token")
+                  .agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least), "frequent")
+    steps = (counts.groupBy(F.floor(F.log2("n")).alias("power")).count()
              .orderBy(F.desc("power")).collect())
     total, bar = 0, None
     for step in steps:
@@ -238,9 +223,9 @@ def frequent_tokens(counts: DataFrame, most: int) -> np.ndarray:
             break
         bar = step["power"]
     if bar is None:
-        return np.zeros(0, np.int64)
-    rows = counts.filter((F.col("kind") == 1) & (F.col("n") >= 2.0 ** bar)).select("key")
-    return np.sort(np.array([r[0] for r in rows.collect()], np.int64))
+        return np.zeros(0, U64)
+    rows = counts.filter(F.col("n") >= 2.0 ** bar).select("token").toArrow()
+    return np.sort(rows.column("token").to_numpy().view(U64))
 
 
 # Step 2: token sets and signatures of the candidates.
@@ -270,8 +255,8 @@ def candidate_sets(texts: DataFrame, words: int) -> DataFrame:
         F.first("n").alias("n"), F.first("tokens").alias("tokens"), F.first("bits").alias("bits"))
 
 
-def signed(tokens: np.ndarray, sizes: np.ndarray, frequent: np.ndarray, cells: int,
-           percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def signed(tokens: np.ndarray, sizes: np.ndarray, frequent: np.ndarray, percent: int
+           ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Signature, set number and room of the extended prefixes of flat sets.
 
     Room bounds the overlap of two sets at the first signature they share. Before the first
@@ -283,11 +268,10 @@ def signed(tokens: np.ndarray, sizes: np.ndarray, frequent: np.ndarray, cells: i
     least = -(-(CLASSES + 1) * 100 // percent)
     both = -(-least * 100 // percent)
     owner = np.repeat(np.arange(len(sizes)), sizes)
-    keys = (cell_numbers(tokens, cells) << 32) | (tokens & U64(0xFFFFFFFF)).astype(np.int64)
     often = np.zeros(len(tokens), bool)
     if len(frequent):
-        at = np.minimum(np.searchsorted(frequent, keys), len(frequent) - 1)
-        often = frequent[at] == keys
+        at = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
+        often = frequent[at] == tokens
     group = np.where(often, (ragged.mixed(tokens ^ U64(5)) % U64(CLASSES)).astype(np.int64), -1)
     order = np.lexsort((tokens, group, owner))
     tokens, often, group = tokens[order], often[order], group[order]
@@ -316,7 +300,7 @@ def signed(tokens: np.ndarray, sizes: np.ndarray, frequent: np.ndarray, cells: i
     return signature.view(np.int64), owner, room
 
 
-def signatures(sets: DataFrame, frequent: np.ndarray, cells: int, percent: int) -> DataFrame:
+def signatures(sets: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame:
     """signature, set_id, n, room, k0..k3 (sketch folded to 256 bits)."""
     shared = sets.sparkSession.sparkContext.broadcast(frequent)
 
@@ -327,7 +311,7 @@ def signatures(sets: DataFrame, frequent: np.ndarray, cells: int, percent: int)
                 column = part.column("tokens")
                 sizes = column.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
                 tokens = column.flatten().to_numpy(zero_copy_only=False).view(U64)
-                signature, owner, room = signed(tokens, sizes, shared.value, cells, percent)
+                signature, owner, room = signed(tokens, sizes, shared.value, percent)
                 folded = np.bitwise_xor.reduce(
                     part.column("bits").flatten().to_numpy(zero_copy_only=False)
                     .reshape(len(sizes), -1, 4), axis=1)
@@ -350,29 +334,30 @@ def _needed(total: Column, percent: int) -> Column:
 
 
 def neighbours(entries: DataFrame, percent: int) -> DataFrame:
-    """(a, b) that stand side by side under a signature, in a random order of sets. Ranges of
-    the order are dealt to tasks, so a signature of very many sets is split."""
+    """(a, b) that stand side by side under a signature, in a random order of sets.
+
+    Any signature will do here, so the bound on positions is not applied. Ranges of the
+    order are dealt to tasks, so a signature of very many sets is split.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = None
         for batch in batches:
             rows = [batch.column(c).to_numpy(zero_copy_only=False)
-                    for c in ("signature", "set_id", "n", "room")]
+                    for c in ("signature", "set_id", "n")]
             if before is not None:
                 rows = [np.concatenate([x, y]) for x, y in zip(before, rows)]
             before = [x[-1:] for x in rows]
-            signature, sets, n, room = rows
+            signature, sets, n = rows
             total = n[1:].astype(np.int64) + n[:-1]
             needed = -(-total * percent // (100 + percent))
             fits = ((signature[1:] == signature[:-1]) & (sets[1:] != sets[:-1])
-                    & (np.minimum(room[1:], room[:-1]) >= needed)
                     & (np.minimum(n[1:], n[:-1]) >= needed))
             a, b = np.minimum(sets[1:], sets[:-1])[fits], np.maximum(sets[1:], sets[:-1])[fits]
             pairs = np.unique(np.stack([a, b], 1), axis=0)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["a", "b"])
 
-    ordered = (entries.select("signature", "set_id", "n", "room",
-                              F.xxhash64("set_id").alias("place"))
+    ordered = (entries.select("signature", "set_id", "n", F.xxhash64("set_id").alias("place"))
                .repartitionByRange("signature", "place").sortWithinPartitions("signature", "place"))
     return ordered.mapInArrow(run, "a long, b long").distinct()
 
@@ -455,9 +440,7 @@ def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     classes = rows.filter("n > 0").groupBy("set_id").agg(
         F.first("n").alias("n"), F.min("doc_id").alias("doc_id"))
     counts = kept(shared_counts(docs, words, percent, cells), "shared-tokens")
-    frequent = frequent_tokens(counts, MOST_FREQUENT)
-    shared = (counts.filter("kind = 0").groupBy(F.col("key").alias("set_id"))
-              .agg(F.sum("n").alias("shared")))
+    shared = counts.groupBy("set_id").agg(F.sum("n").alias("shared"))
     least = F.greatest(F.lit(1), F.floor(F.ceil(F.col("n") * percent / 100 - 1e-9)
                                          * (100 - percent) / 100))
     able = kept(classes.join(shared, "set_id").filter(F.col("shared") >= least)
@@ -465,7 +448,8 @@ def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     chosen = if_small(able.select("of").distinct())
     texts = docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["of"]), "left_semi")
     sets = kept(candidate_sets(texts, words), "candidate-sets")
-    entries = signatures(sets, frequent, cells, percent)
+    frequent = frequent_tokens(sets, FREQUENT, MOST_FREQUENT)
+    entries = signatures(sets, frequent, percent)
     links = kept(verified(kept(neighbours(entries, percent), "pairs"), sets, percent), "near")
     labels = components(links)
     more = kept(verified(kept(cross_pairs(entries, labels, percent), "pairs"), sets, percent),
