@@ -7,6 +7,8 @@ alone is worked out once per different piece and remembered by the worker.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -124,6 +126,14 @@ def gathered(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nd
     return flat[np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1])]
 
 
+def release() -> None:
+    """Give memory that is free but kept by the allocators back to the system, as a worker
+    does before it waits for its next task."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 class Memory:
     """What a worker found out about pieces: a row of numbers per hash."""
 

@@ -38,7 +38,9 @@ REPEATS = 3
 LEAST = 8
 LEANING = 2.0
 DIVERGENCE = 3.0
-BLOCK = 1 << 19
+BLOCK = 1 << 18
+# Bytes of text handled at once.
+CHUNK = 1 << 20
 
 U64 = np.uint64
 END = U64(0x7A5C3D1E9B8F6042)
@@ -53,7 +55,7 @@ def token_rows(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, n
                                                   np.ndarray]]:
     """Per chunk: first text, tokens of all texts with their ends, the text of each, its
     place there, and a hash of each text."""
-    for first, last, data, bounds in ragged.chunks(texts):
+    for first, last, data, bounds in ragged.chunks(texts, CHUNK):
         lowered = ragged.LOWERED[data]
         starts, ends, text = ragged.words(data, bounds)
         count = last - first
@@ -127,6 +129,7 @@ def proposed(docs: DataFrame) -> DataFrame:
                     size = 0
         if held:
             yield from flush()
+        ragged.release()
 
     found = docs.select(docs["text"]).mapInArrow(
         run, "length int, key long, next long, c1 long, c2 long, c3 long, n long")
@@ -271,6 +274,7 @@ def counted(docs: DataFrame, words: np.ndarray, entries: np.ndarray, context_key
                            counts[some])
         yield batch_of(TOTAL, np.zeros(1, np.int64), None, None, np.array([total]),
                        np.array([total]))
+        ragged.release()
 
     return docs.select(docs["doc_id"], docs["text"],
                        (fold(docs["doc_id"]) != HELD_OUT).alias("learning")).mapInArrow(
@@ -357,6 +361,7 @@ def scores(docs: DataFrame) -> DataFrame:
                      per_text(~covered).cast(pa.int64())],
                     ["doc_id", "text_id", "n_tokens", "n_known", "base", "logs", "open",
                      "n_open"])
+        ragged.release()
 
     scored = kept(docs.mapInArrow(run, SCORED), "scored")
     # Rows that repeat share their rare tokens' sums.
