@@ -104,6 +104,39 @@ def test_score_edge_cases(clashing):
     assert suffix_tree.scores(clashing([])).count() == 0
 
 
+def tree_rows():
+    """Each of 60 phrases comes 14 times, evenly mixed."""
+    return [(i, f"a{i % 60} b{i % 60} c{i % 60} d{i % 60}") for i in range(840)]
+
+
+def test_states_need_no_repeats_in_a_block(documents, monkeypatch):
+    monkeypatch.setattr(suffix_tree, "BLOCK", 50)
+    model, _, _, _ = suffix_tree.train(documents(tree_rows()).repartition(40))
+    assert len(model.states[0][0]) >= 60 and len(model.entries) >= 60
+
+
+def test_scores_do_not_depend_on_blocks_or_splits(documents, monkeypatch):
+    def found(parts, block):
+        monkeypatch.setattr(suffix_tree, "BLOCK", block)
+        rows = suffix_tree.scores(documents(tree_rows()).repartition(parts)).collect()
+        return [round(r.score, 6) for r in sorted(rows, key=lambda r: r.doc_id)]
+
+    assert found(1, 1 << 20) == found(30, 40)
+
+
+def test_joined_scores_equal_those_of_a_sent_model(clashing, monkeypatch):
+    rows = tree_rows() + [(None, "a1 b1 c1 x"), (None, "a1 b1 c1 x"), (9000, ""), (9001, None)]
+
+    def found():
+        return sorted((r.doc_id or -1, r.n_tokens, r.n_known, round(r.base_score, 6),
+                       round(r.score, 6)) for r in suffix_tree.scores(clashing(rows)).collect())
+
+    sent = found()
+    monkeypatch.setattr(suffix_tree, "SENT_ENTRIES", 0)
+    monkeypatch.setattr(suffix_tree, "SENT_WORDS", 20)
+    assert found() == sent
+
+
 VECTORS = "vec_id long, embedding array<float>, label int"
 
 

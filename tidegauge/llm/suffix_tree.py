@@ -5,14 +5,17 @@ when what follows it diverges from what the shorter state expects; its distribut
 leans on that of the shorter state, which also shares out what the state has not listed.
 A token is scored in the longest state that its preceding tokens end in.
 
-1. Blocks of training text propose frequent tokens and (context, next token) entries that
-   repeat in them; the bar rises until they are few enough, so the model's size is bounded
-   whatever the input.
-2. Tokens, contexts and entries of the model are counted exactly over all training text.
-   Tokens outside the model are rows (token, document), counted by a shuffle.
-3. Documents are scored with the model in their own task; the rare tokens' part is joined.
-
-Words are known by 64-bit hashes.
+1. Words are counted over all training text.
+2. Then (context, next token) entries, one context length after the other. Tasks send
+   partial sums, which are added up by a shuffle; least counts apply to the corpus sums
+   only. A context or an ending that is itself below its least count cannot be part of an
+   entry that is not, so these are left out early, by a filter of fixed size that may let
+   too much through, never too little.
+3. Each length is tested with joins on the shorter one.
+4. Documents are scored with the model in their own task if it is small enough to be sent,
+   else by joins of their positions with the model's tables; rare tokens' part is joined.
+
+Words and runs of words are known by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -25,20 +28,25 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidegauge.llm import ragged
-from tidegauge.llm.tables import kept, ship, table
+from tidegauge.llm.tables import if_small, kept, ship, table
 
 FOLDS, HELD_OUT = 7, 2
 DEPTH = 3
-MOST_WORDS = 200_000
-MOST_ENTRIES = 300_000
-# An entry or word is proposed by a block in which it comes this often.
+# Words whose counts are sent to the workers; the others' are joined.
+SENT_WORDS = 200_000
+# Entries of a model that is sent to the workers; a larger one is joined.
+SENT_ENTRIES = 6_000_000
+# Least count of an entry and of a context over the corpus, weight of the shorter state in
+# tokens, and log-likelihood that a state has to gain for each entry.
 REPEATS = 3
-# Least count of a context, weight of the shorter state in tokens, and log-likelihood that
-# a state has to gain for each entry.
 LEAST = 8
 LEANING = 2.0
 DIVERGENCE = 3.0
-BLOCK = 1 << 18
+# Tokens whose partial sums are sent at once, and training tokens for each bucket of sums.
+BLOCK = 1 << 19
+BUCKET = 1 << 20
+# Bits of a filter for each key, and the most bits it has.
+KEY_BITS, MOST_BITS, SLAB = 12, 1 << 26, 1 << 18
 # Bytes of text handled at once.
 CHUNK = 1 << 20
 
@@ -70,89 +78,267 @@ def token_rows(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, n
 
 def contexts(tokens: np.ndarray, place: np.ndarray, depth: int = DEPTH) -> Iterator[
         tuple[np.ndarray, np.ndarray]]:
-    """For each length: positions with that many tokens before them, and the context's key."""
-    keys = np.zeros(len(tokens), U64)
-    for length in range(1, depth + 1):
+    """For each length: positions with that many tokens before them, and the context's key,
+    which is also the key of the entry that ends in the context's last token."""
+    at = np.flatnonzero(place >= 1)
+    keys = tokens[at - 1]
+    yield at, keys
+    for length in range(2, depth + 1):
+        ending = np.zeros(len(tokens), U64)
+        ending[at] = entry_keys(keys, tokens[at])
         at = np.flatnonzero(place >= length)
-        keys[at] = ragged.mixed(keys[at] * U64(0x9E3779B97F4A7C15) + tokens[at - length]
-                                + U64(length))
-        yield at, keys[at]
+        keys = ending[at - 1]
+        yield at, keys
 
 
 def entry_keys(context: np.ndarray, token: np.ndarray) -> np.ndarray:
     return ragged.mixed(context + token * U64(0xC2B2AE3D27D4EB4F) + U64(7))
 
 
-def _place(table_: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Place of each key in an ascending table, -1 if it is not there."""
-    if not len(table_):
-        return np.full(len(keys), -1)
-    at = np.minimum(np.searchsorted(table_, keys), len(table_) - 1)
-    return np.where(table_[at] == keys, at, -1)
+class Keys:
+    """Ascending keys, found by their leading bits."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
+        self.shift = U64(64 - max(1, int(len(keys)).bit_length()))
+        starts = np.searchsorted((keys >> self.shift), np.arange(
+            (1 << (64 - int(self.shift))) + 1, dtype=U64))
+        self.starts = starts.astype(np.int32 if len(keys) < 1 << 31 else np.int64)
+
+    def places(self, keys: np.ndarray) -> np.ndarray:
+        """Place of each key, -1 if it is not there."""
+        out = np.full(len(keys), -1)
+        top = (keys >> self.shift).astype(np.int64)
+        at, end = self.starts[top], self.starts[top + 1]
+        left = np.flatnonzero(at < end)
+        at, end, keys = at[left], end[left], keys[left]
+        while len(left):
+            hit = self.keys[at] == keys
+            out[left[hit]] = at[hit]
+            more = np.flatnonzero(~hit & (at + 1 < end))
+            left, at, end, keys = left[more], at[more] + 1, end[more], keys[more]
+        return out
+
+
+class Filter:
+    """Holds every key it was made from, and perhaps others."""
+
+    def __init__(self, bits: np.ndarray):
+        self.bits, self.mask = bits, U64(len(bits) * 8 - 1)
+
+    @staticmethod
+    def slots(keys: np.ndarray, mask: np.uint64) -> tuple[np.ndarray, np.ndarray]:
+        return keys & mask, (keys >> U64(34)) & mask
 
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        first, second = ((self.bits[slot >> U64(3)] >> (slot & U64(7)).astype(np.uint8)) & 1
+                         for slot in self.slots(keys, self.mask))
+        return (first & second).astype(bool)
+
+
+def filter_of(rows: DataFrame) -> Filter:
+    """Of the only column of ``rows``."""
+    size = SLAB
+    while size < min(rows.count() * KEY_BITS, MOST_BITS):
+        size *= 2
 
-def proposed(docs: DataFrame) -> DataFrame:
-    """(length, key, next, c1..c3, n): words (length 0) and entries that repeat in blocks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows(length, key, token, *suffixes):
-            found, first, which = ragged.distinct(key)
-            counts = np.bincount(which, minlength=len(found))
-            some = counts >= REPEATS
-            at = first[some]
-            blank = np.zeros(len(at), np.int64)
-            sides = [s[at].view(np.int64) for s in suffixes]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(at), length, np.int32)),
-                 *(pa.array(x) for x in (found[some].view(np.int64), token[at].view(np.int64),
-                                         *sides, *[blank] * (DEPTH - len(sides)),
-                                         counts[some]))],
-                ["length", "key", "next", "c1", "c2", "c3", "n"])
-
-        def flush():
-            tokens, place = (np.concatenate(x) for x in zip(*held))
-            held.clear()
-            yield rows(0, tokens, tokens)
-            known = [np.zeros(len(tokens), U64) for _ in range(DEPTH)]
-            for length, (at, keys) in enumerate(contexts(tokens, place), 1):
-                known[length - 1][at] = keys
-                yield rows(length, entry_keys(keys, tokens[at]), tokens[at],
-                           *(known[k][at] for k in range(length)))
-
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        size = 0
+        bits = np.zeros(size, bool)
         for batch in batches:
-            for _, tokens, _, place, _ in token_rows(batch.column("text")):
-                held.append((tokens, place))
-                size += len(tokens)
-                if size >= BLOCK:
-                    yield from flush()
-                    size = 0
-        if held:
-            yield from flush()
-        ragged.release()
+            for slot in Filter.slots(batch.column(0).to_numpy().view(U64), U64(size - 1)):
+                bits[slot] = True
+        slabs = np.packbits(bits, bitorder="little").reshape(-1, SLAB // 8)
+        some = np.flatnonzero(slabs.any(axis=1))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(some.astype(np.int32)),
+             pa.array([slabs[k].tobytes() for k in some], pa.binary())], ["slab", "bits"])
+
+    def merge(slabs: pa.Table) -> pa.Table:
+        whole = np.zeros(SLAB // 8, np.uint8)
+        for one in slabs.column("bits"):
+            whole |= np.frombuffer(one.as_buffer(), np.uint8)
+        return pa.table({"slab": slabs.column("slab")[:1].cast(pa.int32()),
+                         "bits": pa.array([whole.tobytes()], pa.binary())})
+
+    found = rows.mapInArrow(run, "slab int, bits binary").groupBy("slab").applyInArrow(
+        merge, "slab int, bits binary").toArrow()
+    bits = np.zeros((size // SLAB, SLAB // 8), np.uint8)
+    for slab, one in zip(found.column("slab").to_pylist(), found.column("bits").to_pylist()):
+        bits[slab] = np.frombuffer(one, np.uint8)
+    return Filter(bits.reshape(-1))
+
+
+def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Tokens and their places in their texts, of many texts at once."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    size = 0
+    for batch in batches:
+        for _, tokens, _, place, _ in token_rows(batch.column("text")):
+            held.append((tokens, place))
+            size += len(tokens)
+            if size >= BLOCK:
+                whole = [np.concatenate(x) for x in zip(*held)]
+                held.clear()
+                size = 0
+                yield whole[0], whole[1]
+                del whole
+                ragged.release()
+    if held:
+        yield np.concatenate([t for t, _ in held]), np.concatenate([p for _, p in held])
+    ragged.release()
+
+
+def word_sums(docs: DataFrame) -> DataFrame:
+    """(key, n) of all words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tokens, _ in blocks(batches):
+            found, _, which = ragged.distinct(tokens)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found.view(np.int64)),
+                 pa.array(np.bincount(which, minlength=len(found)))], ["key", "n"])
 
-    found = docs.select(docs["text"]).mapInArrow(
-        run, "length int, key long, next long, c1 long, c2 long, c3 long, n long")
-    return found.groupBy("length", "key").agg(
-        *(F.first(c).alias(c) for c in ("next", "c1", "c2", "c3")), F.sum("n").alias("n"))
+    return docs.select(docs["text"]).mapInArrow(run, "key long, n long").groupBy("key").agg(
+        F.sum("n").alias("n"))
 
 
-def most_frequent(rows: DataFrame, most: int) -> DataFrame:
-    """The rows with the largest n, by a bar that doubles until at most ``most`` are left."""
-    steps = (rows.groupBy(F.floor(F.log2("n")).alias("power")).count()
-             .orderBy(F.desc("power")).collect())
-    total, bar = 0, 63
-    for step in steps:
-        total += step["count"]
-        if total > most:
-            break
-        bar = step["power"]
-    return rows.filter(F.col("n") >= 2.0 ** bar)
+def _planes(values: np.ndarray) -> bytes:
+    """Numbers of up to 32 bits by their bytes, which compress when most are small."""
+    return np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _numbers(planes: pa.Scalar) -> np.ndarray:
+    flat = np.frombuffer(planes.as_buffer(), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(flat.T).view("<u4").reshape(-1).astype(np.int64)
+
+
+PARTS = "bucket long, contexts binary, sizes binary, nexts binary, counts binary"
+SUMS = "ctx long, next long, entry long, n long"
+
+
+def entry_sums(docs: DataFrame, length: int, often: Filter, ending: Filter, total: int
+               ) -> DataFrame:
+    """(ctx, next, entry, n) of contexts of that length, of all entries that come REPEATS
+    times. ``often``: the contexts to count; ``ending``: what an entry without its first
+    token has to be."""
+    shared = docs.sparkSession.sparkContext.broadcast((often, ending))
+    buckets = max(16, total // BUCKET)
+    parts = max(16, buckets // 8)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often, ending = shared.value
+        for tokens, place in blocks(batches):
+            *_, (before, shorter), (at, keys) = [(None, None), *contexts(tokens, place, length)]
+            some = often.has(keys)
+            at, keys = at[some], keys[some]
+            if length == 1:
+                last = tokens[at]
+            else:
+                suffix = np.zeros(len(tokens), U64)
+                suffix[before] = shorter
+                last = entry_keys(suffix[at], tokens[at])
+            some = ending.has(last)
+            keys, token = keys[some], tokens[at[some]]
+            found, first, which = ragged.distinct(entry_keys(keys, token))
+            n = np.bincount(which, minlength=len(found))
+            keys, token = keys[first], token[first]
+            bucket = (ragged.mixed(keys + token % U64(parts)) % U64(buckets)).astype(np.int64)
+            order = np.lexsort((keys, bucket))
+            keys, token, n, bucket = keys[order], token[order], n[order], bucket[order]
+            edges = np.flatnonzero(np.diff(bucket, prepend=-1))
+            ends = np.append(edges[1:], len(bucket))
+            rows: list[list] = [[], [], [], [], []]
+            for a, b in zip(edges, ends):
+                firsts = np.flatnonzero(np.concatenate([[True], keys[a + 1:b] != keys[a:b - 1]]))
+                for column, value in zip(rows, (
+                        int(bucket[a]), keys[a:b][firsts].tobytes(),
+                        _planes(np.diff(np.append(firsts, b - a))), token[a:b].tobytes(),
+                        _planes(n[a:b]))):
+                    column.append(value)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rows[0], pa.int64()), *(pa.array(r, pa.binary()) for r in rows[1:])],
+                ["bucket", "contexts", "sizes", "nexts", "counts"])
+
+    def add(part: pa.Table) -> pa.Table:
+        def whole(name: str) -> np.ndarray:
+            return np.concatenate([np.frombuffer(x.as_buffer(), U64) for x in part.column(name)])
+
+        sizes, n = (np.concatenate([_numbers(x) for x in part.column(c)])
+                    for c in ("sizes", "counts"))
+        keys, token = np.repeat(whole("contexts"), sizes), whole("nexts")
+        found, first, which = ragged.distinct(entry_keys(keys, token))
+        n = np.bincount(which, n, len(found)).astype(np.int64)
+        some = n >= REPEATS
+        at = first[some]
+        return pa.table({"ctx": keys[at].view(np.int64), "next": token[at].view(np.int64),
+                         "entry": found[some].view(np.int64), "n": n[some]})
+
+    return docs.select(docs["text"]).mapInArrow(run, PARTS).groupBy("bucket").applyInArrow(
+        add, SUMS)
+
+
+def with_tail(rows: DataFrame) -> DataFrame:
+    """Adds tail: the key of the entry without its first token."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            suffix, token = (batch.column(c).to_numpy().view(U64) for c in ("suffix", "next"))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(entry_keys(suffix, token).view(np.int64))],
+                [*batch.schema.names, "tail"])
+
+    return rows.mapInArrow(run, f"{SUMS}, suffix long, count long, tail long")
+
+
+def tested(rows: DataFrame) -> DataFrame:
+    """Entries with ``shorter``, their share in the shorter state: adds whether the context
+    is a state, the share that then holds, and log10 of backing off."""
+    share = (F.col("n") + LEANING * F.col("shorter")) / (F.col("count") + LEANING)
+    rows = rows.withColumn("share", share)
+    sums = rows.groupBy("ctx").agg(
+        F.max("count").alias("count"), F.count(F.lit(1)).alias("size"),
+        F.sum("n").alias("listed"), F.sum("share").alias("shares"),
+        F.sum("shorter").alias("shorters"),
+        F.sum(F.col("n") * F.log(F.col("share") / F.col("shorter"))).alias("gain"))
+    backing = (F.greatest(1 - F.col("shares"), F.lit(1e-12))
+               / F.greatest(1 - F.col("shorters"), F.lit(1e-12)))
+    gain = F.col("gain") + (F.col("count") - F.col("listed")) * F.log(backing)
+    states = kept(sums.select("ctx", F.log10(backing).alias("backing"), (
+        gain > DIVERGENCE * (1 + F.col("size"))).alias("state")), "states")
+    return rows.join(if_small(states), "ctx").select(
+        "ctx", "next", "entry", "n", "tail", "backing", "state",
+        F.when(F.col("state"), F.col("share")).otherwise(F.col("shorter")).alias("share"))
+
+
+def levels(learning: DataFrame, words: DataFrame, total: int, kinds: int) -> list[DataFrame]:
+    """Per length of context: the tested entries."""
+    found: list[DataFrame] = []
+    candidates = words.filter((F.col("n") >= LEAST) & (F.col("key") != int(END.view(np.int64)))
+                              ).select(F.col("key").alias("ctx"), F.lit(None).cast("long")
+                                       .alias("suffix"), F.col("n").alias("count"))
+    ending = words.filter(F.col("n") >= REPEATS).select("key")
+    for length in range(1, DEPTH + 1):
+        sums = kept(entry_sums(learning, length, filter_of(candidates.select("ctx")),
+                               filter_of(ending), total), f"sums-{length}")
+        rows = sums.join(if_small(candidates), "ctx")
+        if length == 1:
+            rows = rows.withColumn("tail", F.col("next")).join(if_small(words.select(
+                F.col("key").alias("tail"), ((F.col("n") + 1) / (total + kinds + 1))
+                .alias("shorter"))), "tail")
+        else:
+            rows = with_tail(rows.select("ctx", "next", "entry", "n", "suffix", "count")).join(
+                if_small(found[-1].select(F.col("entry").alias("tail"),
+                                          F.col("share").alias("shorter"))), "tail")
+        found.append(kept(tested(kept(rows, f"shorter-{length}")), f"level-{length}"))
+        candidates = found[-1].filter(
+            (F.col("n") >= LEAST) & (F.col("next") != int(END.view(np.int64)))).select(
+            F.col("entry").alias("ctx"), F.col("tail").alias("suffix"), F.col("n").alias("count"))
+        ending = found[-1].select("entry")
+    return found
 
 
 @dataclass
 class Model:
-    """Tokens and entries in ascending order of their keys, with counts and states."""
+    """Frequent words with their counts, and the tree's states and entries, in ascending
+    order of their keys."""
 
     words: np.ndarray
     word_counts: np.ndarray
@@ -160,15 +346,21 @@ class Model:
     entries: np.ndarray
     entry_logs: np.ndarray
 
+    def __post_init__(self) -> None:
+        self.word_places = Keys(self.words).places
+        self.state_places = [Keys(s).places for s, _ in self.states]
+        self.entry_places = Keys(self.entries).places
+
     def scored(self, tokens: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """log10 given by the longest state of each token, and whether it is complete; else
         the token's share at the root has to be added."""
         logs, covered = np.zeros(len(tokens)), np.zeros(len(tokens), bool)
-        for (at, keys), (states, backing) in zip(contexts(tokens, place), self.states):
-            spot = _place(states, keys)
+        for (at, keys), places, (_, backing) in zip(contexts(tokens, place), self.state_places,
+                                                    self.states):
+            spot = places(keys)
             hit = spot >= 0
             at, keys, spot = at[hit], keys[hit], spot[hit]
-            entry = _place(self.entries, entry_keys(keys, tokens[at]))
+            entry = self.entry_places(entry_keys(keys, tokens[at]))
             listed = entry >= 0
             logs[at[listed]] = self.entry_logs[entry[listed]]
             covered[at[listed]] = True
@@ -176,156 +368,105 @@ class Model:
         return logs, covered
 
 
-def built(words: np.ndarray, word_counts: np.ndarray, entries: dict[str, np.ndarray],
-          context_keys: np.ndarray, context_counts: np.ndarray, total: int, kinds: int) -> Model:
-    """States of the tree, shortest first."""
-    states: list[tuple[np.ndarray, np.ndarray]] = []
-    kept_keys, kept_probs = np.zeros(0, U64), np.zeros(0)
-    for length in range(1, DEPTH + 1):
-        mine = entries["length"] == length
-        key, token, n = (entries[c][mine] for c in ("key", "next", "n"))
-        suffixes = [entries[f"c{k}"][mine] for k in range(1, length + 1)]
-        word = _place(words, token)
-        shorter = (word_counts[word] + 1) / (total + kinds + 1)
-        for k in range(length - 1):
-            contexts_, backing = states[k]
-            spot = _place(contexts_, suffixes[k])
-            listed = _place(kept_keys, entry_keys(suffixes[k], token))
-            shorter = np.where(spot < 0, shorter, np.where(
-                listed >= 0, kept_probs[listed] if len(kept_probs) else 0.0,
-                shorter * 10 ** backing[spot] if len(backing) else shorter))
-        order = np.argsort(suffixes[-1], kind="stable")
-        context, key, n, shorter = suffixes[-1][order], key[order], n[order], shorter[order]
-        if not len(context):
-            states.append((np.zeros(0, U64), np.zeros(0)))
-            continue
-        firsts = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
-        sizes = np.diff(np.append(firsts, len(context)))
-        count = context_counts[_place(context_keys, context[firsts])].astype(float)
-        each = np.repeat(count, sizes)
-        share = (n + LEANING * shorter) / (each + LEANING)
-        rest = np.maximum(1 - np.add.reduceat(share, firsts), 1e-12)
-        backing = rest / np.maximum(1 - np.add.reduceat(shorter, firsts), 1e-12)
-        gain = (np.add.reduceat(n * np.log(share / shorter), firsts)
-                + (count - np.add.reduceat(n, firsts)) * np.log(backing))
-        state = (count >= LEAST) & (gain > DIVERGENCE * (1 + sizes))
-        states.append((context[firsts][state], np.log10(backing[state])))
-        rows = np.repeat(state, sizes)
-        keys = np.concatenate([kept_keys, key[rows]])
-        by = np.argsort(keys)
-        kept_keys, kept_probs = keys[by], np.concatenate([kept_probs, share[rows]])[by]
-    return Model(words, word_counts, states, kept_keys, np.log10(kept_probs))
-
-
-COUNTED = "kind int, key long, doc_id long, text_id long, n long, learned long"
-RARE, WORD, ENTRY, CONTEXT, TOTAL = range(5)
-
-
-def counted(docs: DataFrame, words: np.ndarray, entries: np.ndarray, context_keys: np.ndarray
-            ) -> DataFrame:
-    """Exact counts in training text, per task, of the model's words, entries and contexts,
-    the number of tokens, and each document's other tokens."""
-    shared = docs.sparkSession.sparkContext.broadcast((words, entries, context_keys))
+def _column(rows: pa.Table, name: str) -> np.ndarray:
+    values = rows.column(name).to_numpy()
+    return values.view(U64) if values.dtype == np.int64 and name != "n" else values
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = shared.value
-        sums = [np.zeros(len(t), np.int64) for t in tables]
-        total = 0
 
-        def batch_of(kind, key, doc_id, text_id, n, learned):
-            size = len(key)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(size, kind, np.int32)), pa.array(key),
-                 doc_id if doc_id is not None else pa.nulls(size, pa.int64()),
-                 text_id if text_id is not None else pa.nulls(size, pa.int64()),
-                 pa.array(n), pa.array(learned)],
-                ["kind", "key", "doc_id", "text_id", "n", "learned"])
+def _ordered(rows: DataFrame) -> list[np.ndarray]:
+    """Both columns of ``rows``, by the first, a key."""
+    found = rows.toArrow()
+    key, value = (_column(found, c) for c in found.column_names)
+    order = np.argsort(key)
+    return [key[order], value[order]]
 
-        for batch in batches:
-            learning = batch.column("learning").to_numpy(zero_copy_only=False)
-            for first, tokens, owner, place, text_id in token_rows(batch.column("text")):
-                learned = learning[first + owner]
-                total += int(learned.sum())
-                word = _place(tables[0], tokens)
-                sums[0] += np.bincount(word[learned & (word >= 0)], minlength=len(tables[0]))
-                for at, keys in contexts(tokens, place):
-                    some = learned[at]
-                    at, keys = at[some], keys[some]
-                    spot = _place(tables[2], keys)
-                    at, keys, spot = at[spot >= 0], keys[spot >= 0], spot[spot >= 0]
-                    sums[2] += np.bincount(spot, minlength=len(tables[2]))
-                    entry = _place(tables[1], entry_keys(keys, tokens[at]))
-                    sums[1] += np.bincount(entry[entry >= 0], minlength=len(tables[1]))
-                rare = np.flatnonzero(word < 0)
-                if not len(rare):
-                    continue
-                pair = ragged.mixed(tokens[rare] + owner[rare].astype(U64) * U64(0xD1342543DE82EF95))
-                _, place_, which = ragged.distinct(pair)
-                n = np.bincount(which, minlength=len(place_)).astype(np.int64)
-                chosen = rare[place_]
-                of = owner[chosen]
-                yield batch_of(RARE, tokens[chosen].view(np.int64),
-                               batch.column("doc_id").take(pa.array(first + of)),
-                               pa.array(text_id[of].view(np.int64)), n,
-                               n * learning[first + of])
-        for kind, keys, counts in zip((WORD, ENTRY, CONTEXT), tables, sums):
-            some = np.flatnonzero(counts)
-            yield batch_of(kind, keys[some].view(np.int64), None, None, counts[some],
-                           counts[some])
-        yield batch_of(TOTAL, np.zeros(1, np.int64), None, None, np.array([total]),
-                       np.array([total]))
-        ragged.release()
 
-    return docs.select(docs["doc_id"], docs["text"],
-                       (fold(docs["doc_id"]) != HELD_OUT).alias("learning")).mapInArrow(
-        run, COUNTED)
+def most_frequent(rows: DataFrame, most: int) -> DataFrame:
+    """The rows with the largest n, by a bar that doubles until at most ``most`` are left."""
+    steps = (rows.groupBy(F.floor(F.log2("n")).alias("power")).count()
+             .orderBy(F.desc("power")).collect())
+    total, bar = 0, 63
+    for step in steps:
+        total += step["count"]
+        if total > most:
+            break
+        bar = step["power"]
+    return rows.filter(F.col("n") >= 2.0 ** bar)
 
 
-def _column(rows: pa.Table, name: str) -> np.ndarray:
-    values = rows.column(name).to_numpy()
-    return values if name in ("n", "length") else values.view(U64)
+def grown(docs: DataFrame) -> tuple[DataFrame, list[DataFrame], int, int]:
+    """Word counts, the tested entries per length, the number of training tokens and that
+    of different ones."""
+    ship(docs.sparkSession)
+    learning = docs.select(docs["doc_id"], docs["text"]).filter(fold(docs["doc_id"]) != HELD_OUT)
+    words = kept(word_sums(learning), "words")
+    total, kinds = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    return words, levels(learning, words, total, kinds), total, kinds
 
 
-def train(docs: DataFrame) -> tuple[Model, DataFrame, int, int]:
-    """The model, rows (key, doc_id, text_id, n, c) of tokens outside it, the number of
-    training tokens and that of different ones."""
-    ship(docs.sparkSession)
-    docs = docs.select(docs["doc_id"], docs["text"])
-    learning = docs.filter(fold(docs["doc_id"]) != HELD_OUT)
-    found = kept(proposed(learning), "proposed")
-    words = most_frequent(found.filter("length = 0"), MOST_WORDS).select("key").toArrow()
-    words = np.unique(np.append(_column(words, "key"), END))
-    entries = most_frequent(found.filter("length > 0"), MOST_ENTRIES).toArrow()
-    entries = {c: _column(entries, c) for c in entries.column_names}
-    known = _place(words, entries["next"]) >= 0
-    order = np.flatnonzero(known)[np.argsort(entries["key"][known])]
-    entries = {c: v[order] for c, v in entries.items()}
-    context_keys = np.unique(np.concatenate(
-        [entries[f"c{k}"][entries["length"] == k] for k in range(1, DEPTH + 1)]))
-    counts = kept(counted(docs, words, entries["key"], context_keys), "counted")
-    exact = (counts.filter(F.col("kind") != RARE).groupBy("kind", "key")
-             .agg(F.sum("n").alias("n")).toArrow())
-    kind, key, n = exact.column("kind").to_numpy(), _column(exact, "key"), _column(exact, "n")
-
-    def of(which: int, table_: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(table_), np.int64)
-        mine = kind == which
-        out[_place(table_, key[mine])] = n[mine]
-        return out
+def gathered(words: DataFrame, found: list[DataFrame]) -> Model:
+    """The tree in the memory of one process."""
+    states, entries = [], []
+    for level in found:
+        level = level.filter("state")
+        states.append(tuple(_ordered(level.select("ctx", "backing").distinct())))
+        entries.append(_ordered(level.select("entry", F.log10("share").alias("log"))))
+    keys, logs = (np.concatenate(x) for x in zip(*entries))
+    order = np.argsort(keys)
+    return Model(*_ordered(most_frequent(words, SENT_WORDS)), states, keys[order], logs[order])
+
 
-    word_counts, entries["n"] = of(WORD, words), of(ENTRY, entries["key"])
-    total = int(n[kind == TOTAL].sum())
-    rare = counts.filter(F.col("kind") == RARE)
-    totals = kept(rare.groupBy("key").agg(F.sum("learned").alias("c")), "rare-counts")
-    kinds = int((word_counts > 0).sum()) + totals.filter("c > 0").count()
-    model = built(words, word_counts, entries, context_keys, of(CONTEXT, context_keys), total,
-                  kinds)
-    rows = rare.join(totals, "key").select("key", "doc_id", "text_id", "n", "c")
-    return model, rows, total, kinds
+def train(docs: DataFrame) -> tuple[Model, DataFrame, int, int]:
+    """The model in memory, the counts of all words, the number of training tokens and that
+    of different ones."""
+    words, found, total, kinds = grown(docs)
+    return gathered(words, found), words, total, kinds
 
 
 SCORED = ("doc_id long, text_id long, n_tokens long, n_known long, base double, logs double, "
-          "open double, n_open long")
+          "open double, n_open long, rare long, n long")
+POSITIONS = ("doc_id long, text_id long, token long, "
+             + ", ".join(f"ctx{k} long, entry{k} long" for k in range(1, DEPTH + 1)))
+
+
+def joined_scores(docs: DataFrame, words: DataFrame, found: list[DataFrame]) -> DataFrame:
+    """(doc_id, text_id, logs, open, n_open) like those of ``Model.scored``, by joins, summed
+    over the rows with that id and text."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, tokens, owner, place, text_id in token_rows(batch.column("text")):
+                columns = [batch.column("doc_id").take(pa.array(first + owner)),
+                           pa.array(text_id[owner].view(np.int64)),
+                           pa.array(tokens.view(np.int64))]
+                for at, keys in contexts(tokens, place):
+                    for values in (keys, entry_keys(keys, tokens[at])):
+                        full, missing = np.zeros(len(tokens), np.int64), np.ones(len(tokens), bool)
+                        full[at], missing[at] = values.view(np.int64), False
+                        columns.append(pa.array(full, mask=missing))
+                yield pa.RecordBatch.from_arrays(columns, [
+                    "doc_id", "text_id", "token",
+                    *(f"{c}{k}" for k in range(1, DEPTH + 1) for c in ("ctx", "entry"))])
+
+    rows = docs.mapInArrow(run, POSITIONS)
+    logs, covered = F.lit(0.0), F.lit(False)
+    for k, level in enumerate(found, 1):
+        level = level.filter("state")
+        rows = rows.join(level.select(F.col("ctx").alias(f"ctx{k}"), F.col("backing").alias(
+            f"backing{k}")).distinct().hint("merge"), f"ctx{k}", "left")
+        rows = rows.join(level.select(F.col("entry").alias(f"entry{k}"), F.log10("share").alias(
+            f"log{k}")).hint("merge"), f"entry{k}", "left")
+        listed = F.col(f"log{k}").isNotNull()
+        logs = F.when(listed, F.col(f"log{k}")).otherwise(
+            logs + F.coalesce(F.col(f"backing{k}"), F.lit(0.0)))
+        covered = covered | listed
+    rows = kept(rows.select("doc_id", "text_id", "token", logs.alias("logs"),
+                            covered.alias("covered")), "positions")
+    shares = words.select(F.col("key").alias("token"), F.log10(F.col("n") + 1.0).alias("share"))
+    rows = rows.join(shares.hint("merge"), "token", "left")
+    return rows.groupBy("doc_id", "text_id").agg(
+        F.sum("logs").alias("logs"), F.sum(F.when(~F.col("covered"), F.coalesce(
+            F.col("share"), F.lit(0.0))).otherwise(0.0)).alias("open"),
+        F.count(F.when(~F.col("covered"), 1)).alias("n_open"))
 
 
 def scores(docs: DataFrame) -> DataFrame:
@@ -337,53 +478,87 @@ def scores(docs: DataFrame) -> DataFrame:
     are ignored.
     """
     docs = docs.select(docs["doc_id"], docs["text"])
-    model, rare, total, kinds = train(docs)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    words, found, total, kinds = grown(docs)
+    sent = sum(level.filter("state").count() for level in found) <= SENT_ENTRIES
+    model = gathered(words, found if sent else [level.limit(0) for level in found])
+    shared = docs.sparkSession.sparkContext.broadcast(
+        (model.words, model.word_counts, model.states, model.entries, model.entry_logs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = Model(*shared.value)
         shares = np.append(np.log10(model.word_counts + 1.0), 0.0)
-        seen = np.append(model.word_counts > 0, False)
+
+        def batch_of(*columns):
+            size = len(columns[1])
+            return pa.RecordBatch.from_arrays(
+                [c if isinstance(c, pa.Array) else pa.array(np.full(size, c) if np.isscalar(c)
+                                                            else c) for c in columns],
+                [c.split()[0] for c in SCORED.split(", ")])
+
         for batch in batches:
+            ids = batch.column("doc_id")
             for first, tokens, owner, place, text_id in token_rows(batch.column("text")):
-                word = _place(model.words, tokens)
+                word = model.word_places(tokens)
                 logs, covered = model.scored(tokens, place)
                 size = len(text_id)
 
-                def per_text(values: np.ndarray) -> pa.Array:
-                    return pa.array(np.bincount(owner, values, size))
-
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(first, size), pa.array(text_id.view(np.int64)),
-                     pa.array(np.bincount(owner, minlength=size)),
-                     per_text(seen[word]).cast(pa.int64()), per_text(shares[word]),
-                     per_text(logs), per_text(np.where(covered, 0.0, shares[word])),
-                     per_text(~covered).cast(pa.int64())],
-                    ["doc_id", "text_id", "n_tokens", "n_known", "base", "logs", "open",
-                     "n_open"])
+                def per_text(values: np.ndarray) -> np.ndarray:
+                    return np.bincount(owner, values, size)
+
+                yield batch_of(ids.slice(first, size), text_id.view(np.int64),
+                               np.bincount(owner, minlength=size),
+                               per_text(word >= 0).astype(np.int64), per_text(shares[word]),
+                               per_text(logs), per_text(np.where(covered, 0.0, shares[word])),
+                               per_text(~covered).astype(np.int64),
+                               pa.nulls(size, pa.int64()), 0)
+                # Tokens not sent: rows of their own, with how often they are open.
+                rare = np.flatnonzero(word < 0)
+                if not len(rare):
+                    continue
+                _, place_, which = ragged.distinct(ragged.mixed(
+                    tokens[rare] + owner[rare].astype(U64) * U64(0xD1342543DE82EF95)))
+                n = np.bincount(which, minlength=len(place_))
+                n_open = np.bincount(which, ~covered[rare], len(place_)).astype(np.int64)
+                chosen = rare[place_]
+                yield batch_of(ids.take(pa.array(first + owner[chosen])),
+                               text_id[owner[chosen]].view(np.int64), 0, 0, 0.0, 0.0, 0.0,
+                               n_open, pa.array(tokens[chosen].view(np.int64)), n)
         ragged.release()
 
-    scored = kept(docs.mapInArrow(run, SCORED), "scored")
+    rows = kept(docs.mapInArrow(run, SCORED), "scored")
+    scored = rows.filter(F.col("rare").isNull()).drop("rare", "n")
     # Rows that repeat share their rare tokens' sums.
-    sums = rare.groupBy("doc_id", "text_id").agg(
-        F.sum(F.col("n") * F.log10(F.col("c") + 1.0)).alias("rare"),
-        F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("rare_known"))
+    share = F.log10(F.col("c") + 1.0)
+    sums = rows.filter(F.col("rare").isNotNull()).select(
+        "doc_id", "text_id", "rare", "n", "n_open").join(words.select(
+            F.col("key").alias("rare"), F.col("n").alias("c")).hint("merge"), "rare").groupBy(
+        "doc_id", "text_id").agg(F.sum(F.col("n") * share).alias("rare"),
+                                 F.sum(F.col("n_open") * share).alias("rare_open"),
+                                 F.sum("n").alias("rare_known"))
+    if not sent:
+        sums = sums.withColumns({c: F.lit(0.0) for c in ("logs", "open")} | {
+            "n_open": F.lit(0).cast("long"), "rare_open": F.lit(0.0)}).unionByName(
+            joined_scores(docs, words, found), allowMissingColumns=True).groupBy(
+            "doc_id", "text_id").agg(*(F.sum(c).alias(c) for c in (
+                "rare", "rare_open", "rare_known", "logs", "open", "n_open")))
+        scored = scored.drop("logs", "open", "n_open")
+    values = [c for c in sums.columns if c not in ("doc_id", "text_id")]
     times = scored.groupBy("doc_id", "text_id").agg(F.count(F.lit(1)).alias("times"))
     once = times.join(sums, times["doc_id"].eqNullSafe(sums["doc_id"])
                       & (times["text_id"] == sums["text_id"])).select(
         times["doc_id"].alias("of"), times["text_id"].alias("of_text"),
-        (F.col("rare") / F.col("times")).alias("rare"),
-        (F.col("rare_known") / F.col("times")).cast("long").alias("rare_known"))
+        *((F.col(c) / F.col("times")).alias(c) for c in values))
     joined = scored.join(once, F.col("doc_id").eqNullSafe(F.col("of"))
                          & (F.col("text_id") == F.col("of_text")), "left")
-    rare_part = F.coalesce("rare", F.lit(0.0))
+    rare, rare_open, rare_known = (F.coalesce(c, F.lit(0.0))
+                                   for c in ("rare", "rare_open", "rare_known"))
     whole = F.log10(F.lit(float(total + kinds + 1)))
     return joined.select(
         "doc_id", (fold(F.col("doc_id")) == HELD_OUT).alias("held_out"), "n_tokens",
-        (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
+        (F.col("n_known") + F.round(rare_known).cast("long")).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base") + rare_part - F.col("n_tokens") * whole).alias("base_score"),
-        (F.col("logs") + F.col("open") + rare_part - F.col("n_open") * whole).alias("score"))
+        (F.col("base") + rare - F.col("n_tokens") * whole).alias("base_score"),
+        (F.col("logs") + F.col("open") + rare_open - F.col("n_open") * whole).alias("score"))
 
 
 def op3(spark: SparkSession, folder: str) -> DataFrame:
