@@ -65,6 +65,15 @@ def test_language_edge_cases(clashing, model):
     assert [r.lang_pred for r in language_id.with_language(clashing([(1, "a")]), empty).collect()] == ["und"]
 
 
+def test_unlikely_words_and_long_pieces(model):
+    word = "\u1200\u1208\u1210\u1218".encode() * 5 + b"xyzw"
+    data, at, end = np.frombuffer(word, np.uint8), np.array([0]), np.array([len(word)])
+    least = np.where(np.arange(len(model.shares))[:, None] < len(model.pieces.keys), 1e-11, 0.0)
+    logs = language_id.log_likelihoods(data, at, end, model.pieces, least * np.ones((1, 2)))
+    assert np.isfinite(logs).all() and (logs < np.log(1e-308)).all()
+    assert model.pieces.longest > 12
+
+
 def test_base_scores_and_gain(spark, documents_table):
     found = {r.doc_id: r for r in suffix_tree.op3(spark, SMALL).collect()}
     rows = [(r.doc_id, r.text) for r in documents_table.select("doc_id", "text").collect()]

@@ -31,7 +31,8 @@ FOLDS, HELD_OUT = 3, 1
 SAMPLE = 400
 ROUNDS = 4
 LONGEST = 64
-LONGEST_PIECE = 12
+# Probabilities below this are worked out in logs.
+TINY = 1e-290
 # Weight of the pieces' shares over all languages in those of one.
 LEANING = 200.0
 UNKNOWN = "und"
@@ -49,15 +50,16 @@ class Pieces:
     """Hashes of the usable pieces, ascending, and the place of each in the shares."""
 
     keys: np.ndarray
+    longest: int
 
     @classmethod
     def read(cls, path: str) -> Pieces:
         usable = sorted({t for t in read_ranks(path)
-                         if len(t) == 1 or (len(t) <= LONGEST_PIECE and _is_word_part(t))})
+                         if len(t) == 1 or (len(t) <= LONGEST + 1 and _is_word_part(t))})
         lengths = np.array([len(t) for t in usable])
         ends = np.cumsum(lengths)
         return cls(np.sort(ragged.hashes(np.frombuffer(b"".join(usable), np.uint8),
-                                         ends - lengths, ends)))
+                                         ends - lengths, ends)), int(lengths.max()))
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Place of each hash, or one past the last."""
@@ -105,13 +107,14 @@ def by_length(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, pieces: Pi
     lengths = ends - starts
     for length in np.unique(lengths):
         words = np.flatnonzero(lengths == length)
-        for some in np.array_split(words, -(-len(words) * (length + 1) // 400_000)):
+        pairs = sum(min(end, pieces.longest) for end in range(1, length + 2))
+        for some in np.array_split(words, -(-len(words) * pairs // 4_800_000)):
             block = np.full((len(some), length + 1), 32, np.uint8)
             block[:, 1:] = data[starts[some][:, None] + np.arange(length)]
             flat, row = block.ravel(), np.arange(len(some)) * (length + 1)
             found = {}
             for end in range(1, length + 2):
-                for begin in range(max(0, end - LONGEST_PIECE), end):
+                for begin in range(max(0, end - pieces.longest), end):
                     found[begin, end] = (row + begin, row + end)
             spans = list(found)
             keys = ragged.hashes(flat, np.concatenate([found[s][0] for s in spans]),
@@ -120,24 +123,49 @@ def by_length(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, pieces: Pi
             yield some, int(length) + 1, dict(zip(spans, places))
 
 
-def forward(length: int, spans: dict[tuple[int, int], np.ndarray], shares: np.ndarray
-            ) -> list[np.ndarray]:
-    """Summed probability of all segmentations of each prefix, per word and language.
+def begins(spans: dict[tuple[int, int], np.ndarray], end: int) -> list[int]:
+    return [begin for begin in range(end) if (begin, end) in spans]
+
+
+def forward(length: int, spans: dict[tuple[int, int], np.ndarray], shares: np.ndarray,
+            growth: np.ndarray | float = 1.0) -> list[np.ndarray]:
+    """Summed probability of all segmentations of each prefix, per word and language, times
+    ``growth`` for each byte.
 
     ``shares`` has a row of zeros after the last piece.
     """
     sums = [np.ones((len(next(iter(spans.values()))), shares.shape[1]))]
+    plain = np.isscalar(growth)
     for end in range(1, length + 1):
         sums.append(sum(sums[begin] * shares[spans[begin, end]]
-                        for begin in range(max(0, end - LONGEST_PIECE), end)))
+                        * (1.0 if plain else growth ** (end - begin))
+                        for begin in begins(spans, end)))
     return sums
 
 
+def log_forward(length: int, spans: dict[tuple[int, int], np.ndarray], shares: np.ndarray
+                ) -> np.ndarray:
+    """log of the last of ``forward``, however small."""
+    with np.errstate(divide="ignore"):
+        logs = np.log(shares)
+    sums = [np.zeros((len(next(iter(spans.values()))), shares.shape[1]))]
+    for end in range(1, length + 1):
+        whole = np.full_like(sums[0], -np.inf)
+        for begin in begins(spans, end):
+            whole = np.logaddexp(whole, sums[begin] + logs[spans[begin, end]])
+        sums.append(whole)
+    return sums[-1]
+
+
 def log_likelihoods(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, pieces: Pieces,
                     shares: np.ndarray) -> np.ndarray:
     out = np.zeros((len(starts), shares.shape[1]))
     for words, length, spans in by_length(data, starts, ends, pieces):
-        out[words] = np.log(forward(length, spans, shares)[-1])
+        whole = forward(length, spans, shares)[-1]
+        tiny = np.flatnonzero((whole < TINY).any(1))
+        out[words] = np.log(np.maximum(whole, TINY))
+        if len(tiny):
+            out[words[tiny]] = log_forward(length, {k: v[tiny] for k, v in spans.items()}, shares)
     return out
 
 
@@ -154,15 +182,21 @@ def fitted(words: list[bytes], counts: np.ndarray, pieces: Pieces, rounds: int)
     for _ in range(rounds):
         expected = np.zeros_like(shares)
         for weight, length, spans in groups:
-            before = forward(length, spans, shares)
+            before, growth = forward(length, spans, shares), None
+            if (before[-1] < TINY).any():
+                growth = np.exp(-log_forward(length, spans, shares) / length)
+                before = forward(length, spans, shares, growth)
             after = [np.ones_like(before[0]) for _ in range(length + 1)]
             for begin in range(length - 1, -1, -1):
                 after[begin] = sum(shares[spans[begin, end]] * after[end]
-                                   for end in range(begin + 1,
-                                                    min(length, begin + LONGEST_PIECE) + 1))
+                                   * (1.0 if growth is None else growth ** (end - begin))
+                                   for end in range(begin + 1, length + 1)
+                                   if (begin, end) in spans)
             scale = weight / before[-1]
             for (begin, end), piece in spans.items():
                 used = before[begin] * shares[piece] * after[end] * scale
+                if growth is not None:
+                    used *= growth ** (end - begin)
                 for language in range(languages):
                     expected[:, language] += np.bincount(piece, used[:, language], size + 1)
         expected[-1] = 0
