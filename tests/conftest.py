@@ -8,11 +8,11 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from sensor_rows import SMALL  # noqa: E402
+
 from tidegauge.model import READING, with_event_time  # noqa: E402
 from tidegauge.session import local_session  # noqa: E402
 
-SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -50,8 +50,3 @@ def drain(tmp_path):
         assert query.awaitTermination(180)
         return [tuple(r) for r in stream.sparkSession.table(name).collect()]
     return run
-
-
-def rows(df, *columns):
-    return sorted((tuple(r) for r in (df.select(*columns) if columns else df).collect()),
-                  key=lambda r: tuple((v is None, str(type(v)), v) for v in r))

@@ -1,7 +1,7 @@
 """Small inputs with results worked out by hand."""
 
 import pytest
-from conftest import rows
+from sensor_rows import rows
 from pyspark.sql import functions as F
 
 from tidegauge.model import SMOKE_LEVEL, WORD_COUNT, PERSON, with_event_time

@@ -2,7 +2,7 @@
 
 import pytest
 from compare import connect, difference
-from conftest import SMALL
+from sensor_rows import SMALL
 
 import __spark_entry__ as entry
 from tidegauge import catalogue

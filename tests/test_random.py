@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from conftest import rows
+from sensor_rows import rows
 
 from tidegauge.operators import alerts, control, lateness
 

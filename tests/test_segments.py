@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from conftest import rows
+from sensor_rows import rows
 from pyspark.sql import functions as F
 
 from tidegauge.model import EVENT_ORDER, readings

@@ -1,7 +1,7 @@
 import os
 
 import pytest
-from conftest import rows
+from sensor_rows import rows
 from pyspark.sql import functions as F
 
 from tidegauge.functions import celsius

@@ -1,5 +1,5 @@
 import pytest
-from conftest import SMALL, rows
+from sensor_rows import SMALL, rows
 from pyspark.sql import functions as F
 
 from tidegauge.model import ALERT, LOCATION, MIN_MAX_TEMP, SWITCH, THRESHOLD

@@ -1,7 +1,7 @@
 """Streaming forms against batch forms, on windows and keys the final watermark closes."""
 
 import pytest
-from conftest import rows
+from sensor_rows import rows
 from pyspark.sql import functions as F
 
 from tidegauge.model import READING, readings, smoke_control, with_event_time
