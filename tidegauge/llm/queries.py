@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from tidegauge.llm import (byte_bpe, chat_format, exact_dedup, language_id,
-                           line_dedup, nearest, ngram_join, packing, suffix_tree,
-                           token_counts)
+                           line_dedup, nearest, ngram_join, packing, spelling,
+                           suffix_tree, token_counts)
 
 QUERIES = {
     "op1_ngram_join": ngram_join.op1,
@@ -17,10 +17,12 @@ QUERIES = {
     "op8_line_dedup": line_dedup.op8,
     "op9_nearest": nearest.op9,
     "op10_exact_dedup": exact_dedup.op10,
+    "op12_spelling": spelling.op12,
 }
 
 ORACLES = {
     "op6_chat_format": chat_format.OP6_SQL,
     "op8_line_dedup": line_dedup.OP8_SQL,
     "op10_exact_dedup": exact_dedup.OP10_SQL,
+    "op12_spelling": spelling.OP12_SQL,
 }
