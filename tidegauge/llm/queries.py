@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from tidegauge.llm import (byte_bpe, chat_format, exact_dedup, language_id,
-                           line_dedup, nearest, ngram_join, packing, spelling,
-                           suffix_tree, token_counts)
+                           lexical_search, line_dedup, nearest, ngram_join, packing,
+                           spelling, suffix_tree, token_counts)
 
 QUERIES = {
     "op1_ngram_join": ngram_join.op1,
@@ -18,6 +18,7 @@ QUERIES = {
     "op9_nearest": nearest.op9,
     "op10_exact_dedup": exact_dedup.op10,
     "op12_spelling": spelling.op12,
+    "op13_lexical_search": lexical_search.op13,
 }
 
 ORACLES = {
@@ -25,4 +26,5 @@ ORACLES = {
     "op8_line_dedup": line_dedup.OP8_SQL,
     "op10_exact_dedup": exact_dedup.OP10_SQL,
     "op12_spelling": spelling.OP12_SQL,
+    "op13_lexical_search": lexical_search.OP13_SQL,
 }

@@ -77,9 +77,11 @@ def chunks(texts: pa.Array, most: int = CHUNK
         first = last
 
 
-def words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, ends and text numbers of the words between ASCII white space."""
-    inside = ~WHITE[data]
+def words(data: np.ndarray, bounds: np.ndarray, between: np.ndarray = WHITE
+          ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and text numbers of the words between certain bytes, ASCII white space
+    if not said otherwise."""
+    inside = ~between[data]
     opens, closes = inside.copy(), inside.copy()
     opens[1:] &= ~inside[:-1]
     closes[:-1] &= ~inside[1:]
