@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidegauge.llm import (byte_bpe, chat_format, exact_dedup, language_id,
+from tidegauge.llm import (byte_bpe, chat_format, disclosure, exact_dedup, language_id,
                            lexical_search, line_dedup, nearest, ngram_join, packing,
                            spelling, suffix_tree, token_counts)
 
@@ -17,6 +17,7 @@ QUERIES = {
     "op8_line_dedup": line_dedup.op8,
     "op9_nearest": nearest.op9,
     "op10_exact_dedup": exact_dedup.op10,
+    "op11_disclosure": disclosure.op11,
     "op12_spelling": spelling.op12,
     "op13_lexical_search": lexical_search.op13,
 }
