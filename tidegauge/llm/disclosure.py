@@ -175,8 +175,20 @@ def _near(spans: Column) -> tuple[Column, Column]:
     return (F.slice(before, F.size(before) - near + 1, near), F.slice(after, F.lit(1), F.lit(NEAR)))
 
 
-def co_occurrences(found: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(entity, texts) and (entity, term, texts, surroundings), over different texts."""
+def _share(total: int, texts: Column, term_texts: Column) -> Column:
+    """Mutual information of an entity and a term as a share of the entity's own, which is
+    nothing if every text has the entity."""
+    own = F.log(F.lit(float(total)) / F.col("entity_texts"))
+    return F.when(own > 0, (own + F.log(texts / term_texts)) / own)
+
+
+def co_occurrences(found: DataFrame, total: int, threshold: float) -> DataFrame:
+    """entity, term, texts (that have the term near the entity), entity_texts, over different
+    texts; ``total`` is their number.
+
+    A term is in at least as many texts as have it near any entity. That alone rules out
+    most terms, common words above all, before the corpus is searched for the others.
+    """
     spans = found.filter(F.size("spans") > 0).select("text_id", F.explode("spans").alias("span"))
     span = F.col("span")
     before, after = _near(span)
@@ -185,17 +197,22 @@ def co_occurrences(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     seen = kept(seen.select("entity", "text_id", F.xxhash64("before", "after").alias("around"),
                             F.array_distinct(F.concat("before", "after")).alias("terms"))
                 .distinct(), "entity-places")
-    whole = seen.select("entity", "text_id").distinct().groupBy("entity").agg(
-        F.count(F.lit(1)).alias("entity_texts"))
     pairs = seen.select("entity", F.explode("terms").alias("term"), "text_id", "around")
-    # Two plain steps each: no task gets all rows of a pair that is everywhere.
-    texts = pairs.select("entity", "term", "text_id").distinct().groupBy("entity", "term").agg(
-        F.count(F.lit(1)).alias("texts")).filter(F.col("texts") >= SUPPORT)
-    around = pairs.select("entity", "term", "around").distinct().groupBy("entity", "term").agg(
-        F.count(F.lit(1)).alias("surroundings")).filter(F.col("surroundings") >= SUPPORT)
+
+    def different(rows: DataFrame, of: str, count: str, *key: str) -> DataFrame:
+        # Two plain steps: no task gets all rows of a key that is everywhere.
+        return rows.select(*key, of).distinct().groupBy(*key).agg(F.count(F.lit(1)).alias(count))
+
+    texts = different(pairs, "text_id", "texts", "entity", "term").filter(
+        F.col("texts") >= SUPPORT)
+    around = different(pairs, "around", "surroundings", "entity", "term").filter(
+        F.col("surroundings") >= SUPPORT)
     both = texts.join(around, ["entity", "term"]).filter(
-        F.col("surroundings") >= DIVERSITY * F.col("texts"))
-    return whole, both
+        F.col("surroundings") >= DIVERSITY * F.col("texts")).drop("surroundings")
+    both = both.join(different(seen, "text_id", "entity_texts", "entity"), "entity")
+    both = both.join(different(pairs, "text_id", "least_texts", "term"), "term")
+    return both.filter(_share(total, F.col("texts"), F.col("least_texts")) >= threshold
+                       ).drop("least_texts")
 
 
 def _texts_with(docs: DataFrame, terms: DataFrame, *columns: str) -> DataFrame:
@@ -207,10 +224,9 @@ def _texts_with(docs: DataFrame, terms: DataFrame, *columns: str) -> DataFrame:
 
 def disclosing_terms(docs: DataFrame, found: DataFrame, threshold: float) -> DataFrame:
     """(term, disclosure): the greatest share of any entity's information that it gives."""
-    whole, pairs = co_occurrences(found)
-    pairs = kept(pairs, "term-pairs")
     per_text = found.groupBy("text_id").agg(F.count(F.lit(1)).alias("rows"))
     total = per_text.count()
+    pairs = kept(co_occurrences(found, total, threshold), "term-pairs")
     # Rows of a text with copies weigh as much as one, so no text has to be moved.
     copies = kept(per_text.filter("rows > 1"), "text-copies")
     terms = kept(pairs.select("term").distinct(), "near-terms")
@@ -218,11 +234,8 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, threshold: float) -> Dat
     copies = if_small(copies.withColumnRenamed("text_id", "of"))
     holding = holding.join(copies, F.col("text_id") == F.col("of"), "left").groupBy("term").agg(
         F.round(F.sum(1 / F.coalesce("rows", F.lit(1)))).alias("term_texts"))
-    own = F.log(F.lit(float(total)) / F.col("entity_texts"))
-    mutual = own + F.log(F.col("texts") / F.col("term_texts"))
-    share = F.when(own > 0, mutual / own)
-    return (pairs.join(whole, "entity").join(holding, "term")
-            .select("term", share.alias("disclosure"))
+    share = _share(total, F.col("texts"), F.col("term_texts"))
+    return (pairs.join(holding, "term").select("term", share.alias("disclosure"))
             .groupBy("term").agg(F.max("disclosure").alias("disclosure"))
             .filter(F.col("disclosure") >= threshold))
 
