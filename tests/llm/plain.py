@@ -6,6 +6,7 @@ import hashlib
 import itertools
 import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
 SMALL = "/root/testdata/sf0.001"
@@ -82,3 +83,134 @@ def base_scores(rows: list[tuple], learns) -> dict:
     return {doc_id: (len(found), sum(counts[t] > 0 for t in found),
                      sum(math.log10((counts[t] + 1) / (total + kinds + 1)) for t in found))
             for doc_id, found in tokens.items()}
+
+
+# Personal data, spelling variants, ranked search.
+
+BASE = {"email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
+        "ip": re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+        "card": re.compile(r"[0-9]([\x20-]?[0-9])+"),
+        "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")}
+TERM = re.compile(r"[^\W_]+")
+
+
+def _right(kind: str, value: str) -> bool:
+    digits = [int(c) for c in value if c in "0123456789"]
+    if kind == "ip":
+        return all(int(part) <= 255 for part in value.split("."))
+    if kind == "card":
+        twice = [sum(divmod(2 * d, 10)) if i % 2 else d for i, d in enumerate(reversed(digits))]
+        return 14 <= len(digits) <= 19 and sum(twice) % 10 == 0
+    return kind == "email" or 10 <= len(digits) <= 15
+
+
+def personal(text: str | None) -> list[tuple]:
+    """(start, order, end, kind, value) of the base spans."""
+    return sorted((m.start(), order, m.end(), kind, m.group())
+                  for order, (kind, pattern) in enumerate(BASE.items())
+                  for m in pattern.finditer(text or "") if _right(kind, m.group()))
+
+
+def disclosing(texts: list[str | None], near: int = 6, reach: int = 120, support: int = 3,
+               diversity: float = 0.5, threshold: float = 0.9) -> dict:
+    """The terms that disclose, with how much, from all different texts."""
+    texts = sorted({t or "" for t in texts})
+    cut = lambda found, left, at: found[at:] if left else found
+    holders, around, entities = defaultdict(set), defaultdict(set), defaultdict(set)
+    for number, text in enumerate(texts):
+        per_kind = defaultdict(list)
+        for span in personal(text):
+            per_kind[span[3]].append(span)
+        for kind, spans in per_kind.items():
+            edges = [m.span() for m in BASE[kind].finditer(text)]
+            for start, _, end, _, value in spans:
+                at = edges.index((start, end))
+                before = text[edges[at - 1][1] if at else 0:start][-reach:]
+                after = text[end:edges[at + 1][0] if at + 1 < len(edges) else None][:reach]
+                left = [w for w in TERM.findall(before.lower()) if len(w) >= 3]
+                right = [w for w in TERM.findall(after.lower()) if len(w) >= 3]
+                left = cut(left, len(before) == reach, 1)[-near:]
+                right = (right[:-1] if len(after) == reach else right)[:near]
+                bare = (value.lower() if kind == "email" else
+                        ".".join(str(int(p)) for p in value.split(".")) if kind == "ip" else
+                        "".join(c for c in value if c.isdigit()))
+                entities[kind, bare].add(number)
+                for word in {*left, *right}:
+                    holders[(kind, bare), word].add(number)
+                    around[(kind, bare), word].add((tuple(left), tuple(right)))
+    words_of = [{w for w in TERM.findall(t.lower()) if len(w) >= 3} for t in texts]
+    found: dict = {}
+    for (name, word), held in holders.items():
+        some = len(around[name, word])
+        if len(held) < support or some < support or some < diversity * len(held):
+            continue
+        own = math.log(len(texts) / len(entities[name]))
+        if own > 0:
+            share = (own + math.log(len(held) / sum(word in w for w in words_of))) / own
+            if share >= threshold:
+                found[word] = max(share, found.get(word, share))
+    return found
+
+
+RUN = re.compile("[A-Za-zÀ-ÿ]+")
+
+
+def variants(rows: list[tuple], least: int = 7, count: int = 2, ratio: int = 10,
+             one_in: int | None = 31) -> dict:
+    """(form, root, n, n_near, form_n) by word, from all pairs of words."""
+    counts: Counter = Counter()
+    for doc_id, text in rows:
+        for run in RUN.findall(text or ""):
+            word = run.translate(LOWER)
+            name = "" if doc_id is None else doc_id
+            check = zlib.crc32(f"{name}:{word}".encode())
+            if one_in and check % one_in == 0:
+                at = check % len(word)
+                word = word[:at] + word[at + 1:]
+            counts[word] += 1
+    counts = {w: n for w, n in counts.items() if len(w) >= least and n >= count}
+
+    def near(a: str, b: str) -> bool:
+        if len(a) == len(b):
+            return sum(x != y for x, y in zip(a, b)) == 1
+        short, long = sorted((a, b), key=len)
+        return (len(long) - len(short) == 1
+                and any(long[:i] + long[i + 1:] == short for i in range(len(long))))
+
+    forms, n_near = {}, {}
+    for word, n in counts.items():
+        others = [x for x in counts if near(word, x)]
+        n_near[word] = len(others)
+        best = min(others, key=lambda x: (-counts[x], x), default=None)
+        forms[word] = best if best and counts[best] >= ratio * n else None
+
+    def root(word: str) -> str:
+        return root(forms[word]) if forms[word] else word
+
+    return {w: (forms[w], root(w), n, n_near[w], counts.get(forms[w])) for w, n in counts.items()}
+
+
+SEARCHED = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def search(docs: list[tuple], items: list[tuple], best: int = 20) -> list[tuple]:
+    """(item_id, rank, doc_id, score) of each item, by scoring every document."""
+    split = lambda text: SEARCHED.findall((text or "").translate(LOWER))
+    counted = [(doc_id, Counter(split(text))) for doc_id, text in docs]
+    counted = [(doc_id, c, sum(c.values())) for doc_id, c in counted if c]
+    total, holding = sum(n for _, _, n in counted), Counter()
+    for _, counts, _ in counted:
+        holding.update(counts.keys())
+    found = []
+    for item_id, text in items:
+        scores = []
+        for doc_id, counts, n in counted:
+            m = 75 + 25 * n * len(counted) // total
+            score = sum(math.floor(1000 * math.log((2 * len(counted) + 2) / (2 * holding[t] + 1)))
+                        * (10 ** 9 * counts[t] // (1000 * counts[t] + 12 * m))
+                        for t in split(text) if counts[t])
+            if score > 0:
+                scores.append((-score, doc_id is None, doc_id or 0, doc_id))
+        found += [(item_id, rank, row[3], -row[0])
+                  for rank, row in enumerate(sorted(scores, key=lambda r: r[:3])[:best], 1)]
+    return found

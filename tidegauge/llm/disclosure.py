@@ -46,7 +46,6 @@ SUPPORT = 3
 DIVERSITY = 0.5
 # Share of an entity's information from which a term is generalised.
 THRESHOLD = 0.9
-TOTALS = 64
 
 
 def _text(docs: DataFrame) -> Column:
@@ -88,20 +87,22 @@ def entity(kind: Column, value: Column) -> Column:
 
 
 def _running_totals(sizes: Column) -> Column:
-    """Sums of an array up to each place, in stretches so that long arrays stay cheap."""
-    last = F.floor((F.size(sizes) - 1) / TOTALS).cast("int")
+    """Sums of an array up to each place. Stretches of the root of its length are summed
+    first, as each sum reads the array from its start."""
     total = lambda values: F.aggregate(values, F.lit(0), lambda s, x: s + x)
-    whole = F.transform(F.sequence(F.lit(0), last),
-                        lambda c: total(F.slice(sizes, c * TOTALS + 1, F.lit(TOTALS))))
+    each = lambda value, f: F.flatten(F.transform(F.array(value), f))
+    width = F.ceil(F.sqrt(F.size(sizes))).cast("int")
 
-    def stretch(sums: Column, c: Column) -> Column:
-        own = F.slice(sizes, c * TOTALS + 1, F.lit(TOTALS))
-        before = F.array(total(F.slice(sums, F.lit(1), c)))
-        return F.flatten(F.transform(before, lambda b: F.transform(
-            own, lambda _, k: b + total(F.slice(own, F.lit(1), k + 1)))))
+    def within(own: Column, before: Column) -> Column:
+        return F.transform(own, lambda _, k: before + total(F.slice(own, F.lit(1), k + 1)))
 
-    return F.flatten(F.flatten(F.transform(F.array(whole), lambda sums: F.transform(
-        F.sequence(F.lit(0), last), lambda c: stretch(sums, c)))))
+    def over(stretches: Column) -> Column:
+        return each(F.transform(stretches, total), lambda sums: F.flatten(F.transform(
+            stretches, lambda own, c: each(total(F.slice(sums, F.lit(1), c)),
+                                           lambda before: within(own, before)))))
+
+    firsts = F.sequence(F.lit(1), F.size(sizes), width)
+    return each(F.transform(firsts, lambda at: F.slice(sizes, at, width)), over)
 
 
 def _split(rows: DataFrame, name: str, text: Column, pattern: Column, inside: Column) -> DataFrame:
