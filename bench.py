@@ -38,8 +38,8 @@ def streams(tables: Tables):
     return {
         "stream_avg_temp_window": average,
         "stream_fire_alerts": lambda: jobs.fire_alerts(
-            live(), lambda: tables.smoke,
-            lambda found, _: found.write.format("noop").mode("overwrite").save()),
+            live(), model.smoke_control(table_stream(
+                tables.spark, tables.folder, events.schema, pattern="events.parquet"))),
         "stream_temp_change_alerts": lambda: jobs.temperature_changes(live()),
         "stream_rising_alerts": lambda: jobs.rising_alerts(live(), catalogue.HOLD, 5 * SECOND),
         "stream_late_update_counts": lambda: jobs.late_updates(

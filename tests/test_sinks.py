@@ -1,8 +1,8 @@
 import os
 
 import pytest
-from sensor_rows import rows
 from pyspark.sql import functions as F
+from sensor_rows import rows
 
 from tidegauge.functions import celsius
 from tidegauge.model import readings
@@ -120,13 +120,13 @@ def test_transactional_files_survive_failures(spark, stream, batch, tmp_path):
             part = part.withColumn("temperature", F.when(
                 F.col("seq") % 16 == 15, F.raise_error(F.lit("broken"))).otherwise(
                 F.col("temperature")))
-        sink.write(part, batch_id, run_name(state))
+        sink.write(part, batch_id, run_name(spark, state))
 
     fails(narrow.writeStream.foreachBatch(flaky).option("checkpointLocation", state), "broken")
-    assert sink.folder.names() == [f"batch={run_name(state)}-0"]
+    assert sink.folder.names() == [f"batch={run_name(spark, state)}-0"]
 
     def late_failure(part, batch_id):
-        sink.write(part, batch_id, run_name(state))
+        sink.write(part, batch_id, run_name(spark, state))
         if batch_id == 1:
             raise RuntimeError("after commit")
 
@@ -166,7 +166,7 @@ def test_write_ahead_survives_failures(spark, stream, batch, tmp_path):  # noqa:
     fails(sink.writer(narrow, state), "target down")
 
     def after(part, batch_id):
-        sink.write(part, batch_id, run_name(state))
+        sink.write(part, batch_id, run_name(spark, state))
         if batch_id == 1 and failures["after"]:
             failures["after"] -= 1
             raise RuntimeError("after commit")
@@ -178,7 +178,7 @@ def test_write_ahead_survives_failures(spark, stream, batch, tmp_path):  # noqa:
     assert emitted_before == {k: taken[k] for k in emitted_before}
     assert sorted(s for part in taken.values() for s in part) == [
         r[0] for r in rows(batch, "seq")]
-    assert sink.last_committed(run_name(state)) == 2
+    assert sink.last_committed(run_name(spark, state)) == 2
 
 
 def test_a_refused_rename_is_an_error(spark, tmp_path, monkeypatch):
@@ -244,3 +244,25 @@ def test_a_crash_while_compacting_loses_nothing(spark, tmp_path, monkeypatch, st
     table.compact()
     table.upsert(frames[0], 0, "r")
     assert rows(table.read()) == [("a", 2.0), ("b0", 1.0), ("b1", 1.0), ("b2", 1.0)]
+
+
+def test_a_checkpoint_made_again_is_another_run(spark, tmp_path):
+    """All rows arrive though the path of the checkpoint and the batch ids are the same."""
+    schema, state = "sensor string, temp double, timestamp long, seq long", tmp_path / "c"
+    table = KeyedTable(spark, str(tmp_path / "t"), "sensor", ["temp"])
+    files, taken = TransactionalFiles(spark, str(tmp_path / "f")), []
+    ahead = WriteAhead(spark, str(tmp_path / "w"), "s",
+                       lambda df, n: taken.extend(r.sensor for r in df.collect()))
+    for number in range(2):
+        rows_ = [(f"run{number}-{i}", 1.0, number, i) for i in range(2 + number)]
+        spark.createDataFrame(rows_, schema).write.parquet(f"{tmp_path}/in{number}")
+        source = table_stream(spark, f"{tmp_path}/in{number}", schema)
+        for sink in (table, files, ahead):
+            checkpoint = str(state / type(sink).__name__)
+            finish(sink.writer(source, checkpoint))
+            finish(sink.writer(source, checkpoint))  # a restart repeats nothing
+        state.rename(tmp_path / f"old{number}")
+    want = ["run0-0", "run0-1", "run1-0", "run1-1", "run1-2"]
+    assert sorted(taken) == want
+    assert [r[0] for r in rows(table.read(), "sensor")] == want
+    assert [r[0] for r in rows(spark.read.parquet(str(tmp_path / "f")), "sensor")] == want

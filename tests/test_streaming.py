@@ -1,15 +1,19 @@
 """Streaming forms against batch forms, on windows and keys the final watermark closes."""
 
+import random
+
 import pytest
-from sensor_rows import rows
 from pyspark.sql import functions as F
+from sensor_rows import rows
 
 from tidegauge.model import READING, readings, smoke_control, with_event_time
 from tidegauge.operators import (alerts, control, lateness, lookup, rolling, serving,
                                  transforms, windows)
 from tidegauge.sinks import writers
 from tidegauge.sources.basic import table_stream
+from tidegauge.sources.state import open_windows, stored_values
 from tidegauge.streaming import jobs
+from tidegauge.streaming.processors import AtEnd, AtShares
 
 SECOND = 14_400_000
 FAR = 40 * 86_400_000
@@ -154,8 +158,6 @@ def arriving(spark, tmp_path, rows_, per_batch=1):
 
 
 def shuffled(seed, count=40, spread=9_000):
-    import random
-
     rng = random.Random(seed)
     return [(f"s{rng.randrange(2)}", 100_000 + max(0, i * 1_500 - rng.randrange(spread)),
              rng.randrange(1, 9)) for i in range(count)]
@@ -269,14 +271,188 @@ def test_lookup_in_a_changing_table(spark, stream, tmp_path):
     assert seen == {0: {"room_1"}, 1: {"room_2"}, 2: {"room_3"}}
 
 
-def test_fire_alerts_per_batch(events, stream, batch, tmp_path):
-    """The control table is read as it is when the micro-batch runs."""
-    levels, found = smoke_control(events), []
-    query = (jobs.fire_alerts(stream, lambda: levels,
-                              lambda alerts, _: found.extend(alerts.collect()))
-             .option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start())
-    assert query.awaitTermination(120)
-    assert sorted(tuple(r) for r in found) == rows(control.fire_alerts(batch, levels))
+@pytest.mark.parametrize("parts", [[0, 400, 800, 1_000], [0, 700, 1_000]])
+def test_fire_alerts_of_two_streams(spark, events, stream, batch, drain, tmp_path, parts):
+    """Control files arrive in steps of their own; the clock is the readings'."""
+    levels = smoke_control(events)
+    path = in_parts(levels, str(tmp_path / "levels"), parts)
+    control_stream = table_stream(spark, path, levels.schema, files_per_batch=1)
+    live = drain(jobs.fire_alerts(stream, control_stream, 50.0, 20 * SECOND, copies=4))
+    want = control.fire_alerts(batch, levels, 50.0).filter(
+        F.col("timestamp") < newest(batch) - 20 * SECOND)
+    assert sorted(live) == rows(want) and live
+
+
+def test_fire_alerts_in_disorder_and_after_a_restart(spark, tmp_path):
+    rng = random.Random(8)
+    control_rows = [(1_000_000 + i * 3_000, i, rng.choice(["HIGH", "LOW"])) for i in range(40)]
+    rows_ = [(f"s{rng.randrange(3)}", 1_000_000 + i * 700 - rng.randrange(9_000),
+              rng.choice([90, 120, 150])) for i in range(150)]
+    full = spark.createDataFrame([(s, at, float(t), i) for i, (s, at, t) in enumerate(rows_)],
+                                 READING)
+    shuffled_control = rng.sample(control_rows, len(control_rows))
+    levels = spark.createDataFrame(
+        [(*row, place // 10) for place, row in enumerate(shuffled_control)],
+        "timestamp long, seq long, level string, place long")
+    def drain(alerts):
+        query = alerts.writeStream.format("parquet").option(
+            "checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start(
+            str(tmp_path / "out"))
+        assert query.awaitTermination(180)
+        found = spark.read.schema(alerts.schema).parquet(str(tmp_path / "out"))
+        return [tuple(r) for r in found.collect()]
+
+    for half in (0, 1):  # the second half comes after a stop
+        in_parts(full, str(tmp_path / "readings"), [75 * half, 75 * half + 40, 75 * half + 75])
+        in_parts(levels, str(tmp_path / "levels"), [2 * half, 2 * half + 1, 2 * half + 2], "place")
+        live = with_event_time(table_stream(spark, str(tmp_path / "readings"), READING,
+                                            files_per_batch=1))
+        control_stream = table_stream(spark, str(tmp_path / "levels"), levels.schema,
+                                      files_per_batch=1).drop("place")
+        # Nothing is decided before the last time: all control records count.
+        assert drain(jobs.fire_alerts(live, control_stream, 100.0, 10 ** 6, copies=3)) == []
+    last = spark.createDataFrame([("s9", 10 ** 8, 1_000.0, 999)], READING)
+    last.coalesce(1).write.mode("append").parquet(str(tmp_path / "readings"))
+    out = drain(jobs.fire_alerts(live, control_stream, 100.0, 10 ** 6, copies=3))
+    assert sorted(out) == rows(control.fire_alerts(full, levels.drop("place"))) and out
+
+
+def test_late_readings_find_the_level_of_their_time(spark, drain, tmp_path):
+    rows_ = [("s1", 10_000, 150), ("s2", 90_000, 1_000), ("s1", 35_000, 150), ("s1", 45_000, 150),
+             ("s2", 200_000, 1_000), ("s2", 300_000, 1_000)]
+    _, source = arriving(spark, tmp_path, rows_)
+    levels = spark.createDataFrame([(30_000, 0, "HIGH"), (40_000, 1, "LOW"), (80_000, 2, "HIGH")],
+                                   "timestamp long, seq long, level string")
+    path = in_parts(levels, str(tmp_path / "levels"), [0, 9])
+    live = drain(jobs.fire_alerts(source, table_stream(spark, path, levels.schema), 100.0, 0,
+                                  accepted_ms=100_000, copies=2))
+    assert sorted(r[1] for r in live) == [35_000, 90_000, 200_000]
+
+
+def punctuated():
+    return F.col("id") == "s1"
+
+
+@pytest.mark.parametrize("size", [None, 10_000])
+def test_punctuated_watermark_one_arrival_at_a_time(spark, drain, tmp_path, size):
+    """The stream meets the batch form's watermark, also while no marker comes for long."""
+    rows_ = [("s0", at + 5_000, t) for _, at, t in shuffled(6, 2)] + shuffled(7, 8, 40_000) + [
+        ("s0", 900_000 - i * 70_000, 1) for i in range(4)] + [
+        ("s1", 400_000, 1), ("s0", 0, 1), ("s1", 390_000, 1), ("s0", 399_000, 1)]
+    full, source = arriving(spark, tmp_path, rows_)
+    live = drain(jobs.late_side(source, 2_000, size, only=punctuated()))
+    batch = lateness.with_watermark_ms(with_event_time(full), 2_000, only=punctuated())
+    met = {r.seq: r.watermark for r in batch.collect()}
+    assert {r[3]: r[5] for r in live} == met and None in met.values()
+    for _, at, _, seq, late, _ in live:
+        last = at if size is None else at - at % size + size - 2
+        assert late == (met[seq] is not None and last < met[seq])
+    assert {r[4] for r in live} == {True, False}
+
+
+def test_windows_closed_by_a_punctuated_watermark(spark, drain, tmp_path):
+    rows_ = shuffled(9, 16, 20_000) + [("s1", 10 ** 6, 1), ("s0", 2 * 10 ** 6, 1), ("s0", 3, 1)]
+    _, source = arriving(spark, tmp_path, rows_)
+    live = drain(jobs.late_updates(source, 10_000, 2_000, 0, only=punctuated()))
+    counts, now, high = {}, -1, 0
+    for s, at, _ in rows_:
+        end = at - at % 10_000 + 10_000
+        if now < end - 1:
+            counts[s, end] = counts.get((s, end), 0) + 1
+        high = max(high, at if s == "s1" else 0)
+        now = max(now, high - 2_000)
+    assert {(r[0], r[1]): r[2] for r in live} == {
+        k: n for k, n in counts.items() if k[1] - 1 <= now}
+
+
+def test_late_side_keeps_readings_of_any_time(spark, drain, tmp_path):
+    rows_ = [("s1", 1_704_067_200_000, 1), ("s1", 0, 1), ("s2", -5, 1),
+             ("s1", 32_503_680_000_000, 1), ("s2", 1_704_067_200_000, 1)]
+    _, source = arriving(spark, tmp_path, rows_)
+    live = drain(jobs.late_side(source, 2_000))
+    assert sorted((r[3], r[4]) for r in live) == [
+        (0, False), (1, True), (2, True), (3, False), (4, True)]
+
+
+def test_silent_keys_leave_no_state(spark, drain, tmp_path):
+    rows_ = [("s1", 1_000, 5), ("s3", 2_000, 5), ("s2", 50_000, 5), ("s2", 90_000, 5),
+             ("s1", 4_000, 9), ("s2", 95_000, 5)]
+    _, source = arriving(spark, tmp_path, rows_)
+    state = str(tmp_path / "c1")
+    live = drain(jobs.self_cleaning_changes(source, 1.5, 20_000, 1_000), checkpoint=state)
+    # Late rows still alert: against the reading before while that is known, else against 0.0.
+    assert sorted(r[:2] for r in live) == [
+        ("s1", 1_000), ("s1", 4_000), ("s2", 50_000), ("s2", 90_000), ("s3", 2_000)]
+    kept = stored_values(spark, state).select("key.id").collect()
+    assert {r.id for r in kept} == {"s2"}
+    on = spark.createDataFrame([("s1", 0, 0, 60_000), ("s2", 0, 1, 500_000)],
+                               "id string, timestamp long, seq long, duration_ms long")
+    switches = table_stream(spark, in_parts(on, str(tmp_path / "on"), [0, 9]), on.schema)
+    state = str(tmp_path / "c2")
+    passed = drain(jobs.switch_filter(source, switches, 0, 10_000), checkpoint=state)
+    assert sorted(r[1] for r in passed) == [1_000, 4_000, 50_000, 90_000, 95_000]
+    kept = stored_values(spark, state).select("key.id").collect()
+    assert {r.id for r in kept} == {"s2"}
+
+
+def test_open_windows_of_a_stopped_stream(spark, stream, batch, drain, tmp_path):
+    size, state = f"{10 * SECOND // 1000} seconds", str(tmp_path / "c")
+    closed = drain(windows.max_temperature(
+        lateness.watermark(stream, f"{20 * SECOND // 1000} seconds"), size), checkpoint=state)
+    still = open_windows(spark, state).select("id", "end_ts", F.col("max").alias("max_temp"))
+    whole = rows(windows.max_temperature(batch, size))
+    assert sorted([*closed, *(tuple(r) for r in still.collect())]) == whole
+    assert 0 < still.count() < len(whole)
+
+
+def test_triggers_and_assigners(spark, drain, tmp_path):
+    rows_ = shuffled(4, 40, 15_000) + [("s9", 10 ** 6, 1)] * 2 + [("s9", 2 * 10 ** 6, 1)]
+    full, source = arriving(spark, tmp_path, rows_, 8)
+    late = 20_000
+
+    def want(end_of, times_of):
+        out = []
+        for s, at, _ in rows_:
+            for end in end_of(at):
+                for when in times_of(end):
+                    out.append((s, end, when))
+        keys = sorted(set(out))
+        firsts = {}
+        for s, at, _ in rows_:
+            for end in end_of(at):
+                firsts[s, end] = min(at, firsts.get((s, end), at))
+        return [(s, end, when, sum(s == r[0] and end in end_of(r[1]) and (
+            r[1] < when) for r in rows_)) for s, end, when in keys
+            if when > firsts[s, end] and when <= 2 * 10 ** 6 - late]
+
+    # Sliding windows: each reading is in two of them.
+    size, slide = 20_000, 10_000
+    ends = F.transform(F.array(F.lit(1), F.lit(2)),
+                       lambda i: F.col("timestamp") - F.col("timestamp") % slide + i * slide)
+    sliding = source.withColumn("end_ts", F.explode(ends))
+    live = drain(jobs.window_counts(sliding, AtShares(size, 0.25, 0.5), late))
+    assert sorted(live) == want(
+        lambda at: [at - at % slide + slide, at - at % slide + 2 * slide],
+        lambda end: [end - 15_000, end - 10_000, end])
+    shifted = windows.assign(source, 30_000, 7_000)
+    live = drain(jobs.window_counts(shifted, AtEnd(), late))
+    assert sorted(live) == want(lambda at: [(at - 7_000) // 30_000 * 30_000 + 37_000],
+                                lambda end: [end])
+
+
+def test_a_long_window_keeps_one_timer(spark, drain, tmp_path):
+    """A day in ticks of a second: every tick is reported once, with one timer at a time."""
+    day = 86_400_000
+    rows_ = [("s1", 5 * day + at, 1) for at in (10, 2_500, day - 1, 70_000)] + [
+        ("s1", 7 * day, 1), ("s1", 7 * day + 1, 1)]
+    _, source = arriving(spark, tmp_path, rows_[:4])
+    state = str(tmp_path / "c")
+    assert len(drain(jobs.early_counts(source, day, 1_000, 2 * day), checkpoint=state)) == 0
+    assert stored_values(spark, state, "state").count() == 1
+    _, source = arriving(spark, tmp_path / "later", rows_)
+    live = [r for r in drain(jobs.early_counts(source, day, 1_000, 2 * day - day // 2),
+                             checkpoint=str(tmp_path / "c2")) if r[1] == 6 * day]
+    assert [r[3] for r in live[:3]] == [1, 1, 2] and len(live) == day // 2 // 1_000
 
 
 def test_main_and_side_output(stream, batch, tmp_path):

@@ -8,12 +8,11 @@ checkpoint; a new checkpoint starts at batch 0 again and must not be taken for a
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 
-from tidegauge.sinks.folders import Folder, publish, run_name
+from tidegauge.sinks.folders import Folder, per_run, publish
 
 BATCH = "batch="
 
@@ -35,7 +34,7 @@ class TransactionalFiles:
 
     def writer(self, stream: DataFrame, checkpoint: str) -> DataStreamWriter:
         return stream.writeStream.foreachBatch(
-            partial(self.write, run=run_name(checkpoint))).option(
+            per_run(self.folder.spark, checkpoint, self.write)).option(
             "checkpointLocation", checkpoint)
 
 
@@ -81,5 +80,5 @@ class WriteAhead:
 
     def writer(self, stream: DataFrame, checkpoint: str) -> DataStreamWriter:
         return stream.writeStream.foreachBatch(
-            partial(self.write, run=run_name(checkpoint))).option(
+            per_run(self.spark, checkpoint, self.write)).option(
             "checkpointLocation", checkpoint)

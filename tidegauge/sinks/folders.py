@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import hashlib
+import json
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,14 +53,29 @@ class Folder:
         if not self.exists(name):
             self._fs.create(self._at(name), False).close()
 
+    def text(self, name: str) -> str:
+        """Content of a small text file."""
+        stream = self._fs.open(self._at(name))
+        try:
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
     def remove(self, name: str) -> None:
         self._fs.delete(self._at(name), True)
 
 
-def run_name(checkpoint: str) -> str:
+def run_name(spark: SparkSession, checkpoint: str) -> str:
     """Name of a query's run: the same after a restart, another with a new checkpoint, where
-    batch ids begin anew."""
-    return hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+    batch ids begin anew. It is the id that Spark gives a query when it makes its checkpoint,
+    so a checkpoint that was made again under the same path is another run too."""
+    return json.loads(Folder(spark, checkpoint).text("metadata"))["id"].replace("-", "")
+
+
+def per_run(spark: SparkSession, checkpoint: str, write: Callable) -> Callable:
+    """``write(batch, batch_id, run)`` as a function of a micro-batch; the run is looked up
+    when a batch comes, as the checkpoint is there by then."""
+    return lambda batch, batch_id: write(batch, batch_id, run_name(spark, checkpoint))
 
 
 def publish(df: DataFrame, folder: Folder, name: str, file_format: str = "parquet") -> bool:

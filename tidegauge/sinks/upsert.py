@@ -8,13 +8,12 @@ replayed in its run changes nothing. ``compact`` folds the additions into one fi
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from tidegauge.operators.serving import latest_per_key
-from tidegauge.sinks.folders import Folder, publish, run_name
+from tidegauge.sinks.folders import Folder, per_run, publish
 
 ADDED, FOLDED, DONE = "added=", "folded=", ".done="
 BATCH = "_batch"
@@ -105,5 +104,5 @@ class KeyedTable:
 
     def writer(self, stream: DataFrame, checkpoint: str) -> DataStreamWriter:
         return stream.writeStream.foreachBatch(
-            partial(self.upsert, run=run_name(checkpoint))).option(
+            per_run(self.spark, checkpoint, self.upsert)).option(
             "checkpointLocation", checkpoint)

@@ -7,13 +7,13 @@ state store for the jobs below.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.streaming import StatefulProcessor
 
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor
-
-from tidegauge.operators import control
+from tidegauge import texts
+from tidegauge.functions import reading_line
 from tidegauge.operators.lateness import watermark
+from tidegauge.operators.transforms import alert
 from tidegauge.operators.windows import assign
 from tidegauge.streaming import processors as p
 
@@ -22,20 +22,17 @@ def _delay(ms: int) -> str:
     return f"{ms} milliseconds"
 
 
-# Far beyond any disorder.
-EVER_MS = 3_650 * 24 * 3_600_000
-
-
-def accepting(readings: DataFrame, delay_ms: int, accepted_ms: int) -> DataFrame:
-    """Event time such that rows up to ``accepted_ms`` behind the watermark are kept.
+def clocked(rows: DataFrame, delay_ms: int, only: Column | None = None) -> DataFrame:
+    """``rows`` under a watermark that moves with their times and drops none of them.
 
-    Spark drops a row whose event time is behind the watermark before a processor sees it.
-    The event time is moved ahead by ``accepted_ms`` and the delay is lengthened by as
-    much: the watermark stays the greatest time less ``delay_ms``, and a row is dropped
-    only if it is more than ``accepted_ms`` behind that.
+    Spark drops a row that is behind the watermark if an operator that keeps state sees the
+    row's event time. Here the watermark is taken from a column of its own, which the
+    rows then leave behind: the processors get every row, know the watermark, and decide
+    themselves. With ``only``, just the rows that satisfy it move the watermark (punctuated).
     """
-    moved = readings.withColumn("ts", F.timestamp_millis(F.col("timestamp") + accepted_ms))
-    return watermark(moved, _delay(delay_ms + accepted_ms))
+    time = F.timestamp_millis("timestamp")
+    ticking = rows.withColumn("_tick", time if only is None else F.when(only, time))
+    return ticking.withWatermark("_tick", _delay(delay_ms)).drop("_tick", "ts")
 
 
 def _stateful(rows: DataFrame, keys: tuple[str, ...], processor: StatefulProcessor,
@@ -67,9 +64,11 @@ def temperature_changes(readings: DataFrame, threshold: float = 1.7) -> DataFram
 
 def self_cleaning_changes(readings: DataFrame, threshold: float = 1.5,
                           ttl_ms: int = 3_600_000, delay_ms: int = 5_000) -> DataFrame:
-    """No reading is too late: what is forgotten follows from the readings' own times, and one
-    small value per sensor stays."""
-    return _stateful(_narrow(readings), ("id",), p.ChangeAlert(threshold, ttl_ms, delay_ms))
+    """No reading is too late: what is forgotten follows from the readings' own times. The state
+    of a sensor is freed when the watermark is past the time at which it is forgotten; a
+    reading later than that is compared with 0.0."""
+    return _stateful(clocked(_narrow(readings), delay_ms), ("id",),
+                     p.ChangeAlert(threshold, ttl_ms, delay_ms), timers=True)
 
 
 def rising_alerts(readings: DataFrame, hold_ms: int = 1_000, delay_ms: int = 5_000,
@@ -80,15 +79,16 @@ def rising_alerts(readings: DataFrame, hold_ms: int = 1_000, delay_ms: int = 5_0
     return _stateful(timed, ("id",), p.RisingAlert(hold_ms), timers=True)
 
 
-def late_side(readings: DataFrame, delay_ms: int = 5_000,
-              size_ms: int | None = None) -> DataFrame:
-    """Every reading with a column ``late``: behind the watermark its micro-batch met, or with
-    ``size_ms``, in a window that this watermark had closed. Filter it into both sides."""
+def late_side(readings: DataFrame, delay_ms: int = 5_000, size_ms: int | None = None,
+              only: Column | None = None) -> DataFrame:
+    """Every reading with the watermark its micro-batch met (null before there is one) and a
+    column ``late``: behind that watermark, or with ``size_ms``, in a window that it had
+    closed. Filter it into both sides. With ``only``, the watermark is punctuated."""
     deadline = F.col("timestamp")
     if size_ms is not None:
         # Spark's watermark is past a window's last millisecond when the next one begins.
         deadline = deadline - deadline % size_ms + size_ms - 2
-    rows = accepting(readings, delay_ms, EVER_MS).withColumn("deadline", deadline)
+    rows = clocked(readings, delay_ms, only).withColumn("deadline", deadline)
     return _stateful(rows, ("id",), p.LateMarker(), timers=True)
 
 
@@ -100,13 +100,16 @@ def _merged(readings: DataFrame, controls: DataFrame, delay_ms: int) -> DataFram
     return marked.unionByName(timed, allowMissingColumns=True)
 
 
-def switch_filter(readings: DataFrame, switches: DataFrame) -> DataFrame:
-    """A switch takes effect when it arrives; no reading is too late for it."""
+def switch_filter(readings: DataFrame, switches: DataFrame, delay_ms: int = 5_000,
+                  accepted_ms: int = 3_600_000) -> DataFrame:
+    """A switch takes effect when it arrives. The state of a switch is freed when the readings'
+    watermark is ``accepted_ms`` past its end; up to then no reading is too late for it."""
     on = switches.select("id", "timestamp", "seq",
                          (F.col("timestamp") + F.col("duration_ms")).alias("until"))
+    live = clocked(_narrow(readings), delay_ms)
     merged = on.withColumn("kind", F.lit(p.CONTROL)).unionByName(
-        _narrow(readings).withColumn("kind", F.lit(p.READING)), allowMissingColumns=True)
-    return _stateful(merged, ("id",), p.SwitchFilter())
+        live.withColumn("kind", F.lit(p.READING)), allowMissingColumns=True)
+    return _stateful(merged, ("id",), p.SwitchFilter(accepted_ms), timers=True)
 
 
 def threshold_alerts(readings: DataFrame, thresholds: DataFrame,
@@ -115,22 +118,59 @@ def threshold_alerts(readings: DataFrame, thresholds: DataFrame,
     return _stateful(_merged(readings, limits, delay_ms), ("id",), p.ThresholdAlert())
 
 
-def fire_alerts(readings: DataFrame, control_table: Callable[[], DataFrame],
-                emit: Callable[[DataFrame, int], None], above: float = 100.0) -> DataStreamWriter:
-    """Alerts of each micro-batch against the control table as it is at that moment."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        emit(control.fire_alerts(batch, control_table(), above), batch_id)
+# Copies of a global level's history; readings are dealt over as many keys.
+LEVEL_COPIES = 32
+
+
+def readings_at_level(readings: DataFrame, control: DataFrame, level: str = "HIGH",
+                      delay_ms: int = 5_000, accepted_ms: int = 0,
+                      copies: int = LEVEL_COPIES) -> DataFrame:
+    """Readings taken while the latest record of the stream ``control`` (timestamp, seq, level)
+    says ``level``; of equal times the control record comes first.
+
+    A control record goes to each of ``copies`` keys, a reading to one of them. The clock is
+    the readings', so a control stream without news holds nothing up: a reading is decided
+    when the watermark has passed it, by the control records that have come by then. Later
+    readings are decided at once, from a history that reaches ``accepted_ms`` back.
+    """
+    spread = F.pmod(F.xxhash64("id", "seq"), F.lit(copies)).cast("int")
+    live = clocked(_narrow(readings), delay_ms).withColumns(
+        {"bucket": spread, "kind": F.lit(p.READING)})
+    every = F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))
+    levels = control.select("timestamp", "seq", "level", every.alias("bucket"),
+                            F.lit(p.CONTROL).alias("kind"))
+    merged = live.unionByName(levels, allowMissingColumns=True)
+    return _stateful(merged, ("bucket",), p.LevelFilter(level, accepted_ms), timers=True)
+
 
-    return readings.writeStream.foreachBatch(write)
+def fire_alerts(readings: DataFrame, control: DataFrame, above: float = 100.0,
+                delay_ms: int = 5_000, accepted_ms: int = 0,
+                copies: int = LEVEL_COPIES) -> DataFrame:
+    """An alert for each reading above the bound while the smoke level is HIGH."""
+    risky = readings_at_level(readings.filter(F.col("temperature") > above), control, "HIGH",
+                              delay_ms, accepted_ms, copies)
+    return risky.select(*alert(F.concat(F.lit(texts.FIRE), reading_line())))
 
 
 def late_updates(readings: DataFrame, size_ms: int = 10_000, delay_ms: int = 5_000,
-                 lateness_ms: int = 5_000) -> DataFrame:
-    timed = assign(accepting(readings, delay_ms, size_ms + lateness_ms), size_ms)
+                 lateness_ms: int = 5_000, only: Column | None = None) -> DataFrame:
+    """With ``only``, windows close by a punctuated watermark."""
+    timed = assign(clocked(readings, delay_ms, only), size_ms)
     return _stateful(timed, ("id",), p.LateUpdates(lateness_ms), timers=True)
 
 
+def window_counts(placed: DataFrame, trigger, delay_ms: int = 5_000,
+                  only: Column | None = None) -> DataFrame:
+    """id, end_ts, eval_ts, readings: the count of each window (id, end_ts) at the times that
+    ``trigger`` names (``processors.Every``, ``AtEnd``, ``AtShares`` or an own one).
+
+    ``placed`` has id, timestamp and end_ts from any assigner (``windows.assign`` or own
+    columns; a reading in several windows is several rows).
+    """
+    timed = clocked(placed.select("id", "timestamp", "end_ts"), delay_ms, only)
+    return _stateful(timed, ("id", "end_ts"), p.WindowCounts(trigger), timers=True)
+
+
 def early_counts(readings: DataFrame, size_ms: int = 30_000, every_ms: int = 1_000,
                  delay_ms: int = 5_000) -> DataFrame:
-    timed = assign(accepting(readings, delay_ms, size_ms), size_ms)
-    return _stateful(timed, ("id", "end_ts"), p.EarlyCounts(every_ms), timers=True)
+    return window_counts(assign(readings, size_ms), p.Every(every_ms), delay_ms)

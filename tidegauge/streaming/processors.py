@@ -19,8 +19,8 @@ import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import (ArrayType, BooleanType, DataType, DoubleType, LongType, StructField,
-                               StructType)
+from pyspark.sql.types import (ArrayType, BooleanType, DataType, DoubleType, LongType, StringType,
+                               StructField, StructType)
 
 from tidegauge import texts
 
@@ -128,7 +128,8 @@ class ChangeAlert(_ValueProcessor):
     """Readings that differ from the previous one by more than the threshold.
 
     With ``ttl_ms`` the previous reading is forgotten ``ttl_ms + delay_ms`` after its
-    time. That is a matter of the readings' own times, so no row can be too late for it.
+    time. That is a matter of the readings' own times, so no row can be too late for it;
+    a timer frees the state of a sensor when the watermark has passed that time.
     """
 
     state_schema = _schema(temperature=DoubleType, timestamp=LongType)
@@ -138,6 +139,9 @@ class ChangeAlert(_ValueProcessor):
         self.threshold = threshold
         self.kept_ms = None if ttl_ms is None else ttl_ms + delay_ms
 
+    def _freed(self, at: int | None) -> int | None:
+        return None if at is None or self.kept_ms is None else at + self.kept_ms + 1
+
     def handleInputRows(self, key, rows, timerValues):
         pdf = _in_order(rows, ORDER)
         last, at = self.load((0.0, None))
@@ -146,11 +150,19 @@ class ChangeAlert(_ValueProcessor):
         if self.kept_ms is not None:
             gaps = np.diff(times, prepend=times[0] if at is None else at)
             before = np.where(gaps > self.kept_ms, 0.0, before)
-        self.state.update((float(values[-1]), int(times[-1])))
+        newest = int(times[-1])
+        # Where memory ends, a late row must not take the place of a newer one.
+        if at is None or self.kept_ms is None or newest >= at:
+            self.move_timer(self._freed(at), self._freed(newest))
+            self.state.update((float(values[-1]), newest))
         diff = np.abs(values - before)
         yield pd.DataFrame({"id": key[0], "timestamp": times, "temperature": values,
                             "diff": diff})[diff > self.threshold]
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self.state.clear()
+        return iter(())
+
 
 class RisingAlert(_ValueProcessor):
     """Warns when a sensor keeps rising for ``hold_ms``."""
@@ -196,11 +208,17 @@ class RisingAlert(_ValueProcessor):
 
 
 class SwitchFilter(_ValueProcessor):
-    """Readings that pass while the sensor's switch is on. Input: merged rows."""
+    """Readings that pass while the sensor's switch is on. Input: merged rows.
+
+    The state of a switch is freed when the watermark is ``accepted_ms`` past its end.
+    """
 
     state_schema = _schema(until=LongType)
     output_schema = "id string, timestamp long, temperature double, seq long"
 
+    def __init__(self, accepted_ms: int = 0):
+        self.accepted_ms = accepted_ms
+
     def handleInputRows(self, key, rows, timerValues):
         pdf = _in_order(rows, MERGED_ORDER)
         (until,) = self.load((None,))
@@ -209,12 +227,89 @@ class SwitchFilter(_ValueProcessor):
         open_until = np.maximum.accumulate(np.concatenate(
             ([floor if until is None else until], ends)))[1:]
         latest = int(open_until[-1])
-        if latest > floor:
+        if latest > floor and latest != until:
+            self.move_timer(None if until is None else until + self.accepted_ms + 1,
+                            latest + self.accepted_ms + 1)
             self.state.update((latest,))
         passes = (pdf["kind"] == READING) & (pdf["timestamp"] < open_until)
         yield pdf.loc[passes, ["timestamp", "temperature", "seq"]].assign(id=key[0])[
             ["id", "timestamp", "temperature", "seq"]]
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self.state.clear()
+        return iter(())
+
+
+class LevelFilter(StatefulProcessor):
+    """Readings taken while a global level holds. Input: merged rows, keyed by bucket.
+
+    Every bucket has its own copy of the level's history and a share of the readings, so
+    no task sees them all. A reading waits until the watermark has passed its time, when
+    the levels up to then are there; then the latest level at or before its time counts. Of the
+    history, what a reading ``accepted_ms`` behind the watermark may need is kept.
+    """
+
+    output_schema = "id string, timestamp long, temperature double, seq long"
+
+    def __init__(self, level: str = "HIGH", accepted_ms: int = 0):
+        self.level, self.accepted_ms = level, accepted_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.levels = handle.getListState("levels", _schema(timestamp=LongType, seq=LongType,
+                                                            level=StringType))
+        self.waiting = handle.getListState("waiting", _schema(
+            id=StringType, timestamp=LongType, temperature=DoubleType, seq=LongType))
+        self.timer = handle.getValueState("timer", _schema(at=LongType))
+
+    def _wait_until(self, at: int) -> None:
+        known = self.timer.get()
+        if known is None or at < known[0]:
+            if known is not None:
+                self.handle.deleteTimer(known[0])
+            self.handle.registerTimer(at)
+            self.timer.update((at,))
+
+    def handleInputRows(self, key, rows, timerValues):
+        for pdf in rows:
+            control = pdf[pdf["kind"] == CONTROL]
+            if len(control):
+                self.levels.appendList(list(zip(
+                    control["timestamp"].tolist(), control["seq"].tolist(),
+                    control["level"].tolist())))
+            readings = pdf[pdf["kind"] == READING]
+            if len(readings):
+                self.waiting.appendList(list(zip(
+                    readings["id"].tolist(), readings["timestamp"].tolist(),
+                    readings["temperature"].tolist(), readings["seq"].tolist())))
+                # A time that has passed already makes the timer fire in this micro-batch.
+                self._wait_until(int(readings["timestamp"].min()) + 1)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        now = timerValues.getCurrentWatermarkInMs()
+        self.timer.clear()
+        levels = sorted(self.levels.get())
+        times = [t for t, _, _ in levels]
+        waiting = list(self.waiting.get())
+        later = [row for row in waiting if row[1] >= now]
+        due = sorted((row for row in waiting if row[1] < now), key=lambda r: (r[1], r[3]))
+        at = np.searchsorted(times, [row[1] for row in due], side="right") - 1
+        out = [row for row, i in zip(due, at.tolist()) if i >= 0 and levels[i][2] == self.level]
+        needed = int(np.searchsorted(times, now - self.accepted_ms, side="left")) - 1
+        if needed > 0:
+            self.levels.put(levels[needed:])
+        if later:
+            self.waiting.put(later)
+            self._wait_until(min(row[1] for row in later) + 1)
+        else:
+            self.waiting.clear()
+        if out:
+            yield pd.DataFrame(out, columns=["id", "timestamp", "temperature", "seq"])
+
+    def close(self) -> None:
+        pass
+
 
 class ThresholdAlert(_ValueProcessor):
     """Alerts against the sensor's current threshold; 0.0 removes it. Input: merged rows."""
@@ -241,7 +336,7 @@ class LateUpdates(_ValueProcessor):
 
     Keyed by sensor, with its open windows in one state value: few at a time, as a
     window leaves when the watermark has passed its end by the lateness. The stream must
-    accept rows of all windows that have not left (``jobs.accepting``). One timer per
+    accept rows of all windows that have not left (``jobs.clocked``). One timer per
     sensor waits for the next window to fire or leave.
     """
 
@@ -313,58 +408,116 @@ class LateUpdates(_ValueProcessor):
         yield from self._rows(key, out)
 
 
-class EarlyCounts(StatefulProcessor):
-    """Running count of a window at each tick of the watermark and at its end.
+class Every:
+    """A trigger: evaluate a window at each multiple of ``step_ms`` and at its end."""
+
+    def __init__(self, step_ms: int):
+        self.step_ms = step_ms
+
+    def next_time(self, after: int, end: int) -> int:
+        """The first evaluation later than ``after``, at most the window's end."""
+        return min(after - after % self.step_ms + self.step_ms, end)
+
 
-    Keyed by (id, end_ts). State is one count per tick interval.
+class AtEnd:
+    """A trigger: evaluate a window once, at its end."""
+
+    def next_time(self, after: int, end: int) -> int:
+        return end
+
+
+class AtShares:
+    """A trigger: evaluate a window when given shares of it have passed, and at its end."""
+
+    def __init__(self, size_ms: int, *shares: float):
+        self.offsets = sorted(int(size_ms * share) for share in shares)
+        self.size_ms = size_ms
+
+    def next_time(self, after: int, end: int) -> int:
+        start = end - self.size_ms
+        return min((start + o for o in self.offsets if start + o > after), default=end)
+
+
+class WindowCounts(StatefulProcessor):
+    """Count of a window at each time its trigger names, of the readings before that time.
+
+    Keyed by (id, end_ts), whatever assigner made the windows. A trigger is any object
+    with ``next_time(after, end)``. State is the count so far and one count per trigger
+    interval that has not been evaluated yet. Only the next evaluation has a timer, so a
+    window's cost follows its readings and evaluations, each looked at once.
     """
 
     output_schema = "id string, end_ts long, eval_ts long, readings long"
 
-    def __init__(self, every_ms: int = 1_000):
-        self.every_ms = every_ms
+    def __init__(self, trigger):
+        self.trigger = trigger
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.counts = handle.getMapState("counts", _schema(tick=LongType),
                                          _schema(n=LongType))
+        self.state = handle.getValueState("state", _schema(total=LongType, due=LongType))
+
+    def _ticks(self, times: np.ndarray, end: int) -> Iterator[tuple[int, int]]:
+        """(evaluation that first sees them, how many) of the readings' ascending times."""
+        at = 0
+        while at < len(times):
+            tick = self.trigger.next_time(int(times[at]), end)
+            upto = len(times) if tick >= end else int(np.searchsorted(times, tick))
+            yield tick, max(upto, at + 1) - at
+            at = max(upto, at + 1)
 
     def handleInputRows(self, key, rows, timerValues):
-        end = key[1]
-        if end <= timerValues.getCurrentWatermarkInMs():
+        end, now = key[1], timerValues.getCurrentWatermarkInMs()
+        if end <= now:
             return iter(())  # the window has given its last count
-        ticks = np.concatenate([pdf["timestamp"].to_numpy() for pdf in rows])
-        ticks = ticks - ticks % self.every_ms + self.every_ms
-        known = [k[0] for k, _ in self.counts.iterator()]
-        first, added = min(known, default=None), dict(zip(*np.unique(ticks, return_counts=True)))
-        for tick, n in added.items():
-            old = self.counts.getValue((int(tick),)) if int(tick) in known else (0,)
-            self.counts.updateValue((int(tick),), (old[0] + int(n),))
-        start = int(min(added))
-        if first is None or start < first:
-            upto = end if first is None else min(first, end)
-            for tick in range(start, upto, self.every_ms):
-                self.handle.registerTimer(tick)
-            if first is None:
-                self.handle.registerTimer(end)
+        times = np.sort(np.concatenate([pdf["timestamp"].to_numpy() for pdf in rows]))
+        total, due = self.state.get() or (0, None)
+        first = None
+        for tick, n in self._ticks(times, end):
+            if due is not None and tick < due and tick <= now:
+                total += n  # that evaluation is over; the next one sees them
+                continue
+            known = self.counts.getValue((tick,)) if self.counts.containsKey((tick,)) else (0,)
+            self.counts.updateValue((tick,), (known[0] + n,))
+            first = tick if first is None else first
+        if first is not None and (due is None or first < due):
+            if due is not None:
+                self.handle.deleteTimer(due)
+            self.handle.registerTimer(first)
+            due = first
+        self.state.update((total, due))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        at, (sensor, end) = expiredTimerInfo.getExpiryTimeInMs(), key
-        count = sum(n[0] for tick, n in self.counts.iterator() if at == end or tick[0] <= at)
-        if at == end:
+        (sensor, end), now = key, timerValues.getCurrentWatermarkInMs()
+        total, due = self.state.get()
+        counts = {tick: n for (tick,), (n,) in self.counts.iterator()}
+        pending, out = sorted(counts), []
+        while due is not None and due <= now:
+            while pending and pending[0] <= due:
+                tick = pending.pop(0)
+                total += counts[tick]
+                self.counts.removeKey((tick,))
+            out.append((sensor, end, due, total))
+            due = self.trigger.next_time(due, end) if due < end else None
+        if due is None:
             self.counts.clear()
-        yield pd.DataFrame([(sensor, end, at, count)],
-                           columns=["id", "end_ts", "eval_ts", "readings"])
+            self.state.clear()
+        else:
+            self.handle.registerTimer(due)
+            self.state.update((total, due))
+        yield pd.DataFrame(out, columns=["id", "end_ts", "eval_ts", "readings"])
 
     def close(self) -> None:
         pass
 
 
 class LateMarker(StatefulProcessor):
-    """Each row with a mark whether the watermark had passed its deadline when it came."""
+    """Each row with the watermark it met, and whether that had passed its deadline."""
 
-    output_schema = "id string, timestamp long, temperature double, seq long, late boolean"
+    output_schema = ("id string, timestamp long, temperature double, seq long, late boolean, "
+                     "watermark long")
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -374,8 +527,10 @@ class LateMarker(StatefulProcessor):
         for pdf in rows:
             # A watermark of 0 stands for none yet.
             late = (pdf["deadline"] < now) & (now > 0)
-            yield pdf[["timestamp", "temperature", "seq"]].assign(id=key[0], late=late)[
-                ["id", "timestamp", "temperature", "seq", "late"]]
+            met = pd.array([now if now > 0 else None] * len(pdf), dtype="Int64")
+            yield pdf[["timestamp", "temperature", "seq"]].assign(
+                id=key[0], late=late, watermark=met)[
+                ["id", "timestamp", "temperature", "seq", "late", "watermark"]]
 
     def close(self) -> None:
         pass
