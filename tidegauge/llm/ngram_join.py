@@ -40,8 +40,9 @@ MOST_FREQUENT = 100_000
 # Classes of frequent tokens; pairs are formed within one.
 CLASSES = 24
 CELL_DOCS = 4096
-# Tokens whose counts are combined before the shuffle.
-BLOCK = 1 << 21
+# Tokens whose counts are combined before the shuffle, and bytes of text handled at once.
+BLOCK = 1 << 20
+CHUNK = 1 << 20
 SKETCH = 2048  # bits
 
 U64 = np.uint64
@@ -58,7 +59,7 @@ def shingle_sets(texts: pa.Array, words: int) -> Iterator[tuple[int, np.ndarray,
     """Per chunk: first text, its texts' different tokens in ascending order, flat, and
     their numbers. A text with fewer words is one token; one without words has none."""
     place = _PLACE[:words]
-    for first, last, data, bounds in ragged.chunks(texts):
+    for first, last, data, bounds in ragged.chunks(texts, CHUNK):
         lowered = ragged.LOWERED[data]
         starts, ends, text = ragged.words(data, bounds)
         word = ragged.hashes(lowered, starts, ends)
@@ -103,6 +104,7 @@ def documents_of(docs: DataFrame, words: int) -> DataFrame:
                     [batch.column("doc_id").slice(first, len(sizes)),
                      pa.array(sizes.astype(np.int64)), pa.array(set_ids(tokens, sizes))],
                     ["doc_id", "n", "set_id"])
+        ragged.release()
 
     return docs.select(docs["doc_id"], docs["text"]).mapInArrow(
         run, "doc_id long, n long, set_id long")
@@ -130,19 +132,18 @@ def _combined(tokens: np.ndarray, owners: np.ndarray, cells: int) -> Iterator[li
               "own_shared": counts}
     keys = {"low": tokens[alone], "many": head, "own": own}
     cell_of = {name: cell_numbers(values, cells) for name, values in keys.items()}
+    some = np.unique(np.concatenate(list(cell_of.values())))
     leader = {"low": "low", "owner": "low", "many": "many", "own": "own", "own_shared": "own"}
     cut = {}
     for name, cell in cell_of.items():
         by = np.argsort(cell, kind="stable")
-        cut[name] = by, np.searchsorted(cell[by], np.arange(cells + 1))
+        cut[name] = by, *(np.searchsorted(cell[by], some, side) for side in ("left", "right"))
     sorted_ = {name: (arrays[name] & U64(0xFFFFFFFF) if name in ("low", "many")
                       else arrays[name]).astype(kind)[cut[leader[name]][0]]
                for name, kind in _PARTS}
-    for cell in range(cells):
-        row = [sorted_[name][cut[leader[name]][1][cell]:cut[leader[name]][1][cell + 1]].tobytes()
-               for name, _ in _PARTS]
-        if any(row):
-            yield [cell, *row]
+    for at, cell in enumerate(some.tolist()):
+        yield [cell, *(sorted_[name][cut[leader[name]][1][at]:cut[leader[name]][2][at]].tobytes()
+                       for name, _ in _PARTS)]
 
 
 def cell_numbers(tokens: np.ndarray, cells: int) -> np.ndarray:
@@ -201,8 +202,10 @@ def shared_counts(docs: DataFrame, words: int, percent: int, cells: int) -> Data
                     yield flush()
                     size = 0
                     seen.clear()
+                    ragged.release()
         if size:
             yield flush()
+        ragged.release()
 
     schema = "cell long, " + ", ".join(f"{name} binary" for name, _ in _PARTS)
     blocks = docs.select(docs["text"]).mapInArrow(run, schema)
@@ -248,6 +251,7 @@ def candidate_sets(texts: DataFrame, words: int) -> DataFrame:
                      pa.ListArray.from_arrays(pa.array(ends), pa.array(tokens.view(np.int64))),
                      pa.ListArray.from_arrays(pa.array(wide), pa.array(bits.ravel()))],
                     ["set_id", "n", "tokens", "bits"])
+        ragged.release()
 
     found = texts.select(texts["text"]).mapInArrow(
         run, "set_id long, n long, tokens array<long>, bits array<long>")
@@ -321,6 +325,7 @@ def signatures(sets: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame
                      pa.array(sizes[owner].astype(np.int32)), pa.array(room.astype(np.int32)),
                      *(pa.array(folded[owner, k]) for k in range(4))],
                     ["signature", "set_id", "n", "room", "k0", "k1", "k2", "k3"])
+        ragged.release()
 
     return sets.select("set_id", "tokens", "bits").mapInArrow(
         run, "signature long, set_id long, n int, room int, k0 long, k1 long, k2 long, k3 long")
@@ -356,6 +361,7 @@ def neighbours(entries: DataFrame, percent: int) -> DataFrame:
             pairs = np.unique(np.stack([a, b], 1), axis=0)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["a", "b"])
+        ragged.release()
 
     ordered = (entries.select("signature", "set_id", "n", F.xxhash64("set_id").alias("place"))
                .repartitionByRange("signature", "place").sortWithinPartitions("signature", "place"))
