@@ -214,3 +214,55 @@ def search(docs: list[tuple], items: list[tuple], best: int = 20) -> list[tuple]
         found += [(item_id, rank, row[3], -row[0])
                   for rank, row in enumerate(sorted(scores, key=lambda r: r[:3])[:best], 1)]
     return found
+
+
+def suffix_tree_scores(rows: list[tuple], learns, depth: int = 3, repeats: int = 3,
+                       least: int = 8, leaning: float = 2.0, divergence: float = 3.0
+                       ) -> tuple[dict, dict]:
+    """(score by doc_id, number of states by length) of a suffix tree over words."""
+    end = None
+    tokens = {doc_id: (*words(text), end) for doc_id, text in rows}
+    learned = [found for doc_id, found in tokens.items() if learns(doc_id)]
+    counts = Counter(t for found in learned for t in found)
+    whole = sum(counts.values()) + len(counts) + 1
+    root = {t: (n + 1) / whole for t, n in counts.items()}
+    contexts = {(t,): n for t, n in counts.items() if n >= least and t is not end}
+    shares, backing, sizes = {}, {}, {}
+    for length in range(1, depth + 1):
+        runs = Counter((found[i - length:i], found[i]) for found in learned
+                       for i in range(length, len(found)))
+        level: dict = defaultdict(dict)
+        for (context, token), n in runs.items():
+            shorter = root.get(token) if length == 1 else shares.get((context[1:], token))
+            if n >= repeats and context in contexts and shorter is not None:
+                level[context][token] = n, shorter
+        for context, entries in level.items():
+            count = contexts[context]
+            share = {t: (n + leaning * s) / (count + leaning) for t, (n, s) in entries.items()}
+            back = (max(1 - sum(share.values()), 1e-12)
+                    / max(1 - sum(s for _, s in entries.values()), 1e-12))
+            gain = sum(n * math.log(share[t] / s) for t, (n, s) in entries.items())
+            gain += (count - sum(n for n, _ in entries.values())) * math.log(back)
+            state = gain > divergence * (1 + len(entries))
+            if state:
+                backing[context] = math.log10(back)
+                sizes[length] = sizes.get(length, 0) + 1
+            for t, (_, s) in entries.items():
+                shares[context, t] = share[t] if state else s
+        contexts = {(*c, t): n for c, entries in level.items()
+                    for t, (n, _) in entries.items() if n >= least and t is not end}
+
+    def score(found: tuple) -> float:
+        total = 0.0
+        for i, token in enumerate(found):
+            log, covered = 0.0, False
+            for length in range(1, min(i, depth) + 1):
+                context = found[i - length:i]
+                if context in backing:
+                    listed = (context, token) in shares
+                    log = math.log10(shares[context, token]) if listed else log + backing[context]
+                    covered = covered or listed
+            total += log if covered else log + math.log10((counts[token] + 1) / whole)
+        return total
+
+    return {doc_id: score(found) for doc_id, found in tokens.items()}, sizes

@@ -1,5 +1,6 @@
 """Language ID, suffix tree and nearest neighbours by accuracy and brute force."""
 
+import random
 import zlib
 
 import numpy as np
@@ -98,7 +99,7 @@ def test_distributions_sum_to_one(documents):
         whole = 0.0
         for word in words:
             tokens = np.array([*before, word], np.uint64)
-            logs, covered = model.scored(tokens, np.arange(len(tokens)))
+            logs, covered, *_ = model.scored(tokens, np.arange(len(tokens)))
             count = model.word_counts[model.words == word][0]
             whole += 10 ** logs[-1] * (1.0 if covered[-1] else (count + 1) / (total + kinds + 1))
         assert whole <= 1 + 1e-9 and whole > 0.9
@@ -133,6 +134,25 @@ def test_scores_do_not_depend_on_blocks_or_splits(documents, monkeypatch):
     assert found(1, 1 << 20) == found(30, 40)
 
 
+def mixed_rows():
+    """Texts over few words, with phrases that make states of every length."""
+    draw = random.Random(4)
+    phrases = ["a b c d", "x b c e", "y z a b", "c d x", "e e e e", "b c"]
+    return [(i, " ".join(draw.choices(phrases, k=draw.randint(1, 9)))) for i in range(160)]
+
+
+@pytest.mark.parametrize("most", [10 ** 6, 60, 12, 0])
+def test_scores_equal_a_plain_suffix_tree(documents, monkeypatch, most):
+    """Whatever share of the tree is sent."""
+    rows = mixed_rows() + [(900, "new words a b c"), (901, None)]
+    want, states = plain.suffix_tree_scores(rows, lambda i: fold(i, 7) != 2)
+    assert all(states.values()) and len(states) == 3
+    monkeypatch.setattr(suffix_tree, "SENT_ENTRIES", most)
+    monkeypatch.setattr(suffix_tree, "SENT_WORDS", 4 if most < 20 else 1_000)
+    got = {r.doc_id: r.score for r in suffix_tree.scores(documents(rows)).collect()}
+    assert got == pytest.approx(want, rel=1e-9)
+
+
 def test_joined_scores_equal_those_of_a_sent_model(clashing, monkeypatch):
     rows = tree_rows() + [(None, "a1 b1 c1 x"), (None, "a1 b1 c1 x"), (9000, ""), (9001, None)]
 

@@ -12,14 +12,17 @@ A token is scored in the longest state that its preceding tokens end in.
    entry that is not, so these are left out early, by a filter of fixed size that may let
    too much through, never too little.
 3. Each length is tested with joins on the shorter one.
-4. Documents are scored with the model in their own task if it is small enough to be sent,
-   else by joins of their positions with the model's tables; rare tokens' part is joined.
+4. Documents are scored with the frequent contexts in their own task. Where a context may be
+   a state that was not sent, the position goes to the bucket of its shortest context that
+   was not sent. All longer ones end in that context, so the bucket has all states that the
+   position needs, and as the context is infrequent, no bucket is hot.
 
 Words and runs of words are known by 64-bit hashes.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,14 +31,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidegauge.llm import ragged
-from tidegauge.llm.tables import if_small, kept, ship, table
+from tidegauge.llm.tables import discard, if_small, kept, ship, table
 
 FOLDS, HELD_OUT = 7, 2
 DEPTH = 3
 # Words whose counts are sent to the workers; the others' are joined.
 SENT_WORDS = 200_000
-# Entries of a model that is sent to the workers; a larger one is joined.
-SENT_ENTRIES = 6_000_000
+# Contexts and entries of the model that are sent to the workers.
+SENT_ENTRIES = 3_000_000
 # Least count of an entry and of a context over the corpus, weight of the shorter state in
 # tokens, and log-likelihood that a state has to gain for each entry.
 REPEATS = 3
@@ -288,29 +291,34 @@ def with_tail(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, f"{SUMS}, suffix long, count long, tail long")
 
 
-def tested(rows: DataFrame) -> DataFrame:
+def tested(rows: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
     """Entries with ``shorter``, their share in the shorter state: adds whether the context
-    is a state, the share that then holds, and log10 of backing off."""
+    is a state, the share that then holds, and log10 of backing off. Then the contexts: ctx,
+    suffix, count, state, backing, size (entries)."""
     share = (F.col("n") + LEANING * F.col("shorter")) / (F.col("count") + LEANING)
     rows = rows.withColumn("share", share)
     sums = rows.groupBy("ctx").agg(
-        F.max("count").alias("count"), F.count(F.lit(1)).alias("size"),
-        F.sum("n").alias("listed"), F.sum("share").alias("shares"),
+        F.max("count").alias("count"), F.max("suffix").alias("suffix"),
+        F.count(F.lit(1)).alias("size"), F.sum("n").alias("listed"), F.sum("share").alias("shares"),
         F.sum("shorter").alias("shorters"),
         F.sum(F.col("n") * F.log(F.col("share") / F.col("shorter"))).alias("gain"))
     backing = (F.greatest(1 - F.col("shares"), F.lit(1e-12))
                / F.greatest(1 - F.col("shorters"), F.lit(1e-12)))
     gain = F.col("gain") + (F.col("count") - F.col("listed")) * F.log(backing)
-    states = kept(sums.select("ctx", F.log10(backing).alias("backing"), (
-        gain > DIVERGENCE * (1 + F.col("size"))).alias("state")), "states")
-    return rows.join(if_small(states), "ctx").select(
-        "ctx", "next", "entry", "n", "tail", "backing", "state",
-        F.when(F.col("state"), F.col("share")).otherwise(F.col("shorter")).alias("share"))
-
-
-def levels(learning: DataFrame, words: DataFrame, total: int, kinds: int) -> list[DataFrame]:
-    """Per length of context: the tested entries."""
-    found: list[DataFrame] = []
+    state = gain > DIVERGENCE * (1 + F.col("size"))
+    states = kept(sums.select(
+        "ctx", "suffix", "count", "size", state.alias("state"),
+        F.when(state, F.log10(backing)).otherwise(0.0).alias("backing")), f"contexts-{label}")
+    return kept(rows.join(if_small(states.select("ctx", "state")), "ctx").select(
+        "ctx", "next", "entry", "n", "tail", "state",
+        F.when(F.col("state"), F.col("share")).otherwise(F.col("shorter")).alias("share")),
+        f"level-{label}"), states
+
+
+def levels(learning: DataFrame, words: DataFrame, total: int, kinds: int
+           ) -> list[tuple[DataFrame, DataFrame]]:
+    """Per length of context: the tested entries and the contexts."""
+    found: list[tuple[DataFrame, DataFrame]] = []
     candidates = words.filter((F.col("n") >= LEAST) & (F.col("key") != int(END.view(np.int64)))
                               ).select(F.col("key").alias("ctx"), F.lit(None).cast("long")
                                        .alias("suffix"), F.col("n").alias("count"))
@@ -325,47 +333,63 @@ def levels(learning: DataFrame, words: DataFrame, total: int, kinds: int) -> lis
                 .alias("shorter"))), "tail")
         else:
             rows = with_tail(rows.select("ctx", "next", "entry", "n", "suffix", "count")).join(
-                if_small(found[-1].select(F.col("entry").alias("tail"),
+                if_small(found[-1][0].select(F.col("entry").alias("tail"),
                                           F.col("share").alias("shorter"))), "tail")
-        found.append(kept(tested(kept(rows, f"shorter-{length}")), f"level-{length}"))
-        candidates = found[-1].filter(
+        rows = kept(rows, f"shorter-{length}")
+        found.append(tested(rows, str(length)))
+        discard(sums, rows)
+        candidates = found[-1][0].filter(
             (F.col("n") >= LEAST) & (F.col("next") != int(END.view(np.int64)))).select(
             F.col("entry").alias("ctx"), F.col("tail").alias("suffix"), F.col("n").alias("count"))
-        ending = found[-1].select("entry")
+        ending = found[-1][0].select("entry")
     return found
 
 
 @dataclass
 class Model:
-    """Frequent words with their counts, and the tree's states and entries, in ascending
-    order of their keys."""
+    """Frequent words with their counts, frequent contexts and the entries of those that are
+    states, in ascending order of their keys."""
 
     words: np.ndarray
     word_counts: np.ndarray
     states: list[tuple[np.ndarray, np.ndarray]]  # per length: contexts, log10 of backing off
     entries: np.ndarray
     entry_logs: np.ndarray
+    rest: Filter | None = None  # states that are not here
 
     def __post_init__(self) -> None:
         self.word_places = Keys(self.words).places
         self.state_places = [Keys(s).places for s, _ in self.states]
         self.entry_places = Keys(self.entries).places
 
-    def scored(self, tokens: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """log10 given by the longest state of each token, and whether it is complete; else
-        the token's share at the root has to be added."""
+    def scored(self, tokens: np.ndarray, place: np.ndarray
+               ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """log10 given by the longest state of each token, and whether it is complete, else
+        the token's share at the root has to be added; whether other states may follow; and
+        per length the contexts that are not here (0 if the context is)."""
         logs, covered = np.zeros(len(tokens)), np.zeros(len(tokens), bool)
-        for (at, keys), places, (_, backing) in zip(contexts(tokens, place), self.state_places,
-                                                    self.states):
+        unsure, missing = np.zeros(len(tokens), bool), np.zeros((DEPTH, len(tokens)), U64)
+        for k, ((at, keys), places, (_, backing)) in enumerate(zip(
+                contexts(tokens, place), self.state_places, self.states)):
             spot = places(keys)
             hit = spot >= 0
+            if self.rest is not None:
+                missing[k, at[~hit]] = keys[~hit]
+                unsure[at[~hit]] |= self.rest.has(keys[~hit])
             at, keys, spot = at[hit], keys[hit], spot[hit]
-            entry = self.entry_places(entry_keys(keys, tokens[at]))
-            listed = entry >= 0
-            logs[at[listed]] = self.entry_logs[entry[listed]]
-            covered[at[listed]] = True
-            logs[at[~listed]] += backing[spot[~listed]]
-        return logs, covered
+            follow(logs, covered, at, backing[spot], self.entry_places(
+                entry_keys(keys, tokens[at])), self.entry_logs)
+        return logs, covered, unsure, missing
+
+
+def follow(logs: np.ndarray, covered: np.ndarray, at: np.ndarray, backing: np.ndarray,
+           entry: np.ndarray, entry_logs: np.ndarray) -> None:
+    """Go on to a longer state at the places ``at``, where ``entry`` is -1 if it does not list
+    the token."""
+    listed = entry >= 0
+    logs[at[listed]] = entry_logs[entry[listed]]
+    covered[at[listed]] = True
+    logs[at[~listed]] += backing[~listed]
 
 
 def _column(rows: pa.Table, name: str) -> np.ndarray:
@@ -394,9 +418,9 @@ def most_frequent(rows: DataFrame, most: int) -> DataFrame:
     return rows.filter(F.col("n") >= 2.0 ** bar)
 
 
-def grown(docs: DataFrame) -> tuple[DataFrame, list[DataFrame], int, int]:
-    """Word counts, the tested entries per length, the number of training tokens and that
-    of different ones."""
+def grown(docs: DataFrame) -> tuple[DataFrame, list[tuple[DataFrame, DataFrame]], int, int]:
+    """Word counts, the tested entries and contexts per length, the number of training tokens
+    and that of different ones."""
     ship(docs.sparkSession)
     learning = docs.select(docs["doc_id"], docs["text"]).filter(fold(docs["doc_id"]) != HELD_OUT)
     words = kept(word_sums(learning), "words")
@@ -404,85 +428,157 @@ def grown(docs: DataFrame) -> tuple[DataFrame, list[DataFrame], int, int]:
     return words, levels(learning, words, total, kinds), total, kinds
 
 
-def gathered(words: DataFrame, found: list[DataFrame]) -> Model:
-    """The tree in the memory of one process."""
+def least_sent(found: list[tuple[DataFrame, DataFrame]], most: int) -> float:
+    """Least count of the contexts to send, 0 if all contexts and their entries are at most
+    ``most``. It doubles until few enough are left."""
+    weights: dict[int, int] = {}
+    for _, contexts_ in found:
+        weight = 1 + F.when(F.col("state"), F.col("size")).otherwise(0)
+        for row in contexts_.groupBy(F.floor(F.log2("count")).alias("power")).agg(
+                F.sum(weight).alias("weight")).collect():
+            weights[row["power"]] = weights.get(row["power"], 0) + row["weight"]
+    total, bar = 0, 2.0 ** 63
+    for power in sorted(weights, reverse=True):
+        total += weights[power]
+        if total > most:
+            return bar
+        bar = 2.0 ** power
+    return 0.0
+
+
+def gathered(words: DataFrame, found: list[tuple[DataFrame, DataFrame]], bar: float) -> Model:
+    """The contexts that come ``bar`` times, in the memory of one process."""
     states, entries = [], []
-    for level in found:
-        level = level.filter("state")
-        states.append(tuple(_ordered(level.select("ctx", "backing").distinct())))
-        entries.append(_ordered(level.select("entry", F.log10("share").alias("log"))))
+    for level, contexts_ in found:
+        often = contexts_.filter(F.col("count") >= bar)
+        states.append(tuple(_ordered(often.select("ctx", "backing"))))
+        own = level.filter("state")
+        if bar:
+            own = own.join(if_small(often.filter("state").select("ctx")), "ctx", "left_semi")
+        entries.append(_ordered(own.select("entry", F.log10("share").alias("log"))))
     keys, logs = (np.concatenate(x) for x in zip(*entries))
     order = np.argsort(keys)
-    return Model(*_ordered(most_frequent(words, SENT_WORDS)), states, keys[order], logs[order])
+    model = Model(*_ordered(most_frequent(words, SENT_WORDS)), states, keys[order], logs[order])
+    if bar:
+        rest = [c.filter(F.col("state") & (F.col("count") < bar)).select("ctx") for _, c in found]
+        model.rest = filter_of(functools.reduce(DataFrame.union, rest))
+    return model
 
 
 def train(docs: DataFrame) -> tuple[Model, DataFrame, int, int]:
-    """The model in memory, the counts of all words, the number of training tokens and that
-    of different ones."""
+    """The whole model in memory, the counts of all words, the number of training tokens and
+    that of different ones."""
     words, found, total, kinds = grown(docs)
-    return gathered(words, found), words, total, kinds
+    return gathered(words, found, 0.0), words, total, kinds
+
+
+def rest_of(found: list[tuple[DataFrame, DataFrame]], bar: float) -> DataFrame:
+    """(anchor, ctx, entry, log, backing) of the states that come less than ``bar`` times; the
+    anchor is the shortest ending of the context that does."""
+    rows, shorter = [], None
+    for level, contexts_ in found:
+        anchor = F.col("ctx")
+        if shorter is not None:
+            contexts_ = contexts_.join(shorter.hint("merge"), "suffix", "left")
+            anchor = F.coalesce("suffix_anchor", "ctx")
+        own = contexts_.filter(F.col("count") < bar).select(
+            "ctx", "backing", "state", anchor.alias("anchor"))
+        rows.append(level.filter("state").join(own.filter("state").drop("state").hint("merge"),
+                                               "ctx").select(
+            "anchor", "ctx", "entry", F.log10("share").alias("log"), "backing"))
+        shorter = own.select(F.col("ctx").alias("suffix"), F.col("anchor").alias("suffix_anchor"))
+    return functools.reduce(DataFrame.union, rows)
 
 
 SCORED = ("doc_id long, text_id long, n_tokens long, n_known long, base double, logs double, "
           "open double, n_open long, rare long, n long")
-POSITIONS = ("doc_id long, text_id long, token long, "
-             + ", ".join(f"ctx{k} long, entry{k} long" for k in range(1, DEPTH + 1)))
+POSITIONS = ("bucket long, doc_id long, text_id long, token long, logs double, covered boolean, "
+             + ", ".join(f"ctx{k} long" for k in range(DEPTH)))
+SETTLED = "doc_id long, text_id long, logs double, open double, n_open long, rare long"
+
 
+def settled(docs: DataFrame, found: list[tuple[DataFrame, DataFrame]], bar: float, total: int,
+            shared) -> DataFrame:
+    """The positions that ``Model.scored`` is unsure of: sums per row's id and text of logs,
+    open and n_open, and rows for open tokens whose counts were not sent (``rare``)."""
+    buckets = max(16, total // BUCKET)
 
-def joined_scores(docs: DataFrame, words: DataFrame, found: list[DataFrame]) -> DataFrame:
-    """(doc_id, text_id, logs, open, n_open) like those of ``Model.scored``, by joins, summed
-    over the rows with that id and text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Model(*shared.value)
         for batch in batches:
             for first, tokens, owner, place, text_id in token_rows(batch.column("text")):
-                columns = [batch.column("doc_id").take(pa.array(first + owner)),
-                           pa.array(text_id[owner].view(np.int64)),
-                           pa.array(tokens.view(np.int64))]
-                for at, keys in contexts(tokens, place):
-                    for values in (keys, entry_keys(keys, tokens[at])):
-                        full, missing = np.zeros(len(tokens), np.int64), np.ones(len(tokens), bool)
-                        full[at], missing[at] = values.view(np.int64), False
-                        columns.append(pa.array(full, mask=missing))
-                yield pa.RecordBatch.from_arrays(columns, [
-                    "doc_id", "text_id", "token",
-                    *(f"{c}{k}" for k in range(1, DEPTH + 1) for c in ("ctx", "entry"))])
-
-    rows = docs.mapInArrow(run, POSITIONS)
-    logs, covered = F.lit(0.0), F.lit(False)
-    for k, level in enumerate(found, 1):
-        level = level.filter("state")
-        rows = rows.join(level.select(F.col("ctx").alias(f"ctx{k}"), F.col("backing").alias(
-            f"backing{k}")).distinct().hint("merge"), f"ctx{k}", "left")
-        rows = rows.join(level.select(F.col("entry").alias(f"entry{k}"), F.log10("share").alias(
-            f"log{k}")).hint("merge"), f"entry{k}", "left")
-        listed = F.col(f"log{k}").isNotNull()
-        logs = F.when(listed, F.col(f"log{k}")).otherwise(
-            logs + F.coalesce(F.col(f"backing{k}"), F.lit(0.0)))
-        covered = covered | listed
-    rows = kept(rows.select("doc_id", "text_id", "token", logs.alias("logs"),
-                            covered.alias("covered")), "positions")
-    shares = words.select(F.col("key").alias("token"), F.log10(F.col("n") + 1.0).alias("share"))
-    rows = rows.join(shares.hint("merge"), "token", "left")
-    return rows.groupBy("doc_id", "text_id").agg(
-        F.sum("logs").alias("logs"), F.sum(F.when(~F.col("covered"), F.coalesce(
-            F.col("share"), F.lit(0.0))).otherwise(0.0)).alias("open"),
-        F.count(F.when(~F.col("covered"), 1)).alias("n_open"))
+                logs, covered, unsure, missing = model.scored(tokens, place)
+                at = np.flatnonzero(unsure)
+                keys = missing[:, at]
+                anchor = keys[(keys != 0).argmax(axis=0), np.arange(len(at))]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array((ragged.mixed(anchor) % U64(buckets)).astype(np.int64)),
+                     batch.column("doc_id").take(pa.array(first + owner[at])),
+                     *(pa.array(x[at].view(np.int64)) for x in (text_id[owner], tokens)),
+                     pa.array(logs[at]), pa.array(covered[at]),
+                     *(pa.array(k.view(np.int64)) for k in keys)],
+                    [c.split()[0] for c in POSITIONS.split(", ")])
+        ragged.release()
+
+    def place_rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            anchor = batch.column("anchor").to_numpy().view(U64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array((ragged.mixed(anchor) % U64(buckets)).astype(np.int64)),
+                 *(batch.column(c) for c in ("ctx", "entry", "log", "backing"))],
+                ["bucket", "ctx", "entry", "log", "backing"])
+
+    def settle(rows: pa.Table, rest: pa.Table) -> pa.Table:
+        words, word_counts = shared.value[:2]
+        ctx, entry = (rest.column(c).to_numpy().view(U64) for c in ("ctx", "entry"))
+        by_entry = np.argsort(entry)
+        states, first = np.unique(ctx, return_index=True)
+        backing = rest.column("backing").to_numpy()[first]
+        entry_logs = rest.column("log").to_numpy()[by_entry]
+        state_places, entry_places = Keys(states).places, Keys(entry[by_entry]).places
+        tokens = rows.column("token").to_numpy().view(U64)
+        logs, covered = (rows.column(c).to_numpy().copy() for c in ("logs", "covered"))
+        for k in range(DEPTH):
+            keys = rows.column(f"ctx{k}").to_numpy().view(U64)
+            spot = state_places(keys)
+            at = np.flatnonzero((spot >= 0) & (keys != 0))
+            follow(logs, covered, at, backing[spot[at]],
+                   entry_places(entry_keys(keys[at], tokens[at])), entry_logs)
+        word = Keys(words).places(tokens)
+        shares = np.append(np.log10(word_counts + 1.0), 0.0)[word]
+        rare = ~covered & (word < 0)
+        out = rows.select(["doc_id", "text_id"])
+        for name, values in (("logs", logs), ("open", np.where(covered, 0.0, shares)),
+                             ("n_open", (~covered).astype(np.int64)), ("rare", pa.array(
+                                 tokens.view(np.int64), mask=~rare))):
+            out = out.append_column(name, pa.array(values))
+        # Most positions of a text need not be told apart any more.
+        return out.group_by(["doc_id", "text_id", "rare"]).aggregate(
+            [("logs", "sum"), ("open", "sum"), ("n_open", "sum")]).rename_columns(
+            ["doc_id", "text_id", "rare", "logs", "open", "n_open"]).select(
+            ["doc_id", "text_id", "logs", "open", "n_open", "rare"])
+
+    rest = rest_of(found, bar).mapInArrow(
+        place_rest, "bucket long, ctx long, entry long, log double, backing double")
+    return docs.mapInArrow(run, POSITIONS).groupBy("bucket").cogroup(
+        rest.groupBy("bucket")).applyInArrow(settle, SETTLED)
 
 
 def scores(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Learns from the rows whose fold is not the held-out one. A null or empty text is its
-    end alone. Null ids count as empty text in the fold; repeated rows are learned from as
-    often as they come, and get equal scores. An empty table gives no rows; other columns
-    are ignored.
+    end alone; texts of any length are read whole. Null ids count as empty text in the fold;
+    repeated rows are learned from as often as they come, and get equal scores. An empty
+    table gives no rows; other columns are ignored.
     """
     docs = docs.select(docs["doc_id"], docs["text"])
     words, found, total, kinds = grown(docs)
-    sent = sum(level.filter("state").count() for level in found) <= SENT_ENTRIES
-    model = gathered(words, found if sent else [level.limit(0) for level in found])
+    bar = least_sent(found, SENT_ENTRIES)
+    model = gathered(words, found, bar)
     shared = docs.sparkSession.sparkContext.broadcast(
-        (model.words, model.word_counts, model.states, model.entries, model.entry_logs))
+        (model.words, model.word_counts, model.states, model.entries, model.entry_logs,
+         model.rest))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(*shared.value)
@@ -499,7 +595,9 @@ def scores(docs: DataFrame) -> DataFrame:
             ids = batch.column("doc_id")
             for first, tokens, owner, place, text_id in token_rows(batch.column("text")):
                 word = model.word_places(tokens)
-                logs, covered = model.scored(tokens, place)
+                logs, covered, unsure, _ = model.scored(tokens, place)
+                # What is not sure yet is settled elsewhere.
+                logs[unsure], covered[unsure] = 0.0, True
                 size = len(text_id)
 
                 def per_text(values: np.ndarray) -> np.ndarray:
@@ -527,21 +625,27 @@ def scores(docs: DataFrame) -> DataFrame:
 
     rows = kept(docs.mapInArrow(run, SCORED), "scored")
     scored = rows.filter(F.col("rare").isNull()).drop("rare", "n")
-    # Rows that repeat share their rare tokens' sums.
-    share = F.log10(F.col("c") + 1.0)
-    sums = rows.filter(F.col("rare").isNotNull()).select(
-        "doc_id", "text_id", "rare", "n", "n_open").join(words.select(
-            F.col("key").alias("rare"), F.col("n").alias("c")).hint("merge"), "rare").groupBy(
-        "doc_id", "text_id").agg(F.sum(F.col("n") * share).alias("rare"),
-                                 F.sum(F.col("n_open") * share).alias("rare_open"),
-                                 F.sum("n").alias("rare_known"))
-    if not sent:
-        sums = sums.withColumns({c: F.lit(0.0) for c in ("logs", "open")} | {
-            "n_open": F.lit(0).cast("long"), "rare_open": F.lit(0.0)}).unionByName(
-            joined_scores(docs, words, found), allowMissingColumns=True).groupBy(
-            "doc_id", "text_id").agg(*(F.sum(c).alias(c) for c in (
-                "rare", "rare_open", "rare_known", "logs", "open", "n_open")))
-        scored = scored.drop("logs", "open", "n_open")
+    parts = rows.filter(F.col("rare").isNotNull()).select(
+        "doc_id", "text_id", "rare", "n", F.col("n_open").alias("rare_n"))
+    if bar:
+        later = kept(settled(docs, found, bar, total, shared), "settled")
+        parts = parts.withColumns({"logs": F.lit(0.0), "open": F.lit(0.0),
+                                   "n_open": F.lit(0).cast("long")}).unionByName(later.select(
+            "doc_id", "text_id", "logs", "open", "n_open", "rare",
+            F.lit(0).cast("long").alias("n"), F.col("n_open").alias("rare_n")))
+    # Rows that repeat share the sums of their tokens that were looked up elsewhere.
+    share = F.log10(F.coalesce("c", F.lit(0)) + 1.0)
+    counts = words.select(F.col("key").alias("rare"), F.col("n").alias("c")).hint("merge")
+    # A key without rows of its own spreads the parts that have no rare token.
+    asked = parts.join(counts, "rare") if not bar else parts.filter("rare is not null").join(
+        counts, "rare", "left").unionByName(parts.filter("rare is null").withColumn(
+            "c", F.lit(None).cast("long")))
+    more = {c: F.sum(c) for c in ("logs", "open", "n_open")} if bar else {}
+    sums = asked.groupBy("doc_id", "text_id").agg(
+        F.sum(F.when(F.col("rare").isNotNull(), F.col("n") * share)).alias("rare_base"),
+        F.sum(F.when(F.col("rare").isNotNull(), F.col("rare_n") * share)).alias("rare_open"),
+        F.sum(F.when(F.col("c").isNotNull(), F.col("n"))).alias("rare_known"),
+        *(column.alias(f"more_{c}") for c, column in more.items()))
     values = [c for c in sums.columns if c not in ("doc_id", "text_id")]
     times = scored.groupBy("doc_id", "text_id").agg(F.count(F.lit(1)).alias("times"))
     once = times.join(sums, times["doc_id"].eqNullSafe(sums["doc_id"])
@@ -550,15 +654,19 @@ def scores(docs: DataFrame) -> DataFrame:
         *((F.col(c) / F.col("times")).alias(c) for c in values))
     joined = scored.join(once, F.col("doc_id").eqNullSafe(F.col("of"))
                          & (F.col("text_id") == F.col("of_text")), "left")
-    rare, rare_open, rare_known = (F.coalesce(c, F.lit(0.0))
-                                   for c in ("rare", "rare_open", "rare_known"))
+
+    def extra(name: str) -> Column:
+        return F.coalesce(name, F.lit(0.0)) if name in values else F.lit(0.0)
+
     whole = F.log10(F.lit(float(total + kinds + 1)))
+    open_ = F.col("open") + extra("rare_open") + extra("more_open")
     return joined.select(
         "doc_id", (fold(F.col("doc_id")) == HELD_OUT).alias("held_out"), "n_tokens",
-        (F.col("n_known") + F.round(rare_known).cast("long")).alias("n_known"),
+        (F.col("n_known") + F.round(extra("rare_known")).cast("long")).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base") + rare - F.col("n_tokens") * whole).alias("base_score"),
-        (F.col("logs") + F.col("open") + rare_open - F.col("n_open") * whole).alias("score"))
+        (F.col("base") + extra("rare_base") - F.col("n_tokens") * whole).alias("base_score"),
+        (F.col("logs") + extra("more_logs") + open_
+         - (F.col("n_open") + extra("more_n_open")) * whole).alias("score"))
 
 
 def op3(spark: SparkSession, folder: str) -> DataFrame:

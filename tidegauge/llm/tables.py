@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -27,7 +28,20 @@ def kept(df: DataFrame, label: str) -> DataFrame:
     not the steps before, and later steps read only the columns they use."""
     path = new_folder(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table_ = df.sparkSession.read.schema(df.schema).parquet(path)
+    table_._kept_at = path
+    return table_
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables of ``kept`` that no later step reads, and let go of the shuffle files of
+    the steps that are done: Spark removes them once the JVM has collected their handles."""
+    spark = tables[0].sparkSession
+    for one in tables:
+        path = spark._jvm.org.apache.hadoop.fs.Path(one._kept_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def public_vocabulary(name: str) -> str:
