@@ -14,22 +14,38 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidegauge.llm import language_id, line_dedup, ngram_join, packing
 from tidegauge.llm.tables import kept, public_vocabulary
 
-# A text whose best language is less probable than this is rejected, as is one without
-# letters; clean texts of more than a few words are far above.
+# A text of at least so many letters is rejected if its best language is less probable than
+# this; fewer letters may be as likely in several languages and tell nothing.
 LEAST_SCORE = 0.5
+TELLING_LETTERS = 200
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents in a language that the model knows well enough."""
+    """Keeps documents in a language that the model knows.
+
+    Texts that are null or have no letters go, and long ones that no language fits. Without a
+    labelled text there is no model, and all rows stay. Rows are judged by their text alone:
+    repeated rows stay or go together, null ids, sources and other columns, whatever their
+    names, do not matter; texts of any length are read whole; an empty table stays empty.
+    """
     model = language_id.train(docs, public_vocabulary("byte_bpe_multi_50k.tiktoken"))
+    if not model.languages:
+        return docs
     found = language_id.with_language(docs, model)
+    letters = F.length(F.regexp_replace("row.text", r"[^\p{L}]+", ""))
     kept_rows = found.filter((F.col("lang_pred") != language_id.UNKNOWN)
-                             & (F.col("score") >= LEAST_SCORE))
+                             & ((F.col("score") >= LEAST_SCORE) | (letters < TELLING_LETTERS)))
     return kept_rows.select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops lines that an earlier document holds; n_chars follows the text."""
+    """Drops lines that an earlier document holds; n_chars, if there is one, follows the text.
+
+    No row goes. A null text becomes an empty one. Rows that share a doc_id, or have none,
+    count as one document, so rows that repeat keep their lines together. Other columns,
+    whatever their names, are carried; texts of any length are split whole; an empty table
+    stays empty.
+    """
     found = line_dedup.dedup_lines(docs)
     values = {c: F.col(f"row.`{c}`") for c in docs.columns if c != "text"}
     values["text"] = F.col("text")
@@ -39,15 +55,34 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest doc_id of each group of near copies, and all rows without one."""
-    groups = ngram_join.jaccard_groups(docs).filter("doc_id = component_id").select(
-        F.col("doc_id").alias("keeper")).distinct()
-    return docs.join(groups.hint("merge"), docs["doc_id"] == groups["keeper"], "left_semi").union(
-        docs.filter(docs["doc_id"].isNull()))
+    """Keeps one row of each group of near copies: that with the smallest doc_id.
+
+    Rows are told apart by a number of their own, so one row of a group stays also if ids
+    repeat or are null (a null id is larger than any). Texts without words are alike to
+    nothing and all stay. Other columns, whatever their names, are carried; texts of any
+    length are compared whole; an empty table stays empty.
+    """
+    number = "row_number"
+    while number in docs.columns:
+        number += "_"
+    numbered = kept(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    groups = ngram_join.jaccard_groups(numbered.select(F.col(number).alias("doc_id"), "text"))
+    ids = numbered.select(F.col(number).alias("number"), F.col("doc_id").alias("id"))
+    standing = F.struct(F.col("id").isNull().alias("unnamed"), "id", "number")
+    keepers = (groups.join(ids, groups["doc_id"] == ids["number"]).groupBy("component_id")
+               .agg(F.min(standing)["number"].alias("keeper")).select("keeper"))
+    keepers = kept(keepers, "keepers")
+    return numbered.join(keepers.hint("merge"), numbered[number] == keepers["keeper"],
+                         "left_semi").select(*(numbered[c] for c in docs.columns))
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs what is left into training sequences; one row per piece."""
+    """Packs what is left into training sequences; one row per piece.
+
+    A null or empty text is its end token alone. Every row is a document of its own, also
+    if rows repeat or have no id; long texts are cut into pieces; other columns do not
+    matter; an empty table gives no pieces.
+    """
     return packing.pack(docs, public_vocabulary("byte_bpe_50k.json"))
 
 
