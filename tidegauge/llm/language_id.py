@@ -255,7 +255,7 @@ def train(docs: DataFrame, vocabulary: str, sample: int = SAMPLE, rounds: int =
     return Model(languages, pieces, fitted(words, counts, pieces, rounds))
 
 
-# Of a worker: what it knows of words, by model.
+# Of a worker: what it knows of words, by the model it saw last.
 _MEMORIES: dict[str, ragged.Memory] = {}
 
 
@@ -273,6 +273,8 @@ def with_language(docs: DataFrame, model: Model, keep: list[str] | None = None)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
+        if token not in _MEMORIES:
+            _MEMORIES.clear()
         memory = _MEMORIES.setdefault(token, ragged.Memory(1 << 20))
         names = np.array([*model.languages, UNKNOWN], object)
         for batch in batches:
@@ -297,6 +299,7 @@ def with_language(docs: DataFrame, model: Model, keep: list[str] | None = None)
             yield pa.RecordBatch.from_arrays(
                 [row, pa.array(names[best], pa.string()), pa.array(score)],
                 ["row", "lang_pred", "score"])
+        ragged.release()
 
     keep = keep or docs.columns
     apart = "text" not in keep
