@@ -492,8 +492,8 @@ def rest_of(found: list[tuple[DataFrame, DataFrame]], bar: float) -> DataFrame:
 
 SCORED = ("doc_id long, text_id long, n_tokens long, n_known long, base double, logs double, "
           "open double, n_open long, rare long, n long")
-POSITIONS = ("bucket long, doc_id long, text_id long, token long, logs double, covered boolean, "
-             + ", ".join(f"ctx{k} long" for k in range(DEPTH)))
+POSITIONS = ("bucket long, ids array<long>, texts array<long>, owners binary, tokens binary, "
+             "logs binary, marks binary, keys binary")
 SETTLED = "doc_id long, text_id long, logs double, open double, n_open long, rare long"
 
 
@@ -501,7 +501,8 @@ def settled(docs: DataFrame, found: list[tuple[DataFrame, DataFrame]], bar: floa
             shared) -> DataFrame:
     """The positions that ``Model.scored`` is unsure of: sums per row's id and text of logs,
     open and n_open, and rows for open tokens whose counts were not sent (``rare``)."""
-    buckets = max(16, total // BUCKET)
+    buckets = max(16, total // (4 * BUCKET))
+    bits = np.arange(DEPTH, dtype=np.uint8)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(*shared.value)
@@ -509,15 +510,29 @@ def settled(docs: DataFrame, found: list[tuple[DataFrame, DataFrame]], bar: floa
             for first, tokens, owner, place, text_id in token_rows(batch.column("text")):
                 logs, covered, unsure, missing = model.scored(tokens, place)
                 at = np.flatnonzero(unsure)
-                keys = missing[:, at]
-                anchor = keys[(keys != 0).argmax(axis=0), np.arange(len(at))]
+                keys = missing[:, at].T
+                anchor = keys[np.arange(len(at)), (keys != 0).argmax(axis=1)]
+                bucket = (ragged.mixed(anchor) % U64(buckets)).astype(np.int64)
+                order = np.argsort(bucket, kind="stable")
+                at, keys, bucket = at[order], keys[order], bucket[order]
+                # Only the contexts that may be states travel.
+                likely = (keys != 0) & model.rest.has(keys.ravel()).reshape(keys.shape)
+                marks = ((likely << bits).sum(axis=1) + (covered[at] << DEPTH)).astype(np.uint8)
+                edges = np.flatnonzero(np.diff(bucket, prepend=-1))
+                rows: list[list] = [[] for _ in range(8)]
+                for a, b in zip(edges, np.append(edges[1:], len(at))):
+                    own, inside = np.unique(owner[at[a:b]], return_inverse=True)
+                    for column, value in zip(rows, (
+                            int(bucket[a]), batch.column("doc_id").take(
+                                pa.array(first + own)).to_pylist(), text_id[own].view(np.int64),
+                            inside.astype(np.int32).tobytes(), tokens[at[a:b]].tobytes(),
+                            logs[at[a:b]].tobytes(), marks[a:b].tobytes(),
+                            keys[a:b][likely[a:b]].tobytes())):
+                        column.append(value)
+                kinds = [pa.int64(), *[pa.list_(pa.int64())] * 2, *[pa.binary()] * 5]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array((ragged.mixed(anchor) % U64(buckets)).astype(np.int64)),
-                     batch.column("doc_id").take(pa.array(first + owner[at])),
-                     *(pa.array(x[at].view(np.int64)) for x in (text_id[owner], tokens)),
-                     pa.array(logs[at]), pa.array(covered[at]),
-                     *(pa.array(k.view(np.int64)) for k in keys)],
-                    [c.split()[0] for c in POSITIONS.split(", ")])
+                    [pa.array(r, k) for r, k in zip(rows, kinds)],
+                    ["bucket", "ids", "texts", "owners", "tokens", "logs", "marks", "keys"])
         ragged.release()
 
     def place_rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -536,22 +551,36 @@ def settled(docs: DataFrame, found: list[tuple[DataFrame, DataFrame]], bar: floa
         backing = rest.column("backing").to_numpy()[first]
         entry_logs = rest.column("log").to_numpy()[by_entry]
         state_places, entry_places = Keys(states).places, Keys(entry[by_entry]).places
-        tokens = rows.column("token").to_numpy().view(U64)
-        logs, covered = (rows.column(c).to_numpy().copy() for c in ("logs", "covered"))
+
+        def whole(name: str, kind) -> np.ndarray:
+            return np.concatenate([np.zeros(0, kind), *(
+                np.frombuffer(x.as_buffer(), kind) for x in rows.column(name))])
+
+        tokens, logs = whole("tokens", U64), whole("logs", np.float64)
+        marks, flat = whole("marks", np.uint8), whole("keys", U64)
+        covered = (marks >> DEPTH).astype(bool)
+        likely = (marks[:, None] >> bits & 1).astype(bool)
+        keys = np.zeros(likely.shape, U64)
+        keys[likely] = flat
+        del flat
         for k in range(DEPTH):
-            keys = rows.column(f"ctx{k}").to_numpy().view(U64)
-            spot = state_places(keys)
-            at = np.flatnonzero((spot >= 0) & (keys != 0))
-            follow(logs, covered, at, backing[spot[at]],
-                   entry_places(entry_keys(keys[at], tokens[at])), entry_logs)
+            at = np.flatnonzero(likely[:, k])
+            spot = state_places(keys[at, k])
+            at, spot = at[spot >= 0], spot[spot >= 0]
+            follow(logs, covered, at, backing[spot],
+                   entry_places(entry_keys(keys[at, k], tokens[at])), entry_logs)
         word = Keys(words).places(tokens)
         shares = np.append(np.log10(word_counts + 1.0), 0.0)[word]
         rare = ~covered & (word < 0)
-        out = rows.select(["doc_id", "text_id"])
-        for name, values in (("logs", logs), ("open", np.where(covered, 0.0, shares)),
-                             ("n_open", (~covered).astype(np.int64)), ("rare", pa.array(
-                                 tokens.view(np.int64), mask=~rare))):
-            out = out.append_column(name, pa.array(values))
+        held = np.array([len(x) for x in rows.column("ids")], np.int64)
+        sizes = np.array([len(x.as_buffer()) // 4 for x in rows.column("owners")], np.int64)
+        owner = whole("owners", np.int32) + np.repeat(np.cumsum(held) - held, sizes)
+        ids, texts = (rows.column(c).combine_chunks().flatten().take(pa.array(owner))
+                      for c in ("ids", "texts"))
+        out = pa.table({"doc_id": ids, "text_id": texts, "logs": logs,
+                        "open": np.where(covered, 0.0, shares),
+                        "n_open": (~covered).astype(np.int64),
+                        "rare": pa.array(tokens.view(np.int64), mask=~rare)})
         # Most positions of a text need not be told apart any more.
         return out.group_by(["doc_id", "text_id", "rare"]).aggregate(
             [("logs", "sum"), ("open", "sum"), ("n_open", "sum")]).rename_columns(
