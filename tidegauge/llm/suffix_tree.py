@@ -497,8 +497,7 @@ POSITIONS = ("bucket long, ids array<long>, texts array<long>, owners binary, to
 SETTLED = "doc_id long, text_id long, logs double, open double, n_open long, rare long"
 
 
-def settled(docs: DataFrame, found: list[tuple[DataFrame, DataFrame]], bar: float, total: int,
-            shared) -> DataFrame:
+def settled(docs: DataFrame, rest: DataFrame, total: int, shared) -> DataFrame:
     """The positions that ``Model.scored`` is unsure of: sums per row's id and text of logs,
     open and n_open, and rows for open tokens whose counts were not sent (``rare``)."""
     buckets = max(16, total // (4 * BUCKET))
@@ -587,7 +586,7 @@ def settled(docs: DataFrame, found: list[tuple[DataFrame, DataFrame]], bar: floa
             ["doc_id", "text_id", "rare", "logs", "open", "n_open"]).select(
             ["doc_id", "text_id", "logs", "open", "n_open", "rare"])
 
-    rest = rest_of(found, bar).mapInArrow(
+    rest = rest.mapInArrow(
         place_rest, "bucket long, ctx long, entry long, log double, backing double")
     return docs.mapInArrow(run, POSITIONS).groupBy("bucket").cogroup(
         rest.groupBy("bucket")).applyInArrow(settle, SETTLED)
@@ -653,28 +652,30 @@ def scores(docs: DataFrame) -> DataFrame:
         ragged.release()
 
     rows = kept(docs.mapInArrow(run, SCORED), "scored")
-    scored = rows.filter(F.col("rare").isNull()).drop("rare", "n")
-    parts = rows.filter(F.col("rare").isNotNull()).select(
-        "doc_id", "text_id", "rare", "n", F.col("n_open").alias("rare_n"))
-    if bar:
-        later = kept(settled(docs, found, bar, total, shared), "settled")
-        parts = parts.withColumns({"logs": F.lit(0.0), "open": F.lit(0.0),
-                                   "n_open": F.lit(0).cast("long")}).unionByName(later.select(
-            "doc_id", "text_id", "logs", "open", "n_open", "rare",
-            F.lit(0).cast("long").alias("n"), F.col("n_open").alias("rare_n")))
-    # Rows that repeat share the sums of their tokens that were looked up elsewhere.
-    share = F.log10(F.coalesce("c", F.lit(0)) + 1.0)
+    scored = kept(rows.filter(F.col("rare").isNull()).drop("rare", "n"), "scored-texts")
     counts = words.select(F.col("key").alias("rare"), F.col("n").alias("c")).hint("merge")
-    # A key without rows of its own spreads the parts that have no rare token.
-    asked = parts.join(counts, "rare") if not bar else parts.filter("rare is not null").join(
-        counts, "rare", "left").unionByName(parts.filter("rare is null").withColumn(
-            "c", F.lit(None).cast("long")))
-    more = {c: F.sum(c) for c in ("logs", "open", "n_open")} if bar else {}
-    sums = asked.groupBy("doc_id", "text_id").agg(
-        F.sum(F.when(F.col("rare").isNotNull(), F.col("n") * share)).alias("rare_base"),
-        F.sum(F.when(F.col("rare").isNotNull(), F.col("rare_n") * share)).alias("rare_open"),
-        F.sum(F.when(F.col("c").isNotNull(), F.col("n"))).alias("rare_known"),
-        *(column.alias(f"more_{c}") for c, column in more.items()))
+    share = F.log10(F.coalesce("c", F.lit(0)) + 1.0)
+    # Rows that repeat share the sums of their tokens that were looked up elsewhere.
+    sums = kept(rows.filter(F.col("rare").isNotNull()).select("doc_id", "text_id", "rare", "n", (
+        "n_open")).join(counts, "rare").groupBy("doc_id", "text_id").agg(
+        F.sum(F.col("n") * share).alias("rare_base"),
+        F.sum(F.col("n_open") * share).alias("rare_open"),
+        F.sum("n").alias("rare_known")), "rare-sums")
+    discard(rows)
+    if bar:
+        rest = kept(rest_of(found, bar), "rest")
+        discard(*(one for level in found for one in level))
+        later = kept(settled(docs, rest, total, shared), "settled")
+        # A token without a count adds nothing but its place, so only the counted are joined.
+        looked_up = later.filter("rare is not null").select(
+            "doc_id", "text_id", "rare", "n_open").join(counts, "rare").select(
+            "doc_id", "text_id", F.lit(0.0).alias("logs"), (F.col("n_open") * share).alias("open"),
+            F.lit(0).cast("long").alias("n_open"))
+        more = later.drop("rare").unionByName(looked_up).groupBy("doc_id", "text_id").agg(
+            *(F.sum(c).alias(f"more_{c}") for c in ("logs", "open", "n_open")))
+        sums = sums.unionByName(more, allowMissingColumns=True)
+        sums = sums.groupBy("doc_id", "text_id").agg(
+            *(F.sum(c).alias(c) for c in sums.columns if c not in ("doc_id", "text_id")))
     values = [c for c in sums.columns if c not in ("doc_id", "text_id")]
     times = scored.groupBy("doc_id", "text_id").agg(F.count(F.lit(1)).alias("times"))
     once = times.join(sums, times["doc_id"].eqNullSafe(sums["doc_id"])
