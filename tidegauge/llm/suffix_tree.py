@@ -500,7 +500,7 @@ SETTLED = "doc_id long, text_id long, logs double, open double, n_open long, rar
 def settled(docs: DataFrame, rest: DataFrame, total: int, shared) -> DataFrame:
     """The positions that ``Model.scored`` is unsure of: sums per row's id and text of logs,
     open and n_open, and rows for open tokens whose counts were not sent (``rare``)."""
-    buckets = max(16, total // (4 * BUCKET))
+    buckets = max(16, total // (2 * BUCKET))
     bits = np.arange(DEPTH, dtype=np.uint8)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
