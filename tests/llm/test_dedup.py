@@ -31,6 +31,10 @@ def near_copies(count, size=60, edits=3, seed=1):
     return out
 
 
+def rows_of(df):
+    return sorted(map(tuple, df.collect()))
+
+
 def groups_of(df):
     return {r.doc_id: (r.n_shingles, r.component_id) for r in df.collect()}
 
@@ -50,6 +54,24 @@ def test_exact_index_continues(spark, documents):
     assert got == {3: (4, 3), 4: (4, 3), 5: (5, 1)}
 
 
+def test_batch_admitted_again_counts_once(spark, documents):
+    index = exact_dedup.DigestIndex(spark, new_folder(spark, "index"), 4)
+    first, second = (exact_dedup.digests(documents(rows)) for rows in (
+        [(1, "a"), (2, "a"), (3, "b")], [(4, "a"), (5, "c")]))
+    index.admit(first, "one")
+    fresh = [rows_of(index.admit(second, "two")) for _ in range(2)]
+    assert fresh[0] == fresh[1] and len(fresh[0]) == 1
+    index.admit(first, "one")
+    assert sorted(r.copies for r in index.settled().collect()) == [1, 1, 3]
+
+
+def test_exact_call_repeated_by_name_counts_once(spark, documents):
+    place, docs = new_folder(spark, "index"), documents([(i, f"t{i % 4}") for i in range(20)])
+    first, again = (rows_of(exact_dedup.exact_groups(docs, place, 4, 3, "load-1"))
+                    for _ in range(2))
+    assert first == again and {r[2] for r in first} == {5}
+
+
 def test_exact_nulls_repeats_and_names(clashing):
     rows = [(None, "x"), (None, "x y"), (2, "x"), (2, "x"), (-5, "q")]
     got = sorted(

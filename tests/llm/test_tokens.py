@@ -136,6 +136,17 @@ def test_packing_repeats_and_empty(clashing):
     assert packing.pack(clashing([]), JSON).count() == 0
 
 
+def test_packing_deals_repeats_over_groups(documents):
+    rows = documents([(None, "")] * 300 + [(7, "the same text")] * 300)
+    got = packing.pack(rows.coalesce(1), JSON, sequence=64, group_rows=30).collect()
+    assert sum(r.length for r in got) == sum(r.doc_tokens for r in got if r.start == 0)
+    held = {}
+    for r in got:
+        key = (r.doc_id, r.sequence_id >> 32)
+        held[key] = held.get(key, 0) + (r.start == 0)
+    assert max(held.values()) < 60 and sum(held.values()) == 600
+
+
 CHAT = "conv_id long, turn long, role string, text string"
 
 

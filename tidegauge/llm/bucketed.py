@@ -27,12 +27,15 @@ def append(rows: DataFrame, name: str, key: str, buckets: int) -> None:
 
 
 def id_ranges(docs: DataFrame, count: int) -> list[Column]:
-    """Conditions that cut the rows into ``count`` ranges of ascending doc_id, nulls last."""
-    low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
+    """Conditions that cut the rows into ``count`` ranges of ascending doc_id, nulls last.
+
+    The bounds are quantiles, so ids far from the others leave the ranges even.
+    """
     column = F.col("doc_id")
-    if low is None:
+    shares = [i / count for i in range(1, count)]
+    bounds = shares and docs.agg(F.percentile_approx("doc_id", shares)).first()[0]
+    if not bounds:
         return [F.lit(True)]
-    bounds = [low + (high - low + 1) * i // count for i in range(1, count)]
     first = [F.lit(True), *(column >= b for b in bounds)]
     last = [*(column < b for b in bounds), F.lit(True)]
     ranges = [(a & b) & column.isNotNull() for a, b in zip(first, last, strict=True)]

@@ -5,7 +5,8 @@ row per digest (combined before the shuffle, so a text with a third of all rows
 row per task), then sort-merge anti-joined with the index: what is left is new and is
 appended. Digests that the index knows already are appended as later sightings, so
 that sizes and the best copy stay right over all batches. Neither step shuffles the
-index.
+index. Every entry names its batch: one that is admitted again after a failure finds the
+same texts new, and counts once.
 
 Digests are SHA-256 of the text without white space; equal digests count as equal
 texts.
@@ -13,6 +14,7 @@ texts.
 
 from __future__ import annotations
 
+import uuid
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -54,13 +56,14 @@ def _doc_of(best: Column) -> Column:
 
 
 class DigestIndex:
-    """A table of (digest, best, copies), one row per digest and batch that held it.
+    """A table of (digest, best, copies, batch), one row per digest and batch that held it,
+    or several equal ones if the batch was admitted again.
 
     ``location`` outlives the session: opening it again, with the same number of
     buckets, continues the index.
     """
 
-    FIELDS = "digest BINARY, best DECIMAL(38,0), copies BIGINT"
+    FIELDS = "digest BINARY, best DECIMAL(38,0), copies BIGINT, batch STRING"
 
     def __init__(self, spark: SparkSession, location: str, buckets: int):
         self.spark, self.buckets = spark, buckets
@@ -69,13 +72,18 @@ class DigestIndex:
     def entries(self) -> DataFrame:
         return self.spark.table(self.name)
 
-    def admit(self, batch: DataFrame) -> DataFrame:
-        """Add rows of ``digests``; gives the groups whose text the index did not know."""
+    def admit(self, batch: DataFrame, name: str | None = None) -> DataFrame:
+        """Add rows of ``digests``; gives the groups whose text no other batch held before.
+
+        A batch that may be admitted again, with the same rows, needs a name of its own.
+        """
+        name = name or uuid.uuid4().hex
         groups = (batch.groupBy("digest")
                   .agg(F.max(_standing(F.col("n_chars"), F.col("doc_id"))).alias("best"),
-                       F.count(F.lit(1)).alias("copies")))
+                       F.count(F.lit(1)).alias("copies"))
+                  .withColumn("batch", F.lit(name)))
         groups = kept(groups, "digest-batch")
-        known = self.entries().select("digest").hint("merge")
+        known = self.entries().filter(F.col("batch") != name).select("digest").hint("merge")
         fresh = kept(groups.join(known, "digest", "left_anti"), "digest-fresh")
         again = groups.join(known, "digest", "left_semi")
         bucketed.append(fresh.union(kept(again, "digest-again")), self.name, "digest",
@@ -84,26 +92,32 @@ class DigestIndex:
 
     def settled(self) -> DataFrame:
         """One row per digest over all batches; buckets are aggregated where they lie."""
-        return (self.entries().groupBy("digest")
+        once = (self.entries().groupBy("digest", "batch")
+                .agg(F.max("best").alias("best"), F.max("copies").alias("copies")))
+        return (once.groupBy("digest")
                 .agg(F.max("best").alias("best"), F.sum("copies").alias("copies")))
 
 
 def exact_groups(docs: DataFrame, location: str | None = None, buckets: int | None = None,
-                 batches: int = ARRIVALS) -> DataFrame:
+                 batches: int = ARRIVALS, name: str | None = None) -> DataFrame:
     """Per row: doc_id, keep_id, group_size, kept, text_sha256.
 
     Of equal texts the one with the most code points stays, then the smallest doc_id; a
     null doc_id is larger than any. Null and empty texts are one group. Rows repeated
     with one doc_id count each, and are kept or dropped together. An empty table gives
     no rows; other columns do not matter. ``location`` names a persistent index that
-    earlier calls may have filled: its texts count too.
+    earlier calls may have filled: its texts count too. A call that may have to be repeated
+    gives the same rows and ``name`` each time, and its rows count once.
     """
     spark = docs.sparkSession
     rows = kept(digests(docs), "digests")
     index = DigestIndex(spark, location or new_folder(spark, "digest-index"),
                         buckets or bucketed.default_buckets(spark))
-    for arrived in bucketed.id_ranges(rows, batches):
-        index.admit(rows.filter(arrived))
+    name = name or uuid.uuid4().hex
+    # By hash, so a repeated call cuts the same batches.
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(batches))
+    for number in range(batches):
+        index.admit(rows.filter(part == number), f"{name}-{number}")
     groups = kept(index.settled(), "digest-groups")
     keep = _doc_of(F.col("best"))
     return rows.join(groups.hint("merge"), "digest", "left").select(

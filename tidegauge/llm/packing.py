@@ -6,7 +6,8 @@ document is dealt to groups by hash; a group opens just as many sequences as its
 need and gives its documents, longest first, to the sequence of least cost that has room
 for them. A document that fits nowhere is cut at the room that is left. So a group's
 padding is less than one sequence in all, whatever the lengths are, and groups keep their
-size at any scale.
+size at any scale. Rows that repeat are numbered in their task and dealt by that number too,
+so however many there are, no group gets them all.
 """
 
 from __future__ import annotations
@@ -26,9 +27,11 @@ SEQUENCE = 2048
 END_ID = 1
 LINEAR, QUADRATIC = 1.0, 1 / 1024
 GROUP_ROWS = 2048
+# Different rows among which a task looks for repeats.
+REMEMBERED = 1 << 20
 
 PIECE = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary, "
-         "mark long")
+         "mark long, turn long")
 PACKED = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
 _ENCODERS: dict[str, Encoder] = {}
@@ -67,7 +70,8 @@ def balanced(lengths: np.ndarray, capacity: int, linear: float = LINEAR,
 def pieces(docs: DataFrame, vocabulary: str, sequence: int, end_id: int) -> DataFrame:
     """Documents in stretches of the sequence length and a shorter rest, which has its ids.
 
-    ``mark`` spreads rows over groups.
+    ``mark`` and ``turn``, the number of like rows before in the task, spread rows over groups.
+    The number does not depend on the order of up to ``REMEMBERED`` rows.
     """
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(read_merges(vocabulary))
@@ -84,27 +88,33 @@ def pieces(docs: DataFrame, vocabulary: str, sequence: int, end_id: int) -> Data
                 return merged(symbols, lengths, merges)
 
             encoder = _ENCODERS[vocabulary] = Encoder(work, merges.special)
+        seen: dict[tuple, int] = {}
         for batch in batches:
             doc_ids = batch.column("doc_id").to_pylist()
             for first, ids, sizes, _ in encoder(batch.column("text")):
-                rows: list[list] = [[] for _ in range(7)]
+                rows: list[list] = [[] for _ in range(8)]
                 at = 0
                 for doc_id, size in zip(doc_ids[first:], sizes.tolist()):
                     own = np.append(ids[at:at + size], end_id).astype("<u4")
                     at += size
                     mark = crc32(own)
+                    if len(seen) >= REMEMBERED:
+                        seen.clear()
+                    turn = seen.get((doc_id, mark), 0)
+                    seen[doc_id, mark] = turn + 1
                     for start in range(0, len(own), sequence):
                         part = own[start:start + sequence]
                         whole = len(part) == sequence
                         narrow = part if size and part.max() > 0xFFFF else part.astype("<u2")
                         for column, value in zip(rows, (
                                 doc_id, start, len(part), crc32(part), len(own),
-                                None if whole else narrow.tobytes(), mark)):
+                                None if whole else narrow.tobytes(), mark, turn)):
                             column.append(value)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, pa.binary() if i == 5 else pa.int64())
                      for i, c in enumerate(rows)],
-                    ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids", "mark"])
+                    ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids", "mark",
+                     "turn"])
 
     return docs.select(docs["doc_id"], docs["text"]).mapInArrow(encode, PIECE)
 
@@ -121,7 +131,7 @@ def pack(docs: DataFrame, vocabulary: str, sequence: int = SEQUENCE, end_id: int
     """
     groups = max(1, -(-docs.count() // group_rows))
     parts = pieces(docs, vocabulary, sequence, end_id).withColumn(
-        "group", F.pmod(F.xxhash64("doc_id", "mark"), F.lit(groups)))
+        "group", F.pmod(F.xxhash64("doc_id", "mark", "turn"), F.lit(groups)))
 
     def assign(rows: pa.Table) -> pa.Table:
         # One order, however the rows came in.
