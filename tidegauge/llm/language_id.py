@@ -19,6 +19,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidegauge.llm import ragged
@@ -244,15 +245,19 @@ def train(docs: DataFrame, vocabulary: str, sample: int = SAMPLE, rounds: int =
                                                  ["word", "lang"])
 
     rows = (known.filter(chance < share).mapInArrow(count, "word binary, lang string")
-            .groupBy("word", "lang").count().orderBy("word", "lang").collect())
-    words = sorted({bytes(r["word"]) for r in rows})
-    at = {word: i for i, word in enumerate(words)}
-    counts = np.zeros((len(words), len(languages)))
-    for row in rows:
-        counts[at[bytes(row["word"])], languages.index(row["lang"])] = row["count"]
+            .groupBy("word", "lang").count().toArrow().sort_by("word"))
+    coded = rows.column("word").combine_chunks().dictionary_encode()
+    words = coded.dictionary.to_pylist()
     if not words:
         return Model([], pieces, np.zeros((len(pieces.keys) + 1, 0)))
-    return Model(languages, pieces, fitted(words, counts, pieces, rounds))
+    counts = np.zeros((len(words), len(languages)))
+    spoken = pc.index_in(rows.column("lang"), pa.array(languages)).to_numpy()
+    counts[coded.indices.to_numpy(), spoken] = rows.column("count").to_numpy()
+    model = Model(languages, pieces, fitted(words, counts, pieces, rounds))
+    # The driver goes on to other work, and need not hold what fitting took.
+    del rows, coded, words, counts, spoken
+    ragged.release()
+    return model
 
 
 # Of a worker: what it knows of words, by the model it saw last.
