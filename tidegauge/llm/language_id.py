@@ -37,6 +37,8 @@ TINY = 1e-290
 # Weight of the pieces' shares over all languages in those of one.
 LEANING = 200.0
 UNKNOWN = "und"
+# Bytes of text handled at once.
+CHUNK = 1 << 19
 
 U64 = np.uint64
 
@@ -79,7 +81,7 @@ def letter_runs(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray,
     """Per chunk: first text, its lower-cased bytes, starts and ends of words, their text,
     number of texts."""
     lowered = pc.utf8_lower(texts.fill_null("").cast(pa.large_string()))
-    for first, last, data, bounds in ragged.chunks(lowered):
+    for first, last, data, bounds in ragged.chunks(lowered, CHUNK):
         if not len(data):
             none = np.zeros(0, np.int64)
             yield first, data, none, none, none, last - first

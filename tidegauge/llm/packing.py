@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidegauge.llm import ragged
 from tidegauge.llm.encoding import Encoder
 from tidegauge.llm.tables import public_vocabulary, ship, table
 from tidegauge.llm.token_counts import merged, read_merges
@@ -82,8 +83,6 @@ def pieces(docs: DataFrame, vocabulary: str, sequence: int, end_id: int) -> Data
             merges = shared.value
 
             def work(data, starts, lengths):
-                from tidegauge.llm import ragged
-
                 symbols = merges.bytes[ragged.gathered(data, starts, lengths)]
                 return merged(symbols, lengths, merges)
 
@@ -115,6 +114,8 @@ def pieces(docs: DataFrame, vocabulary: str, sequence: int, end_id: int) -> Data
                      for i, c in enumerate(rows)],
                     ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids", "mark",
                      "turn"])
+        seen.clear()
+        ragged.release()
 
     return docs.select(docs["doc_id"], docs["text"]).mapInArrow(encode, PIECE)
 
