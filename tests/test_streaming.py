@@ -77,6 +77,90 @@ def test_rolling_sum(stream, batch, drain):
     assert [r[3] for r in live] == pytest.approx([r[3] for r in expected])
 
 
+def resumed(stream, folder):
+    """Run to the end of the input, going on from the folder's checkpoint."""
+    query = (stream.writeStream.format("parquet").option("path", f"{folder}/rows")
+             .option("checkpointLocation", f"{folder}/checkpoint")
+             .trigger(availableNow=True).start())
+    assert query.awaitTermination(180)
+    return stream.sparkSession.read.parquet(f"{folder}/rows")
+
+
+def third():
+    """Three buckets for the readings; a third of all rows in each."""
+    return F.pmod(F.crc32("id"), F.lit(3))
+
+
+@pytest.mark.parametrize("slot_ms,shards", [(1_000, 32), (SECOND, 2), (FAR * 100, 4), (1, 1)])
+def test_bucket_counts(stream, batch, drain, slot_ms, shards):
+    live = drain(jobs.high_temperature_both_counts(stream, third(), 10.0, slot_ms, shards).select(
+        "id", "timestamp", "seq", "key_count", "bucket_count"))
+    assert sorted(live) == rows(rolling.high_temperature_both_counts(batch, third()))
+
+
+def test_bucket_count_goes_on_after_a_restart(spark, events, batch, tmp_path):
+    path = str(tmp_path / "parts")
+    whole = rolling.high_temperature_bucket_count(batch, third()).select(
+        "id", "seq", "bucket", "bucket_count")
+    for bounds in ([0, 300], [300, 301, 1_000]):
+        in_parts(events, path, bounds, "event_id")
+        given = readings(table_stream(spark, path, events.schema, files_per_batch=1))
+        live = resumed(jobs.high_temperature_bucket_count(given, third(), slot_ms=SECOND), tmp_path)
+    assert rows(live, "id", "seq", "bucket", "bucket_count") == rows(whole)
+
+
+def test_slots_of_a_hot_bucket_lie_in_many_parts(spark, batch):
+    slots = batch.withColumn("slot", F.floor(F.col("timestamp") / SECOND)).select("slot").distinct()
+    shards = F.pmod(F.xxhash64("slot"), F.lit(32))
+    assert slots.select(shards).distinct().count() > 16
+
+
+def test_a_bucket_of_no_number_counts_too(spark, make, drain, tmp_path):
+    data = make([("a", 1, 20), ("b", 2, 30), ("a", 2_500, 40)])
+    path = in_parts(data, str(tmp_path / "parts"), [0, 2, 3])
+    live = table_stream(spark, path, data.schema, files_per_batch=1)
+    none = F.when(F.col("id") == "b", 1)
+    counted = jobs.high_temperature_bucket_count(live, none)
+    assert sorted(drain(counted.select("seq", "bucket", "bucket_count"))) == [
+        (0, None, 1), (1, 1, 1), (2, None, 2)]
+
+
+def test_items_of_numbered_keys(spark, drain, tmp_path):
+    lists = spark.createDataFrame([(None, 1, ["n"], 0), (2**60 + 1, 1, ["x", "y"], 1),
+                                   (None, 2, ["m"], 2), (2**60 + 1, 2, ["z"], 3)],
+                                  "k long, turn int, words array<string>, seq long")
+    path = in_parts(lists, str(tmp_path / "parts"), [0, 2, 4])
+    live = table_stream(spark, path, lists.schema, files_per_batch=1)
+    assert set(drain(jobs.rolling_items(live, "k", "words", ["turn"]))) == {
+        (None, 1, 0, 1), (2**60 + 1, 1, 0, 2), (None, 2, 1, 2), (2**60 + 1, 2, 2, 3)}
+
+
+def test_rolling_items(spark, tmp_path):
+    lists = spark.createDataFrame(
+        [("a", 1, ["x", "y"], 0), ("b", 1, ["p"], 1), ("a", 2, None, 2), ("a", 3, [], 3),
+         (None, 1, ["n"], 4), ("a", 4, ["z"], 5), ("b", 2, ["q", "r"], 6)],
+        "k string, turn int, words array<string>, seq long")
+    path = str(tmp_path / "parts")
+    for bounds in ([0, 3], [3, 5, 7]):
+        in_parts(lists, path, bounds)
+        given = table_stream(spark, path, lists.schema, files_per_batch=1)
+        live = resumed(jobs.rolling_items(given, "k", "words", ["turn"]), tmp_path)
+    placed = rolling.rolling_items(lists, "k", "words", order=["turn"])
+    columns = ("k", "turn", "item_from", "item_to")
+    assert rows(live, *columns) == rows(placed, *columns)
+    singles = rolling.items_before(placed, placed.select("k", "turn", "item_to"), "k", "words")
+    joined = {}
+    for r in singles.orderBy("position").collect():
+        joined.setdefault((r.k, r.turn), []).append(r.item)
+    concat = rolling.rolling_concat(lists.fillna("").withColumn(
+        "words", F.coalesce("words", F.array().cast("array<string>"))), "k", "words", order=["turn"])
+    whole = {(r.k or None, r.turn): r.rolling_words for r in concat.collect()}
+    assert joined == whole
+    tail = rolling.items_before(placed, placed.filter("k = 'a' AND turn = 4").select(
+        "k", "item_to"), "k", "words", last=2)
+    assert rows(tail, "position", "item") == [(1, "y"), (2, "z")]
+
+
 WINDOWED = {
     "average": lambda df: windows.avg_temperature(df, f"{5 * SECOND // 1000} seconds", digits=6),
     "average 15": lambda df: windows.avg_temperature(

@@ -206,6 +206,14 @@ _register("rolling_concat",
           f"""SELECT conv_id, turn, string_agg(text, ' | ')
 OVER (PARTITION BY conv_id ORDER BY turn {SO_FAR}) AS texts FROM conversations""")
 
+_register("rolling_items",
+          lambda t: rolling.rolling_items(
+              t.table("conversations").select("conv_id", "turn", F.split("text", " ").alias("words")),
+              "conv_id", "words", order=["turn"]).select("conv_id", "turn", "item_from", "item_to"),
+          f"""WITH s AS (SELECT conv_id, turn, coalesce(len(string_split(text, ' ')), 0) AS n
+FROM conversations), t AS (SELECT *, sum(n) OVER (PARTITION BY conv_id ORDER BY turn {SO_FAR}) AS e
+FROM s) SELECT conv_id, turn, CAST(e - n AS BIGINT) AS item_from, CAST(e AS BIGINT) AS item_to FROM t""")
+
 HIGH = f"{R}, h AS (SELECT *, user_id % {COUNT_BUCKETS} AS bucket FROM r WHERE temperature > 10)"
 BY_BUCKET = 'PARTITION BY bucket ORDER BY "timestamp", seq'
 

@@ -56,6 +56,41 @@ def rolling_concat(rows: DataFrame, key: str, items: str, *, order: Sequence[str
     return running.scan(cut, **{f"rolling_{items}": running.running_concat(F.col(items))})
 
 
+def list_size(items: str) -> Column:
+    """Items in a list; none in a null one."""
+    return F.when(F.col(items).isNull(), 0).otherwise(F.size(items)).cast("long")
+
+
+def rolling_items(rows: DataFrame, key: str, items: str, *, order: Sequence[str],
+                  segment_rows: int = SEGMENT_ROWS) -> DataFrame:
+    """The rows with item_from and item_to: where the row's items lie in the concatenation of
+    the key's lists so far, from 0, the end exclusive.
+
+    The concatenation itself repeats every item in all later rows. Here each item is there
+    once, and the list that a row stands for is a range: the items before its item_to.
+    """
+    cut = segments.by_key(rows, [key], order, segment_rows)
+    placed = running.scan(cut, item_to=running.running_sum(list_size(items)))
+    return placed.withColumn("item_from", F.col("item_to") - list_size(items))
+
+
+def items_before(placed: DataFrame, wanted: DataFrame, key: str, items: str,
+                 last: int | None = None) -> DataFrame:
+    """The wanted prefixes of ``rolling_items``, one row per item: the columns of ``wanted``
+    (``key``, item_to and any others), position, item.
+
+    With ``last`` only so many items at the end of each prefix. Only what is asked for is
+    repeated, and no list is gathered into one row.
+    """
+    named = placed.select(F.col(key).alias("_key"), F.col("item_from").alias("_from"),
+                          F.posexplode(items).alias("_place", "item"))
+    singles = named.select("_key", (F.col("_from") + F.col("_place")).alias("position"), "item")
+    inside = F.col(key).eqNullSafe(F.col("_key")) & (F.col("position") < F.col("item_to"))
+    if last is not None:
+        inside &= F.col("position") >= F.col("item_to") - last
+    return wanted.join(singles, inside).drop("_key")
+
+
 def word_count(texts: DataFrame, column: str = "text") -> DataFrame:
     """Occurrences of each word; a stream emits updated counts."""
     return tokenize(texts, column).groupBy("word").agg(F.count(F.lit(1)).alias("count"))

@@ -7,12 +7,15 @@ state store for the jobs below.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
 from tidegauge import texts
 from tidegauge.functions import reading_line
 from tidegauge.operators.lateness import watermark
+from tidegauge.operators.rolling import list_size
 from tidegauge.operators.transforms import alert
 from tidegauge.operators.windows import assign
 from tidegauge.streaming import processors as p
@@ -58,6 +61,71 @@ def high_temperature_key_count(readings: DataFrame, above: float = 10.0) -> Data
     return _stateful(high, ("id",), p.HighCount(above))
 
 
+# Parts of a counting bucket, and the stretch of event time that stays in one part.
+BUCKET_SHARDS = 32
+SLOT_MS = 1_000
+
+
+def _dealt(readings: DataFrame, bucket: Column, above: float, slot_ms: int,
+           shards: int) -> DataFrame:
+    """High readings with the slot and the part of their bucket. Readings without a bucket have
+    parts of their own behind the others, so that no key is null."""
+    number = bucket.cast("long")
+    part = F.pmod(F.xxhash64("slot"), F.lit(shards)) + F.when(number.isNull(), shards).otherwise(0)
+    return readings.filter(F.col("temperature") > above).withColumn(
+        "slot", F.floor(F.col("timestamp") / slot_ms)).select(
+        "id", "timestamp", "seq", "temperature", "slot", part.cast("int").alias("shard"),
+        F.coalesce(number, F.lit(0)).alias("bucket"))
+
+
+def _bucket_counts(dealt: DataFrame, shards: int) -> DataFrame:
+    ranked = _stateful(dealt, ("bucket", "shard"), p.SlotRanks())
+    # Readings stay in their part; the size of a slot goes to every part of its bucket.
+    base = F.when(F.col("shard") >= shards, shards).otherwise(0)
+    parts = F.when(F.col("kind") == p.CONTROL, F.sequence(base, base + (shards - 1))).otherwise(
+        F.array("shard"))
+    counted = _stateful(ranked.withColumn("shard", F.explode(parts)), ("bucket", "shard"),
+                        p.SlotCarries())
+    return counted.withColumn("bucket", F.when(F.col("shard") < shards, F.col("bucket"))).drop(
+        "shard")
+
+
+def high_temperature_bucket_count(readings: DataFrame, bucket: Column, above: float = 10.0,
+                                  slot_ms: int = SLOT_MS,
+                                  shards: int = BUCKET_SHARDS) -> DataFrame:
+    """For each high reading, the number of high readings in its bucket so far.
+
+    A bucket is dealt over ``shards`` keys by slots of ``slot_ms``, so a bucket with a third of
+    all readings is in no single task. The slots are ranked where they are; only their sizes
+    go to all parts of the bucket, and each part carries the bucket's total. Within a
+    micro-batch the order is the events' own, as in all rolling streams.
+    """
+    dealt = _dealt(readings, bucket, above, slot_ms, shards).withColumn(
+        "key_count", F.lit(0).cast("long"))
+    return _bucket_counts(dealt, shards).drop("key_count")
+
+
+def high_temperature_both_counts(readings: DataFrame, bucket: Column, above: float = 10.0,
+                                 slot_ms: int = SLOT_MS,
+                                 shards: int = BUCKET_SHARDS) -> DataFrame:
+    """Count before this reading per sensor, beside the count so far per bucket; see
+    ``high_temperature_bucket_count``."""
+    dealt = _dealt(readings, bucket, above, slot_ms, shards)
+    counter = p.HighCount(above, bucket="long", shard="int", slot="long")
+    return _bucket_counts(_stateful(dealt, ("id",), counter), shards).drop("bucket")
+
+
+def rolling_items(rows: DataFrame, key: str, items: str, order: Sequence[str]) -> DataFrame:
+    """``key``, ``order``, item_from, item_to: the places of a row's items in the concatenation
+    of the lists of its key so far, see ``rolling.rolling_items``. State is one number per key."""
+    placed = rows.select(key, *order, list_size(items).alias("items"))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
+                       for f in placed.drop("items").schema) + ", item_from long, item_to long"
+    # Numbers that are null would not survive as a key.
+    grouped = placed.withColumn("group", F.to_json(F.struct(key)))
+    return _stateful(grouped, ("group",), p.RollingItems(list(order), schema))
+
+
 def temperature_changes(readings: DataFrame, threshold: float = 1.7) -> DataFrame:
     return _stateful(_narrow(readings), ("id",), p.ChangeAlert(threshold))
 

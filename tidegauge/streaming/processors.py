@@ -102,13 +102,18 @@ class RollingMax(_ValueProcessor):
 
 
 class HighCount(_ValueProcessor):
-    """Number of earlier high readings of the sensor, for each high reading."""
+    """Number of earlier high readings of the sensor, for each high reading.
+
+    Columns named in ``passed`` (with their types) are passed on.
+    """
 
     state_schema = _schema(n=LongType)
     output_schema = "id string, timestamp long, seq long, key_count long"
 
-    def __init__(self, above: float = 10.0):
-        self.above = above
+    def __init__(self, above: float = 10.0, **passed: str):
+        self.above, self.passed = above, ["timestamp", "seq", *passed]
+        for name, kind in passed.items():
+            self.output_schema += f", {name} {kind}"
 
     def handleInputRows(self, key, rows, timerValues):
         pdf = _in_order(rows, ORDER)
@@ -117,8 +122,70 @@ class HighCount(_ValueProcessor):
             return
         (count,) = self.load((0,))
         self.state.update((count + len(pdf),))
-        yield pd.DataFrame({"id": key[0], "timestamp": pdf["timestamp"], "seq": pdf["seq"],
-                            "key_count": count + np.arange(len(pdf))})
+        yield pdf[self.passed].assign(id=key[0], key_count=count + np.arange(len(pdf)))
+
+
+class RollingItems(_ValueProcessor):
+    """Place of each row's items in the concatenation of all items of its key so far."""
+
+    state_schema = _schema(n=LongType)
+
+    def __init__(self, order: list[str], output_schema: str):
+        self.order, self.output_schema = order, output_schema
+
+    def handleInputRows(self, key, rows, timerValues):
+        pdf = _in_order(rows, self.order)
+        (count,) = self.load((0,))
+        upto = count + pdf["items"].to_numpy().cumsum()
+        self.state.update((int(upto[-1]),))
+        yield pdf.assign(item_from=upto - pdf["items"], item_to=upto).drop(
+            columns=["items", "group"])
+
+
+class SlotRanks(StatefulProcessor):
+    """First step of a count per bucket: (bucket, shard) holds whole slots of time, and ranks
+    the rows of a micro-batch inside their slots. Beside the rows, one row per slot says how
+    many there are. Nothing is kept between micro-batches."""
+
+    output_schema = ("kind int, slot long, n long, id string, timestamp long, seq long, "
+                     "key_count long, bucket long, shard int")
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        pass
+
+    def handleInputRows(self, key, rows, timerValues):
+        pdf = _in_order(rows, ORDER)
+        ranks = pdf.groupby("slot").cumcount() + 1
+        yield pdf.assign(kind=READING, n=ranks, bucket=key[0], shard=key[1])
+        sizes = pdf.groupby("slot").size()
+        # No nulls beside numbers: pandas would make them floats.
+        yield pd.DataFrame({"kind": CONTROL, "slot": sizes.index, "n": sizes.to_numpy(),
+                            "id": None, "timestamp": 0, "seq": 0, "key_count": 0,
+                            "bucket": key[0], "shard": key[1]})
+
+    def close(self) -> None:
+        pass
+
+
+class SlotCarries(_ValueProcessor):
+    """Second step: each shard of a bucket meets the sizes of all slots of the micro-batch, and
+    adds to its own rows what earlier slots and earlier micro-batches hold."""
+
+    state_schema = _schema(total=LongType)
+    output_schema = ("id string, timestamp long, seq long, key_count long, bucket long, "
+                     "shard int, bucket_count long")
+
+    def handleInputRows(self, key, rows, timerValues):
+        pdf = pd.concat(list(rows))
+        (total,) = self.load((0,))
+        sizes = pdf[pdf["kind"] == CONTROL].groupby("slot")["n"].sum()
+        carried = total + sizes.cumsum() - sizes
+        self.state.update((int(total + sizes.sum()),))
+        own = pdf[pdf["kind"] == READING]
+        if own.empty:
+            return
+        counts = own["slot"].map(carried).to_numpy() + own["n"].to_numpy()
+        yield own.assign(bucket=key[0], shard=key[1], bucket_count=counts)
 
 
 ALERT_COLUMNS = "id string, timestamp long, temperature double, diff double"
