@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.model import ALERT, LOCATION, MIN_MAX_TEMP, SWITCH, THRESHOLD
 from tidegauge.sources import basic, connectors
-from tidegauge.sources.sequence import IdSequenceReader, id_sequence
+from tidegauge.sources.sequence import id_sequence
 
 
 def test_counter(spark):
@@ -36,7 +36,7 @@ def test_text_monitor(spark, drain, tmp_path):
 def test_id_sequence_replays_from_its_offset(spark, tmp_path):
     path, state, seen = str(tmp_path / "table"), str(tmp_path / "state"), []
     events = spark.read.parquet(f"{SMALL}/events.parquet").select("event_id", "value")
-    events.filter("event_id < 42").write.parquet(path)
+    events.filter("event_id >= 20 and event_id < 42").write.parquet(path)
 
     def run(fail=False):
         def take(batch, _):
@@ -44,7 +44,7 @@ def test_id_sequence_replays_from_its_offset(spark, tmp_path):
             if fail:
                 raise ValueError("lost")
             seen.append(sorted(ids))
-        query = id_sequence(spark, path, "event_id", ids_per_task=10).writeStream.foreachBatch(
+        query = id_sequence(spark, path, "event_id").writeStream.foreachBatch(
             take).option("checkpointLocation", state).trigger(availableNow=True).start()
         query.awaitTermination(60)
 
@@ -53,19 +53,16 @@ def test_id_sequence_replays_from_its_offset(spark, tmp_path):
     with pytest.raises(Exception, match="lost"):
         run(fail=True)
     run()
-    assert seen == [list(range(42)), list(range(42, 100))]
+    events.filter("event_id < 20").write.mode("append").parquet(path)
+    run()
+    assert seen == [list(range(20, 42)), list(range(42, 100)), list(range(20))]
 
 
-def test_id_sequence_ranges(spark, tmp_path):
+def test_id_sequence_from_a_number(spark, drain, tmp_path):
     path = str(tmp_path / "table")
     spark.range(0, 95, 1, 3).toDF("n").write.parquet(path)
-    schema = spark.read.parquet(path).schema
-    reader = IdSequenceReader(schema, {"path": path, "id": "n", "idsPerTask": "30"})
-    assert reader.initialOffset() == {"next": 0} and reader.latestOffset() == {"next": 95}
-    parts = reader.partitions({"next": 42}, {"next": 95})
-    assert [(p.low, p.high) for p in parts] == [(42, 72), (72, 95)]
-    read = [n for p in parts for b in reader.read(p) for n in b.column("n").to_pylist()]
-    assert sorted(read) == list(range(42, 95))
+    found = drain(id_sequence(spark, path, "n", start=42, schema="n long", files_per_batch=1))
+    assert sorted(found) == [(n,) for n in range(42, 95)]
 
 
 def test_kafka_mapping(spark):

@@ -1,90 +1,22 @@
-"""A replayable stream over a Parquet table with an ascending integer id.
+"""A replayable sequence: the numbered rows of a growing folder of Parquet files.
 
-The offset of the stream is the next id. Spark stores it with each micro-batch, so
-a restarted query goes on behind the last committed id, and a failed micro-batch
-reads the same range again. Each range is split among tasks; a task reads only the
-row groups whose statistics overlap its part, batch by batch.
+The stream is Spark's file stream. Its offsets are files, stored with each micro-batch: a
+failed micro-batch reads the same files again, a restarted query goes on behind the last
+one, and a row counts whenever its file comes, however small its number is.
 """
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
-
-import pyarrow.dataset as ds
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
-from pyspark.sql.pandas.types import from_arrow_schema
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-# The classes below run in Python workers, which need not have this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-FORMAT = "id_sequence"
-# Ids per task; wider when a micro-batch would otherwise have too many tasks.
-IDS_PER_TASK = 1_000_000
-MOST_TASKS = 10_000
-
-
-@dataclass
-class IdRange(InputPartition):
-    low: int
-    high: int
-
-
-class IdSequenceReader(DataSourceStreamReader):
-    def __init__(self, schema: StructType, options: dict[str, str]):
-        self.columns = schema.fieldNames()
-        self.path, self.id = options["path"], options["id"]
-        self.start = int(options.get("start", 0))
-        self.per_task = int(options.get("idsPerTask", IDS_PER_TASK))
-        self.highest: dict[str, int] = {}
-
-    def initialOffset(self) -> dict:
-        return {"next": self.start}
-
-    def latestOffset(self) -> dict:
-        """One behind the greatest id, from the footers of files not seen before."""
-        for fragment in ds.dataset(self.path, format="parquet").get_fragments():
-            if fragment.path in self.highest:
-                continue
-            at = fragment.physical_schema.get_field_index(self.id)
-            footer = fragment.metadata
-            tops = [footer.row_group(g).column(at).statistics.max
-                    for g in range(footer.num_row_groups) if footer.row_group(g).num_rows]
-            self.highest[fragment.path] = max(tops, default=self.start - 1)
-        return {"next": max(self.highest.values(), default=self.start - 1) + 1}
-
-    def partitions(self, start: dict, end: dict) -> Sequence[InputPartition]:
-        low, high = start["next"], end["next"]
-        width = max(self.per_task, -(-(high - low) // MOST_TASKS))
-        return [IdRange(at, min(at + width, high)) for at in range(low, high, width)]
-
-    def read(self, partition: IdRange) -> Iterator:
-        inside = (ds.field(self.id) >= partition.low) & (ds.field(self.id) < partition.high)
-        yield from ds.dataset(self.path, format="parquet").to_batches(
-            columns=self.columns, filter=inside)
-
-
-class IdSequenceSource(DataSource):
-    @classmethod
-    def name(cls) -> str:
-        return FORMAT
-
-    def schema(self) -> StructType:
-        return from_arrow_schema(ds.dataset(self.options["path"], format="parquet").schema)
-
-    def streamReader(self, schema: StructType) -> IdSequenceReader:
-        return IdSequenceReader(schema, self.options)
+from tidegauge.sources.basic import table_stream
 
 
-def id_sequence(spark: SparkSession, path: str, id_column: str, *, start: int = 0,
-                ids_per_task: int = IDS_PER_TASK,
-                schema: StructType | str | None = None) -> DataFrame:
-    """Stream the table in ranges of its id column."""
-    spark.dataSource.register(IdSequenceSource)
-    reader = spark.readStream.format(FORMAT).options(
-        id=id_column, start=start, idsPerTask=ids_per_task)
-    return (reader if schema is None else reader.schema(schema)).load(path)
+def id_sequence(spark: SparkSession, path: str, id_column: str, *, start: int | None = None,
+                schema: StructType | str | None = None,
+                files_per_batch: int = 1_000) -> DataFrame:
+    """Stream the rows of the folder, from the number ``start`` on if one is given."""
+    columns = spark.read.parquet(path).schema if schema is None else schema
+    rows = table_stream(spark, path, columns, files_per_batch=files_per_batch)
+    return rows if start is None else rows.filter(F.col(id_column) >= start)
