@@ -1,11 +1,13 @@
 """Language ID, suffix tree and nearest neighbours by accuracy and brute force."""
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
 import plain
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 from plain import SMALL
 
@@ -166,6 +168,65 @@ def test_joined_scores_equal_those_of_a_sent_model(clashing, monkeypatch):
     assert found() == sent
 
 
+def packed(chunks, size=8_000):
+    """A bucket of positions that no context settled, 20 texts in a chunk, and states for some."""
+    draw = np.random.default_rng(3)
+    words = np.sort(draw.integers(1, 2 ** 64, 400, np.uint64))
+    none = (np.zeros(0, np.uint64), np.zeros(0))
+    model = suffix_tree.Model(words[::2], np.arange(200), [none] * 3, *none,
+                              suffix_tree.Filter(np.full(64, 255, np.uint8)))
+    parts, states = [], []
+    for k in range(chunks):
+        tokens = words[draw.integers(0, 400, size)]
+        owner = np.sort(draw.integers(0, 20, size))
+        place = np.arange(size) - np.searchsorted(owner, owner)
+        parts.append(suffix_tree.positions(
+            model, pa.array([None, *range(1, 20)], pa.int64()), 0, tokens, owner, place,
+            np.arange(20).astype(np.uint64) + np.uint64(100 * k), 1))
+        at, keys = list(suffix_tree.contexts(tokens, place))[k % 3]
+        states.append((keys[:50], suffix_tree.entry_keys(keys[:50], tokens[at[:50]])))
+    ctx, entry = (np.concatenate(x) for x in zip(*states))
+    rest = pa.table({"ctx": ctx.view(np.int64), "entry": entry.view(np.int64),
+                     "log": -np.arange(1.0, len(ctx) + 1), "backing": np.full(len(ctx), -0.5)})
+    return pa.Table.from_batches(parts), rest, model.words, model.word_counts
+
+
+def test_what_a_bucket_unpacks_does_not_grow_with_it(monkeypatch):
+    monkeypatch.setattr(suffix_tree, "SLICE", 1 << 14)
+
+    def peak(chunks):
+        bucket = packed(chunks)
+        tracemalloc.start()
+        suffix_tree.settle(*bucket)
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return most
+
+    peak(2)
+    assert peak(40) < 2 * peak(4)
+
+
+def test_slices_of_a_bucket_change_nothing(monkeypatch):
+    def sums(most):
+        monkeypatch.setattr(suffix_tree, "SLICE", most)
+        found = suffix_tree.settle(*packed(5)).to_pylist()
+        return sorted(((r["text_id"], r["rare"] or 0, r["n_open"], round(r["logs"], 6),
+                        round(r["open"], 6)) for r in found))
+
+    whole = sums(1 << 30)
+    assert len({r[0] for r in whole}) == 100 and any(r[1] for r in whole)
+    assert any(r[3] for r in whole) and sums(100) == whole
+
+
+def test_positions_travel_in_few_bytes():
+    """Beside their contexts, which are hashes, less than half of tokens and logs unpacked."""
+    rows = packed(1)[0]
+    places = sum(len(x.as_buffer()) for x in rows.column("marks"))
+    sizes = {c: sum(len(x.as_buffer()) for x in rows.column(c))
+             for c in ("starts", "words", "tokens", "logs", "marks")}
+    assert places > 7_000 and sum(sizes.values()) < 0.5 * places * (8 + 8 + 4 + 1)
+
+
 VECTORS = "vec_id long, embedding array<float>, label int"
 
 

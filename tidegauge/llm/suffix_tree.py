@@ -50,8 +50,9 @@ BLOCK = 1 << 19
 BUCKET = 1 << 20
 # Bits of a filter for each key, and the most bits it has.
 KEY_BITS, MOST_BITS, SLAB = 12, 1 << 26, 1 << 18
-# Bytes of text handled at once.
+# Bytes of text handled at once, and positions of a bucket settled at once.
 CHUNK = 1 << 20
+SLICE = 1 << 18
 
 U64 = np.uint64
 END = U64(0x7A5C3D1E9B8F6042)
@@ -104,9 +105,10 @@ class Keys:
     def __init__(self, keys: np.ndarray):
         self.keys = keys
         self.shift = U64(64 - max(1, int(len(keys)).bit_length()))
-        starts = np.searchsorted((keys >> self.shift), np.arange(
-            (1 << (64 - int(self.shift))) + 1, dtype=U64))
-        self.starts = starts.astype(np.int32 if len(keys) < 1 << 31 else np.int64)
+        count = np.bincount((keys >> self.shift).astype(np.int64),
+                            minlength=1 << (64 - int(self.shift)))
+        self.starts = np.zeros(len(count) + 1, np.int32 if len(keys) < 1 << 31 else np.int64)
+        np.cumsum(count, out=self.starts[1:])
 
     def places(self, keys: np.ndarray) -> np.ndarray:
         """Place of each key, -1 if it is not there."""
@@ -492,92 +494,97 @@ def rest_of(found: list[tuple[DataFrame, DataFrame]], bar: float) -> DataFrame:
 
 SCORED = ("doc_id long, text_id long, n_tokens long, n_known long, base double, logs double, "
           "open double, n_open long, rare long, n long")
-POSITIONS = ("bucket long, ids array<long>, texts array<long>, owners binary, tokens binary, "
-             "logs binary, marks binary, keys binary")
+POSITIONS = ("bucket long, ids array<long>, texts array<long>, starts binary, words binary, "
+             "tokens binary, logs binary, marks binary, keys binary")
 SETTLED = "doc_id long, text_id long, logs double, open double, n_open long, rare long"
 
 
-def settled(docs: DataFrame, rest: DataFrame, total: int, shared) -> DataFrame:
-    """The positions that ``Model.scored`` is unsure of: sums per row's id and text of logs,
-    open and n_open, and rows for open tokens whose counts were not sent (``rare``)."""
-    buckets = max(16, total // (2 * BUCKET))
-    bits = np.arange(DEPTH, dtype=np.uint8)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model(*shared.value)
-        for batch in batches:
-            for first, tokens, owner, place, text_id in token_rows(batch.column("text")):
-                logs, covered, unsure, missing = model.scored(tokens, place)
-                at = np.flatnonzero(unsure)
-                keys = missing[:, at].T
-                anchor = keys[np.arange(len(at)), (keys != 0).argmax(axis=1)]
-                bucket = (ragged.mixed(anchor) % U64(buckets)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                at, keys, bucket = at[order], keys[order], bucket[order]
-                # Only the contexts that may be states travel.
-                likely = (keys != 0) & model.rest.has(keys.ravel()).reshape(keys.shape)
-                marks = ((likely << bits).sum(axis=1) + (covered[at] << DEPTH)).astype(np.uint8)
-                edges = np.flatnonzero(np.diff(bucket, prepend=-1))
-                rows: list[list] = [[] for _ in range(8)]
-                for a, b in zip(edges, np.append(edges[1:], len(at))):
-                    own, inside = np.unique(owner[at[a:b]], return_inverse=True)
-                    for column, value in zip(rows, (
-                            int(bucket[a]), batch.column("doc_id").take(
-                                pa.array(first + own)).to_pylist(), text_id[own].view(np.int64),
-                            inside.astype(np.int32).tobytes(), tokens[at[a:b]].tobytes(),
-                            logs[at[a:b]].tobytes(), marks[a:b].tobytes(),
-                            keys[a:b][likely[a:b]].tobytes())):
-                        column.append(value)
-                kinds = [pa.int64(), *[pa.list_(pa.int64())] * 2, *[pa.binary()] * 5]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(r, k) for r, k in zip(rows, kinds)],
-                    ["bucket", "ids", "texts", "owners", "tokens", "logs", "marks", "keys"])
-        ragged.release()
-
-    def place_rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            anchor = batch.column("anchor").to_numpy().view(U64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((ragged.mixed(anchor) % U64(buckets)).astype(np.int64)),
-                 *(batch.column(c) for c in ("ctx", "entry", "log", "backing"))],
-                ["bucket", "ctx", "entry", "log", "backing"])
-
-    def settle(rows: pa.Table, rest: pa.Table) -> pa.Table:
-        words, word_counts = shared.value[:2]
+BITS = np.arange(DEPTH, dtype=np.uint8)
+# Beside the contexts that may be states: whether the token is covered, and has logs so far.
+COVERED, GIVEN = 1 << DEPTH, 1 << DEPTH + 1
+
+
+def positions(model: Model, ids: pa.Array, first: int, tokens: np.ndarray, owner: np.ndarray,
+              place: np.ndarray, text_id: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """The positions of a chunk that the model is unsure of, packed, a row for each bucket. Texts
+    are known by where a new one starts, words that were sent by their place."""
+    logs, covered, unsure, missing = model.scored(tokens, place)
+    at = np.flatnonzero(unsure)
+    keys = missing[:, at].T
+    anchor = keys[np.arange(len(at)), (keys != 0).argmax(axis=1)]
+    bucket = (ragged.mixed(anchor) % U64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    at, keys, bucket = at[order], keys[order], bucket[order]
+    # Only the contexts that may be states travel.
+    likely = (keys != 0) & model.rest.has(keys.ravel()).reshape(keys.shape)
+    owner, tokens, logs = owner[at], tokens[at], logs[at]
+    word = model.word_places(tokens)
+    rare, given = word < 0, logs != 0
+    marks = ((likely << BITS).sum(axis=1) + COVERED * covered[at] + GIVEN * given).astype(np.uint8)
+    edge = np.diff(bucket, prepend=-1) != 0
+    start = edge | (np.diff(owner, prepend=-1) != 0)
+    edges = np.flatnonzero(edge)
+    rows: list[list] = [[] for _ in range(9)]
+    for a, b in zip(edges, np.append(edges[1:], len(at))):
+        own = owner[a:b][start[a:b]]
+        for column, value in zip(rows, (
+                int(bucket[a]), ids.take(pa.array(first + own)).to_pylist(),
+                text_id[own].view(np.int64), np.packbits(start[a:b]).tobytes(),
+                _planes(word[a:b] + 1), tokens[a:b][rare[a:b]].tobytes(),
+                logs[a:b][given[a:b]].tobytes(), marks[a:b].tobytes(),
+                keys[a:b][likely[a:b]].tobytes())):
+            column.append(value)
+    kinds = [pa.int64(), *[pa.list_(pa.int64())] * 2, *[pa.binary()] * 6]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(r, k) for r, k in zip(rows, kinds)],
+        [c.split()[0] for c in POSITIONS.split(", ")])
+
+
+class Bucket:
+    """Settles positions by the states of their bucket."""
+
+    def __init__(self, rest: pa.Table, words: np.ndarray, word_counts: np.ndarray):
         ctx, entry = (rest.column(c).to_numpy().view(U64) for c in ("ctx", "entry"))
         by_entry = np.argsort(entry)
         states, first = np.unique(ctx, return_index=True)
-        backing = rest.column("backing").to_numpy()[first]
-        entry_logs = rest.column("log").to_numpy()[by_entry]
-        state_places, entry_places = Keys(states).places, Keys(entry[by_entry]).places
+        self.backing = rest.column("backing").to_numpy()[first]
+        self.entry_logs = rest.column("log").to_numpy()[by_entry]
+        self.state_places, self.entry_places = Keys(states).places, Keys(entry[by_entry]).places
+        self.words, self.shares = words, np.append(np.log10(word_counts + 1.0), 0.0)
 
-        def whole(name: str, kind) -> np.ndarray:
-            return np.concatenate([np.zeros(0, kind), *(
-                np.frombuffer(x.as_buffer(), kind) for x in rows.column(name))])
+    def settled(self, rows: pa.Table) -> pa.Table:
+        def each(name: str) -> list[pa.Buffer]:
+            return [x.as_buffer() for x in rows.column(name)]
 
-        tokens, logs = whole("tokens", U64), whole("logs", np.float64)
-        marks, flat = whole("marks", np.uint8), whole("keys", U64)
-        covered = (marks >> DEPTH).astype(bool)
-        likely = (marks[:, None] >> bits & 1).astype(bool)
+        def whole(name: str, kind) -> np.ndarray:
+            return np.concatenate([np.frombuffer(x, kind) for x in each(name)])
+
+        marks = whole("marks", np.uint8)
+        word = np.concatenate([_numbers(x) for x in rows.column("words")]) - 1
+        tokens = np.empty(len(word), U64)
+        tokens[word >= 0] = self.words[word[word >= 0]]
+        tokens[word < 0] = whole("tokens", U64)
+        logs, covered = np.zeros(len(word)), (marks & COVERED) != 0
+        logs[(marks & GIVEN) != 0] = whole("logs", np.float64)
+        likely = (marks[:, None] >> BITS & 1).astype(bool)
         keys = np.zeros(likely.shape, U64)
-        keys[likely] = flat
-        del flat
+        keys[likely] = whole("keys", U64)
         for k in range(DEPTH):
             at = np.flatnonzero(likely[:, k])
-            spot = state_places(keys[at, k])
+            spot = self.state_places(keys[at, k])
             at, spot = at[spot >= 0], spot[spot >= 0]
-            follow(logs, covered, at, backing[spot],
-                   entry_places(entry_keys(keys[at, k], tokens[at])), entry_logs)
-        word = Keys(words).places(tokens)
-        shares = np.append(np.log10(word_counts + 1.0), 0.0)[word]
+            follow(logs, covered, at, self.backing[spot],
+                   self.entry_places(entry_keys(keys[at, k], tokens[at])), self.entry_logs)
+        del keys, likely
         rare = ~covered & (word < 0)
-        held = np.array([len(x) for x in rows.column("ids")], np.int64)
-        sizes = np.array([len(x.as_buffer()) // 4 for x in rows.column("owners")], np.int64)
-        owner = whole("owners", np.int32) + np.repeat(np.cumsum(held) - held, sizes)
-        ids, texts = (rows.column(c).combine_chunks().flatten().take(pa.array(owner))
+        # Each row starts with a text of its own.
+        owner = pa.array(np.cumsum(np.concatenate([
+            np.unpackbits(np.frombuffer(x, np.uint8), count=len(m)) for x, m in zip(
+                each("starts"), each("marks"))]), dtype=np.int64) - 1)
+        ids, texts = (rows.column(c).combine_chunks().flatten().take(owner)
                       for c in ("ids", "texts"))
         out = pa.table({"doc_id": ids, "text_id": texts, "logs": logs,
-                        "open": np.where(covered, 0.0, shares),
+                        "open": np.where(covered, 0.0, self.shares[word]),
                         "n_open": (~covered).astype(np.int64),
                         "rare": pa.array(tokens.view(np.int64), mask=~rare)})
         # Most positions of a text need not be told apart any more.
@@ -586,10 +593,48 @@ def settled(docs: DataFrame, rest: DataFrame, total: int, shared) -> DataFrame:
             ["doc_id", "text_id", "rare", "logs", "open", "n_open"]).select(
             ["doc_id", "text_id", "logs", "open", "n_open", "rare"])
 
+
+def settle(rows: pa.Table, rest: pa.Table, words: np.ndarray, word_counts: np.ndarray) -> pa.Table:
+    """A whole bucket, some of its rows at once: what is unpacked does not grow with it."""
+    bucket = Bucket(rest, words, word_counts)
+    sizes = np.array([len(x.as_buffer()) for x in rows.column("marks")], np.int64)
+    cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // SLICE, prepend=-1))
+    done = [bucket.settled(rows.slice(a, b - a))
+            for a, b in zip(cuts, np.append(cuts[1:], len(sizes)))]
+    kinds = pa.schema([(c.split()[0], pa.float64() if c.endswith("double") else pa.int64())
+                       for c in SETTLED.split(", ")])
+    return pa.concat_tables([kinds.empty_table(), *done])
+
+
+def settled(docs: DataFrame, rest: DataFrame, total: int, shared) -> DataFrame:
+    """The positions that ``Model.scored`` is unsure of: sums per row's id and text of logs,
+    open and n_open, and rows for open tokens whose counts were not sent (``rare``)."""
+    buckets = max(16, total // (2 * BUCKET))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Model(*shared.value)
+        for batch in batches:
+            for first, *chunk in token_rows(batch.column("text")):
+                yield positions(model, batch.column("doc_id"), first, *chunk, buckets)
+        ragged.release()
+
+    def place_rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            anchor = batch.column("anchor").to_numpy().view(U64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array((ragged.mixed(anchor) % U64(buckets)).astype(np.int64)),
+                 *(batch.column(c) for c in ("ctx", "entry", "log", "backing"))],
+                ["bucket", "ctx", "entry", "log", "backing"])
+
+    def settle_bucket(rows: pa.Table, rest: pa.Table) -> pa.Table:
+        done = settle(rows, rest, *shared.value[:2])
+        ragged.release()
+        return done
+
     rest = rest.mapInArrow(
         place_rest, "bucket long, ctx long, entry long, log double, backing double")
     return docs.mapInArrow(run, POSITIONS).groupBy("bucket").cogroup(
-        rest.groupBy("bucket")).applyInArrow(settle, SETTLED)
+        rest.groupBy("bucket")).applyInArrow(settle_bucket, SETTLED)
 
 
 def scores(docs: DataFrame) -> DataFrame:
