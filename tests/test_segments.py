@@ -1,6 +1,7 @@
 """Cut groups give the same rows as whole ones, also when one key dominates."""
 
 import random
+import re
 
 import pytest
 from sensor_rows import rows
@@ -110,6 +111,26 @@ def test_rows_without_a_key_are_cut(spark):
     assert rows(got, "seq", "s") == want
 
 
+def test_words_are_numbered_without_sorting_them(spark, capsys):
+    """Also a word that is most of all, over stretches, texts without words and null texts."""
+    texts = [None if i % 11 == 5 else "" if i % 11 == 6 else "..." if i % 11 == 7 else
+             " the the, w%d the" % (i % 13) for i in range(300)]
+    df = spark.createDataFrame(list(enumerate(texts)), "line long, text string").repartition(7)
+    seen, want = {}, []
+    for line, text in enumerate(texts):
+        words = {None: [], "": [""], "...": []}.get(text, text and re.split(r"\W+", text))
+        for position, word in enumerate(words):
+            seen[word] = seen.get(word, 0) + 1
+            want.append((line, position, word, seen[word]))
+    for size in (10, 1 << 19):
+        out = rolling.rolling_word_count(df, "line", segment_rows=size)
+        assert out.columns == ["line", "position", "word", "count"]
+        assert sorted(map(tuple, out.collect())) == want
+    out.explain()
+    assert "row_number" not in capsys.readouterr().out
+    assert rolling.rolling_word_count(df.filter("line < 0"), "line").count() == 0
+
+
 def test_empty_input(spark, skewed):
     nothing = skewed.filter("seq < 0")
     for name, operator in OPERATORS.items():

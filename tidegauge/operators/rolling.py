@@ -6,16 +6,27 @@ is cut and its parts are processed side by side.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
+from math import ceil
 
-from pyspark.sql import Column, DataFrame, functions as F
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from tidegauge.functions import without_trailing_empty
 from tidegauge.model import EVENT_ORDER
-from tidegauge.operators.transforms import filter_above, tokenize
+from tidegauge.operators.transforms import SEPARATORS, filter_above, tokenize
 from tidegauge.plans import running, segments
-from tidegauge.plans.segments import SEGMENT_ROWS
+from tidegauge.plans.segments import SEGMENT, SEGMENT_ROWS
 from tidegauge.session import written
 
+# Words of a stretch of texts that one task numbers, if words and what is between them take as
+# many characters as said here.
+STRETCH_WORDS, WORD_LENGTH = 1 << 19, 8
+
 
 def counter(rows: DataFrame, seq: str = "seq", name: str = "n", *,
             segment_rows: int = SEGMENT_ROWS) -> DataFrame:
@@ -97,11 +108,78 @@ def word_count(texts: DataFrame, column: str = "text") -> DataFrame:
 
 
 def rolling_word_count(texts: DataFrame, order: str, column: str = "text", *,
-                       segment_rows: int = SEGMENT_ROWS) -> DataFrame:
-    """For each word occurrence, how often the word has occurred so far."""
-    words = tokenize(texts, column, keep=(order,))
-    cut = segments.by_key(words, ["word"], (order, "position"), segment_rows)
-    return running.scan(cut, count=running.running_count())
+                       segment_rows: int = STRETCH_WORDS) -> DataFrame:
+    """For each word occurrence, how often the word has occurred so far.
+
+    The texts, not the words, are cut into stretches of the order. A word's count before a
+    stretch comes from a table with one row per stretch and different word; inside it, a task
+    numbers the words of its own texts. So no word is sorted or shuffled, however frequent.
+    """
+    texts = texts.select(order, column)
+    length = texts.agg(F.sum(F.length(column))).first()[0] or 0
+    parts = max(texts.sparkSession.sparkContext.defaultParallelism,
+                ceil(length / WORD_LENGTH / segment_rows))
+    # Written because another run of the sampling could draw other bounds.
+    cut = written(texts.repartitionByRange(parts, order).withColumn(
+        SEGMENT, F.spark_partition_id().cast("long")), "stretches")
+    # The split is bound to a name of its own, or else each use of its parts would split again.
+    words = F.transform(F.array(F.split(column, SEPARATORS)), without_trailing_empty)[0]
+    lists = cut.select(SEGMENT, order, words.alias("words"))
+    totals = lists.select(SEGMENT, "words").mapInArrow(
+        _counted, f"{SEGMENT} long, word string, _n long").groupBy(SEGMENT, "word").agg(
+        F.sum("_n").alias("_n"))
+    before = Window.partitionBy("word").orderBy(SEGMENT).rowsBetween(
+        Window.unboundedPreceding, -1)
+    earlier = totals.withColumn("_before", F.sum("_n").over(before)).filter(
+        F.col("_before").isNotNull()).select(SEGMENT, "word", "_before")
+
+    def number(lists: pa.Table, earlier: pa.Table) -> pa.Table:
+        return _numbered(lists, earlier, order)
+
+    kinds = T.StructType([texts.schema[order], T.StructField("position", T.IntegerType()),
+                          T.StructField("word", T.StringType()),
+                          T.StructField("count", T.LongType())])
+    return lists.groupBy(SEGMENT).cogroup(earlier.groupBy(SEGMENT)).applyInArrow(number, kinds)
+
+
+# These run in Python workers, which need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How often each word comes per stretch, in parts."""
+    for batch in batches:
+        for stretch in pc.unique(batch.column(0)):
+            coded = batch.filter(pc.equal(batch.column(0), stretch)).column(
+                "words").flatten().dictionary_encode()
+            often = np.bincount(coded.indices.to_numpy(zero_copy_only=False),
+                                minlength=len(coded.dictionary))
+            yield pa.RecordBatch.from_arrays(
+                [pa.repeat(stretch, len(often)), coded.dictionary, pa.array(often)],
+                [SEGMENT, "word", "_n"])
+
+
+def _numbered(lists: pa.Table, earlier: pa.Table, order: str) -> pa.Table:
+    """The words of a stretch, each with its count so far; ``earlier`` holds those before it."""
+    lists = lists.take(pc.sort_indices(lists, [(order, "ascending")], null_placement="at_start"))
+    words = lists.column("words").combine_chunks()
+    sizes = pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False)
+    coded = words.flatten().dictionary_encode()
+    code = coded.indices.to_numpy(zero_copy_only=False)
+    # The places of each different word one after another, in order.
+    by_word = np.argsort(code, kind="stable")
+    often = np.bincount(code, minlength=len(coded.dictionary))
+    known = pc.index_in(coded.dictionary, value_set=earlier.column("word").combine_chunks())
+    before = pc.fill_null(earlier.column("_before").combine_chunks().take(known), 0).to_numpy(
+        zero_copy_only=False)
+    count = np.empty(len(code), np.int64)
+    count[by_word] = np.arange(1, len(code) + 1) + np.repeat(before - (np.cumsum(often) - often),
+                                                             often)
+    position = np.arange(len(code)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    texts = pa.array(np.repeat(np.arange(len(sizes)), sizes))
+    return pa.table({order: lists.column(order).take(texts),
+                     "position": position.astype(np.int32),
+                     "word": words.flatten(), "count": count})
 
 
 def high_temperature_key_count(readings: DataFrame, above: float = 10.0, *,

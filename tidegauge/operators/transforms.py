@@ -35,8 +35,12 @@ def filter_above(rows: DataFrame, column: str, bound: float) -> DataFrame:
     return rows.filter(F.col(column) > bound)
 
 
+# A run of characters between words.
+SEPARATORS = r"\W+"
+
+
 def tokenize(lines: DataFrame, column: str = "text", keep: tuple[str, ...] = (), *,
-             separators: str = r"\W+") -> DataFrame:
+             separators: str = SEPARATORS) -> DataFrame:
     """One row per word of the whole text, with the word's position.
 
     ``separators`` matches a run of separators. The text is split once, in a step
