@@ -8,6 +8,7 @@ import numpy as np
 import plain
 import public_tokenizers as P
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from plain import SMALL
 
@@ -227,6 +228,51 @@ def test_positions_travel_in_few_bytes():
     assert places > 7_000 and sum(sizes.values()) < 0.5 * places * (8 + 8 + 4 + 1)
 
 
+def test_infrequent_runs_travel_once_for_each_chunk():
+    """As a key with its texts, whatever precedes it: not with logs, token and contexts."""
+    draw = np.random.default_rng(5)
+    size, buckets = 20_000, 16
+    keys = draw.integers(1, 2 ** 64, 4_000, np.uint64)[draw.integers(0, 4_000, size)]
+    owner = np.sort(draw.integers(0, 50, size))
+    none = keys[:0], owner[:0]
+    own = np.zeros((suffix_tree.WIDTH, 50))
+    rows = suffix_tree.keyed_rows(3, [*range(49), None], own, (keys, owner), none, buckets)
+    sizes = [sum(len(x.as_buffer()) for x in rows.column(c) if x.is_valid)
+             for c in ("runs", "run_texts", "run_text", "run_n")]
+    assert sizes[0] == 8 * len(set(keys.tolist())) and sum(sizes) < 14 * size
+    values = draw.normal(size=4_000)
+    known = np.unique(keys)[::2]
+    rest = pa.table({"key": known.view(np.int64), "value": values[:len(known)],
+                     "word": np.zeros(len(known), bool)})
+    answers = [suffix_tree.answer(pa.table(rows).filter(pc.equal(rows.column("bucket"), b)), rest)
+               for b in range(buckets)]
+    got = suffix_tree.together(pa.concat_tables(answers[::-1]))
+    value = dict(zip(known.tolist(), values))
+    want = np.zeros(50)
+    for key, text in zip(keys.tolist(), owner):
+        want[text] += value.get(key, 0.0)
+    assert got.column("value").to_pylist() == pytest.approx(want, rel=1e-9, abs=1e-9)
+    assert got.column("doc_id").to_pylist() == [*range(49), None]
+
+
+def test_what_travels_of_a_text_is_its_sums(documents, monkeypatch):
+    """Scoring makes one row for each text, also where most of the tree and words is not sent."""
+    monkeypatch.setattr(suffix_tree, "SENT_ENTRIES", 12)
+    monkeypatch.setattr(suffix_tree, "SENT_WORDS", 4)
+    seen = {}
+
+    def counted(df, label, kept=suffix_tree.kept):
+        seen[label] = kept(df, label)
+        if label in ("scored", "settled"):
+            seen[label, "rows"] = seen[label].count()
+        return seen[label]
+
+    monkeypatch.setattr(suffix_tree, "kept", counted)
+    rows = mixed_rows() + [(900, "new words a b c"), (901, None)]
+    suffix_tree.scores(documents(rows)).count()
+    assert seen["scored", "rows"] == len(rows) and "settled" not in seen
+
+
 VECTORS = "vec_id long, embedding array<float>, label int"
 
 

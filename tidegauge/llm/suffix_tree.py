@@ -12,10 +12,13 @@ A token is scored in the longest state that its preceding tokens end in.
    entry that is not, so these are left out early, by a filter of fixed size that may let
    too much through, never too little.
 3. Each length is tested with joins on the shorter one.
-4. Documents are scored with the frequent contexts in their own task. Where a context may be
-   a state that was not sent, the position goes to the bucket of its shortest context that
-   was not sent. All longer ones end in that context, so the bucket has all states that the
-   position needs, and as the context is infrequent, no bucket is hot.
+4. What an entry of a state gives is its share over that of the shorter state, which lists it
+   too if it can; what a state gives that does not list the token is its backing off. So a
+   text's score is a sum over its runs of words: each run has one number, the same wherever
+   it stands, and most have none (``run_values``).
+5. Documents are scored in one pass. The numbers of the most frequent runs and words are sent
+   to the workers; infrequent runs and words travel once for each chunk of texts to the
+   bucket of their hash, and a chunk gets one sum per text and bucket back.
 
 Words and runs of words are known by 64-bit hashes.
 """
@@ -28,6 +31,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidegauge.llm import ragged
@@ -311,9 +316,11 @@ def tested(rows: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
     states = kept(sums.select(
         "ctx", "suffix", "count", "size", state.alias("state"),
         F.when(state, F.log10(backing)).otherwise(0.0).alias("backing")), f"contexts-{label}")
-    return kept(rows.join(if_small(states.select("ctx", "state")), "ctx").select(
+    return kept(rows.join(if_small(states.select("ctx", "state", "backing")), "ctx").select(
         "ctx", "next", "entry", "n", "tail", "state",
-        F.when(F.col("state"), F.col("share")).otherwise(F.col("shorter")).alias("share")),
+        F.when(F.col("state"), F.col("share")).otherwise(F.col("shorter")).alias("share"),
+        F.when(F.col("state"), F.log10(F.col("share") / F.col("shorter")) - F.col("backing"))
+        .alias("value")),
         f"level-{label}"), states
 
 
@@ -407,17 +414,18 @@ def _ordered(rows: DataFrame) -> list[np.ndarray]:
     return [key[order], value[order]]
 
 
-def most_frequent(rows: DataFrame, most: int) -> DataFrame:
-    """The rows with the largest n, by a bar that doubles until at most ``most`` are left."""
-    steps = (rows.groupBy(F.floor(F.log2("n")).alias("power")).count()
-             .orderBy(F.desc("power")).collect())
-    total, bar = 0, 63
+def least_count(rows: DataFrame, most: int) -> float:
+    """Least n of the most frequent rows, by quarters of a power of two, so that at most ``most``
+    have it; 0 if all may be taken."""
+    steps = (rows.groupBy(F.floor(4 * F.log2("n")).alias("quarter")).count()
+             .orderBy(F.desc("quarter")).collect())
+    total, bar = 0, 2.0 ** 63
     for step in steps:
         total += step["count"]
         if total > most:
-            break
-        bar = step["power"]
-    return rows.filter(F.col("n") >= 2.0 ** bar)
+            return bar
+        bar = 2.0 ** (step["quarter"] / 4)
+    return 0.0
 
 
 def grown(docs: DataFrame) -> tuple[DataFrame, list[tuple[DataFrame, DataFrame]], int, int]:
@@ -430,70 +438,24 @@ def grown(docs: DataFrame) -> tuple[DataFrame, list[tuple[DataFrame, DataFrame]]
     return words, levels(learning, words, total, kinds), total, kinds
 
 
-def least_sent(found: list[tuple[DataFrame, DataFrame]], most: int) -> float:
-    """Least count of the contexts to send, 0 if all contexts and their entries are at most
-    ``most``. It doubles until few enough are left."""
-    weights: dict[int, int] = {}
-    for _, contexts_ in found:
-        weight = 1 + F.when(F.col("state"), F.col("size")).otherwise(0)
-        for row in contexts_.groupBy(F.floor(F.log2("count")).alias("power")).agg(
-                F.sum(weight).alias("weight")).collect():
-            weights[row["power"]] = weights.get(row["power"], 0) + row["weight"]
-    total, bar = 0, 2.0 ** 63
-    for power in sorted(weights, reverse=True):
-        total += weights[power]
-        if total > most:
-            return bar
-        bar = 2.0 ** power
-    return 0.0
-
-
-def gathered(words: DataFrame, found: list[tuple[DataFrame, DataFrame]], bar: float) -> Model:
-    """The contexts that come ``bar`` times, in the memory of one process."""
-    states, entries = [], []
-    for level, contexts_ in found:
-        often = contexts_.filter(F.col("count") >= bar)
-        states.append(tuple(_ordered(often.select("ctx", "backing"))))
-        own = level.filter("state")
-        if bar:
-            own = own.join(if_small(often.filter("state").select("ctx")), "ctx", "left_semi")
-        entries.append(_ordered(own.select("entry", F.log10("share").alias("log"))))
+def gathered(words: DataFrame, found: list[tuple[DataFrame, DataFrame]]) -> Model:
+    """The whole tree in the memory of one process."""
+    states = [tuple(_ordered(c.select("ctx", "backing"))) for _, c in found]
+    entries = [_ordered(level.filter("state").select("entry", F.log10("share").alias("log")))
+               for level, _ in found]
     keys, logs = (np.concatenate(x) for x in zip(*entries))
     order = np.argsort(keys)
-    model = Model(*_ordered(most_frequent(words, SENT_WORDS)), states, keys[order], logs[order])
-    if bar:
-        rest = [c.filter(F.col("state") & (F.col("count") < bar)).select("ctx") for _, c in found]
-        model.rest = filter_of(functools.reduce(DataFrame.union, rest))
-    return model
+    return Model(*_ordered(words.filter(F.col("n") >= least_count(words, SENT_WORDS))),
+                 states, keys[order], logs[order])
 
 
 def train(docs: DataFrame) -> tuple[Model, DataFrame, int, int]:
     """The whole model in memory, the counts of all words, the number of training tokens and
     that of different ones."""
     words, found, total, kinds = grown(docs)
-    return gathered(words, found, 0.0), words, total, kinds
-
-
-def rest_of(found: list[tuple[DataFrame, DataFrame]], bar: float) -> DataFrame:
-    """(anchor, ctx, entry, log, backing) of the states that come less than ``bar`` times; the
-    anchor is the shortest ending of the context that does."""
-    rows, shorter = [], None
-    for level, contexts_ in found:
-        anchor = F.col("ctx")
-        if shorter is not None:
-            contexts_ = contexts_.join(shorter.hint("merge"), "suffix", "left")
-            anchor = F.coalesce("suffix_anchor", "ctx")
-        own = contexts_.filter(F.col("count") < bar).select(
-            "ctx", "backing", "state", anchor.alias("anchor"))
-        rows.append(level.filter("state").join(own.filter("state").drop("state").hint("merge"),
-                                               "ctx").select(
-            "anchor", "ctx", "entry", F.log10("share").alias("log"), "backing"))
-        shorter = own.select(F.col("ctx").alias("suffix"), F.col("anchor").alias("suffix_anchor"))
-    return functools.reduce(DataFrame.union, rows)
+    return gathered(words, found), words, total, kinds
 
 
-SCORED = ("doc_id long, text_id long, n_tokens long, n_known long, base double, logs double, "
-          "open double, n_open long, rare long, n long")
 POSITIONS = ("bucket long, ids array<long>, texts array<long>, starts binary, words binary, "
              "tokens binary, logs binary, marks binary, keys binary")
 SETTLED = "doc_id long, text_id long, logs double, open double, n_open long, rare long"
@@ -606,35 +568,195 @@ def settle(rows: pa.Table, rest: pa.Table, words: np.ndarray, word_counts: np.nd
     return pa.concat_tables([kinds.empty_table(), *done])
 
 
-def settled(docs: DataFrame, rest: DataFrame, total: int, shared) -> DataFrame:
-    """The positions that ``Model.scored`` is unsure of: sums per row's id and text of logs,
-    open and n_open, and rows for open tokens whose counts were not sent (``rare``)."""
-    buckets = max(16, total // (2 * BUCKET))
+def grams(tokens: np.ndarray, place: np.ndarray, longest: int = DEPTH + 1) -> Iterator[
+        tuple[np.ndarray, np.ndarray]]:
+    """For each length: where runs of that many tokens end, and their keys."""
+    at, keys = np.arange(len(tokens)), tokens
+    yield at, keys
+    for length in range(2, longest + 1):
+        ending = np.zeros(len(tokens), U64)
+        ending[at] = keys
+        at = np.flatnonzero(place >= length - 1)
+        keys = entry_keys(ending[at - 1], tokens[at])
+        yield at, keys
+
+
+def run_values(found: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """(key, n, value) of the runs of tokens that add to a score, n: how often they come. A run
+    adds, as an entry of a state, what the state gives beyond the shorter one in place of its
+    backing off; and, as a state, its backing off from the token that follows. It has a row for
+    either."""
+    rows = [one for level, contexts_ in found for one in (
+        level.filter("state").select(F.col("entry").alias("key"), "n", "value"),
+        contexts_.filter("state").select(F.col("ctx").alias("key"), F.col("count").alias("n"),
+                                         F.col("backing").alias("value")))]
+    return functools.reduce(DataFrame.union, rows)
+
+
+def summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending different keys and the sums of their values."""
+    order = np.argsort(keys, kind="stable")
+    keys, values = keys[order], values[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[:len(keys)])
+    return keys[first], np.add.reduceat(values, first) if len(first) else values
+
+
+# A chunk's infrequent runs and words in a bucket: their keys, in how many of its texts each is,
+# in which, and how often. Its texts' own numbers travel beside them, in a row without keys.
+KEYED = ("bucket long, chunk long, ids array<long>, own binary, "
+         "runs binary, run_texts binary, run_text binary, run_n binary, "
+         "words binary, word_texts binary, word_text binary, word_n binary")
+ANSWERS = "chunk long, bucket long, ids array<long>, own binary, texts binary, sums binary"
+SUMMED = "doc_id long, n_tokens long, n_known long, base double, value double"
+WIDTH = 4  # numbers of a text: tokens, known ones, base and value
+
+
+def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """As ``key_bucket`` does for a column."""
+    return ((keys >> U64(20)) % U64(buckets)).astype(np.int64)
+
+
+def key_bucket(key: Column, buckets: int) -> Column:
+    return F.shiftrightunsigned(key, 20) % F.lit(buckets).cast("long")
+
+
+def keyed(keys: np.ndarray, owner: np.ndarray, buckets: int
+          ) -> Iterator[tuple[int, tuple[bytes, bytes, bytes, bytes]]]:
+    """By bucket: the keys with their texts, packed."""
+    _, first, which = ragged.distinct(
+        ragged.mixed(keys + owner.astype(U64) * U64(0xD1342543DE82EF95)))
+    n = np.bincount(which, minlength=len(first))
+    keys, owner = keys[first], owner[first]
+    bucket = bucket_of(keys, buckets)
+    order = np.lexsort((owner, keys, bucket))
+    keys, owner, n, bucket = keys[order], owner[order], n[order], bucket[order]
+    starts = np.flatnonzero(np.diff(keys, prepend=~keys[:1]))
+    texts = np.diff(np.append(starts, len(keys)))
+    edges = np.flatnonzero(np.diff(bucket, prepend=-1))
+    for a, b in zip(edges, np.append(edges[1:], len(keys))):
+        i, j = np.searchsorted(starts, (a, b))
+        yield int(bucket[a]), (keys[starts[i:j]].tobytes(), _planes(texts[i:j]),
+                               _planes(owner[a:b]), _planes(n[a:b]))
+
+
+NOTHING = (b"", b"", b"", b"")
+
+
+def keyed_rows(chunk: int, ids: list, own: np.ndarray, runs: tuple, words: tuple, buckets: int
+               ) -> pa.RecordBatch:
+    """All that travels of a chunk of texts: runs and words as keys with their texts."""
+    by_run, by_word = dict(keyed(*runs, buckets)), dict(keyed(*words, buckets))
+    rows = [[chunk % buckets, chunk, ids, own.tobytes(), *NOTHING, *NOTHING]]
+    rows += [[bucket, chunk, None, None, *by_run.get(bucket, NOTHING),
+              *by_word.get(bucket, NOTHING)] for bucket in sorted({*by_run, *by_word})]
+    kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 9]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
+        [c.split()[0] for c in KEYED.split(", ")])
+
+
+def answer(rows: pa.Table, rest: pa.Table) -> pa.Table:
+    """What a bucket's runs and words add to the texts of each chunk, a row for each row."""
+    def lookup(word: bool) -> tuple:
+        own = rest.filter(pc.equal(rest.column("word"), word))
+        keys, values = summed(own.column("key").to_numpy().view(U64),
+                              own.column("value").to_numpy())
+        return Keys(keys).places, np.append(values, 0.0)
+
+    (run_places, run_values_), (word_places, word_values) = lookup(False), lookup(True)
+
+    def added(row: int, kind: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The place of each key with each of its texts, that text, and how often."""
+        keys = np.frombuffer(rows.column(f"{kind}s")[row].as_buffer(), U64)
+        texts, text, n = (_numbers(rows.column(f"{kind}_{c}")[row]) for c in ("texts", "text", "n"))
+        spot = (word_places if kind == "word" else run_places)(keys)
+        return np.repeat(spot, texts), text, n
+
+    texts, sums = [], []
+    for row in range(rows.num_rows):
+        spot, text, n = added(row, "run")
+        rare, rare_text, rare_n = added(row, "word")
+        size = max(text.max(initial=-1), rare_text.max(initial=-1)) + 1
+        out = np.zeros((size, WIDTH - 1))
+        if size:
+            out[:, 0] = np.bincount(rare_text, rare_n * (rare >= 0), size)
+            out[:, 1] = np.bincount(rare_text, rare_n * word_values[rare], size)
+            out[:, 2] = np.bincount(text, n * run_values_[spot], size)
+        some = np.flatnonzero(out.any(axis=1))
+        texts.append(_planes(some))
+        sums.append(out[some].T.tobytes())
+    return pa.table({**{c: rows.column(c) for c in ("chunk", "bucket", "ids", "own")},
+                     "texts": pa.array(texts, pa.binary()), "sums": pa.array(sums, pa.binary())})
+
+
+def together(answers: pa.Table) -> pa.Table:
+    """The numbers of a chunk's texts, added up in the order of the buckets, so that equal texts
+    get equal sums."""
+    own = pc.filter(answers.column("own"), pc.is_valid(answers.column("own")))[0]
+    ids = pc.filter(answers.column("ids"), pc.is_valid(answers.column("own"))).combine_chunks()
+    out = np.frombuffer(own.as_buffer(), np.float64).reshape(WIDTH, -1).copy()
+    for row in np.argsort(answers.column("bucket").to_numpy(), kind="stable"):
+        text = _numbers(answers.column("texts")[row])
+        out[1:, text] += np.frombuffer(answers.column("sums")[row].as_buffer(),
+                                       np.float64).reshape(WIDTH - 1, -1)
+    return pa.table([ids.flatten(), *(out[k].astype(np.int64) for k in (0, 1)), out[2], out[3]],
+                    names=[c.split()[0] for c in SUMMED.split(", ")])
+
+
+def text_sums(docs: DataFrame, words: DataFrame, values: DataFrame, total: int) -> DataFrame:
+    """Per row of ``docs``: its tokens, the known ones, their log10(count + 1) and the values of
+    its runs, added up. What is not among the most frequent travels."""
+    often, least = least_count(words, SENT_WORDS), least_count(values, SENT_ENTRIES)
+    sent = values.filter(F.col("n") >= least).select("key", "value").toArrow()
+    own, counts = _ordered(words.filter(F.col("n") >= often))
+    rest = values.filter(F.col("n") < least).select("key", "value")
+    shared = docs.sparkSession.sparkContext.broadcast(
+        (own, np.log10(counts + 1.0), *summed(_column(sent, "key"), _column(sent, "value")),
+         filter_of(rest.select("key")) if least else None))
+    del sent
+    buckets = max(16, total // (4 * BUCKET))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model(*shared.value)
+        words_, shares, keys_, values_, rest = shared.value
+        word_places, run_places = Keys(words_).places, Keys(keys_).places
+        shares, values_ = np.append(shares, 0.0), np.append(values_, 0.0)
+        chunk = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for first, *chunk in token_rows(batch.column("text")):
-                yield positions(model, batch.column("doc_id"), first, *chunk, buckets)
+            ids = batch.column("doc_id")
+            for first, tokens, owner, place, text_id in token_rows(batch.column("text")):
+                size = len(text_id)
+                word = word_places(tokens)
+                value = np.zeros(size)
+                far: list[tuple[np.ndarray, np.ndarray]] = []
+                for at, keys in grams(tokens, place):
+                    spot = run_places(keys)
+                    value += np.bincount(owner[at], values_[spot], size)
+                    if rest is not None:
+                        away = np.flatnonzero(spot < 0)
+                        away = away[rest.has(keys[away])]
+                        far.append((keys[away], owner[at[away]]))
+                rare = np.flatnonzero(word < 0)
+                own = np.stack([np.bincount(owner, minlength=size),
+                                np.bincount(owner, word >= 0, size),
+                                np.bincount(owner, shares[word], size), value])
+                runs = (tuple(np.concatenate(x) for x in zip(*far)) if far
+                        else (tokens[:0], owner[:0]))
+                yield keyed_rows(chunk, ids.slice(first, size).to_pylist(), own, runs,
+                                 (tokens[rare], owner[rare]), buckets)
+                chunk += 1
         ragged.release()
 
-    def place_rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            anchor = batch.column("anchor").to_numpy().view(U64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((ragged.mixed(anchor) % U64(buckets)).astype(np.int64)),
-                 *(batch.column(c) for c in ("ctx", "entry", "log", "backing"))],
-                ["bucket", "ctx", "entry", "log", "backing"])
-
-    def settle_bucket(rows: pa.Table, rest: pa.Table) -> pa.Table:
-        done = settle(rows, rest, *shared.value[:2])
+    def answers(rows: pa.Table, rest: pa.Table) -> pa.Table:
+        done = answer(rows, rest)
         ragged.release()
         return done
 
-    rest = rest.mapInArrow(
-        place_rest, "bucket long, ctx long, entry long, log double, backing double")
-    return docs.mapInArrow(run, POSITIONS).groupBy("bucket").cogroup(
-        rest.groupBy("bucket")).applyInArrow(settle_bucket, SETTLED)
+    lookups = rest.withColumn("word", F.lit(False)).union(
+        words.filter(F.col("n") < often).select("key", F.log10(F.col("n") + 1.0), F.lit(True)))
+    lookups = lookups.select(key_bucket(F.col("key"), buckets).alias("bucket"), "*")
+    return docs.mapInArrow(run, KEYED).groupBy("bucket").cogroup(
+        lookups.groupBy("bucket")).applyInArrow(answers, ANSWERS).groupBy("chunk").applyInArrow(
+        together, SUMMED)
 
 
 def scores(docs: DataFrame) -> DataFrame:
@@ -647,101 +769,13 @@ def scores(docs: DataFrame) -> DataFrame:
     """
     docs = docs.select(docs["doc_id"], docs["text"])
     words, found, total, kinds = grown(docs)
-    bar = least_sent(found, SENT_ENTRIES)
-    model = gathered(words, found, bar)
-    shared = docs.sparkSession.sparkContext.broadcast(
-        (model.words, model.word_counts, model.states, model.entries, model.entry_logs,
-         model.rest))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model(*shared.value)
-        shares = np.append(np.log10(model.word_counts + 1.0), 0.0)
-
-        def batch_of(*columns):
-            size = len(columns[1])
-            return pa.RecordBatch.from_arrays(
-                [c if isinstance(c, pa.Array) else pa.array(np.full(size, c) if np.isscalar(c)
-                                                            else c) for c in columns],
-                [c.split()[0] for c in SCORED.split(", ")])
-
-        for batch in batches:
-            ids = batch.column("doc_id")
-            for first, tokens, owner, place, text_id in token_rows(batch.column("text")):
-                word = model.word_places(tokens)
-                logs, covered, unsure, _ = model.scored(tokens, place)
-                # What is not sure yet is settled elsewhere.
-                logs[unsure], covered[unsure] = 0.0, True
-                size = len(text_id)
-
-                def per_text(values: np.ndarray) -> np.ndarray:
-                    return np.bincount(owner, values, size)
-
-                yield batch_of(ids.slice(first, size), text_id.view(np.int64),
-                               np.bincount(owner, minlength=size),
-                               per_text(word >= 0).astype(np.int64), per_text(shares[word]),
-                               per_text(logs), per_text(np.where(covered, 0.0, shares[word])),
-                               per_text(~covered).astype(np.int64),
-                               pa.nulls(size, pa.int64()), 0)
-                # Tokens not sent: rows of their own, with how often they are open.
-                rare = np.flatnonzero(word < 0)
-                if not len(rare):
-                    continue
-                _, place_, which = ragged.distinct(ragged.mixed(
-                    tokens[rare] + owner[rare].astype(U64) * U64(0xD1342543DE82EF95)))
-                n = np.bincount(which, minlength=len(place_))
-                n_open = np.bincount(which, ~covered[rare], len(place_)).astype(np.int64)
-                chosen = rare[place_]
-                yield batch_of(ids.take(pa.array(first + owner[chosen])),
-                               text_id[owner[chosen]].view(np.int64), 0, 0, 0.0, 0.0, 0.0,
-                               n_open, pa.array(tokens[chosen].view(np.int64)), n)
-        ragged.release()
-
-    rows = kept(docs.mapInArrow(run, SCORED), "scored")
-    scored = kept(rows.filter(F.col("rare").isNull()).drop("rare", "n"), "scored-texts")
-    counts = words.select(F.col("key").alias("rare"), F.col("n").alias("c")).hint("merge")
-    share = F.log10(F.coalesce("c", F.lit(0)) + 1.0)
-    # Rows that repeat share the sums of their tokens that were looked up elsewhere.
-    sums = kept(rows.filter(F.col("rare").isNotNull()).select("doc_id", "text_id", "rare", "n", (
-        "n_open")).join(counts, "rare").groupBy("doc_id", "text_id").agg(
-        F.sum(F.col("n") * share).alias("rare_base"),
-        F.sum(F.col("n_open") * share).alias("rare_open"),
-        F.sum("n").alias("rare_known")), "rare-sums")
-    discard(rows)
-    if bar:
-        rest = kept(rest_of(found, bar), "rest")
-        discard(*(one for level in found for one in level))
-        later = kept(settled(docs, rest, total, shared), "settled")
-        # A token without a count adds nothing but its place, so only the counted are joined.
-        looked_up = later.filter("rare is not null").select(
-            "doc_id", "text_id", "rare", "n_open").join(counts, "rare").select(
-            "doc_id", "text_id", F.lit(0.0).alias("logs"), (F.col("n_open") * share).alias("open"),
-            F.lit(0).cast("long").alias("n_open"))
-        more = later.drop("rare").unionByName(looked_up).groupBy("doc_id", "text_id").agg(
-            *(F.sum(c).alias(f"more_{c}") for c in ("logs", "open", "n_open")))
-        sums = sums.unionByName(more, allowMissingColumns=True)
-        sums = sums.groupBy("doc_id", "text_id").agg(
-            *(F.sum(c).alias(c) for c in sums.columns if c not in ("doc_id", "text_id")))
-    values = [c for c in sums.columns if c not in ("doc_id", "text_id")]
-    times = scored.groupBy("doc_id", "text_id").agg(F.count(F.lit(1)).alias("times"))
-    once = times.join(sums, times["doc_id"].eqNullSafe(sums["doc_id"])
-                      & (times["text_id"] == sums["text_id"])).select(
-        times["doc_id"].alias("of"), times["text_id"].alias("of_text"),
-        *((F.col(c) / F.col("times")).alias(c) for c in values))
-    joined = scored.join(once, F.col("doc_id").eqNullSafe(F.col("of"))
-                         & (F.col("text_id") == F.col("of_text")), "left")
-
-    def extra(name: str) -> Column:
-        return F.coalesce(name, F.lit(0.0)) if name in values else F.lit(0.0)
-
-    whole = F.log10(F.lit(float(total + kinds + 1)))
-    open_ = F.col("open") + extra("rare_open") + extra("more_open")
-    return joined.select(
-        "doc_id", (fold(F.col("doc_id")) == HELD_OUT).alias("held_out"), "n_tokens",
-        (F.col("n_known") + F.round(extra("rare_known")).cast("long")).alias("n_known"),
-        F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base") + extra("rare_base") - F.col("n_tokens") * whole).alias("base_score"),
-        (F.col("logs") + extra("more_logs") + open_
-         - (F.col("n_open") + extra("more_n_open")) * whole).alias("score"))
+    rows = kept(text_sums(docs, words, run_values(found), total), "scored")
+    discard(words, *(one for level in found for one in level))
+    base = F.col("base") - F.col("n_tokens") * F.log10(F.lit(float(total + kinds + 1)))
+    return rows.select(
+        "doc_id", (fold(F.col("doc_id")) == HELD_OUT).alias("held_out"), "n_tokens", "n_known",
+        F.lit(total).cast("long").alias("train_tokens"), base.alias("base_score"),
+        (base + F.col("value")).alias("score"))
 
 
 def op3(spark: SparkSession, folder: str) -> DataFrame:
