@@ -12,10 +12,10 @@ A token is scored in the longest state that its preceding tokens end in.
    entry that is not, so these are left out early, by a filter of fixed size that may let
    too much through, never too little.
 3. Each length is tested with joins on the shorter one.
-4. What an entry of a state gives is its share over that of the shorter state, which lists it
-   too if it can; what a state gives that does not list the token is its backing off. So a
-   text's score is a sum over its runs of words: each run has one number, the same wherever
-   it stands, and most have none (``run_values``).
+4. An entry has a shorter one in the shorter context, so where a state lists a token it gives
+   its share over the shorter one's, and where it does not, its backing off, whatever comes
+   before. So a text's score is a sum over its runs of words: each run has one number, the
+   same wherever it stands, and most have none (``run_values``).
 5. Documents are scored in one pass. The numbers of the most frequent runs and words are sent
    to the workers; infrequent runs and words travel once for each chunk of texts to the
    bucket of their hash, and a chunk gets one sum per text and bucket back.
@@ -300,8 +300,9 @@ def with_tail(rows: DataFrame) -> DataFrame:
 
 def tested(rows: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
     """Entries with ``shorter``, their share in the shorter state: adds whether the context
-    is a state, the share that then holds, and log10 of backing off. Then the contexts: ctx,
-    suffix, count, state, backing, size (entries)."""
+    is a state, the share that then holds, and what the entry of a state adds to a score that
+    has backed off (``value``). Then the contexts: ctx, suffix, count, state, backing, size
+    (entries)."""
     share = (F.col("n") + LEANING * F.col("shorter")) / (F.col("count") + LEANING)
     rows = rows.withColumn("share", share)
     sums = rows.groupBy("ctx").agg(
@@ -456,6 +457,8 @@ def train(docs: DataFrame) -> tuple[Model, DataFrame, int, int]:
     return gathered(words, found), words, total, kinds
 
 
+# The form by position: what is left of a score travels with each position. ``scores`` sends
+# runs instead.
 POSITIONS = ("bucket long, ids array<long>, texts array<long>, starts binary, words binary, "
              "tokens binary, logs binary, marks binary, keys binary")
 SETTLED = "doc_id long, text_id long, logs double, open double, n_open long, rare long"
@@ -663,7 +666,7 @@ def answer(rows: pa.Table, rest: pa.Table) -> pa.Table:
                               own.column("value").to_numpy())
         return Keys(keys).places, np.append(values, 0.0)
 
-    (run_places, run_values_), (word_places, word_values) = lookup(False), lookup(True)
+    (run_places, run_logs), (word_places, word_logs) = lookup(False), lookup(True)
 
     def added(row: int, kind: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The place of each key with each of its texts, that text, and how often."""
@@ -680,8 +683,8 @@ def answer(rows: pa.Table, rest: pa.Table) -> pa.Table:
         out = np.zeros((size, WIDTH - 1))
         if size:
             out[:, 0] = np.bincount(rare_text, rare_n * (rare >= 0), size)
-            out[:, 1] = np.bincount(rare_text, rare_n * word_values[rare], size)
-            out[:, 2] = np.bincount(text, n * run_values_[spot], size)
+            out[:, 1] = np.bincount(rare_text, rare_n * word_logs[rare], size)
+            out[:, 2] = np.bincount(text, n * run_logs[spot], size)
         some = np.flatnonzero(out.any(axis=1))
         texts.append(_planes(some))
         sums.append(out[some].T.tobytes())
