@@ -1,5 +1,6 @@
 """Language ID, suffix tree and nearest neighbours by accuracy and brute force."""
 
+import os
 import random
 import tracemalloc
 import zlib
@@ -273,6 +274,45 @@ def test_what_travels_of_a_text_is_its_sums(documents, monkeypatch):
     assert seen["scored", "rows"] == len(rows) and "settled" not in seen
 
 
+def test_tables_are_gone_before_texts_travel_in_shares(documents, monkeypatch):
+    """What lies on disk at once: no level of the tree beside what texts send, and one share of
+    the texts after the other."""
+    monkeypatch.setattr(suffix_tree, "SENT_ENTRIES", 12)
+    monkeypatch.setattr(suffix_tree, "SENT_WORDS", 4)
+    monkeypatch.setattr(suffix_tree, "ROUNDS", 3)
+    paths, there, shares = {}, {}, {}
+
+    def counted(df, label, kept=suffix_tree.kept):
+        there[label] = {name for name, path in paths.items() if os.path.exists(path)}
+        done = kept(df, label)
+        paths[label] = done._kept_at.removeprefix("file:")
+        shares[label] = done.count() if label.startswith("summed") else 0
+        return done
+
+    monkeypatch.setattr(suffix_tree, "kept", counted)
+    rows = mixed_rows() + [(None, None)]
+    assert suffix_tree.scores(documents(rows)).count() == len(rows)
+    assert "sums-1" in paths and "level-1" in there["lookups"] and there["summed-0"] == {"lookups"}
+    assert sum(shares.values()) == len(rows) and sum(n > 0 for n in shares.values()) > 1
+
+
+def test_sums_travel_as_numbers_of_words():
+    """Frequent words as numbers, which compress, others as their hashes."""
+    draw = np.random.default_rng(8)
+    words = np.sort(np.unique(draw.integers(1, 2 ** 64, 3_000, np.uint64)))
+    counts = draw.permutation(len(words)) + 1
+    frequent = suffix_tree.Frequent(words[::2], counts[::2], float(np.median(counts[::2])))
+    tokens = words[draw.integers(0, len(words), 5_000)]
+    numbers = frequent.numbered(tokens)
+    others = tokens[numbers == 0]
+    assert (numbers == 0).tolist() == (np.searchsorted(words, tokens) % 2 == 1).tolist()
+    assert frequent.unpacked(numbers, others).tolist() == tokens.tolist()
+    assert frequent.near(tokens).sum() < (numbers > 0).sum()
+    packed = pa.scalar(suffix_tree.squeezed(suffix_tree._planes(numbers)), pa.binary())
+    assert len(packed.as_py()) < 2.5 * len(tokens)
+    assert suffix_tree._numbers(suffix_tree.expanded(packed)).tolist() == numbers.tolist()
+
+
 VECTORS = "vec_id long, embedding array<float>, label int"
 
 

@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidegauge.llm import ragged
-from tidegauge.llm.tables import discard, if_small, kept, ship, table
+from tidegauge.llm.tables import discard, if_small, kept, let_go, ship, table
 
 FOLDS, HELD_OUT = 7, 2
 DEPTH = 3
@@ -50,14 +50,21 @@ REPEATS = 3
 LEAST = 8
 LEANING = 2.0
 DIVERGENCE = 3.0
-# Tokens whose partial sums are sent at once, and training tokens for each bucket of sums.
+# Words that have numbers on the way to their sums.
+NUMBERED = 1 << 19
+# Tokens that are summed at once, partial sums that are sent at once, and training tokens for each
+# bucket of sums.
 BLOCK = 1 << 19
+MERGED = 1 << 20
 BUCKET = 1 << 20
 # Bits of a filter for each key, and the most bits it has.
-KEY_BITS, MOST_BITS, SLAB = 12, 1 << 26, 1 << 18
+KEY_BITS, MOST_BITS, SLAB, SLOTS = 12, 1 << 26, 1 << 18, 3
 # Bytes of text handled at once, and positions of a bucket settled at once.
 CHUNK = 1 << 20
 SLICE = 1 << 18
+# Shares of the texts that are scored one after the other: what travels of one is let go before
+# the next. More take less disk and more CPU time, as each needs the sent tree in its tasks again.
+ROUNDS = 1
 
 U64 = np.uint64
 END = U64(0x7A5C3D1E9B8F6042)
@@ -68,6 +75,11 @@ def fold(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % FOLDS
 
 
+def round_of(doc_id: Column) -> Column:
+    """Which of ROUNDS shares of the texts a row is scored with."""
+    return F.floor(F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) / FOLDS) % ROUNDS
+
+
 def token_rows(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray,
                                                   np.ndarray]]:
     """Per chunk: first text, tokens of all texts with their ends, the text of each, its
@@ -104,6 +116,22 @@ def entry_keys(context: np.ndarray, token: np.ndarray) -> np.ndarray:
     return ragged.mixed(context + token * U64(0xC2B2AE3D27D4EB4F) + U64(7))
 
 
+def grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of the keys, and where each different one begins in it."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    return order, np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[:len(keys)])
+
+
+def squeezed(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
+
+
+def expanded(data: pa.Scalar) -> pa.Buffer:
+    whole = data.as_buffer()
+    return pa.decompress(whole[8:], int.from_bytes(whole[:8].to_pybytes(), "little"), "zstd")
+
+
 class Keys:
     """Ascending keys, found by their leading bits."""
 
@@ -137,13 +165,25 @@ class Filter:
         self.bits, self.mask = bits, U64(len(bits) * 8 - 1)
 
     @staticmethod
-    def slots(keys: np.ndarray, mask: np.uint64) -> tuple[np.ndarray, np.ndarray]:
-        return keys & mask, (keys >> U64(34)) & mask
+    def slot(keys: np.ndarray, k: int, mask: np.uint64) -> np.ndarray:
+        """The k-th of SLOTS bits of each key."""
+        if k == 2:
+            keys = keys * U64(0x9E3779B97F4A7C15)
+        return (keys >> U64((0, 34, 36)[k])) & mask
+
+    def bit(self, keys: np.ndarray, k: int) -> np.ndarray:
+        slot = self.slot(keys, k, self.mask)
+        return ((self.bits[slot >> U64(3)] >> (slot & U64(7)).astype(np.uint8)) & 1).astype(bool)
 
     def has(self, keys: np.ndarray) -> np.ndarray:
-        first, second = ((self.bits[slot >> U64(3)] >> (slot & U64(7)).astype(np.uint8)) & 1
-                         for slot in self.slots(keys, self.mask))
-        return (first & second).astype(bool)
+        found = self.bit(keys, 0)
+        for k in range(1, SLOTS):
+            left = np.flatnonzero(found)
+            if 2 * len(left) > len(keys):
+                found &= self.bit(keys, k)
+            else:
+                found[left] = self.bit(keys[left], k)
+        return found
 
 
 def filter_of(rows: DataFrame) -> Filter:
@@ -155,18 +195,20 @@ def filter_of(rows: DataFrame) -> Filter:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(size, bool)
         for batch in batches:
-            for slot in Filter.slots(batch.column(0).to_numpy().view(U64), U64(size - 1)):
-                bits[slot] = True
+            keys = batch.column(0).to_numpy().view(U64)
+            for k in range(SLOTS):
+                bits[Filter.slot(keys, k, U64(size - 1))] = True
         slabs = np.packbits(bits, bitorder="little").reshape(-1, SLAB // 8)
         some = np.flatnonzero(slabs.any(axis=1))
         yield pa.RecordBatch.from_arrays(
             [pa.array(some.astype(np.int32)),
-             pa.array([slabs[k].tobytes() for k in some], pa.binary())], ["slab", "bits"])
+             pa.array([squeezed(slabs[k].tobytes()) for k in some], pa.binary())],
+            ["slab", "bits"])
 
     def merge(slabs: pa.Table) -> pa.Table:
         whole = np.zeros(SLAB // 8, np.uint8)
         for one in slabs.column("bits"):
-            whole |= np.frombuffer(one.as_buffer(), np.uint8)
+            whole |= np.frombuffer(expanded(one), np.uint8)
         return pa.table({"slab": slabs.column("slab")[:1].cast(pa.int32()),
                          "bits": pa.array([whole.tobytes()], pa.binary())})
 
@@ -216,26 +258,73 @@ def _planes(values: np.ndarray) -> bytes:
     return np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
 
 
-def _numbers(planes: pa.Scalar) -> np.ndarray:
-    flat = np.frombuffer(planes.as_buffer(), np.uint8).reshape(4, -1)
+def _numbers(planes: pa.Scalar | pa.Buffer) -> np.ndarray:
+    if isinstance(planes, pa.Scalar):
+        planes = planes.as_buffer()
+    flat = np.frombuffer(planes, np.uint8).reshape(4, -1)
     return np.ascontiguousarray(flat.T).view("<u4").reshape(-1).astype(np.int64)
 
 
-PARTS = "bucket long, contexts binary, sizes binary, nexts binary, counts binary"
-SUMS = "ctx long, next long, entry long, n long"
+class Frequent:
+    """Frequent words. In packed rows they are numbers from 1, the most frequent first; 0 stands
+    for another word, whose hash follows apart. ``sent``: so many of them are frequent enough to
+    be sent with all their numbers."""
+
+    def __init__(self, words: np.ndarray, counts: np.ndarray, least: float):
+        self.places, self.sent = Keys(words).places, int((counts >= least).sum())
+        order = np.argsort(-counts, kind="stable")
+        self.numbers = np.zeros(len(words) + 1, np.int32)
+        self.numbers[order] = np.arange(1, len(words) + 1)
+        self.words = np.append(U64(0), words[order])
+
+    def numbered(self, words: np.ndarray) -> np.ndarray:
+        return self.numbers[self.places(words)]
+
+    def near(self, words: np.ndarray) -> np.ndarray:
+        number = self.numbered(words)
+        return (number > 0) & (number <= self.sent)
+
+    def unpacked(self, numbers: np.ndarray, others: np.ndarray) -> np.ndarray:
+        words = self.words[numbers]
+        words[numbers == 0] = others
+        return words
+
+
+def _hash_planes(keys: np.ndarray) -> bytes:
+    """Numbers of 64 bits by their bytes: of ascending ones the leading bytes compress."""
+    return np.ascontiguousarray(keys.view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def _hashes(planes: pa.Buffer) -> np.ndarray:
+    flat = np.frombuffer(planes, np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(flat.T).view(U64).reshape(-1)
+
+
+def _whole(column: pa.ChunkedArray) -> np.ndarray:
+    return np.concatenate([np.frombuffer(x.as_buffer(), U64) for x in column])
 
 
-def entry_sums(docs: DataFrame, length: int, often: Filter, ending: Filter, total: int
-               ) -> DataFrame:
+# Sums of many tokens for a bucket: the words of the contexts, one place after the other, how many
+# next tokens each context has, these tokens and their counts. Words are numbers of frequent ones,
+# or hashes in ``rare`` and ``others``.
+PARTS = ("bucket long, contexts binary, rare binary, sizes binary, nexts binary, others binary, "
+         "counts binary")
+SUMS = "ctx long, next long, entry long, n long, near boolean, known boolean"
+
+
+def entry_sums(docs: DataFrame, length: int, often: Filter, ending: Filter, total: int,
+               sent: Frequent) -> DataFrame:
     """(ctx, next, entry, n) of contexts of that length, of all entries that come REPEATS
     times. ``often``: the contexts to count; ``ending``: what an entry without its first
-    token has to be."""
-    shared = docs.sparkSession.sparkContext.broadcast((often, ending))
+    token has to be; ``sent``: the words that are numbers on the way. Adds whether context
+    (``near``, of one word) and token (``known``) are among these."""
+    shared = docs.sparkSession.sparkContext.broadcast((often, ending, sent))
     buckets = max(16, total // BUCKET)
     parts = max(16, buckets // 8)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often, ending = shared.value
+        often, ending, sent = shared.value
+        held: list[tuple] = []
         for tokens, place in blocks(batches):
             *_, (before, shorter), (at, keys) = [(None, None), *contexts(tokens, place, length)]
             some = often.has(keys)
@@ -248,65 +337,125 @@ def entry_sums(docs: DataFrame, length: int, often: Filter, ending: Filter, tota
                 last = entry_keys(suffix[at], tokens[at])
             some = ending.has(last)
             keys, token = keys[some], tokens[at[some]]
-            found, first, which = ragged.distinct(entry_keys(keys, token))
-            n = np.bincount(which, minlength=len(found))
-            keys, token = keys[first], token[first]
-            bucket = (ragged.mixed(keys + token % U64(parts)) % U64(buckets)).astype(np.int64)
-            order = np.lexsort((keys, bucket))
-            keys, token, n, bucket = keys[order], token[order], n[order], bucket[order]
-            edges = np.flatnonzero(np.diff(bucket, prepend=-1))
-            ends = np.append(edges[1:], len(bucket))
-            rows: list[list] = [[], [], [], [], []]
-            for a, b in zip(edges, ends):
-                firsts = np.flatnonzero(np.concatenate([[True], keys[a + 1:b] != keys[a:b - 1]]))
-                for column, value in zip(rows, (
-                        int(bucket[a]), keys[a:b][firsts].tobytes(),
-                        _planes(np.diff(np.append(firsts, b - a))), token[a:b].tobytes(),
-                        _planes(n[a:b]))):
-                    column.append(value)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rows[0], pa.int64()), *(pa.array(r, pa.binary()) for r in rows[1:])],
-                ["bucket", "contexts", "sizes", "nexts", "counts"])
+            found, at = entry_keys(keys, token), at[some]
+            order, starts = grouped(found)
+            first = order[starts]
+            held.append((found[first], keys[first],
+                         np.diff(np.append(starts, len(order))).astype(np.int32),
+                         *(tokens[at[first] - k] for k in range(length + 1))))
+            del keys, token, found, order, first
+            if sum(len(h[0]) for h in held) >= MERGED:
+                yield packed(held, sent)
+                ragged.release()
+        if held:
+            yield packed(held, sent)
+        ragged.release()
 
-    def add(part: pa.Table) -> pa.Table:
-        def whole(name: str) -> np.ndarray:
-            return np.concatenate([np.frombuffer(x.as_buffer(), U64) for x in part.column(name)])
+    def packed(held: list[tuple], sent: Frequent) -> pa.RecordBatch:
+        found, keys, n, *words_ = (np.concatenate(x) for x in zip(*held))
+        held.clear()
+        order, starts = grouped(found)
+        n = np.add.reduceat(n[order], starts, dtype=np.int64) if len(starts) else n
+        first = order[starts]
+        keys, (token, *context) = keys[first], [w[first] for w in words_]
+        del found, words_, order
+        bucket = ragged.mixed(keys + token % U64(parts)) % U64(buckets)
+        # By bucket, last word and context. Contexts that agree in the bits that are left may
+        # take turns, so that one is listed twice, which costs a few bytes.
+        last = sent.numbered(context[0])
+        order = np.argsort((bucket << U64(44)) | (last.astype(U64) << U64(24)) | (keys >> U64(40)))
+        keys, n, bucket = keys[order], n[order], bucket[order]
+        start = np.concatenate([[True], (keys[1:] != keys[:-1]) | (bucket[1:] != bucket[:-1])])
+        firsts = np.flatnonzero(start[:len(keys)])
+        sizes = np.diff(np.append(firsts, len(keys)))
+        token, context = token[order], [w[order][firsts] for w in context]
+        number = sent.numbered(token)
+        numbers = [last[order][firsts], *(sent.numbered(w) for w in context[1:])]
+        edges = np.flatnonzero(np.diff(bucket.astype(np.int64), prepend=-1))
+        cuts = np.searchsorted(firsts, np.append(edges, len(keys)))
+        rows: list[list] = [[], [], [], [], [], [], []]
+        for a, b, i, j in zip(edges, np.append(edges[1:], len(keys)), cuts, cuts[1:]):
+            for column, value in zip(rows, (
+                    int(bucket[a]), squeezed(b"".join(_planes(x[i:j]) for x in numbers)),
+                    b"".join(w[i:j][x[i:j] == 0].tobytes() for w, x in zip(context, numbers)),
+                    squeezed(_planes(sizes[i:j])), squeezed(_planes(number[a:b])),
+                    token[a:b][number[a:b] == 0].tobytes(), squeezed(_planes(n[a:b])))):
+                column.append(value)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(rows[0], pa.int64()), *(pa.array(r, pa.binary()) for r in rows[1:])],
+            [c.split()[0] for c in PARTS.split(", ")])
+
+    def context_keys(part: pa.Table, sent: Frequent) -> np.ndarray:
+        keys = []
+        for planes, rare in zip(part.column("contexts"), part.column("rare")):
+            whole = np.frombuffer(expanded(planes), np.uint8).reshape(length, -1)
+            last, *before = sent.unpacked(
+                np.concatenate([_numbers(pa.py_buffer(x)) for x in whole]),
+                np.frombuffer(rare.as_buffer(), U64)).reshape(length, -1)
+            if before:
+                *others, key = before
+                for word in others[::-1]:
+                    key = entry_keys(key, word)
+                last = entry_keys(key, last)
+            keys.append(last)
+        return np.concatenate(keys)
 
-        sizes, n = (np.concatenate([_numbers(x) for x in part.column(c)])
+    def add(part: pa.Table) -> pa.Table:
+        *_, sent = shared.value
+        sizes, n = (np.concatenate([_numbers(expanded(x)) for x in part.column(c)])
                     for c in ("sizes", "counts"))
-        keys, token = np.repeat(whole("contexts"), sizes), whole("nexts")
-        found, first, which = ragged.distinct(entry_keys(keys, token))
-        n = np.bincount(which, n, len(found)).astype(np.int64)
+        keys = np.repeat(context_keys(part, sent), sizes)
+        token = sent.unpacked(np.concatenate([_numbers(expanded(x)) for x in part.column("nexts")]),
+                              _whole(part.column("others")))
+        found = entry_keys(keys, token)
+        order, starts = grouped(found)
+        n = np.add.reduceat(n[order], starts) if len(starts) else n
         some = n >= REPEATS
-        at = first[some]
+        at = order[starts[some]]
+        near = sent.near(keys[at]) if length == 1 else np.zeros(len(at), bool)
         return pa.table({"ctx": keys[at].view(np.int64), "next": token[at].view(np.int64),
-                         "entry": found[some].view(np.int64), "n": n[some]})
+                         "entry": found[at].view(np.int64), "n": n[some], "near": near,
+                         "known": sent.near(token[at])})
 
     return docs.select(docs["text"]).mapInArrow(run, PARTS).groupBy("bucket").applyInArrow(
         add, SUMS)
 
 
+ROWS = "ctx long, entry long, n long, near boolean, count long, tail long, more boolean"
+
+
 def with_tail(rows: DataFrame) -> DataFrame:
-    """Adds tail: the key of the entry without its first token."""
+    """Tail instead of suffix: the key of the entry without its first token. ``more``: whether the
+    entry is a context of the next length."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             suffix, token = (batch.column(c).to_numpy().view(U64) for c in ("suffix", "next"))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(entry_keys(suffix, token).view(np.int64))],
-                [*batch.schema.names, "tail"])
+                [*(batch.column(c) for c in ("ctx", "entry", "n", "near", "count")),
+                 pa.array(entry_keys(suffix, token).view(np.int64)), batch.column("more")],
+                [c.split()[0] for c in ROWS.split(", ")])
+
+    return rows.mapInArrow(run, ROWS)
 
-    return rows.mapInArrow(run, f"{SUMS}, suffix long, count long, tail long")
 
+def looked_up(rows: DataFrame, known: DataFrame, key: str, sent: str) -> DataFrame:
+    """``rows`` joined with ``known``, whose column of the name ``sent`` says which of its rows
+    go to all workers. That of ``rows`` says which find theirs there; only the others are
+    shuffled."""
+    near, far = known.filter(sent).drop(sent), known.filter(~F.col(sent)).drop(sent)
+    return rows.filter(sent).join(F.broadcast(near), key).unionByName(
+        rows.filter(~F.col(sent)).join(if_small(far), key))
 
-def tested(rows: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
-    """Entries with ``shorter``, their share in the shorter state: adds whether the context
-    is a state, the share that then holds, and what the entry of a state adds to a score that
-    has backed off (``value``). Then the contexts: ctx, suffix, count, state, backing, size
-    (entries)."""
+
+def tested(rows: DataFrame, label: str, sent: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Entries with ``shorter``, their share in the shorter state: gives entry, n, tail (of those
+    that are contexts of the next length), whether the context is a state, the share that then
+    holds, and what the entry of a state adds to a score that has backed off (``value``). Then
+    the contexts: ctx, count, near, state, backing. ``sent``: those that are near go to all
+    workers."""
     share = (F.col("n") + LEANING * F.col("shorter")) / (F.col("count") + LEANING)
-    rows = rows.withColumn("share", share)
-    sums = rows.groupBy("ctx").agg(
-        F.max("count").alias("count"), F.max("suffix").alias("suffix"),
+    sums = rows.withColumn("share", share).groupBy("ctx").agg(
+        F.max("count").alias("count"), F.max("near").alias("near"),
         F.count(F.lit(1)).alias("size"), F.sum("n").alias("listed"), F.sum("share").alias("shares"),
         F.sum("shorter").alias("shorters"),
         F.sum(F.col("n") * F.log(F.col("share") / F.col("shorter"))).alias("gain"))
@@ -315,12 +464,16 @@ def tested(rows: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
     gain = F.col("gain") + (F.col("count") - F.col("listed")) * F.log(backing)
     state = gain > DIVERGENCE * (1 + F.col("size"))
     states = kept(sums.select(
-        "ctx", "suffix", "count", "size", state.alias("state"),
+        "ctx", "count", "near", state.alias("state"),
         F.when(state, F.log10(backing)).otherwise(0.0).alias("backing")), f"contexts-{label}")
-    return kept(rows.join(if_small(states.select("ctx", "state", "backing")), "ctx").select(
-        "ctx", "next", "entry", "n", "tail", "state",
-        F.when(F.col("state"), F.col("share")).otherwise(F.col("shorter")).alias("share"),
-        F.when(F.col("state"), F.log10(F.col("share") / F.col("shorter")) - F.col("backing"))
+    rows = rows.drop("count", *([] if sent else ["near"]))
+    of_state = states.select("ctx", "count", "state", "backing", *(["near"] if sent else []))
+    rows = looked_up(rows, of_state, "ctx", "near") if sent else rows.join(
+        if_small(of_state), "ctx")
+    return kept(rows.select(
+        "entry", "n", F.when(F.col("more"), F.col("tail")).alias("tail"), "state",
+        F.when(F.col("state"), share).otherwise(F.col("shorter")).alias("share"),
+        F.when(F.col("state"), F.log10(share / F.col("shorter")) - F.col("backing"))
         .alias("value")),
         f"level-{label}"), states
 
@@ -329,27 +482,32 @@ def levels(learning: DataFrame, words: DataFrame, total: int, kinds: int
            ) -> list[tuple[DataFrame, DataFrame]]:
     """Per length of context: the tested entries and the contexts."""
     found: list[tuple[DataFrame, DataFrame]] = []
+    least = least_count(words, SENT_WORDS)
+    sent = Frequent(*_ordered(words.filter(F.col("n") >= least_count(words, NUMBERED))), least)
     candidates = words.filter((F.col("n") >= LEAST) & (F.col("key") != int(END.view(np.int64)))
-                              ).select(F.col("key").alias("ctx"), F.lit(None).cast("long")
-                                       .alias("suffix"), F.col("n").alias("count"))
+                              ).select(F.col("key").alias("ctx"), F.col("n").alias("count"),
+                                       (F.col("n") >= least).alias("near"))
     ending = words.filter(F.col("n") >= REPEATS).select("key")
     for length in range(1, DEPTH + 1):
         sums = kept(entry_sums(learning, length, filter_of(candidates.select("ctx")),
-                               filter_of(ending), total), f"sums-{length}")
-        rows = sums.join(if_small(candidates), "ctx")
+                               filter_of(ending), total, sent), f"sums-{length}")
+        rows = sums.withColumn("more", (F.col("n") >= LEAST)
+                               & (F.col("next") != int(END.view(np.int64))))
         if length == 1:
-            rows = rows.withColumn("tail", F.col("next")).join(if_small(words.select(
-                F.col("key").alias("tail"), ((F.col("n") + 1) / (total + kinds + 1))
-                .alias("shorter"))), "tail")
+            rows = looked_up(rows, candidates, "ctx", "near")
+            rows = looked_up(rows.withColumnRenamed("next", "tail"), words.select(
+                F.col("key").alias("tail"), (F.col("n") >= least).alias("known"),
+                ((F.col("n") + 1) / (total + kinds + 1)).alias("shorter")), "tail", "known")
         else:
-            rows = with_tail(rows.select("ctx", "next", "entry", "n", "suffix", "count")).join(
+            rows = with_tail(rows.drop("known").join(if_small(candidates), "ctx")).join(
                 if_small(found[-1][0].select(F.col("entry").alias("tail"),
-                                          F.col("share").alias("shorter"))), "tail")
+                                             F.col("share").alias("shorter"))), "tail")
+        let_go(learning.sparkSession)
         rows = kept(rows, f"shorter-{length}")
-        found.append(tested(rows, str(length)))
-        discard(sums, rows)
-        candidates = found[-1][0].filter(
-            (F.col("n") >= LEAST) & (F.col("next") != int(END.view(np.int64)))).select(
+        discard(sums)
+        found.append(tested(rows, str(length), length == 1))
+        discard(rows)
+        candidates = found[-1][0].filter(F.col("tail").isNotNull()).select(
             F.col("entry").alias("ctx"), F.col("tail").alias("suffix"), F.col("n").alias("count"))
         ending = found[-1][0].select("entry")
     return found
@@ -615,23 +773,17 @@ WIDTH = 4  # numbers of a text: tokens, known ones, base and value
 
 
 def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
-    """As ``key_bucket`` does for a column."""
     return ((keys >> U64(20)) % U64(buckets)).astype(np.int64)
 
 
-def key_bucket(key: Column, buckets: int) -> Column:
-    return F.shiftrightunsigned(key, 20) % F.lit(buckets).cast("long")
-
-
 def keyed(keys: np.ndarray, owner: np.ndarray, buckets: int
           ) -> Iterator[tuple[int, tuple[bytes, bytes, bytes, bytes]]]:
     """By bucket: the keys with their texts, packed."""
-    _, first, which = ragged.distinct(
-        ragged.mixed(keys + owner.astype(U64) * U64(0xD1342543DE82EF95)))
-    n = np.bincount(which, minlength=len(first))
-    keys, owner = keys[first], owner[first]
+    order, first = grouped(ragged.mixed(keys + owner.astype(U64) * U64(0xD1342543DE82EF95)))
+    n = np.diff(np.append(first, len(order)))
+    keys, owner = keys[order[first]], owner[order[first]]
     bucket = bucket_of(keys, buckets)
-    order = np.lexsort((owner, keys, bucket))
+    order = np.argsort((bucket.astype(U64) << U64(44)) | (keys >> U64(20)))
     keys, owner, n, bucket = keys[order], owner[order], n[order], bucket[order]
     starts = np.flatnonzero(np.diff(keys, prepend=~keys[:1]))
     texts = np.diff(np.append(starts, len(keys)))
@@ -706,9 +858,57 @@ def together(answers: pa.Table) -> pa.Table:
                     names=[c.split()[0] for c in SUMMED.split(", ")])
 
 
-def text_sums(docs: DataFrame, words: DataFrame, values: DataFrame, total: int) -> DataFrame:
+# Keys of a bucket and their values (of words, their counts) by their bytes.
+LOOKUPS = "bucket long, word boolean, keys binary, values binary"
+
+
+def lookup_rows(rows: DataFrame, buckets: int) -> DataFrame:
+    """(key, value, word) packed by bucket."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(len(b) for b in held) >= MERGED:
+                yield packed(pa.Table.from_batches(held))
+                held.clear()
+        if held:
+            yield packed(pa.Table.from_batches(held))
+
+    def packed(part: pa.Table) -> pa.RecordBatch:
+        keys, values, word = (part.column(c).to_numpy() for c in ("key", "value", "word"))
+        keys = keys.view(U64)
+        place = bucket_of(keys, buckets) * 2 + word
+        order = np.lexsort((keys, place))
+        keys, values, place = keys[order], values[order].view(U64), place[order]
+        edges = np.flatnonzero(np.diff(place, prepend=-1))
+        ends = np.append(edges[1:], len(place))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(place[edges] // 2), pa.array(place[edges] % 2 == 1),
+             *(pa.array([squeezed(_hash_planes(x[a:b])) for a, b in zip(edges, ends)], pa.binary())
+               for x in (keys, values))], [c.split()[0] for c in LOOKUPS.split(", ")])
+
+    return rows.mapInArrow(run, LOOKUPS)
+
+
+def looked(rows: pa.Table) -> pa.Table:
+    """The rows that ``lookup_rows`` packed, words with log10(count + 1)."""
+    parts = [pa.table({"key": pa.array(np.zeros(0, np.int64)), "value": np.zeros(0),
+                       "word": pa.array([], pa.bool_())})]
+    for word, keys, values in zip(*(rows.column(c) for c in ("word", "keys", "values"))):
+        value = _hashes(expanded(values)).view(np.float64)
+        parts.append(pa.table({
+            "key": _hashes(expanded(keys)).view(np.int64),
+            "value": np.log10(value + 1.0) if word.as_py() else value,
+            "word": np.full(len(value), word.as_py())}))
+    return pa.concat_tables(parts)
+
+
+def text_sums(docs: DataFrame, words: DataFrame, found: list[tuple[DataFrame, DataFrame]],
+              total: int) -> DataFrame:
     """Per row of ``docs``: its tokens, the known ones, their log10(count + 1) and the values of
-    its runs, added up. What is not among the most frequent travels."""
+    its runs, added up. What is not among the most frequent travels, of ROUNDS shares of the texts
+    one after the other. ``words`` and ``found`` are discarded."""
+    values = run_values(found)
     often, least = least_count(words, SENT_WORDS), least_count(values, SENT_ENTRIES)
     sent = values.filter(F.col("n") >= least).select("key", "value").toArrow()
     own, counts = _ordered(words.filter(F.col("n") >= often))
@@ -750,16 +950,25 @@ def text_sums(docs: DataFrame, words: DataFrame, values: DataFrame, total: int)
         ragged.release()
 
     def answers(rows: pa.Table, rest: pa.Table) -> pa.Table:
-        done = answer(rows, rest)
+        done = answer(rows, looked(rest))
         ragged.release()
         return done
 
-    lookups = rest.withColumn("word", F.lit(False)).union(
-        words.filter(F.col("n") < often).select("key", F.log10(F.col("n") + 1.0), F.lit(True)))
-    lookups = lookups.select(key_bucket(F.col("key"), buckets).alias("bucket"), "*")
-    return docs.mapInArrow(run, KEYED).groupBy("bucket").cogroup(
-        lookups.groupBy("bucket")).applyInArrow(answers, ANSWERS).groupBy("chunk").applyInArrow(
-        together, SUMMED)
+    let_go(docs.sparkSession)
+    lookups = kept(lookup_rows(rest.withColumn("word", F.lit(False)).union(
+        words.filter(F.col("n") < often).select("key", F.col("n").cast("double"), F.lit(True))),
+        buckets), "lookups")
+    discard(words, *(one for level in found for one in level))
+    done = []
+    for share in range(ROUNDS):
+        done.append(kept(docs.filter(round_of(docs["doc_id"]) == share).mapInArrow(run, KEYED)
+                         .groupBy("bucket").cogroup(lookups.groupBy("bucket"))
+                         .applyInArrow(answers, ANSWERS).groupBy("chunk")
+                         .applyInArrow(together, SUMMED), f"summed-{share}"))
+        let_go(docs.sparkSession)
+    rows = kept(functools.reduce(DataFrame.union, done), "scored")
+    discard(lookups, *done)
+    return rows
 
 
 def scores(docs: DataFrame) -> DataFrame:
@@ -772,8 +981,7 @@ def scores(docs: DataFrame) -> DataFrame:
     """
     docs = docs.select(docs["doc_id"], docs["text"])
     words, found, total, kinds = grown(docs)
-    rows = kept(text_sums(docs, words, run_values(found), total), "scored")
-    discard(words, *(one for level in found for one in level))
+    rows = text_sums(docs, words, found, total)
     base = F.col("base") - F.col("n_tokens") * F.log10(F.lit(float(total + kinds + 1)))
     return rows.select(
         "doc_id", (fold(F.col("doc_id")) == HELD_OUT).alias("held_out"), "n_tokens", "n_known",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 import zipfile
 from pathlib import Path
@@ -44,6 +45,17 @@ def discard(*tables: DataFrame) -> None:
     spark._jvm.System.gc()
 
 
+# Seconds until the JVM has been told what Python no longer holds.
+TOLD = 1.2
+
+
+def let_go(spark: SparkSession) -> None:
+    """Let go of the shuffle files of the steps that are done before the next one begins."""
+    gc.collect()
+    time.sleep(TOLD)
+    spark._jvm.System.gc()
+
+
 def public_vocabulary(name: str) -> str:
     """Path of an installed public vocabulary."""
     import public_tokenizers
